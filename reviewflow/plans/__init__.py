@@ -1,6 +1,6 @@
 """Named queries (one per operator of the inventory) and their oracle SQL."""
 
-from . import etl, prep  # noqa: F401  (registers queries)
+from . import etl, prep, requests, sampling  # noqa: F401  (each module registers its queries)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
