@@ -10,6 +10,8 @@ to it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +102,8 @@ def with_views(sql: str, *names: str) -> str:
     if not parts:
         return sql
     body = sql.strip()
-    if body.upper().startswith("WITH "):
-        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    m = re.match(r"(?is)^with(\s+recursive)?\s+", body)
+    if m:
+        head = "WITH RECURSIVE " if m.group(1) else "WITH "
+        return head + ",\n".join(parts) + ",\n" + body[m.end():]
     return "WITH " + ",\n".join(parts) + "\n" + body
