@@ -43,7 +43,7 @@ _MIN_US = 60_000_000
 _SEC_US = 1_000_000
 BUCKET_SECONDS = 3600
 
-SUMMARY_SCHEMA = "model_id string, epoch_id long, exit_stopped string, exit_creating string"
+SUMMARY_SCHEMA = "model_id string, epoch_id long, epoch_ts_us long, exit_stopped string, exit_creating string"
 ANNOTATED_SCHEMA = (
     "model_id string, epoch_id long, row_type string, event_id long, ts_us long, kind string, "
     "name string, phone string, status_before string, status_after string, "
@@ -114,52 +114,86 @@ def fold_events(ts, kinds, valid_start, has_text, entry: str, idle_us: int, exte
     return status
 
 
-def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["ts_us", "event_id"], kind="mergesort")
+_ANN_COLS = ["row_type", "event_id", "ts_us", "kind", "name", "phone", "status_before", "status_after",
+             "has_endpoint_before", "has_endpoint_after", "deadline_before_us", "deadline_us",
+             "action", "code", "extended"]
+
+
+def _groups(batches, cols):
+    """Yield (model_id, epoch_id, {col: list}) for each epoch of a partition sorted by
+    (model_id, epoch_id, ts_us, event_id); an epoch may span Arrow batches."""
+    key, acc = None, None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        m = pdf["model_id"].tolist()
+        e = pdf["epoch_id"].tolist()
+        data = {c: pdf[c].tolist() for c in cols}
+        start = 0
+        for i in range(1, len(m) + 1):
+            if i == len(m) or m[i] != m[start] or e[i] != e[start]:
+                k = (m[start], e[start])
+                chunk = {c: data[c][start:i] for c in cols}
+                if k == key:
+                    for c in cols:
+                        acc[c].extend(chunk[c])
+                else:
+                    if key is not None:
+                        yield key[0], key[1], acc
+                    key, acc = k, chunk
+                start = i
+    if key is not None:
+        yield key[0], key[1], acc
 
 
 def _summarise(idle_us: int, extend_us: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _sorted(pdf)
-        ts = pdf["ts_us"].tolist()
-        kinds = pdf["kind"].tolist()
-        valid = pdf["valid_start"].tolist()
-        text = pdf["has_text"].tolist()
-        exits = [fold_events(ts, kinds, valid, text, e, idle_us, extend_us) for e in (STOPPED, CREATING)]
-        return pd.DataFrame({"model_id": [pdf["model_id"].iloc[0]], "epoch_id": [pdf["epoch_id"].iloc[0]],
-                             "exit_stopped": [exits[0]], "exit_creating": [exits[1]]})
+    cols = ["ts_us", "kind", "valid_start", "has_text"]
+
+    def run(batches):
+        out = {"model_id": [], "epoch_id": [], "epoch_ts_us": [], "exit_stopped": [], "exit_creating": []}
+        for model, epoch, g in _groups(batches, cols):
+            exits = [fold_events(g["ts_us"], g["kind"], g["valid_start"], g["has_text"], e, idle_us, extend_us)
+                     for e in (STOPPED, CREATING)]
+            for c, v in zip(out, (model, epoch, g["ts_us"][0], exits[0], exits[1])):
+                out[c].append(v)
+            if len(out["model_id"]) >= 10_000:
+                yield pd.DataFrame(out)
+                out = {c: [] for c in out}
+        if out["model_id"]:
+            yield pd.DataFrame(out)
     return run
 
 
 def _annotate(idle_us: int, extend_us: int):
-    cols = ["row_type", "event_id", "ts_us", "kind", "name", "phone", "status_before", "status_after",
-            "has_endpoint_before", "has_endpoint_after", "deadline_before_us", "deadline_us",
-            "action", "code", "extended"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _sorted(pdf)
-        ev_id = pdf["event_id"].tolist()
-        kinds = pdf["kind"].tolist()
-        names = pdf["name"].tolist()
-        phones = pdf["phone"].tolist()
-        out = {c: [] for c in cols}
-
-        def emit(row_type, i, t, before, after, ep_b, ep_a, d_b, d_a, action, code, extended):
-            ev = i >= 0
-            for c, v in zip(cols, (row_type, ev_id[i] if ev else None, t, kinds[i] if ev else "timer",
-                                   names[i] if ev else None, phones[i] if ev else None, before, after,
-                                   ep_b, ep_a, d_b, d_a, action, code, extended)):
-                out[c].append(v)
+    cols = ["event_id", "ts_us", "kind", "name", "phone", "valid_start", "has_text", "entry"]
 
-        fold_events(pdf["ts_us"].tolist(), kinds, pdf["valid_start"].tolist(), pdf["has_text"].tolist(),
-                    pdf["entry"].iloc[0], idle_us, extend_us, emit)
+    def frame(out):
         res = pd.DataFrame(out)
-        res.insert(0, "epoch_id", pdf["epoch_id"].iloc[0])
-        res.insert(0, "model_id", pdf["model_id"].iloc[0])
-        for c in ("event_id", "deadline_before_us", "deadline_us", "code"):
+        for c in ("event_id", "deadline_before_us", "deadline_us"):
             res[c] = res[c].astype("Int64")
         res["code"] = res["code"].astype("Int32")
         return res
+
+    def run(batches):
+        out = {c: [] for c in ["model_id", "epoch_id"] + _ANN_COLS}
+        for model, epoch, g in _groups(batches, cols):
+            ev_id, kinds, names, phones = g["event_id"], g["kind"], g["name"], g["phone"]
+
+            def emit(row_type, i, t, before, after, ep_b, ep_a, d_b, d_a, action, code, extended):
+                ev = i >= 0
+                vals = (model, epoch, row_type, ev_id[i] if ev else None, t, kinds[i] if ev else "timer",
+                        names[i] if ev else None, phones[i] if ev else None, before, after,
+                        ep_b, ep_a, d_b, d_a, action, code, extended)
+                for c, v in zip(out, vals):
+                    out[c].append(v)
+
+            fold_events(g["ts_us"], kinds, g["valid_start"], g["has_text"], g["entry"][0],
+                        idle_us, extend_us, emit)
+            if len(out["model_id"]) >= 10_000:
+                yield frame(out)
+                out = {c: [] for c in out}
+        if out["model_id"]:
+            yield frame(out)
     return run
 
 
@@ -190,7 +224,7 @@ def resolve_entries(summary: DataFrame) -> DataFrame:
     entry of what follows, identity passes it on, a swap flips it."""
     const = F.col("exit_stopped") == F.col("exit_creating")
     swap = (F.col("exit_stopped") == CREATING) & (F.col("exit_creating") == STOPPED)
-    w = Window.partitionBy("model_id").orderBy("epoch_id_ts", "epoch_id")
+    w = Window.partitionBy("model_id").orderBy("epoch_ts_us", "epoch_id")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     s = (summary.withColumn("__swaps", F.sum(swap.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("__anchor", F.when(const, F.struct(F.col("exit_stopped").alias("v"),
@@ -203,24 +237,36 @@ def resolve_entries(summary: DataFrame) -> DataFrame:
     return s.select("model_id", "epoch_id", F.when(flips, flipped).otherwise(base).alias("entry"))
 
 
+# Epoch entries are broadcast to the annotation pass only below this many epochs
+# (about 60 bytes each); above it they are shuffled in with the events instead.
+MAX_BROADCAST_EPOCHS = 2_000_000
+
+
 def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
              extend_below_minutes: int = EXTEND_BELOW_MINUTES,
-             bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+             bucket_seconds: int = BUCKET_SECONDS,
+             max_broadcast_epochs: int = MAX_BROADCAST_EPOCHS) -> DataFrame:
     """One row per event (``row_type='event'``) and per timer firing (``'timer'``)
     with the status before and after, the response code and action, the deadline
     and the creating cycle (``cycle_id``, ``cycle_ts_us``) it belongs to."""
     idle_us, extend_us = idle_minutes * _MIN_US, extend_below_minutes * _MIN_US
-    ep = assign_epochs(events, idle_minutes, bucket_seconds)
-    cols = ["model_id", "epoch_id", "event_id", "ts_us", "kind", "valid_start", "has_text"]
-    summary = (ep.select(*cols).groupBy("model_id", "epoch_id")
-                 .applyInPandas(_summarise(idle_us, extend_us), SUMMARY_SCHEMA))
-    # epoch ids are event ids of first events; their time orders the epochs
-    firsts = ep.where(F.col("event_id") == F.col("epoch_id")).select(
-        "model_id", "epoch_id", F.col("ts_us").alias("epoch_id_ts"))
-    entries = resolve_entries(summary.join(firsts, ["model_id", "epoch_id"]))
-    rows = (ep.select(*cols, "name", "phone").join(entries, ["model_id", "epoch_id"])
-              .groupBy("model_id", "epoch_id")
-              .applyInPandas(_annotate(idle_us, extend_us), ANNOTATED_SCHEMA))
+    order = ["model_id", "epoch_id", "ts_us", "event_id"]
+    cols = ["model_id", "epoch_id", "event_id", "ts_us", "kind", "name", "phone", "valid_start", "has_text"]
+    # materialised once (lineage cut in the shared checkpoint folder), hash-partitioned
+    # by epoch and sorted, so both folds stream contiguous epochs
+    ep = (assign_epochs(events, idle_minutes, bucket_seconds).select(*cols)
+          .repartition("model_id", "epoch_id").sortWithinPartitions(*order)
+          .checkpoint(eager=True))
+    summary = ep.select("model_id", "epoch_id", "ts_us", "kind", "valid_start", "has_text") \
+                .mapInPandas(_summarise(idle_us, extend_us), SUMMARY_SCHEMA)
+    entries = resolve_entries(summary).checkpoint(eager=True)
+    if entries.count() <= max_broadcast_epochs:
+        # broadcast keeps the stream side's partitioning and order
+        staged = ep.join(F.broadcast(entries), ["model_id", "epoch_id"])
+    else:
+        staged = (ep.join(entries, ["model_id", "epoch_id"])
+                    .repartition("model_id", "epoch_id").sortWithinPartitions(*order))
+    rows = staged.select(*cols, "entry").mapInPandas(_annotate(idle_us, extend_us), ANNOTATED_SCHEMA)
     rows = rows.withColumn("bucket", F.floor(F.col("ts_us") / F.lit(bucket_seconds * _SEC_US)).cast("long"))
     rows = rows.withColumn("__cycle", F.when(F.col("action") == "create",
                                              F.struct(F.col("event_id").alias("id"), F.col("ts_us").alias("ts"))))
