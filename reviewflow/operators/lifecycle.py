@@ -56,62 +56,73 @@ def _deadline(t_us: int, idle_us: int) -> int:
     return ((t_us + idle_us) // _SEC_US) * _SEC_US
 
 
-def fold_events(ts, kinds, valid_start, has_text, entry: str, idle_us: int, extend_us: int,
-                emit=None) -> str:
-    """Run the state machine over one epoch (events sorted by time, id); returns the
-    exit status after the final timer. ``emit(row_type, i, before, after, ...)`` gets
-    every event and every timer firing."""
-    status = entry
-    has_ep = entry == CREATING
-    deadline = None
-    for i in range(len(ts)):
-        t = ts[i]
-        if status == IN_SERVICE and deadline < t:
+class EndpointState:
+    """Mutable state of one model: status, whether an endpoint name is stored, and the
+    idle deadline (microseconds, whole seconds). Shared by the batch folds and the
+    streaming state function, so both apply identical rules."""
+
+    __slots__ = ("status", "has_ep", "deadline")
+
+    def __init__(self, status: str = STOPPED, has_ep: bool = False, deadline: int | None = None):
+        self.status, self.has_ep, self.deadline = status, has_ep, deadline
+
+    def expire(self, now_us: int, emit=None) -> None:
+        """Fire the idle timer if its deadline lies before ``now_us``."""
+        if self.status == IN_SERVICE and self.deadline < now_us:
             if emit is not None:
-                emit("timer", -1, deadline, IN_SERVICE, STOPPED, has_ep, False, deadline, None,
-                     "timer", None, False)
-            status, has_ep, deadline = STOPPED, False, None
-        before, ep_before, d_before = status, has_ep, deadline
-        kind = kinds[i]
+                emit("timer", -1, self.deadline, IN_SERVICE, STOPPED, self.has_ep, False,
+                     self.deadline, None, "timer", None, False)
+            self.status, self.has_ep, self.deadline = STOPPED, False, None
+
+    def apply(self, i: int, t: int, kind: str, valid_start: bool, has_text: bool,
+              idle_us: int, extend_us: int, emit=None) -> None:
+        self.expire(t, emit)
+        before, ep_before, d_before = self.status, self.has_ep, self.deadline
         code, extended = None, False
         if kind == "start":
             code = 200
-            if not valid_start[i]:
+            if not valid_start:
                 action, code = "invalid", 400
-            elif status == STOPPED:
-                status, has_ep, action = CREATING, True, "create"
-            elif status == CREATING:
+            elif self.status == STOPPED:
+                self.status, self.has_ep, action = CREATING, True, "create"
+            elif self.status == CREATING:
                 action = "append"
             else:
                 action = "noop"
         elif kind == "in_service":
-            status, deadline, action = IN_SERVICE, _deadline(t, idle_us), "in_service"
+            self.status, self.deadline, action = IN_SERVICE, _deadline(t, idle_us), "in_service"
         elif kind == "status":
             code = 200
-            if status == IN_SERVICE and deadline - t < extend_us:
-                deadline, extended, action = _deadline(t, idle_us), True, "extend"
+            if self.status == IN_SERVICE and self.deadline - t < extend_us:
+                self.deadline, extended, action = _deadline(t, idle_us), True, "extend"
             else:
                 action = "poll"
         elif kind == "predict":
-            if status == IN_SERVICE and has_ep:
-                deadline, extended = _deadline(t, idle_us), True
-                action, code = ("accept", 200) if has_text[i] else ("no_text", 400)
+            if self.status == IN_SERVICE and self.has_ep:
+                self.deadline, extended = _deadline(t, idle_us), True
+                action, code = ("accept", 200) if has_text else ("no_text", 400)
             else:
                 action, code = "unavailable", 404
         elif kind == "shutdown":
-            action = "stop" if status != STOPPED else "noop"
-            status, has_ep, deadline = STOPPED, False, None
+            action = "stop" if self.status != STOPPED else "noop"
+            self.status, self.has_ep, self.deadline = STOPPED, False, None
         else:
             action = "unknown"
         if emit is not None:
-            emit("event", i, t, before, status, ep_before, has_ep, d_before, deadline,
+            emit("event", i, t, before, self.status, ep_before, self.has_ep, d_before, self.deadline,
                  action, code, extended)
-    if status == IN_SERVICE:
-        if emit is not None:
-            emit("timer", -1, deadline, IN_SERVICE, STOPPED, has_ep, False, deadline, None,
-                 "timer", None, False)
-        status = STOPPED
-    return status
+
+
+def fold_events(ts, kinds, valid_start, has_text, entry: str, idle_us: int, extend_us: int,
+                emit=None) -> str:
+    """Run the state machine over one epoch (events sorted by time, id) from ``entry``;
+    the timer still pending at the end fires. Returns the exit status."""
+    st = EndpointState(entry, entry == CREATING)
+    for i in range(len(ts)):
+        st.apply(i, ts[i], kinds[i], valid_start[i], has_text[i], idle_us, extend_us, emit)
+    if st.status == IN_SERVICE:
+        st.expire(st.deadline + 1, emit)
+    return st.status
 
 
 _ANN_COLS = ["row_type", "event_id", "ts_us", "kind", "name", "phone", "status_before", "status_after",

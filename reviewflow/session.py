@@ -35,6 +35,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf = dict(SESSION_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.executorEnv.PYTHONWARNINGS", "ignore::FutureWarning")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
