@@ -44,3 +44,16 @@ def full_text(title: Column | str, text: Column | str, fill: bool = False) -> Co
     if fill:
         title, text = fill_blank(title), fill_blank(text)
     return F.concat(title, F.lit(TITLE_TEXT_SEPARATOR), text)
+
+
+def first_element(arr: Column) -> Column:
+    """First array element, null for an empty or null array.
+
+    Same answer as ``try_element_at(arr, 1)``, which fails whole-stage code
+    generation on Spark 4.1 for arrays of structs; this form compiles."""
+    return F.when(F.size(arr) > 0, F.element_at(arr, 1))
+
+
+def nth_element(arr: Column, n: int) -> Column:
+    """``n``-th (1-based) array element, null when the array is shorter or null."""
+    return F.when(F.size(arr) >= n, F.element_at(arr, n))

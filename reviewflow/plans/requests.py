@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefmt
 from ..functions.phone import phone_digits, phone_ok
-from ..functions.text import nonblank, present, utrim
+from ..functions.text import first_element, nonblank, present, utrim
 from ..sources import requests as rq
 from ..tables import lifecycle_events, read_table
 from .registry import query
@@ -37,7 +37,7 @@ SELECT event_id, string_split(arn, '/')[-1] AS endpoint_name,
        string_split(arn, ':')[5] AS account FROM e""", L)
 def parse_platform_event(spark, sf_dir):
     pe = platform_events(spark, sf_dir)
-    arn = F.try_element_at(F.from_json("event_json", rq.PLATFORM_EVENT)["resources"], F.lit(1))
+    arn = first_element(F.from_json("event_json", rq.PLATFORM_EVENT)["resources"])
     return pe.select("event_id", rq.resource_name("event_json").alias("endpoint_name"),
                      rq.arn_field(arn, 4).alias("account"))
 

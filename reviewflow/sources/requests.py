@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import first_element, nth_element
+
 START_BODY = T.StructType([T.StructField("name", T.StringType()), T.StructField("phone", T.StringType())])
 PREDICT_BODY = T.StructType([T.StructField("text", T.StringType())])
 PLATFORM_EVENT = T.StructType([T.StructField("resources", T.ArrayType(T.StringType()))])
@@ -35,10 +37,10 @@ def last_segment(text: Column | str, sep: str = "/") -> Column:
 def resource_name(event_json: Column | str) -> Column:
     """Endpoint name of a platform event: the first resource ARN, after its last ``/``."""
     ev = F.from_json(event_json if isinstance(event_json, Column) else F.col(event_json), PLATFORM_EVENT)
-    return last_segment(F.try_element_at(ev["resources"], F.lit(1)))
+    return last_segment(first_element(ev["resources"]))
 
 
 def arn_field(arn: Column | str, index: int) -> Column:
     """``index``-th (0-based) ``:``-separated field of an ARN, e.g. 4 = account."""
     a = F.col(arn) if isinstance(arn, str) else arn
-    return F.try_element_at(F.split(a, F.lit(":")), F.lit(index + 1))
+    return nth_element(F.split(a, F.lit(":")), index + 1)
