@@ -21,7 +21,7 @@ from .text import TOKEN_PATTERN
 
 # Hyper-parameters: one pass in the original (epochs -> iterations here), weight
 # decay 0.01 (-> L2 regularisation).
-DEFAULT_PARAMS = {"max_iter": 50, "reg_param": 0.01, "num_features": 1 << 18, "min_doc_freq": 2}
+DEFAULT_PARAMS = {"max_iter": 20, "reg_param": 0.01, "num_features": 1 << 18, "min_doc_freq": 2}
 
 
 def build(text_col: str = "review_full_text", label_col: str = "label", **params) -> Pipeline:

@@ -44,18 +44,29 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           length: int = ENCODED_LENGTH) -> DataFrame:
+           length: int = ENCODED_LENGTH, max_vocabulary: int = 1_000_000) -> DataFrame:
     """``input_ids`` / ``attention_mask`` of exactly ``length`` entries plus the full
-    token count. ``vocab`` is collected (it is a top-k, at most k rows)."""
-    rows = vocab.select("token", "token_id").collect()
-    lookup = F.create_map(*[x for r in rows for x in (F.lit(r["token"]), F.lit(r["token_id"]))]) \
-        if rows else F.create_map().cast("map<string,int>")
-    toks = tokens(text_col)
-    head = F.slice(toks, 1, length)
-    ids = F.transform(head, lambda t: F.coalesce(F.element_at(lookup, t), F.lit(UNKNOWN_ID)))
+    token count of the whole text.
+
+    Only the first ``length`` positions are exploded (at most ``length`` rows per
+    document), looked up by a broadcast join against the vocabulary (a top-k; its
+    size is checked against ``max_vocabulary`` before broadcasting) and regrouped per
+    document; unknown tokens get ``UNKNOWN_ID``, missing positions ``PAD_ID``."""
+    if vocab.count() > max_vocabulary:
+        raise ValueError("vocabulary too large to broadcast; lower its size")
+    # tokens in their own projection: next to a generator the whole-text regex would
+    # otherwise run again for every exploded row
+    toks = docs.select(id_col, tokens(text_col).alias("__toks"))
+    heads = toks.select(id_col, F.size("__toks").alias("n_tokens"),
+                        F.posexplode_outer(F.slice("__toks", 1, length)).alias("pos", "token"))
+    looked = heads.join(F.broadcast(vocab.select("token", "token_id")), "token", "left")
+    entry = F.when(F.col("pos").isNotNull(),
+                   F.struct("pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
+    grouped = looked.groupBy(id_col, "n_tokens").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    ids = F.transform(F.col("e"), lambda x: x["id"])
     pad = F.array_repeat(F.lit(PAD_ID), length)
-    return docs.select(
-        id_col, F.size(toks).alias("n_tokens"),
+    return grouped.select(
+        id_col, "n_tokens",
         F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
         F.transform(F.sequence(F.lit(1), F.lit(length)),
-                    lambda i: F.when(i <= F.size(head), F.lit(1)).otherwise(F.lit(0))).alias("attention_mask"))
+                    lambda i: F.when(i <= F.size("e"), F.lit(1)).otherwise(F.lit(0))).alias("attention_mask"))
