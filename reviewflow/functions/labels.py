@@ -36,4 +36,5 @@ def label_name(code: Column | str) -> Column:
 def percent_text(score: Column | str) -> Column:
     """Score as a percentage with two decimals, e.g. 0.9731 -> ``97.31%`` (half-up)."""
     s = F.col(score) if isinstance(score, str) else score
-    return F.format_string("%.2f%%", F.round(s * 100, 2))
+    # format_string would print a null as "nu%"
+    return F.when(s.isNotNull(), F.format_string("%.2f%%", F.round(s * 100, 2)))
