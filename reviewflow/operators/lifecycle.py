@@ -2,33 +2,35 @@
 shutdown), per model: status STOPPED -> CREATING -> IN_SERVICE -> STOPPED with an
 idle deadline, subscribers, and the responses each request got.
 
-How the sequential part is split for scale
-------------------------------------------
-The state machine is a fold in event order, so some ordered processing per model is
-unavoidable. It is cut into *epochs*: maximal runs of a model's events without a gap
-longer than the idle time. Every deadline is at most 30 minutes after the event that
-set it, so an endpoint is never IN_SERVICE across such a gap and every epoch starts
-STOPPED or CREATING. Control flow inside an epoch depends only on that one bit (an
-endpoint name exists exactly when CREATING), so:
-
-1. epochs come from ordered scans per (model, hour) plus a per-hour summary
-   (``scan.previous_values`` / ``scan.carry_forward``), never one task per model;
-2. pass 1 folds each epoch from both possible entries and keeps one summary row;
-3. a window over the epoch summaries of a model (bounded by its time span / 30 min,
-   not by its event count) composes them into the real entry of every epoch;
-4. pass 2 folds each epoch once from its real entry and annotates every event.
-
-Data that crosses epochs (endpoint name, subscriber list) is not carried in the fold:
-it follows from the *cycle* (the start that created the endpoint), found by a
-carry-forward scan, and the outbox and list outputs are joins and aggregates on it.
+How the sequential fold is split for scale
+-------------------------------------------
+The state machine is a fold in event order per model, and one model may hold a large
+share of all events, so the fold must not run as one task per model. Events are cut
+into *chunks* of (model, time bucket), and the fold becomes three passes:
+
+1. **speculate** (per chunk, in parallel): run the chunk from every possible entry
+   state at once. Status and endpoint flag are finite; the idle deadline is not, so
+   an in-service entry carries a symbolic deadline interval that is split whenever a
+   status poll or an expiry test depends on it. Branches that reach the same state
+   merge. The result is a small piecewise map: entry state -> exit state (exit
+   deadline known, or "unchanged").
+2. **resolve** (per model, over its chunk maps in time order): compose the maps from
+   the initial STOPPED state. This touches one small summary per chunk, so its size
+   follows the model's time span over the bucket width, not its event count.
+3. **annotate** (per chunk, in parallel): fold each chunk exactly from its resolved
+   entry, streaming (constant state per chunk, no chunk held in memory).
+
+Data that crosses chunks (endpoint name, subscriber list) is not carried in the fold:
+it follows from the *cycle* (the start that created the endpoint), found by an ordered
+carry-forward scan per (model, bucket), and the outbox and list outputs are joins and
+aggregates on it.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import present
 from . import scan
@@ -43,12 +45,6 @@ _MIN_US = 60_000_000
 _SEC_US = 1_000_000
 BUCKET_SECONDS = 3600
 
-SUMMARY_SCHEMA = "model_id string, epoch_id long, epoch_ts_us long, exit_stopped string, exit_creating string"
-ANNOTATED_SCHEMA = (
-    "model_id string, epoch_id long, row_type string, event_id long, ts_us long, kind string, "
-    "name string, phone string, status_before string, status_after string, "
-    "has_endpoint_before boolean, has_endpoint_after boolean, deadline_before_us long, "
-    "deadline_us long, action string, code int, extended boolean")
 
 
 def _deadline(t_us: int, idle_us: int) -> int:
@@ -113,70 +109,199 @@ class EndpointState:
                  action, code, extended)
 
 
-def fold_events(ts, kinds, valid_start, has_text, entry: str, idle_us: int, extend_us: int,
-                emit=None) -> str:
-    """Run the state machine over one epoch (events sorted by time, id) from ``entry``;
-    the timer still pending at the end fires. Returns the exit status."""
-    st = EndpointState(entry, entry == CREATING)
-    for i in range(len(ts)):
-        st.apply(i, ts[i], kinds[i], valid_start[i], has_text[i], idle_us, extend_us, emit)
-    if st.status == IN_SERVICE:
-        st.expire(st.deadline + 1, emit)
-    return st.status
-
-
 _ANN_COLS = ["row_type", "event_id", "ts_us", "kind", "name", "phone", "status_before", "status_after",
              "has_endpoint_before", "has_endpoint_after", "deadline_before_us", "deadline_us",
              "action", "code", "extended"]
 
 
-def _groups(batches, cols):
-    """Yield (model_id, epoch_id, {col: list}) for each epoch of a partition sorted by
-    (model_id, epoch_id, ts_us, event_id); an epoch may span Arrow batches."""
-    key, acc = None, None
+def _rows(batches, keys, cols):
+    """Yield (key tuple, row dict) for a partition sorted by ``keys`` then time; rows
+    stream through, nothing of a chunk is held beyond the current row."""
     for pdf in batches:
         if pdf.empty:
             continue
-        m = pdf["model_id"].tolist()
-        e = pdf["epoch_id"].tolist()
+        kv = [pdf[k].tolist() for k in keys]
         data = {c: pdf[c].tolist() for c in cols}
-        start = 0
-        for i in range(1, len(m) + 1):
-            if i == len(m) or m[i] != m[start] or e[i] != e[start]:
-                k = (m[start], e[start])
-                chunk = {c: data[c][start:i] for c in cols}
-                if k == key:
-                    for c in cols:
-                        acc[c].extend(chunk[c])
-                else:
-                    if key is not None:
-                        yield key[0], key[1], acc
-                    key, acc = k, chunk
-                start = i
-    if key is not None:
-        yield key[0], key[1], acc
-
-
-def _summarise(idle_us: int, extend_us: int):
+        for i in range(len(pdf)):
+            yield tuple(k[i] for k in kv), {c: data[c][i] for c in cols}
+
+
+# ---- pass 1: speculative summary of a chunk ------------------------------------------
+
+_LO, _HI = -(1 << 62), 1 << 62
+_NONE, _EXACT, _SYM = 0, 1, 2
+# entry piece types: STOPPED, CREATING, IN_SERVICE with / without endpoint name
+_PIECE_OF = {(STOPPED, False): "S", (CREATING, True): "C", (IN_SERVICE, True): "IT", (IN_SERVICE, False): "IF"}
+
+
+def _exact_step(status, has_ep, d, t, kind, valid, has_text, idle_us, extend_us):
+    st = EndpointState(status, has_ep, d)
+    st.apply(0, t, kind, valid, has_text, idle_us, extend_us)
+    return st.status, st.has_ep, st.deadline
+
+
+def _step_branch(b, t, kind, valid, has_text, idle_us, extend_us):
+    """One event on one branch ``(status, has_ep, dkind, dval, pieces)``; a symbolic
+    deadline ``dval = (lo, hi)`` stands for every entry deadline in [lo, hi)."""
+    status, has_ep, dk, dv, pieces = b
+    if dk != _SYM:
+        ns, ne, nd = _exact_step(status, has_ep, dv, t, kind, valid, has_text, idle_us, extend_us)
+        return [(ns, ne, _EXACT if nd is not None else _NONE, nd, pieces)]
+    (ptype, lo, hi), = pieces
+    out = []
+    if lo < t:                                   # deadline before this event: the timer fired
+        cut = min(hi, t)
+        ns, ne, nd = _exact_step(STOPPED, False, None, t, kind, valid, has_text, idle_us, extend_us)
+        out.append((ns, ne, _EXACT if nd is not None else _NONE, nd, [(ptype, lo, cut)]))
+        if cut >= hi:
+            return out
+        lo = cut
+    if kind == "in_service" or (kind == "predict" and has_ep):
+        out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), [(ptype, lo, hi)]))
+    elif kind == "shutdown":
+        out.append((STOPPED, False, _NONE, None, [(ptype, lo, hi)]))
+    elif kind == "status":
+        x = t + extend_us                        # extends when the deadline is before x
+        if lo < x:
+            out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), [(ptype, lo, min(hi, x))]))
+        if hi > x:
+            nlo = max(lo, x)
+            out.append((IN_SERVICE, has_ep, _SYM, (nlo, hi), [(ptype, nlo, hi)]))
+    else:                                        # start, predict without endpoint: unchanged
+        out.append((IN_SERVICE, has_ep, _SYM, (lo, hi), [(ptype, lo, hi)]))
+    return out
+
+
+def _merge(branches):
+    seen = {}
+    for b in branches:
+        key = (b[0], b[1], b[2], b[3])
+        if key in seen:
+            seen[key][4].extend(b[4])
+        else:
+            seen[key] = [b[0], b[1], b[2], b[3], list(b[4])]
+    return [tuple(v) for v in seen.values()]
+
+
+def speculate_chunk(events, idle_us: int, extend_us: int):
+    """Fold one chunk's events (time order) from all entry states; returns a list of
+    ``(piece_type, lo, hi, exit_status, exit_has_ep, exit_dkind, exit_deadline)``."""
+    branches = [(STOPPED, False, _NONE, None, [("S", _LO, _HI)]),
+                (CREATING, True, _NONE, None, [("C", _LO, _HI)]),
+                (IN_SERVICE, True, _SYM, (_LO, _HI), [("IT", _LO, _HI)]),
+                (IN_SERVICE, False, _SYM, (_LO, _HI), [("IF", _LO, _HI)])]
+    for t, kind, valid, has_text in events:
+        if len(branches) == 1 and branches[0][2] != _SYM:
+            # converged: the rest of the chunk is one exact fold
+            s0, e0, _, d0, pieces = branches[0]
+            st = EndpointState(s0, e0, d0)
+            st.apply(0, t, kind, valid, has_text, idle_us, extend_us)
+            branches = [(st.status, st.has_ep, _EXACT if st.deadline is not None else _NONE, st.deadline, pieces)]
+            continue
+        nxt = []
+        for b in branches:
+            nxt.extend(_step_branch(b, t, kind, valid, has_text, idle_us, extend_us))
+        branches = _merge(nxt)
+    return [(p[0], p[1], p[2], b[0], b[1], b[2], b[3] if b[2] == _EXACT else None)
+            for b in branches for p in b[4]]
+
+
+_SPEC_SCHEMA = ("model_id string, bucket long, piece string, lo long, hi long, exit_status string, "
+                "exit_has_ep boolean, exit_dkind int, exit_deadline long")
+
+
+def _speculate_fn(idle_us: int, extend_us: int):
     cols = ["ts_us", "kind", "valid_start", "has_text"]
 
     def run(batches):
-        out = {"model_id": [], "epoch_id": [], "epoch_ts_us": [], "exit_stopped": [], "exit_creating": []}
-        for model, epoch, g in _groups(batches, cols):
-            exits = [fold_events(g["ts_us"], g["kind"], g["valid_start"], g["has_text"], e, idle_us, extend_us)
-                     for e in (STOPPED, CREATING)]
-            for c, v in zip(out, (model, epoch, g["ts_us"][0], exits[0], exits[1])):
-                out[c].append(v)
-            if len(out["model_id"]) >= 10_000:
-                yield pd.DataFrame(out)
-                out = {c: [] for c in out}
+        out = {c: [] for c in ["model_id", "bucket", "piece", "lo", "hi", "exit_status", "exit_has_ep",
+                               "exit_dkind", "exit_deadline"]}
+        key, evs = None, []
+
+        def flush():
+            for row in speculate_chunk(evs, idle_us, extend_us):
+                for c, v in zip(out, key + row):
+                    out[c].append(v)
+
+        for k, r in _rows(batches, ["model_id", "bucket"], cols):
+            if k != key:
+                if key is not None:
+                    flush()
+                key, evs = k, []
+            evs.append((r["ts_us"], r["kind"], r["valid_start"], r["has_text"]))
+        if key is not None:
+            flush()
         if out["model_id"]:
-            yield pd.DataFrame(out)
+            res = pd.DataFrame(out)
+            res["exit_deadline"] = res["exit_deadline"].astype("Int64")
+            yield res
     return run
 
 
-def _annotate(idle_us: int, extend_us: int):
-    cols = ["event_id", "ts_us", "kind", "name", "phone", "valid_start", "has_text", "entry"]
+# ---- pass 2: resolve entries per model ------------------------------------------------
+
+_ENTRY_SCHEMA = ("model_id string, bucket long, entry_status string, entry_has_ep boolean, "
+                 "entry_deadline long, is_last boolean")
+
+
+def resolve_chunks(chunks):
+    """``chunks``: ordered list of (bucket, pieces) for one model. Returns the entry
+    state of every chunk, starting STOPPED without endpoint."""
+    status, has_ep, d = STOPPED, False, None
+    out = []
+    for bucket, pieces in chunks:
+        out.append([bucket, status, has_ep, d, False])
+        ptype = _PIECE_OF[(status, has_ep)]
+        for p in pieces:
+            if p[0] == ptype and (ptype in ("S", "C") or p[1] <= d < p[2]):
+                _, _, _, xs, xe, xk, xd = p
+                status, has_ep = xs, xe
+                if xk != _SYM:
+                    d = xd if xk == _EXACT else None
+                break
+        else:
+            raise AssertionError(f"no speculative piece for entry {(status, has_ep, d)}")
+    if out:
+        out[-1][4] = True
+    return out
+
+
+def _resolve_fn():
+    cols = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline"]
+
+    def run(batches):
+        res = {c: [] for c in ["model_id", "bucket", "entry_status", "entry_has_ep", "entry_deadline", "is_last"]}
+        model, chunks = None, []
+
+        def flush():
+            for row in resolve_chunks(chunks):
+                for c, v in zip(res, [model] + row):
+                    res[c].append(v)
+
+        for (m, b), r in _rows(batches, ["model_id", "bucket"], cols):
+            if m != model:
+                if model is not None:
+                    flush()
+                model, chunks = m, []
+            if not chunks or chunks[-1][0] != b:
+                chunks.append((b, []))
+            dl = r["exit_deadline"]
+            chunks[-1][1].append((r["piece"], r["lo"], r["hi"], r["exit_status"], r["exit_has_ep"],
+                                  r["exit_dkind"], None if pd.isna(dl) else int(dl)))
+        if model is not None:
+            flush()
+        if res["model_id"]:
+            out = pd.DataFrame(res)
+            out["entry_deadline"] = out["entry_deadline"].astype("Int64")
+            yield out
+    return run
+
+
+# ---- pass 3: exact annotation per chunk ---------------------------------------------
+
+def _annotate_fn(idle_us: int, extend_us: int):
+    cols = ["event_id", "ts_us", "kind", "name", "phone", "valid_start", "has_text",
+            "entry_status", "entry_has_ep", "entry_deadline", "is_last"]
 
     def frame(out):
         res = pd.DataFrame(out)
@@ -186,28 +311,48 @@ def _annotate(idle_us: int, extend_us: int):
         return res
 
     def run(batches):
-        out = {c: [] for c in ["model_id", "epoch_id"] + _ANN_COLS}
-        for model, epoch, g in _groups(batches, cols):
-            ev_id, kinds, names, phones = g["event_id"], g["kind"], g["name"], g["phone"]
-
-            def emit(row_type, i, t, before, after, ep_b, ep_a, d_b, d_a, action, code, extended):
-                ev = i >= 0
-                vals = (model, epoch, row_type, ev_id[i] if ev else None, t, kinds[i] if ev else "timer",
-                        names[i] if ev else None, phones[i] if ev else None, before, after,
-                        ep_b, ep_a, d_b, d_a, action, code, extended)
-                for c, v in zip(out, vals):
-                    out[c].append(v)
+        out = {c: [] for c in ["model_id", "bucket"] + _ANN_COLS}
+        key, st, last, cur = None, None, False, {}
+
+        def emit(row_type, i, t, before, after, ep_b, ep_a, d_b, d_a, action, code, extended):
+            ev = i >= 0
+            vals = key + (row_type, cur["event_id"] if ev else None, t, cur["kind"] if ev else "timer",
+                          cur["name"] if ev else None, cur["phone"] if ev else None, before, after,
+                          ep_b, ep_a, d_b, d_a, action, code, extended)
+            for c, v in zip(out, vals):
+                out[c].append(v)
 
-            fold_events(g["ts_us"], kinds, g["valid_start"], g["has_text"], g["entry"][0],
-                        idle_us, extend_us, emit)
+        def close():
+            if last and st.status == IN_SERVICE:       # after a model's last event
+                st.expire(st.deadline + 1, emit)
+
+        for k, r in _rows(batches, ["model_id", "bucket"], cols):
+            if k != key:
+                if key is not None:
+                    close()
+                key = k
+                d0 = r["entry_deadline"]
+                st = EndpointState(r["entry_status"], bool(r["entry_has_ep"]), None if pd.isna(d0) else int(d0))
+                last = bool(r["is_last"])
+            cur = r
+            st.apply(0, r["ts_us"], r["kind"], r["valid_start"], r["has_text"], idle_us, extend_us, emit)
             if len(out["model_id"]) >= 10_000:
                 yield frame(out)
                 out = {c: [] for c in out}
+        if key is not None:
+            close()
         if out["model_id"]:
             yield frame(out)
     return run
 
 
+ANNOTATED_SCHEMA = (
+    "model_id string, bucket long, row_type string, event_id long, ts_us long, kind string, "
+    "name string, phone string, status_before string, status_after string, "
+    "has_endpoint_before boolean, has_endpoint_after boolean, deadline_before_us long, "
+    "deadline_us long, action string, code int, extended boolean")
+
+
 def _prepared(events: DataFrame, bucket_seconds: int) -> DataFrame:
     return events.select(
         "model_id", "event_id", "kind", "name", "phone",
@@ -217,73 +362,49 @@ def _prepared(events: DataFrame, bucket_seconds: int) -> DataFrame:
         scan.time_bucket("ts", bucket_seconds).alias("bucket"))
 
 
-def assign_epochs(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
-                  bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Adds ``epoch_id`` (event id of the epoch's first event) to every event."""
-    p = _prepared(events, bucket_seconds)
-    p = scan.previous_values(p, ["model_id"], ["ts_us", "event_id"], "bucket", ["ts_us"])
-    starts = p.prev_ts_us.isNull() | ((F.col("ts_us") - F.col("prev_ts_us")) > idle_minutes * _MIN_US)
-    p = p.withColumn("__start", F.when(starts, F.col("event_id")))
-    p = scan.carry_forward(p, ["model_id"], ["ts_us", "event_id"], "bucket", "__start", "epoch_id")
-    return p.drop("__start", "prev_ts_us")
-
-
-def resolve_entries(summary: DataFrame) -> DataFrame:
-    """Entry status of every epoch: compose the per-epoch exit maps in time order.
-
-    An epoch maps {STOPPED, CREATING} to one of the two; a constant map fixes the
-    entry of what follows, identity passes it on, a swap flips it."""
-    const = F.col("exit_stopped") == F.col("exit_creating")
-    swap = (F.col("exit_stopped") == CREATING) & (F.col("exit_creating") == STOPPED)
-    w = Window.partitionBy("model_id").orderBy("epoch_ts_us", "epoch_id")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    s = (summary.withColumn("__swaps", F.sum(swap.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("__anchor", F.when(const, F.struct(F.col("exit_stopped").alias("v"),
-                                                               F.col("__swaps").alias("n")))))
-    s = (s.withColumn("__last", F.last("__anchor", ignorenulls=True).over(before))
-          .withColumn("__swaps_before", F.coalesce(F.sum(swap.cast("int")).over(before), F.lit(0))))
-    base = F.coalesce(F.col("__last.v"), F.lit(STOPPED))
-    flips = (F.col("__swaps_before") - F.coalesce(F.col("__last.n"), F.lit(0))) % 2 == 1
-    flipped = F.when(base == STOPPED, F.lit(CREATING)).otherwise(F.lit(STOPPED))
-    return s.select("model_id", "epoch_id", F.when(flips, flipped).otherwise(base).alias("entry"))
-
-
-# Epoch entries are broadcast to the annotation pass only below this many epochs
+# Chunk entries are broadcast to the annotation pass only below this many chunks
 # (about 60 bytes each); above it they are shuffled in with the events instead.
-MAX_BROADCAST_EPOCHS = 2_000_000
+MAX_BROADCAST_CHUNKS = 2_000_000
 
 
 def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
              extend_below_minutes: int = EXTEND_BELOW_MINUTES,
              bucket_seconds: int = BUCKET_SECONDS,
-             max_broadcast_epochs: int = MAX_BROADCAST_EPOCHS) -> DataFrame:
+             max_broadcast_chunks: int = MAX_BROADCAST_CHUNKS) -> DataFrame:
     """One row per event (``row_type='event'``) and per timer firing (``'timer'``)
     with the status before and after, the response code and action, the deadline
-    and the creating cycle (``cycle_id``, ``cycle_ts_us``) it belongs to."""
+    and the creating cycle (``cycle_id``, ``cycle_ts_us``) it belongs to.
+
+    ``bucket_seconds`` sets the chunk width: pick it so that a chunk of the busiest
+    model fits a task comfortably (e.g. 60 s at millions of events per hour)."""
     idle_us, extend_us = idle_minutes * _MIN_US, extend_below_minutes * _MIN_US
-    order = ["model_id", "epoch_id", "ts_us", "event_id"]
-    cols = ["model_id", "epoch_id", "event_id", "ts_us", "kind", "name", "phone", "valid_start", "has_text"]
+    order = ["model_id", "bucket", "ts_us", "event_id"]
     # materialised once (lineage cut in the shared checkpoint folder), hash-partitioned
-    # by epoch and sorted, so both folds stream contiguous epochs
-    ep = (assign_epochs(events, idle_minutes, bucket_seconds).select(*cols)
-          .repartition("model_id", "epoch_id").sortWithinPartitions(*order)
-          .checkpoint(eager=True))
-    summary = ep.select("model_id", "epoch_id", "ts_us", "kind", "valid_start", "has_text") \
-                .mapInPandas(_summarise(idle_us, extend_us), SUMMARY_SCHEMA)
-    entries = resolve_entries(summary).checkpoint(eager=True)
-    if entries.count() <= max_broadcast_epochs:
+    # by chunk and sorted, so both chunk passes stream contiguous chunks
+    staged = (_prepared(events, bucket_seconds)
+              .repartition("model_id", "bucket").sortWithinPartitions(*order)
+              .checkpoint(eager=True))
+    pieces = (staged.select("model_id", "bucket", "ts_us", "kind", "valid_start", "has_text")
+                    .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA))
+    entries = (pieces.repartition("model_id").sortWithinPartitions("model_id", "bucket")
+                     .mapInPandas(_resolve_fn(), _ENTRY_SCHEMA)
+                     .checkpoint(eager=True))
+    if entries.count() <= max_broadcast_chunks:
         # broadcast keeps the stream side's partitioning and order
-        staged = ep.join(F.broadcast(entries), ["model_id", "epoch_id"])
+        joined = staged.join(F.broadcast(entries), ["model_id", "bucket"])
     else:
-        staged = (ep.join(entries, ["model_id", "epoch_id"])
-                    .repartition("model_id", "epoch_id").sortWithinPartitions(*order))
-    rows = staged.select(*cols, "entry").mapInPandas(_annotate(idle_us, extend_us), ANNOTATED_SCHEMA)
+        joined = (staged.join(entries, ["model_id", "bucket"])
+                        .repartition("model_id", "bucket").sortWithinPartitions(*order))
+    rows = joined.select("model_id", "bucket", "event_id", "ts_us", "kind", "name", "phone", "valid_start",
+                         "has_text", "entry_status", "entry_has_ep", "entry_deadline", "is_last") \
+                 .mapInPandas(_annotate_fn(idle_us, extend_us), ANNOTATED_SCHEMA)
+    # timer rows keep the bucket of the chunk that fired them; order by their own time
     rows = rows.withColumn("bucket", F.floor(F.col("ts_us") / F.lit(bucket_seconds * _SEC_US)).cast("long"))
     rows = rows.withColumn("__cycle", F.when(F.col("action") == "create",
                                              F.struct(F.col("event_id").alias("id"), F.col("ts_us").alias("ts"))))
     rows = scan.carry_forward(rows, ["model_id"], ["ts_us", "event_id"], "bucket", "__cycle", "__cyc")
     return (rows.withColumn("cycle_id", F.col("__cyc.id")).withColumn("cycle_ts_us", F.col("__cyc.ts"))
-                .drop("__cycle", "__cyc", "bucket"))
+                .drop("__cycle", "__cyc"))
 
 
 def as_time(us_col: str) -> F.Column:
@@ -308,11 +429,12 @@ def transitions(annotated: DataFrame) -> DataFrame:
 def uptime_daily(annotated: DataFrame) -> DataFrame:
     """Seconds IN_SERVICE per model and UTC day, and the saving against always-on.
 
-    In-service spans never leave their epoch (the timer closes them), so the span
-    ends come from a window per (model, epoch)."""
+    A span ends at the model's next transition, found by an ordered scan per
+    (model, bucket) with a per-bucket summary (no window over a whole model)."""
     t = annotated.where(F.col("status_before") != F.col("status_after"))
-    w = Window.partitionBy("model_id", "epoch_id").orderBy("ts_us", "event_id")
-    spans = (t.withColumn("end_us", F.lead("ts_us").over(w))
+    t = scan.previous_values(t, ["model_id"], ["ts_us", "event_id"], "bucket", ["ts_us"],
+                             prefix="next_", reverse=True)
+    spans = (t.withColumnRenamed("next_ts_us", "end_us")
               .where(F.col("status_after") == IN_SERVICE)
               .select("model_id", as_time("ts_us").alias("s"), as_time("end_us").alias("e")))
     days = spans.withColumn("day", F.explode(F.sequence(F.to_date("s"), F.to_date("e"))))

@@ -21,18 +21,20 @@ def time_bucket(ts: Column | str, seconds: int) -> Column:
 
 
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str,
-                    cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+                    cols: Sequence[str], prefix: str = "prev_", reverse: bool = False) -> DataFrame:
     """Adds ``prev_<c>`` = value of ``c`` on the previous row of the same key in
-    ``order`` (null on the key's first row)."""
+    ``order`` (null on the key's first row); with ``reverse`` the next row instead."""
     keys, order, cols = list(keys), list(order), list(cols)
-    w = Window.partitionBy(*keys, bucket).orderBy(*order)
+    ordering = [F.col(o).desc_nulls_last() if reverse else F.col(o).asc_nulls_first() for o in order]
+    w = Window.partitionBy(*keys, bucket).orderBy(*ordering)
     out = df
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.lag(c).over(w))
     out = out.withColumn("__first", F.row_number().over(w) == 1)
+    pick = F.min if reverse else F.max
     last = (df.groupBy(*keys, bucket)
-              .agg(F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v_{c}") for c in cols])).alias("__last")))
-    wb = Window.partitionBy(*keys).orderBy(bucket)
+              .agg(pick(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v_{c}") for c in cols])).alias("__last")))
+    wb = Window.partitionBy(*keys).orderBy(F.col(bucket).desc() if reverse else F.col(bucket).asc())
     carried = last.select(*keys, bucket, F.lag("__last").over(wb).alias("__carry"))
     out = out.join(carried, [*keys, bucket], "left")
     for c in cols:

@@ -120,7 +120,7 @@ event = st.tuples(st.integers(0, 2), st.integers(0, 50 * 60), st.sampled_from(KI
                   st.booleans(), st.booleans())
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(event, min_size=1, max_size=60))
 def test_epoch_fold_equals_sequential_fold(spark, evs):
     rows, t = [], T0
@@ -130,5 +130,37 @@ def test_epoch_fold_equals_sequential_fold(spark, evs):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted(((r.model_id, r.row_type, r.event_id, r.ts_us, r.status_before, r.status_after,
                    r.action, r.code, r.deadline_us, r.cycle_id)
-                  for r in lc.annotate(df, bucket_seconds=600).collect()), key=repr)
+                  for r in lc.annotate(df, bucket_seconds=300).collect()), key=repr)
     assert got == _sequential(rows)
+
+
+busy = st.tuples(st.just(0), st.integers(0, 16 * 60),
+                 st.sampled_from(["status"] * 5 + ["predict"] * 3 + ["start", "in_service", "shutdown"]),
+                 st.booleans(), st.booleans())
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(busy, min_size=20, max_size=120))
+def test_busy_model_chunks_equal_sequential_fold(spark, evs):
+    """One never-idle model, mostly polls: deadlines cross many 2-minute chunks, so
+    the symbolic deadline intervals of the speculative pass are exercised."""
+    rows, t = [], T0
+    for i, (m, gap, kind, has_name, has_text) in enumerate(evs):
+        t = t + dt.timedelta(seconds=gap)
+        rows.append((i, t, "hot", kind, "n" if has_name else None, "855-555-1212", "{}" if has_text else ""))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(((r.model_id, r.row_type, r.event_id, r.ts_us, r.status_before, r.status_after,
+                   r.action, r.code, r.deadline_us, r.cycle_id)
+                  for r in lc.annotate(df, bucket_seconds=120).collect()), key=repr)
+    assert got == _sequential(rows)
+
+
+def test_speculation_pieces_cover_entries():
+    """Every entry state maps to exactly one piece."""
+    us = 60_000_000
+    evs = [(0, "status", False, True), (5 * us, "status", False, True), (20 * us, "predict", False, True)]
+    pieces = lc.speculate_chunk(evs, 30 * us, 15 * us)
+    for ptype in ("IT", "IF"):
+        spans = sorted((p[1], p[2]) for p in pieces if p[0] == ptype)
+        assert spans[0][0] == -(1 << 62) and spans[-1][1] == 1 << 62
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
