@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import present
+from ..session import checkpointed
 from . import scan
 
 # Status names, idle time and poll threshold, endpoint name prefix.
@@ -382,13 +383,13 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
     # materialised once (lineage cut in the shared checkpoint folder), hash-partitioned
     # by chunk and sorted, so both chunk passes stream contiguous chunks
     staged = (_prepared(events, bucket_seconds)
-              .repartition("model_id", "bucket").sortWithinPartitions(*order)
-              .checkpoint(eager=True))
+              .repartition("model_id", "bucket").sortWithinPartitions(*order))
+    staged = checkpointed(staged)
     pieces = (staged.select("model_id", "bucket", "ts_us", "kind", "valid_start", "has_text")
                     .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA))
     entries = (pieces.repartition("model_id").sortWithinPartitions("model_id", "bucket")
-                     .mapInPandas(_resolve_fn(), _ENTRY_SCHEMA)
-                     .checkpoint(eager=True))
+                     .mapInPandas(_resolve_fn(), _ENTRY_SCHEMA))
+    entries = checkpointed(entries)
     if entries.count() <= max_broadcast_chunks:
         # broadcast keeps the stream side's partitioning and order
         joined = staged.join(F.broadcast(entries), ["model_id", "bucket"])

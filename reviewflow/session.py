@@ -76,3 +76,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def checkpointed(df):
+    """``df.checkpoint()`` into the session's shared checkpoint folder (reliable, survives
+    executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
