@@ -4,6 +4,7 @@ prediction display."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.labels import label_name
@@ -64,7 +65,10 @@ _FITTED: dict = {}
 
 
 def _training(spark, sf_dir):
+    """Labelled rows, split 90/10 by hash. They are read several times (count, split,
+    fit), so they are persisted once, memory then disk."""
     rows = prep.training_rows(prep.prepare(reviews(spark, sf_dir))).select("doc_id", "label", "review_full_text")
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     return sampling.split_exact(rows, "doc_id", 0.1, 42)
 
 
