@@ -404,8 +404,11 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
     rows = rows.withColumn("__cycle", F.when(F.col("action") == "create",
                                              F.struct(F.col("event_id").alias("id"), F.col("ts_us").alias("ts"))))
     rows = scan.carry_forward(rows, ["model_id"], ["ts_us", "event_id"], "bucket", "__cycle", "__cyc")
-    return (rows.withColumn("cycle_id", F.col("__cyc.id")).withColumn("cycle_ts_us", F.col("__cyc.ts"))
-                .drop("__cycle", "__cyc"))
+    out = (rows.withColumn("cycle_id", F.col("__cyc.id")).withColumn("cycle_ts_us", F.col("__cyc.ts"))
+               .drop("__cycle", "__cyc"))
+    # the annotated log feeds several outputs (outbox, cycles, snapshot, uptime); it is
+    # written once rather than re-folded by each consumer
+    return checkpointed(out)
 
 
 def as_time(us_col: str) -> F.Column:
