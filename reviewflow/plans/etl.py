@@ -203,3 +203,34 @@ SELECT 'Completeness "title" >= 0.8', count(title) / count(*),
 def quality_report(spark, sf_dir):
     kept = clean.drop_null_fields(profiled_frame(spark, sf_dir), NULL_STRINGS, NULL_NUMBERS)
     return quality.evaluate(kept, QUALITY_RULES)
+
+
+RAW_REVIEW_SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
+    T.StructField("rating", T.DoubleType()), T.StructField("title", T.StringType()),
+    T.StructField("text", T.StringType()), T.StructField("extra_note", T.StringType())])
+
+
+@query("etl_job", """
+SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_columns, count(title) AS n_titles,
+       sum(rating) AS sum_rating, sum(length(text)) AS sum_text_length,
+       'Passed' AS quality_outcome, count(*) AS rows_written
+FROM reviews""", ("reviews",))
+def etl_job(spark, sf_dir):
+    """The whole ETL job: reviews as raw JSON lines (one folder per language, plus an
+    always-empty extra field) -> select -> drop empty columns -> rules -> Parquet."""
+    from ..jobs import clean_reviews
+    raw = scratch_path(spark, "raw-reviews")
+    (reviews(spark, sf_dir).join(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+        .withColumn("extra_note", F.lit(None).cast("string"))
+        .write.mode("overwrite").partitionBy("lang").json(raw))
+    out = scratch_path(spark, "processed")
+    report, metrics = clean_reviews(spark, raw, out, schema=RAW_REVIEW_SCHEMA)
+    outcome = report.first()["outcome"]
+    back = files.read_parquet(spark, out)
+    return back.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.lit(len(back.columns)).cast("long").alias("n_columns"),
+                    F.count("title").alias("n_titles"), F.sum("rating").alias("sum_rating"),
+                    F.sum(F.length("text")).alias("sum_text_length"),
+                    F.lit(outcome).alias("quality_outcome"),
+                    F.lit(metrics["rows_written"]).cast("long").alias("rows_written"))

@@ -256,7 +256,7 @@ def subscriber_lists(spark, sf_dir):
                     F.when(F.col("action") == "create", F.lit("first")).otherwise(F.lit("joined")).alias("role"))
 
 
-@query("state_snapshot", _CYCLES_SQL + """
+SNAPSHOT_SQL = _CYCLES_SQL + """
 SELECT l.model_id, l.status AS status,
        CASE WHEN l.has_ep THEN c.cycle_endpoint END AS endpoint_name,
        l.deadline, l.event_id AS last_event_id,
@@ -265,7 +265,10 @@ SELECT l.model_id, l.status AS status,
 FROM last_step l
 LEFT JOIN annotated c ON c.model_id = l.model_id AND c.row_type = 'event' AND c.event_id = l.event_id
 LEFT JOIN sizes z ON z.model_id = c.model_id AND z.cycle_id = c.cycle_id
-LEFT JOIN served s ON s.model_id = c.model_id AND s.cycle_id = c.cycle_id""", L)
+LEFT JOIN served s ON s.model_id = c.model_id AND s.cycle_id = c.cycle_id"""
+
+
+@query("state_snapshot", SNAPSHOT_SQL, L)
 def state_snapshot(spark, sf_dir):
     """Latest state per model (after its last event), as the state table would hold
     it: status, endpoint, deadline and the subscribers still waiting."""

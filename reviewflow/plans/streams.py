@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..streaming import lifecycle as slc
 from ..streaming import staging
 from ..tables import lifecycle_events
-from .lifecycle import FOLD_SQL
+from .lifecycle import FOLD_SQL, SNAPSHOT_SQL as _SNAPSHOT_SQL
 from .registry import query
 
 L = ("lifecycle_events",)
@@ -105,3 +105,21 @@ def stream_lifecycle(spark, sf_dir):
     staging.run_to_parquet(ann, sink, ckpt)
     out = spark.read.parquet(sink).where(F.col("model_id") != staging.FLUSH_KEY)
     return lc.transitions(out)
+
+
+@query("stream_state_snapshot", _SNAPSHOT_SQL, L)
+def stream_state_snapshot(spark, sf_dir):
+    """Latest state per model kept by the stream in a versioned snapshot table
+    (``foreachBatch``); the same answer as the batch ``state_snapshot``."""
+    ev = lifecycle_events(spark, sf_dir)
+    src = _stage(spark, ev)
+    ann = slc.stream_annotate(staging.read_stream(spark, src, ev.schema))
+    path, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "snapshot-ckpt")
+    slc.run_snapshot(ann, path, ckpt)
+    snap = slc.latest_snapshot(spark, path).where(F.col("model_id") != staging.FLUSH_KEY)
+    return snap.select(
+        "model_id", F.col("status_after").alias("status"),
+        F.when(F.col("has_endpoint_after"), lc.endpoint_of_cycle()).alias("endpoint_name"),
+        lc.as_time("deadline_us").alias("deadline"), F.col("event_id").alias("last_event_id"),
+        F.when(F.col("served"), F.lit(0).cast("long")).otherwise(F.col("n_members")).cast("long")
+         .alias("pending_subscribers"))

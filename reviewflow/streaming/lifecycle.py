@@ -106,3 +106,74 @@ def stream_annotate(events: DataFrame, watermark: str = "10 minutes",
                        present("text").alias("has_text")))
     return s.groupBy("model_id").applyInPandasWithState(
         _step_fn(idle_us, extend_us), OUTPUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
+
+
+# ---- durable state snapshot from the stream ---------------------------------------
+
+SNAPSHOT_COLUMNS = ["model_id", "ts_us", "event_id", "status_after", "has_endpoint_after", "deadline_us",
+                    "cycle_id", "cycle_ts_us", "n_members", "served"]
+
+
+def _versions(spark, path: str) -> list[int]:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch="))
+
+
+def latest_snapshot(spark, path: str) -> DataFrame:
+    """The newest complete snapshot version below ``path``."""
+    v = _versions(spark, path)
+    if not v:
+        raise FileNotFoundError(f"no snapshot below {path}")
+    return spark.read.parquet(f"{path}/batch={v[-1]:012d}")
+
+
+def snapshot_writer(path: str):
+    """``foreachBatch`` function keeping one row per model: the state after its latest
+    event plus the size of its current subscriber list. Each micro-batch writes a new
+    version folder from the previous version and the batch (a replayed batch rewrites
+    its own version, so the sink is idempotent); readers take the newest version."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ev = batch.where(F.col("row_type") == "event")
+        latest = (ev.groupBy("model_id")
+                    .agg(F.max(F.struct("ts_us", "event_id", "status_after", "has_endpoint_after",
+                                        "deadline_us", "cycle_id", "cycle_ts_us")).alias("l"))
+                    .select("model_id", "l.*"))
+        per_cycle = (ev.where(F.col("cycle_id").isNotNull())
+                       .groupBy("model_id", "cycle_id")
+                       .agg(F.sum(F.col("action").isin("create", "append").cast("long")).alias("n_new"),
+                            F.max((F.col("kind") == "in_service").cast("int")).alias("served_new")))
+        fresh = (latest.join(per_cycle, ["model_id", "cycle_id"], "left")
+                       .select(*SNAPSHOT_COLUMNS[:8], F.coalesce("n_new", F.lit(0)).alias("n_new"),
+                               F.coalesce("served_new", F.lit(0)).alias("served_new")))
+        older = [v for v in _versions(spark, path) if v < batch_id]
+        if older:
+            prev = spark.read.parquet(f"{path}/batch={older[-1]:012d}")
+            same_cycle = F.col("p.cycle_id").eqNullSafe(F.col("f.cycle_id"))
+            merged = (prev.alias("p").join(fresh.alias("f"), "model_id", "full_outer")
+                      .select(
+                          "model_id",
+                          *[F.when(F.col("f.ts_us").isNotNull(), F.col(f"f.{c}")).otherwise(F.col(f"p.{c}")).alias(c)
+                            for c in SNAPSHOT_COLUMNS[1:8]],
+                          F.when(F.col("f.ts_us").isNull(), F.col("p.n_members"))
+                           .when(same_cycle, F.col("p.n_members") + F.col("f.n_new"))
+                           .otherwise(F.col("f.n_new")).alias("n_members"),
+                          F.when(F.col("f.ts_us").isNull(), F.col("p.served"))
+                           .when(same_cycle, F.col("p.served") | (F.col("f.served_new") == 1))
+                           .otherwise(F.col("f.served_new") == 1).alias("served")))
+        else:
+            merged = fresh.select(*SNAPSHOT_COLUMNS[:8], F.col("n_new").alias("n_members"),
+                                  (F.col("served_new") == 1).alias("served"))
+        merged.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    return write
+
+
+def run_snapshot(stream: DataFrame, path: str, checkpoint: str) -> None:
+    q = (stream.writeStream.foreachBatch(snapshot_writer(path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
