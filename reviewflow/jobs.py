@@ -1,16 +1,15 @@
 """The reference's end-to-end jobs as single calls, built from the operators.
 
 ``clean_reviews``: raw JSON lines -> review fields -> drop empty / sentinel-only
-columns -> data-quality rules -> snappy Parquet (with run metrics observed by the
-write itself). ``prepare_reviews``: processed Parquet -> label and text columns ->
-Parquet, plus an exact seeded sample. ``train_classifier``: prepared Parquet ->
+columns -> data-quality rules -> snappy Parquet (written row count as a run metric).
+``prepare_reviews``: processed Parquet -> label and text columns -> Parquet, plus an
+exact seeded sample. ``train_classifier``: prepared Parquet ->
 90/10 split -> fit -> metrics -> saved model.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .operators import clean, model, prepare, quality, sampling
@@ -23,16 +22,16 @@ def clean_reviews(spark: SparkSession, raw_path: str, out_path: str,
                   rules=quality.DEFAULT_RULES, on_fail: str = "report",
                   partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """Returns (rule table, run metrics). The quality outcome does not block the write
-    unless ``on_fail="raise"``; the metrics come from ``observe`` on the written frame,
-    so counting costs no extra pass."""
+    unless ``on_fail="raise"``. The written row count is read from the Parquet footers
+    (no data pass). ``observe`` would do it inside the write, but on Spark 4.1 a session
+    that has used an ``Observation`` can no longer run the RDD-based ML evaluators."""
     raw = files.read_json_lines(spark, raw_path, schema=schema)
     selected = prepare.select_fields(raw, fields)
     kept = clean.drop_null_fields(selected, null_strings, null_numbers)
     report = quality.evaluate(kept, rules, on_fail)
-    obs = Observation("clean_reviews")
-    observed = kept.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    files.write_parquet(observed, out_path, partition_by)
-    return report, {**obs.get, "columns_written": len(kept.columns)}
+    files.write_parquet(kept, out_path, partition_by)
+    written = files.read_parquet(spark, out_path).count()
+    return report, {"rows_written": written, "columns_written": len(kept.columns)}
 
 
 def prepare_reviews(spark: SparkSession, processed_path: str, out_path: str,

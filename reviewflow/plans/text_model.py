@@ -84,8 +84,11 @@ def _fitted(spark, sf_dir):
 def train_model_metrics(spark, sf_dir):
     model, test, train = _fitted(spark, sf_dir)
     m = mdl.metrics(mdl.score(model, test))
-    rows = [("n_train", float(train.count())), ("n_test", float(test.count()))] + \
-           [(k, float(v)) for k, v in m.items()]
+    # labelled reviews whose full text is null (a missing title) cannot be trained on
+    prepared = prep.prepare(reviews(spark, sf_dir))
+    skipped = prepared.where(F.col("sentiment").isNotNull() & F.col("review_full_text").isNull()).count()
+    rows = [("n_train", float(train.count())), ("n_test", float(test.count())),
+            ("n_skipped_null_text", float(skipped))] + [(k, float(v)) for k, v in m.items()]
     return spark.createDataFrame(rows, "metric string, value double")
 
 
