@@ -20,10 +20,10 @@ into *chunks* of (model, time bucket), and the fold becomes three passes:
 3. **annotate** (per chunk, in parallel): fold each chunk exactly from its resolved
    entry, streaming (constant state per chunk, no chunk held in memory).
 
-Data that crosses chunks (endpoint name, subscriber list) is not carried in the fold:
-it follows from the *cycle* (the start that created the endpoint), found by an ordered
-carry-forward scan per (model, bucket), and the outbox and list outputs are joins and
-aggregates on it.
+Endpoint names and subscriber lists are not carried as values: they follow from the
+*cycle* (event id and time of the start that created the endpoint), which the three
+passes carry like the state (each branch remembers its last creation), and the outbox
+and list outputs are joins and aggregates on it.
 """
 
 from __future__ import annotations
@@ -136,92 +136,95 @@ _PIECE_OF = {(STOPPED, False): "S", (CREATING, True): "C", (IN_SERVICE, True): "
 
 
 def _exact_step(status, has_ep, d, t, kind, valid, has_text, idle_us, extend_us):
+    """Apply one event to an exact state; also tells whether it created an endpoint."""
     st = EndpointState(status, has_ep, d)
+    created = kind == "start" and valid and status == STOPPED   # callers pass the post-timer state
     st.apply(0, t, kind, valid, has_text, idle_us, extend_us)
-    return st.status, st.has_ep, st.deadline
+    return st.status, st.has_ep, st.deadline, created
 
 
-def _step_branch(b, t, kind, valid, has_text, idle_us, extend_us):
-    """One event on one branch ``(status, has_ep, dkind, dval, pieces)``; a symbolic
-    deadline ``dval = (lo, hi)`` stands for every entry deadline in [lo, hi)."""
-    status, has_ep, dk, dv, pieces = b
+def _step_branch(b, ev_id, t, kind, valid, has_text, idle_us, extend_us):
+    """One event on one branch ``(status, has_ep, dkind, dval, cycle, pieces)``; a
+    symbolic deadline ``dval = (lo, hi)`` stands for every entry deadline in [lo, hi);
+    ``cycle`` is the (event id, time) of the last endpoint creation in this branch, or
+    None while the branch still inherits the entry's cycle."""
+    status, has_ep, dk, dv, cyc, pieces = b
     if dk != _SYM:
-        ns, ne, nd = _exact_step(status, has_ep, dv, t, kind, valid, has_text, idle_us, extend_us)
-        return [(ns, ne, _EXACT if nd is not None else _NONE, nd, pieces)]
+        if status == IN_SERVICE and dv < t:          # timer first, then the event
+            status, has_ep, dv = STOPPED, False, None
+        ns, ne, nd, created = _exact_step(status, has_ep, dv, t, kind, valid, has_text, idle_us, extend_us)
+        return [(ns, ne, _EXACT if nd is not None else _NONE, nd, (ev_id, t) if created else cyc, pieces)]
     (ptype, lo, hi), = pieces
     out = []
     if lo < t:                                   # deadline before this event: the timer fired
         cut = min(hi, t)
-        ns, ne, nd = _exact_step(STOPPED, False, None, t, kind, valid, has_text, idle_us, extend_us)
-        out.append((ns, ne, _EXACT if nd is not None else _NONE, nd, [(ptype, lo, cut)]))
+        ns, ne, nd, created = _exact_step(STOPPED, False, None, t, kind, valid, has_text, idle_us, extend_us)
+        out.append((ns, ne, _EXACT if nd is not None else _NONE, nd, (ev_id, t) if created else cyc,
+                    [(ptype, lo, cut)]))
         if cut >= hi:
             return out
         lo = cut
     if kind == "in_service" or (kind == "predict" and has_ep):
-        out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), [(ptype, lo, hi)]))
+        out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), cyc, [(ptype, lo, hi)]))
     elif kind == "shutdown":
-        out.append((STOPPED, False, _NONE, None, [(ptype, lo, hi)]))
+        out.append((STOPPED, False, _NONE, None, cyc, [(ptype, lo, hi)]))
     elif kind == "status":
         x = t + extend_us                        # extends when the deadline is before x
         if lo < x:
-            out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), [(ptype, lo, min(hi, x))]))
+            out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), cyc, [(ptype, lo, min(hi, x))]))
         if hi > x:
             nlo = max(lo, x)
-            out.append((IN_SERVICE, has_ep, _SYM, (nlo, hi), [(ptype, nlo, hi)]))
+            out.append((IN_SERVICE, has_ep, _SYM, (nlo, hi), cyc, [(ptype, nlo, hi)]))
     else:                                        # start, predict without endpoint: unchanged
-        out.append((IN_SERVICE, has_ep, _SYM, (lo, hi), [(ptype, lo, hi)]))
+        out.append((IN_SERVICE, has_ep, _SYM, (lo, hi), cyc, [(ptype, lo, hi)]))
     return out
 
 
 def _merge(branches):
     seen = {}
     for b in branches:
-        key = (b[0], b[1], b[2], b[3])
+        key = b[:5]
         if key in seen:
-            seen[key][4].extend(b[4])
+            seen[key][5].extend(b[5])
         else:
-            seen[key] = [b[0], b[1], b[2], b[3], list(b[4])]
+            seen[key] = [*b[:5], list(b[5])]
     return [tuple(v) for v in seen.values()]
 
 
 def speculate_chunk(events, idle_us: int, extend_us: int):
-    """Fold one chunk's events (time order) from all entry states; returns a list of
-    ``(piece_type, lo, hi, exit_status, exit_has_ep, exit_dkind, exit_deadline)``."""
-    branches = [(STOPPED, False, _NONE, None, [("S", _LO, _HI)]),
-                (CREATING, True, _NONE, None, [("C", _LO, _HI)]),
-                (IN_SERVICE, True, _SYM, (_LO, _HI), [("IT", _LO, _HI)]),
-                (IN_SERVICE, False, _SYM, (_LO, _HI), [("IF", _LO, _HI)])]
-    for t, kind, valid, has_text in events:
-        if len(branches) == 1 and branches[0][2] != _SYM:
-            # converged: the rest of the chunk is one exact fold
-            s0, e0, _, d0, pieces = branches[0]
-            st = EndpointState(s0, e0, d0)
-            st.apply(0, t, kind, valid, has_text, idle_us, extend_us)
-            branches = [(st.status, st.has_ep, _EXACT if st.deadline is not None else _NONE, st.deadline, pieces)]
-            continue
+    """Fold one chunk's events ``(event_id, ts, kind, valid_start, has_text)`` (time
+    order) from all entry states; returns a list of ``(piece_type, lo, hi,
+    exit_status, exit_has_ep, exit_dkind, exit_deadline, exit_cycle)``."""
+    branches = [(STOPPED, False, _NONE, None, None, [("S", _LO, _HI)]),
+                (CREATING, True, _NONE, None, None, [("C", _LO, _HI)]),
+                (IN_SERVICE, True, _SYM, (_LO, _HI), None, [("IT", _LO, _HI)]),
+                (IN_SERVICE, False, _SYM, (_LO, _HI), None, [("IF", _LO, _HI)])]
+    for ev_id, t, kind, valid, has_text in events:
         nxt = []
         for b in branches:
-            nxt.extend(_step_branch(b, t, kind, valid, has_text, idle_us, extend_us))
-        branches = _merge(nxt)
-    return [(p[0], p[1], p[2], b[0], b[1], b[2], b[3] if b[2] == _EXACT else None)
-            for b in branches for p in b[4]]
+            nxt.extend(_step_branch(b, ev_id, t, kind, valid, has_text, idle_us, extend_us))
+        branches = _merge(nxt) if len(nxt) > 1 else nxt
+    return [(p[0], p[1], p[2], b[0], b[1], b[2], b[3] if b[2] == _EXACT else None, b[4])
+            for b in branches for p in b[5]]
 
 
 _SPEC_SCHEMA = ("model_id string, bucket long, piece string, lo long, hi long, exit_status string, "
-                "exit_has_ep boolean, exit_dkind int, exit_deadline long")
+                "exit_has_ep boolean, exit_dkind int, exit_deadline long, exit_cycle_id long, "
+                "exit_cycle_ts long")
 
 
 def _speculate_fn(idle_us: int, extend_us: int):
-    cols = ["ts_us", "kind", "valid_start", "has_text"]
+    cols = ["event_id", "ts_us", "kind", "valid_start", "has_text"]
 
     def run(batches):
         out = {c: [] for c in ["model_id", "bucket", "piece", "lo", "hi", "exit_status", "exit_has_ep",
-                               "exit_dkind", "exit_deadline"]}
+                               "exit_dkind", "exit_deadline", "exit_cycle_id", "exit_cycle_ts"]}
         key, evs = None, []
 
         def flush():
             for row in speculate_chunk(evs, idle_us, extend_us):
-                for c, v in zip(out, key + row):
+                cyc = row[7] or (None, None)
+                for c, v in zip(out, key + row[:7] + cyc):
                     out[c].append(v)
 
         for k, r in _rows(batches, ["model_id", "bucket"], cols):
@@ -229,12 +232,13 @@ def _speculate_fn(idle_us: int, extend_us: int):
                 if key is not None:
                     flush()
                 key, evs = k, []
-            evs.append((r["ts_us"], r["kind"], r["valid_start"], r["has_text"]))
+            evs.append((r["event_id"], r["ts_us"], r["kind"], r["valid_start"], r["has_text"]))
         if key is not None:
             flush()
         if out["model_id"]:
             res = pd.DataFrame(out)
-            res["exit_deadline"] = res["exit_deadline"].astype("Int64")
+            for c in ("exit_deadline", "exit_cycle_id", "exit_cycle_ts"):
+                res[c] = res[c].astype("Int64")
             yield res
     return run
 
@@ -242,36 +246,43 @@ def _speculate_fn(idle_us: int, extend_us: int):
 # ---- pass 2: resolve entries per model ------------------------------------------------
 
 _ENTRY_SCHEMA = ("model_id string, bucket long, entry_status string, entry_has_ep boolean, "
-                 "entry_deadline long, is_last boolean")
+                 "entry_deadline long, entry_cycle_id long, entry_cycle_ts long, is_last boolean")
 
 
 def resolve_chunks(chunks):
     """``chunks``: ordered list of (bucket, pieces) for one model. Returns the entry
     state of every chunk, starting STOPPED without endpoint."""
-    status, has_ep, d = STOPPED, False, None
+    status, has_ep, d, cyc = STOPPED, False, None, (None, None)
     out = []
     for bucket, pieces in chunks:
-        out.append([bucket, status, has_ep, d, False])
+        out.append([bucket, status, has_ep, d, cyc[0], cyc[1], False])
         ptype = _PIECE_OF[(status, has_ep)]
         for p in pieces:
             if p[0] == ptype and (ptype in ("S", "C") or p[1] <= d < p[2]):
-                _, _, _, xs, xe, xk, xd = p
+                _, _, _, xs, xe, xk, xd, xc = p
                 status, has_ep = xs, xe
                 if xk != _SYM:
                     d = xd if xk == _EXACT else None
+                if xc is not None:
+                    cyc = xc
                 break
         else:
             raise AssertionError(f"no speculative piece for entry {(status, has_ep, d)}")
     if out:
-        out[-1][4] = True
+        out[-1][6] = True
     return out
 
 
 def _resolve_fn():
-    cols = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline"]
+    cols = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline",
+            "exit_cycle_id", "exit_cycle_ts"]
+
+    def opt(v):
+        return None if pd.isna(v) else int(v)
 
     def run(batches):
-        res = {c: [] for c in ["model_id", "bucket", "entry_status", "entry_has_ep", "entry_deadline", "is_last"]}
+        res = {c: [] for c in ["model_id", "bucket", "entry_status", "entry_has_ep", "entry_deadline",
+                               "entry_cycle_id", "entry_cycle_ts", "is_last"]}
         model, chunks = None, []
 
         def flush():
@@ -286,14 +297,16 @@ def _resolve_fn():
                 model, chunks = m, []
             if not chunks or chunks[-1][0] != b:
                 chunks.append((b, []))
-            dl = r["exit_deadline"]
+            cid = opt(r["exit_cycle_id"])
             chunks[-1][1].append((r["piece"], r["lo"], r["hi"], r["exit_status"], r["exit_has_ep"],
-                                  r["exit_dkind"], None if pd.isna(dl) else int(dl)))
+                                  r["exit_dkind"], opt(r["exit_deadline"]),
+                                  None if cid is None else (cid, opt(r["exit_cycle_ts"]))))
         if model is not None:
             flush()
         if res["model_id"]:
             out = pd.DataFrame(res)
-            out["entry_deadline"] = out["entry_deadline"].astype("Int64")
+            for c in ("entry_deadline", "entry_cycle_id", "entry_cycle_ts"):
+                out[c] = out[c].astype("Int64")
             yield out
     return run
 
@@ -302,24 +315,26 @@ def _resolve_fn():
 
 def _annotate_fn(idle_us: int, extend_us: int):
     cols = ["event_id", "ts_us", "kind", "name", "phone", "valid_start", "has_text",
-            "entry_status", "entry_has_ep", "entry_deadline", "is_last"]
+            "entry_status", "entry_has_ep", "entry_deadline", "entry_cycle_id", "entry_cycle_ts", "is_last"]
 
     def frame(out):
         res = pd.DataFrame(out)
-        for c in ("event_id", "deadline_before_us", "deadline_us"):
+        for c in ("event_id", "deadline_before_us", "deadline_us", "cycle_id", "cycle_ts_us"):
             res[c] = res[c].astype("Int64")
         res["code"] = res["code"].astype("Int32")
         return res
 
     def run(batches):
-        out = {c: [] for c in ["model_id", "bucket"] + _ANN_COLS}
-        key, st, last, cur = None, None, False, {}
+        out = {c: [] for c in ["model_id", "bucket"] + _ANN_COLS + ["cycle_id", "cycle_ts_us"]}
+        key, st, last, cur, cyc = None, None, False, {}, [None, None]
 
         def emit(row_type, i, t, before, after, ep_b, ep_a, d_b, d_a, action, code, extended):
             ev = i >= 0
+            if ev and action == "create":
+                cyc[0], cyc[1] = cur["event_id"], t
             vals = key + (row_type, cur["event_id"] if ev else None, t, cur["kind"] if ev else "timer",
                           cur["name"] if ev else None, cur["phone"] if ev else None, before, after,
-                          ep_b, ep_a, d_b, d_a, action, code, extended)
+                          ep_b, ep_a, d_b, d_a, action, code, extended, cyc[0], cyc[1])
             for c, v in zip(out, vals):
                 out[c].append(v)
 
@@ -335,6 +350,8 @@ def _annotate_fn(idle_us: int, extend_us: int):
                 d0 = r["entry_deadline"]
                 st = EndpointState(r["entry_status"], bool(r["entry_has_ep"]), None if pd.isna(d0) else int(d0))
                 last = bool(r["is_last"])
+                c0, c1 = r["entry_cycle_id"], r["entry_cycle_ts"]
+                cyc = [None if pd.isna(c0) else int(c0), None if pd.isna(c1) else int(c1)]
             cur = r
             st.apply(0, r["ts_us"], r["kind"], r["valid_start"], r["has_text"], idle_us, extend_us, emit)
             if len(out["model_id"]) >= 10_000:
@@ -351,7 +368,7 @@ ANNOTATED_SCHEMA = (
     "model_id string, bucket long, row_type string, event_id long, ts_us long, kind string, "
     "name string, phone string, status_before string, status_after string, "
     "has_endpoint_before boolean, has_endpoint_after boolean, deadline_before_us long, "
-    "deadline_us long, action string, code int, extended boolean")
+    "deadline_us long, action string, code int, extended boolean, cycle_id long, cycle_ts_us long")
 
 
 def _prepared(events: DataFrame, bucket_seconds: int) -> DataFrame:
@@ -385,7 +402,7 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
     staged = (_prepared(events, bucket_seconds)
               .repartition("model_id", "bucket").sortWithinPartitions(*order))
     staged = checkpointed(staged)
-    pieces = (staged.select("model_id", "bucket", "ts_us", "kind", "valid_start", "has_text")
+    pieces = (staged.select("model_id", "bucket", "event_id", "ts_us", "kind", "valid_start", "has_text")
                     .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA))
     entries = (pieces.repartition("model_id").sortWithinPartitions("model_id", "bucket")
                      .mapInPandas(_resolve_fn(), _ENTRY_SCHEMA))
@@ -397,15 +414,11 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
         joined = (staged.join(entries, ["model_id", "bucket"])
                         .repartition("model_id", "bucket").sortWithinPartitions(*order))
     rows = joined.select("model_id", "bucket", "event_id", "ts_us", "kind", "name", "phone", "valid_start",
-                         "has_text", "entry_status", "entry_has_ep", "entry_deadline", "is_last") \
+                         "has_text", "entry_status", "entry_has_ep", "entry_deadline", "entry_cycle_id",
+                         "entry_cycle_ts", "is_last") \
                  .mapInPandas(_annotate_fn(idle_us, extend_us), ANNOTATED_SCHEMA)
-    # timer rows keep the bucket of the chunk that fired them; order by their own time
-    rows = rows.withColumn("bucket", F.floor(F.col("ts_us") / F.lit(bucket_seconds * _SEC_US)).cast("long"))
-    rows = rows.withColumn("__cycle", F.when(F.col("action") == "create",
-                                             F.struct(F.col("event_id").alias("id"), F.col("ts_us").alias("ts"))))
-    rows = scan.carry_forward(rows, ["model_id"], ["ts_us", "event_id"], "bucket", "__cycle", "__cyc")
-    out = (rows.withColumn("cycle_id", F.col("__cyc.id")).withColumn("cycle_ts_us", F.col("__cyc.ts"))
-               .drop("__cycle", "__cyc"))
+    # timer rows keep the bucket of the chunk that fired them; later scans order by time
+    out = rows.withColumn("bucket", F.floor(F.col("ts_us") / F.lit(bucket_seconds * _SEC_US)).cast("long"))
     # the annotated log feeds several outputs (outbox, cycles, snapshot, uptime); it is
     # written once rather than re-folded by each consumer
     return checkpointed(out)

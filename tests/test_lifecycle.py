@@ -158,7 +158,7 @@ def test_busy_model_chunks_equal_sequential_fold(spark, evs):
 def test_speculation_pieces_cover_entries():
     """Every entry state maps to exactly one piece."""
     us = 60_000_000
-    evs = [(0, "status", False, True), (5 * us, "status", False, True), (20 * us, "predict", False, True)]
+    evs = [(1, 0, "status", False, True), (2, 5 * us, "status", False, True), (3, 20 * us, "predict", False, True)]
     pieces = lc.speculate_chunk(evs, 30 * us, 15 * us)
     for ptype in ("IT", "IF"):
         spans = sorted((p[1], p[2]) for p in pieces if p[0] == ptype)
