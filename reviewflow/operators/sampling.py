@@ -17,13 +17,62 @@ def hash_order(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+# Top-n through one merge task is used only up to this many rows; beyond it the cut
+# is found by ``kth_cut`` (histogram passes, no single task holding the selection).
+TOPK_LIMIT = 1_000_000
+# bits of the 60-bit hash prefix resolved per histogram pass
+_BITS_PER_PASS = 16
+
+
+def _prefix(h: Column) -> Column:
+    """First 15 hex digits of the md5 as a non-negative long (orders like the text)."""
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+
+
+def kth_cut(df: DataFrame, key: str, k: int, seed: int = 42, candidate_limit: int = TOPK_LIMIT):
+    """``(hash, key)`` of the k-th row (1-based) in hash order, found exactly without
+    sorting the input: each pass counts rows per bucket of the next 16 prefix bits
+    inside the bucket range known to hold the k-th row (a partial aggregate, one small
+    row per bucket to the driver), until the candidates fit ``candidate_limit``; those
+    are then ordered as a top-n."""
+    h = hash_order(key, seed)
+    keyed = df.select(F.col(key), h.alias("__h")).withColumn("__p", _prefix(F.col("__h")))
+    lo, width_bits, below = 0, 60, 0         # candidates: lo <= p < lo + 2**width_bits
+    while True:
+        cand = keyed.where((F.col("__p") >= lo) & (F.col("__p") < lo + (1 << width_bits)))
+        n_cand = cand.count()
+        if n_cand <= candidate_limit or width_bits == 0:
+            row = (cand.orderBy("__h", key).limit(k - below)
+                       .agg(F.max(F.struct("__h", key)).alias("m")).first()["m"])
+            return row[0], row[1]
+        shift = max(width_bits - _BITS_PER_PASS, 0)
+        counts = sorted((r[0], r[1]) for r in cand.groupBy(F.shiftright("__p", shift).alias("b"))
+                        .agg(F.count(F.lit(1))).collect())
+        for b, c in counts:
+            if below + c >= k:
+                lo, width_bits = b << shift, shift
+                break
+            below += c
+        else:
+            raise ValueError(f"cannot select row {k}: the frame has only {below} rows")
+
+
+def _up_to(h: Column, kc: Column, cut) -> Column:
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (kc <= F.lit(cut[1])))
+
+
 def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42, strict: bool = True) -> DataFrame:
     """Exactly ``n`` rows without replacement (``n`` larger than the frame is an
-    error when ``strict``). Plans as a per-task top-n and one merge of n rows per
-    task, so no full sort or shuffle of the input."""
+    error when ``strict``). Up to ``TOPK_LIMIT`` rows it plans as a per-task top-n and
+    one merge of n rows per task; above that the n-th hash is found by ``kth_cut``
+    and the sample is a filter."""
     if n < 0:
         raise ValueError("n must be >= 0")
-    out = df.orderBy(hash_order(key, seed), F.col(key)).limit(n)
+    if n == 0 or n <= TOPK_LIMIT:
+        out = df.orderBy(hash_order(key, seed), F.col(key)).limit(n)
+    else:
+        cut = kth_cut(df, key, n, seed)
+        out = df.where(_up_to(hash_order(key, seed), F.col(key), cut))
     if strict and n > 0:
         got = out.count()
         if got < n:
@@ -34,19 +83,16 @@ def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42, strict: bool =
 def split_exact(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 42):
     """(train, test) with ``ceil(rows * test_fraction)`` test rows, chosen by hash.
 
-    The test set is the hash top-k; train is a plain filter past the k-th hash
-    (a scalar), so no anti-join shuffle of the large side is needed."""
+    The k-th hash is found by ``kth_cut`` (counts per hash bucket, then a top-n of a
+    small candidate set), so both sides are plain filters of the input: no sort of
+    the input, no anti-join, no task holding the test set."""
     n = df.count()
     k = int(math.ceil(n * test_fraction))
-    h = hash_order(key, seed)
-    keyed = df.withColumn("__h", h)
-    test = keyed.orderBy("__h", key).limit(k)
     if k == 0:
         return df, df.limit(0)
-    cut = test.agg(F.max(F.struct("__h", key)).alias("m")).first()["m"]
-    past = (F.col("__h") > F.lit(cut[0])) | ((F.col("__h") == F.lit(cut[0])) & (F.col(key) > F.lit(cut[1])))
-    train = keyed.where(past).drop("__h")
-    return train, test.drop("__h")
+    cut = kth_cut(df, key, k, seed)
+    test = _up_to(hash_order(key, seed), F.col(key), cut)
+    return df.where(~test), df.where(test)
 
 
 def bucket_split(df: DataFrame, key: str, test_percent: int = 10, seed: int = 42) -> DataFrame:

@@ -56,3 +56,26 @@ def test_token_counts_whole_text(spark):
     docs = spark.createDataFrame([(1, "A a, b!"), (2, "a c")], "doc_id long, text string")
     got = {r.token: (r.n_occurrences, r.n_docs) for r in text.token_counts(docs).collect()}
     assert got == {"a": (3, 2), "b": (1, 1), "c": (1, 1)}
+
+
+def test_kth_cut_matches_sort(spark):
+    """The histogram search finds the same k-th row as a full sort, also when it has
+    to refine (tiny candidate limit forces several passes)."""
+    df = _frame(spark, 3000)
+    rows = sorted((r.h, r.k) for r in df.select("k", sampling.hash_order("k").alias("h")).collect())
+    for k in (1, 7, 1500, 3000):
+        assert sampling.kth_cut(df, "k", k, candidate_limit=5) == rows[k - 1]
+
+
+def test_large_sample_path_equals_topn(spark, monkeypatch):
+    df = _frame(spark, 400)
+    small = {r.k for r in sampling.sample_exact(df, 50, "k").collect()}
+    monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
+    big = {r.k for r in sampling.sample_exact(df, 50, "k").collect()}
+    assert small == big
+
+
+def test_large_sample_too_large_raises(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
+    with pytest.raises(ValueError):
+        sampling.sample_exact(_frame(spark, 30), 40, "k")
