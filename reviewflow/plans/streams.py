@@ -62,7 +62,7 @@ def stream_activity_sessions(spark, sf_dir):
     spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     s = (staging.read_stream(spark, src, ev.schema)
          .withColumn("ts", F.col("ts").cast("timestamp"))
-         .withWatermark("ts", "10 minutes")
+         .withWatermark("ts", staging.SOURCE_DISORDER)
          .groupBy("model_id", F.session_window("ts", "30 minutes"))
          .agg(F.count(F.lit(1)).alias("n_events"))
          .select("model_id", F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
@@ -82,7 +82,7 @@ def stream_dedup(spark, sf_dir):
     src = _stage(spark, doubled, flush=False)
     s = (staging.read_stream(spark, src, ev.schema)
          .withColumn("ts", F.col("ts").cast("timestamp"))
-         .withWatermark("ts", "10 minutes")
+         .withWatermark("ts", staging.SOURCE_DISORDER)
          .dropDuplicatesWithinWatermark(["event_id"])
          .select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "model_id", "kind"))
     sink, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
@@ -100,7 +100,7 @@ def stream_lifecycle(spark, sf_dir):
     batch fold once the flush row has moved the watermark past every deadline."""
     ev = lifecycle_events(spark, sf_dir)
     src = _stage(spark, ev)
-    ann = slc.stream_annotate(staging.read_stream(spark, src, ev.schema))
+    ann = slc.stream_annotate(staging.read_stream(spark, src, ev.schema), watermark=staging.SOURCE_DISORDER)
     sink, ckpt = scratch_path(spark, "lifecycle-out"), scratch_path(spark, "lifecycle-ckpt")
     staging.run_to_parquet(ann, sink, ckpt)
     out = spark.read.parquet(sink).where(F.col("model_id") != staging.FLUSH_KEY)
@@ -113,7 +113,7 @@ def stream_state_snapshot(spark, sf_dir):
     (``foreachBatch``); the same answer as the batch ``state_snapshot``."""
     ev = lifecycle_events(spark, sf_dir)
     src = _stage(spark, ev)
-    ann = slc.stream_annotate(staging.read_stream(spark, src, ev.schema))
+    ann = slc.stream_annotate(staging.read_stream(spark, src, ev.schema), watermark=staging.SOURCE_DISORDER)
     path, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "snapshot-ckpt")
     slc.run_snapshot(ann, path, ckpt)
     snap = slc.latest_snapshot(spark, path).where(F.col("model_id") != staging.FLUSH_KEY)

@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FLUSH_KEY = "__flush__"
+SLICE_DAYS = 7
+# Files of one slice may be read in any order (one micro-batch per file), so rows of a
+# slice can arrive up to a slice apart: the watermark delay of a stream over a staged
+# source must cover that, or rows would be dropped as late.
+SOURCE_DISORDER = f"{SLICE_DAYS} days"
 
 
-def stage_slices(df: DataFrame, path: str, ts: str = "ts", slice_days: int = 7,
+def stage_slices(df: DataFrame, path: str, ts: str = "ts", slice_days: int = SLICE_DAYS,
                  flush_row: dict | None = None) -> None:
     """Write ``df`` below ``path`` in consecutive ``slice_days`` ranges of ``ts``.
 
