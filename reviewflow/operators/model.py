@@ -93,3 +93,18 @@ def save(model: PipelineModel, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def score_with(df: DataFrame, make_predict, input_col: str = "review_full_text", batch_size: int = 256) -> DataFrame:
+    """Score with a plug-in model (for instance an exported transformer run by an
+    inference runtime) through ``predict_batch_udf``: ``make_predict()`` is called once
+    per Python worker and returns ``predict(texts: np.ndarray) -> np.ndarray`` of
+    positive-class probabilities. Adds ``p_positive``, ``score`` and ``label_code``."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import DoubleType
+
+    udf = predict_batch_udf(make_predict, return_type=DoubleType(), batch_size=batch_size)
+    p = F.col("p_positive")
+    return (df.withColumn("p_positive", udf(F.col(input_col)))
+              .withColumn("score", F.greatest(p, 1 - p))
+              .withColumn("label_code", F.when(p >= 0.5, F.lit(POSITIVE_CODE)).otherwise(F.lit(NEGATIVE_CODE))))

@@ -10,6 +10,7 @@ the first ``length`` ids, padded.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,3 +84,29 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
         F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
         F.transform(F.sequence(F.lit(1), F.lit(length)),
                     lambda i: F.when(i <= F.size("e"), F.lit(1)).otherwise(F.lit(0))).alias("attention_mask"))
+
+
+def encode_with(docs: DataFrame, tokenize, id_col: str = "doc_id", text_col: str = "text",
+                length: int = ENCODED_LENGTH, pad_id: int = PAD_ID) -> DataFrame:
+    """Fixed-length encoding with a plug-in tokenizer ``tokenize(str) -> list[int]``
+    (e.g. a trained sub-word tokenizer) applied in Arrow batches through a Pandas UDF.
+    The built-in ``encode`` stays the default; this is the path for tokenizers Spark
+    cannot express. Returns ``input_ids``, ``attention_mask`` and the full token count."""
+    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+
+    out_type = StructType([StructField("n_tokens", IntegerType()),
+                           StructField("input_ids", ArrayType(IntegerType())),
+                           StructField("attention_mask", ArrayType(IntegerType()))])
+
+    @F.pandas_udf(out_type)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        n, ids, mask = [], [], []
+        for t in texts:
+            toks = list(tokenize(t if isinstance(t, str) else ""))
+            head = toks[:length]
+            n.append(len(toks))
+            ids.append(head + [pad_id] * (length - len(head)))
+            mask.append([1] * len(head) + [0] * (length - len(head)))
+        return pd.DataFrame({"n_tokens": n, "input_ids": ids, "attention_mask": mask})
+
+    return docs.select(id_col, run(F.col(text_col)).alias("e")).select(id_col, "e.*")

@@ -79,3 +79,25 @@ def test_large_sample_too_large_raises(spark, monkeypatch):
     monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
     with pytest.raises(ValueError):
         sampling.sample_exact(_frame(spark, 30), 40, "k")
+
+
+def test_encode_with_plugin_tokenizer(spark):
+    docs = spark.createDataFrame([(1, "ab cd"), (2, ""), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_tokens, r.input_ids, r.attention_mask)
+           for r in text.encode_with(docs, lambda s: [len(w) for w in s.split()], length=3).collect()}
+    assert got == {1: (2, [2, 2, 0], [1, 1, 0]), 2: (0, [0, 0, 0], [0, 0, 0]), 3: (0, [0, 0, 0], [0, 0, 0])}
+
+
+def test_score_with_plugin_model(spark):
+    import numpy as np
+
+    from reviewflow.operators import model as mdl
+
+    def make_predict():
+        def predict(texts):
+            return np.array([0.9 if "good" in t else 0.2 for t in texts], dtype=np.float64)
+        return predict
+
+    df = spark.createDataFrame([("good stuff",), ("bad",)], "review_full_text string")
+    rows = {r.review_full_text: (r.label_code, round(r.score, 2)) for r in mdl.score_with(df, make_predict).collect()}
+    assert rows == {"good stuff": ("LABEL_1", 0.9), "bad": ("LABEL_0", 0.8)}
