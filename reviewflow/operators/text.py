@@ -66,14 +66,19 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
     document), looked up by a broadcast join against the vocabulary (a top-k; its
     size is checked against ``max_vocabulary`` before broadcasting) and regrouped per
     document; unknown tokens get ``UNKNOWN_ID``, missing positions ``PAD_ID``."""
-    if vocab.count() > max_vocabulary:
+    # the vocabulary is a top-k: fetch it once (bounded by k), check its size, and
+    # broadcast that small frame instead of recomputing the counts for the join
+    rows = vocab.select("token", "token_id").limit(max_vocabulary + 1).collect()
+    if len(rows) > max_vocabulary:
         raise ValueError("vocabulary too large to broadcast; lower its size")
+    spark = docs.sparkSession
+    small = spark.createDataFrame(rows, "token string, token_id int")
     # tokens in their own projection: next to a generator the whole-text regex would
     # otherwise run again for every exploded row
     toks = docs.select(id_col, tokens(text_col).alias("__toks"))
     heads = toks.select(id_col, F.size("__toks").alias("n_tokens"),
                         F.posexplode_outer(F.slice("__toks", 1, length)).alias("pos", "token"))
-    looked = heads.join(F.broadcast(vocab.select("token", "token_id")), "token", "left")
+    looked = heads.join(F.broadcast(small), "token", "left")
     entry = F.when(F.col("pos").isNotNull(),
                    F.struct("pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
     grouped = looked.groupBy(id_col, "n_tokens").agg(F.array_sort(F.collect_list(entry)).alias("e"))
