@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from ..functions.labels import label_name
 from ..operators import model as mdl
 from ..operators import prepare as prep
 from ..operators import sampling, text
@@ -207,5 +206,3 @@ def prediction_display(spark, sf_dir):
     return s.select("doc_id", shown_code.alias("label_code"), F.round(score, 4).alias("score"),
                     name.alias("sentiment"), conf.alias("confidence"))
 
-
-__all__ = ["label_name"]
