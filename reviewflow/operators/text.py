@@ -41,9 +41,13 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     aggregate with a map-side combine, so a very common token is folded inside each
     task before anything is sent."""
     base = docs.select(tokens(text_col).alias("__t"))
-    occ = base.select(F.explode("__t").alias("token"), F.lit(1).alias("o"), F.lit(0).alias("d"))
-    per_doc = base.select(F.explode(F.array_distinct("__t")).alias("token"), F.lit(0).alias("o"),
-                          F.lit(1).alias("d"))
+    # explode_outer: a plain explode makes Catalyst add a size(tokens) > 0 filter below
+    # it, which would tokenise every whole text a second time
+    occ = (base.select(F.explode_outer("__t").alias("token"), F.lit(1).alias("o"), F.lit(0).alias("d"))
+               .where(F.col("token").isNotNull()))
+    per_doc = (base.select(F.explode_outer(F.array_distinct("__t")).alias("token"), F.lit(0).alias("o"),
+                           F.lit(1).alias("d"))
+                   .where(F.col("token").isNotNull()))
     return occ.unionByName(per_doc).groupBy("token").agg(F.sum("o").cast("long").alias("n_occurrences"),
                                                          F.sum("d").cast("long").alias("n_docs"))
 
