@@ -122,7 +122,7 @@ SELECT event_id, model_id, ts + INTERVAL 30 MINUTE AS deadline,
        'shutdown-schedule-sentiment-model-endpoint-' || CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS schedule_name
 FROM lifecycle_events WHERE kind = 'in_service'""", L)
 def shutdown_deadline(spark, sf_dir):
-    ev = lifecycle_events(spark, sf_dir).where(F.col("kind") == "in_service")
+    ev = lifecycle_events(spark, sf_dir, kinds=("in_service",))
     deadline = timefmt.plus_minutes("ts", timefmt.IDLE_MINUTES)
     name = F.concat(F.lit("shutdown-schedule-" + ENDPOINT_PREFIX),
                     F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))

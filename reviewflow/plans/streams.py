@@ -38,7 +38,7 @@ FROM s GROUP BY model_id, sid"""
 
 @query("activity_sessions", SESSIONS_SQL, L)
 def activity_sessions(spark, sf_dir):
-    ev = lifecycle_events(spark, sf_dir).where(F.col("kind") == "predict")
+    ev = lifecycle_events(spark, sf_dir, kinds=("predict",))
     return sessions.activity_sessions(ev)
 
 
@@ -57,7 +57,7 @@ def _stage(spark, df, flush=True):
 
 @query("stream_activity_sessions", SESSIONS_SQL, L)
 def stream_activity_sessions(spark, sf_dir):
-    ev = lifecycle_events(spark, sf_dir).where(F.col("kind") == "predict")
+    ev = lifecycle_events(spark, sf_dir, kinds=("predict",))
     src = _stage(spark, ev)
     spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     s = (staging.read_stream(spark, src, ev.schema)

@@ -88,8 +88,22 @@ def lifecycle_events_from(events: DataFrame) -> DataFrame:
     )
 
 
-def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lifecycle_events_from(read_table(spark, sf_dir, "events"))
+def _raw_filter(kinds) -> Column:
+    """Predicate on the raw ``event_type`` equivalent to ``kind IN kinds``, so it can be
+    pushed into the Parquet scan (a filter on the derived CASE column cannot)."""
+    types = [et for et, k in KIND_OF_EVENT_TYPE.items() if k in kinds]
+    cond = F.col("event_type").isin(types) if types else F.lit(False)
+    if "shutdown" in kinds:   # every other type, null included
+        cond = cond | ~F.coalesce(F.col("event_type").isin(list(KIND_OF_EVENT_TYPE)), F.lit(False))
+    return cond
+
+
+def lifecycle_events(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """The lifecycle event log; ``kinds`` keeps only those kinds, filtered at the scan."""
+    events = read_table(spark, sf_dir, "events")
+    if kinds is not None:
+        events = events.where(_raw_filter(kinds))
+    return lifecycle_events_from(events)
 
 
 def with_views(sql: str, *names: str) -> str:

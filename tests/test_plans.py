@@ -24,3 +24,18 @@ def test_no_python_udf_in_native_queries(spark):
 def test_filters_pushed_to_scan(spark):
     plan = _plan(QUERIES["shutdown_deadline"](spark, SF))
     assert "PushedFilters" in plan
+
+
+def test_kind_filter_reaches_parquet_scan(spark):
+    plan = _plan(QUERIES["activity_sessions"](spark, SF))
+    assert "EqualTo(event_type,purchase)" in plan
+
+
+def test_raw_kind_filter_matches_derived(spark):
+    from pyspark.sql import functions as F
+
+    from reviewflow.tables import lifecycle_events
+    for kinds in (("predict",), ("shutdown",), ("start", "status")):
+        a = lifecycle_events(spark, SF, kinds=kinds).count()
+        b = lifecycle_events(spark, SF).where(F.col("kind").isin(list(kinds))).count()
+        assert a == b > 0
