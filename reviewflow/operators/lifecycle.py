@@ -14,9 +14,11 @@ into *chunks* of (model, time bucket), and the fold becomes three passes:
    status poll or an expiry test depends on it. Branches that reach the same state
    merge. The result is a small piecewise map: entry state -> exit state (exit
    deadline known, or "unchanged").
-2. **resolve** (per model, over its chunk maps in time order): compose the maps from
-   the initial STOPPED state. This touches one small summary per chunk, so its size
-   follows the model's time span over the bucket width, not its event count.
+2. **resolve** in two levels: the chunk maps of each super-chunk (``super_buckets``
+   consecutive buckets) are composed in parallel; super-chunk entries are resolved per
+   model in time order from the initial STOPPED state (``super_buckets`` times fewer
+   rows than chunks); chunk entries are then resolved inside each super-chunk in
+   parallel. No task holds a model's whole history.
 3. **annotate** (per chunk, in parallel): fold each chunk exactly from its resolved
    entry, streaming (constant state per chunk, no chunk held in memory).
 
@@ -247,67 +249,157 @@ def _speculate_fn(idle_us: int, extend_us: int):
 
 _ENTRY_SCHEMA = ("model_id string, bucket long, entry_status string, entry_has_ep boolean, "
                  "entry_deadline long, entry_cycle_id long, entry_cycle_ts long, is_last boolean")
+_SUPER_SCHEMA = _SPEC_SCHEMA.replace("bucket long", "super long")
+_SUPER_ENTRY_SCHEMA = _ENTRY_SCHEMA.replace("bucket long", "super long")
 
 
-def resolve_chunks(chunks):
-    """``chunks``: ordered list of (bucket, pieces) for one model. Returns the entry
-    state of every chunk, starting STOPPED without endpoint."""
-    status, has_ep, d, cyc = STOPPED, False, None, (None, None)
+_START = (STOPPED, False, None, (None, None))   # status, has_ep, deadline, cycle
+
+
+def apply_map(state, pieces):
+    """The state after a chunk (or a run of chunks) whose map is ``pieces``."""
+    status, has_ep, d, cyc = state
+    ptype = _PIECE_OF[(status, has_ep)]
+    for p in pieces:
+        if p[0] == ptype and (ptype in ("S", "C") or p[1] <= d < p[2]):
+            _, _, _, xs, xe, xk, xd, xc = p
+            if xk != _SYM:
+                d = xd if xk == _EXACT else None
+            return xs, xe, d, xc if xc is not None else cyc
+    raise AssertionError(f"no speculative piece for entry {(status, has_ep, d)}")
+
+
+def compose_maps(f, g):
+    """Map of 'f, then g' for piecewise maps (pieces as in ``speculate_chunk``)."""
+    out = []
+    for pt, lo, hi, xs, xe, xk, xd, xc in f:
+        qt = _PIECE_OF[(xs, xe)]
+        for qt2, qlo, qhi, ys, ye, yk, yd, yc in g:
+            if qt2 != qt:
+                continue
+            cyc = yc if yc is not None else xc
+            if xk == _SYM:
+                # f leaves the entry deadline in place: g's pieces split [lo, hi)
+                a, b = max(lo, qlo), min(hi, qhi)
+                if a < b:
+                    out.append((pt, a, b, ys, ye, yk, yd, cyc))
+            else:
+                d = xd if xk == _EXACT else None
+                if qt in ("S", "C") or qlo <= d < qhi:
+                    if yk == _SYM:          # g keeps f's (known) deadline
+                        out.append((pt, lo, hi, ys, ye, _EXACT, d, cyc))
+                    else:
+                        out.append((pt, lo, hi, ys, ye, yk, yd, cyc))
+                    break
+    return out
+
+
+def resolve_chunks(chunks, start=_START):
+    """``chunks``: ordered list of (bucket, pieces). Entry state of every chunk from
+    ``start``; rows are ``[bucket, status, has_ep, deadline, cycle_id, cycle_ts, False]``."""
+    state = start
     out = []
     for bucket, pieces in chunks:
-        out.append([bucket, status, has_ep, d, cyc[0], cyc[1], False])
-        ptype = _PIECE_OF[(status, has_ep)]
-        for p in pieces:
-            if p[0] == ptype and (ptype in ("S", "C") or p[1] <= d < p[2]):
-                _, _, _, xs, xe, xk, xd, xc = p
-                status, has_ep = xs, xe
-                if xk != _SYM:
-                    d = xd if xk == _EXACT else None
-                if xc is not None:
-                    cyc = xc
-                break
-        else:
-            raise AssertionError(f"no speculative piece for entry {(status, has_ep, d)}")
-    if out:
-        out[-1][6] = True
+        out.append([bucket, state[0], state[1], state[2], state[3][0], state[3][1], False])
+        state = apply_map(state, pieces)
     return out
 
 
-def _resolve_fn():
-    cols = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline",
-            "exit_cycle_id", "exit_cycle_ts"]
+_PIECE_COLS = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline",
+               "exit_cycle_id", "exit_cycle_ts"]
+_ENTRY_COLS = ["entry_status", "entry_has_ep", "entry_deadline", "entry_cycle_id", "entry_cycle_ts"]
+
+
+def _opt(v):
+    return None if v is None or pd.isna(v) else int(v)
+
+
+def _piece(r):
+    cid = _opt(r["exit_cycle_id"])
+    return (r["piece"], r["lo"], r["hi"], r["exit_status"], r["exit_has_ep"], r["exit_dkind"],
+            _opt(r["exit_deadline"]), None if cid is None else (cid, _opt(r["exit_cycle_ts"])))
+
+
+def _piece_frame(out):
+    res = pd.DataFrame(out)
+    for c in ("exit_deadline", "exit_cycle_id", "exit_cycle_ts"):
+        res[c] = res[c].astype("Int64")
+    return res
+
+
+def _entry_frame(out):
+    res = pd.DataFrame(out)
+    for c in ("entry_deadline", "entry_cycle_id", "entry_cycle_ts"):
+        res[c] = res[c].astype("Int64")
+    return res
+
 
-    def opt(v):
-        return None if pd.isna(v) else int(v)
+def _groups_of(batches, group_keys, order_key, cols):
+    """Yield (group key, [(order value, [row, ...]), ...]) for sorted partitions."""
+    key, runs = None, []
+    for k, r in _rows(batches, group_keys + [order_key], cols):
+        g, o = k[:-1], k[-1]
+        if g != key:
+            if key is not None:
+                yield key, runs
+            key, runs = g, []
+        if not runs or runs[-1][0] != o:
+            runs.append((o, []))
+        runs[-1][1].append(r)
+    if key is not None:
+        yield key, runs
 
+
+def _compose_fn():
+    """Per (model, super): the composed map of its chunks in bucket order."""
     def run(batches):
-        res = {c: [] for c in ["model_id", "bucket", "entry_status", "entry_has_ep", "entry_deadline",
-                               "entry_cycle_id", "entry_cycle_ts", "is_last"]}
-        model, chunks = None, []
+        out = {c: [] for c in ["model_id", "super"] + _PIECE_COLS}
+        for (model, sup), runs in _groups_of(batches, ["model_id", "super"], "bucket", _PIECE_COLS):
+            acc = None
+            for _, rows in runs:
+                m = [_piece(r) for r in rows]
+                acc = m if acc is None else compose_maps(acc, m)
+            for p in acc:
+                cyc = p[7] or (None, None)
+                for c, v in zip(out, (model, sup) + p[:7] + cyc):
+                    out[c].append(v)
+        if out["model_id"]:
+            yield _piece_frame(out)
+    return run
 
-        def flush():
-            for row in resolve_chunks(chunks):
-                for c, v in zip(res, [model] + row):
-                    res[c].append(v)
 
-        for (m, b), r in _rows(batches, ["model_id", "bucket"], cols):
-            if m != model:
-                if model is not None:
-                    flush()
-                model, chunks = m, []
-            if not chunks or chunks[-1][0] != b:
-                chunks.append((b, []))
-            cid = opt(r["exit_cycle_id"])
-            chunks[-1][1].append((r["piece"], r["lo"], r["hi"], r["exit_status"], r["exit_has_ep"],
-                                  r["exit_dkind"], opt(r["exit_deadline"]),
-                                  None if cid is None else (cid, opt(r["exit_cycle_ts"]))))
-        if model is not None:
-            flush()
-        if res["model_id"]:
-            out = pd.DataFrame(res)
-            for c in ("entry_deadline", "entry_cycle_id", "entry_cycle_ts"):
-                out[c] = out[c].astype("Int64")
-            yield out
+def _resolve_supers_fn():
+    """Per model: entry state of each super-chunk (one row per super, in order)."""
+    def run(batches):
+        out = {c: [] for c in ["model_id", "super"] + _ENTRY_COLS + ["is_last"]}
+        for (model,), runs in _groups_of(batches, ["model_id"], "super", _PIECE_COLS):
+            rows = resolve_chunks([(sup, [_piece(r) for r in rs]) for sup, rs in runs])
+            rows[-1][6] = True
+            for row in rows:
+                for c, v in zip(out, [model] + row):
+                    out[c].append(v)
+        if out["model_id"]:
+            yield _entry_frame(out)
+    return run
+
+
+def _resolve_within_fn():
+    """Per (model, super): entry state of each chunk, starting from the super's entry."""
+    cols = _PIECE_COLS + _ENTRY_COLS + ["is_last"]
+
+    def run(batches):
+        out = {c: [] for c in ["model_id", "bucket"] + _ENTRY_COLS + ["is_last"]}
+        for (model, _sup), runs in _groups_of(batches, ["model_id", "super"], "bucket", cols):
+            r0 = runs[0][1][0]
+            start = (r0["entry_status"], bool(r0["entry_has_ep"]), _opt(r0["entry_deadline"]),
+                     (_opt(r0["entry_cycle_id"]), _opt(r0["entry_cycle_ts"])))
+            rows = resolve_chunks([(b, [_piece(r) for r in rs]) for b, rs in runs], start)
+            rows[-1][6] = bool(r0["is_last"])
+            for row in rows:
+                for c, v in zip(out, [model] + row):
+                    out[c].append(v)
+        if out["model_id"]:
+            yield _entry_frame(out)
     return run
 
 
@@ -383,12 +475,15 @@ def _prepared(events: DataFrame, bucket_seconds: int) -> DataFrame:
 # Chunk entries are broadcast to the annotation pass only below this many chunks
 # (about 60 bytes each); above it they are shuffled in with the events instead.
 MAX_BROADCAST_CHUNKS = 2_000_000
+# Buckets per super-chunk in the two-level resolution of pass 2.
+SUPER_BUCKETS = 1024
 
 
 def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
              extend_below_minutes: int = EXTEND_BELOW_MINUTES,
              bucket_seconds: int = BUCKET_SECONDS,
-             max_broadcast_chunks: int = MAX_BROADCAST_CHUNKS) -> DataFrame:
+             max_broadcast_chunks: int = MAX_BROADCAST_CHUNKS,
+             super_buckets: int = SUPER_BUCKETS) -> DataFrame:
     """One row per event (``row_type='event'``) and per timer firing (``'timer'``)
     with the status before and after, the response code and action, the deadline
     and the creating cycle (``cycle_id``, ``cycle_ts_us``) it belongs to.
@@ -403,9 +498,22 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
               .repartition("model_id", "bucket").sortWithinPartitions(*order))
     staged = checkpointed(staged)
     pieces = (staged.select("model_id", "bucket", "event_id", "ts_us", "kind", "valid_start", "has_text")
-                    .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA))
-    entries = (pieces.repartition("model_id").sortWithinPartitions("model_id", "bucket")
-                     .mapInPandas(_resolve_fn(), _ENTRY_SCHEMA))
+                    .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA)
+                    .withColumn("super", F.floor(F.col("bucket") / F.lit(super_buckets)).cast("long")))
+    pieces = checkpointed(pieces)
+    # pass 2 in two levels, so no task sees a whole model: compose the chunk maps of
+    # each super-chunk, resolve super-chunk entries per model (super_buckets times
+    # fewer rows), then resolve chunk entries inside each super-chunk
+    supers = (pieces.repartition("model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
+                    .mapInPandas(_compose_fn(), _SUPER_SCHEMA))
+    super_entries = checkpointed(supers.repartition("model_id").sortWithinPartitions("model_id", "super")
+                                 .mapInPandas(_resolve_supers_fn(), _SUPER_ENTRY_SCHEMA))
+    if super_entries.count() <= max_broadcast_chunks:
+        seeded = pieces.join(F.broadcast(super_entries), ["model_id", "super"])
+    else:
+        seeded = pieces.join(super_entries, ["model_id", "super"])
+    entries = (seeded.repartition("model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
+                     .mapInPandas(_resolve_within_fn(), _ENTRY_SCHEMA))
     entries = checkpointed(entries)
     if entries.count() <= max_broadcast_chunks:
         # broadcast keeps the stream side's partitioning and order

@@ -130,7 +130,7 @@ def test_epoch_fold_equals_sequential_fold(spark, evs):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted(((r.model_id, r.row_type, r.event_id, r.ts_us, r.status_before, r.status_after,
                    r.action, r.code, r.deadline_us, r.cycle_id)
-                  for r in lc.annotate(df, bucket_seconds=300).collect()), key=repr)
+                  for r in lc.annotate(df, bucket_seconds=300, super_buckets=3).collect()), key=repr)
     assert got == _sequential(rows)
 
 
@@ -151,7 +151,7 @@ def test_busy_model_chunks_equal_sequential_fold(spark, evs):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted(((r.model_id, r.row_type, r.event_id, r.ts_us, r.status_before, r.status_after,
                    r.action, r.code, r.deadline_us, r.cycle_id)
-                  for r in lc.annotate(df, bucket_seconds=120).collect()), key=repr)
+                  for r in lc.annotate(df, bucket_seconds=120, super_buckets=4).collect()), key=repr)
     assert got == _sequential(rows)
 
 
@@ -164,3 +164,49 @@ def test_speculation_pieces_cover_entries():
         spans = sorted((p[1], p[2]) for p in pieces if p[0] == ptype)
         assert spans[0][0] == -(1 << 62) and spans[-1][1] == 1 << 62
         assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+chunk_events = st.lists(st.tuples(st.integers(0, 25 * 60), st.sampled_from(KINDS), st.booleans(), st.booleans()),
+                        min_size=0, max_size=8)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(chunk_events, min_size=1, max_size=5),
+       st.sampled_from([(lc.STOPPED, False), (lc.CREATING, True), (lc.IN_SERVICE, True), (lc.IN_SERVICE, False)]),
+       st.integers(-40 * 60, 40 * 60))
+def test_composed_maps_equal_stepwise_and_exact(chunks, entry, d_offset):
+    """Pure Python: applying chunk maps one by one, applying their composition, and
+    folding the events exactly all give the same final state and cycle."""
+    us = 1_000_000
+    idle, ext = lc.IDLE_MINUTES * 60 * us, lc.EXTEND_BELOW_MINUTES * 60 * us
+    t, ev_id, maps, flat = 0, 0, [], []
+    for ch in chunks:
+        evs = []
+        for gap, kind, valid, has_text in ch:
+            t += gap * us
+            ev_id += 1
+            evs.append((ev_id, t, kind, valid, has_text))
+        flat.extend(evs)
+        maps.append(lc.speculate_chunk(evs, idle, ext) if evs else
+                    lc.speculate_chunk([], idle, ext))
+    status, has_ep = entry
+    d = d_offset * us if status == lc.IN_SERVICE else None
+    start = (status, has_ep, d, (None, None))
+    step = start
+    for m in maps:
+        step = lc.apply_map(step, m)
+    composed = maps[0]
+    for m in maps[1:]:
+        composed = lc.compose_maps(composed, m)
+    assert lc.apply_map(start, composed) == step
+    exact = lc.EndpointState(status, has_ep, d)
+    cyc = [None, None]
+
+    def emit(row_type, i, tt, before, after, ep_b, ep_a, d_b, d_a, action, code, extended):
+        if action == "create":
+            cyc[0], cyc[1] = flat[i][0], tt
+
+    for i, (eid, tt, kind, valid, has_text) in enumerate(flat):
+        exact.apply(i, tt, kind, valid, has_text, idle, ext, emit)
+    assert (exact.status, exact.has_ep, exact.deadline, tuple(cyc)) == \
+        (step[0], step[1], step[2], tuple(step[3]))
