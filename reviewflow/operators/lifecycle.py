@@ -587,6 +587,34 @@ def cycles(annotated: DataFrame) -> DataFrame:
                   .join(served, ["model_id", "cycle_id"], "left"))
 
 
+# Fixed value: the longest start-up the service announces ("5-15 minutes").
+STUCK_AFTER_MINUTES = 15
+
+
+def stuck_creating(annotated: DataFrame, after_minutes: int = STUCK_AFTER_MINUTES) -> DataFrame:
+    """Creating cycles that stayed CREATING longer than ``after_minutes``: a failed
+    create is never reset, so the model would stay CREATING for good.
+
+    A cycle leaves CREATING once (in service, or an explicit stop); one still creating
+    is measured up to the last event of the log (the observation time, a scalar
+    subquery). Keyed by cycle, so a busy model's cycles spread over tasks."""
+    ev = annotated.where(F.col("row_type") == "event")
+    created = ev.where(F.col("action") == "create").select("model_id", "cycle_id", "cycle_ts_us")
+    left = (annotated.where((F.col("status_before") == CREATING) & (F.col("status_after") != CREATING))
+                     .groupBy("model_id", "cycle_id")
+                     .agg(F.min(F.struct("ts_us", "event_id", "status_after")).alias("l")))
+    horizon = ev.agg(F.max("ts_us")).scalar()
+    j = (created.join(left, ["model_id", "cycle_id"], "left")
+                .withColumn("__us", F.coalesce(F.col("l.ts_us"), horizon) - F.col("cycle_ts_us")))
+    secs = F.col("__us") / F.lit(float(_SEC_US))
+    return (j.where(F.col("__us") > F.lit(after_minutes * _MIN_US))
+             .select("model_id", "cycle_id", as_time("cycle_ts_us").alias("created_at"),
+                     endpoint_of_cycle().alias("endpoint_name"),
+                     as_time("l.ts_us").alias("left_at"), F.col("l.status_after").alias("left_to"),
+                     F.round(secs, 3).alias("creating_seconds"),
+                     F.col("l").isNull().alias("still_creating")))
+
+
 # Response messages of the start and predict handlers.
 START_MESSAGES = {
     "invalid": "Name and phone number are required.",

@@ -285,3 +285,25 @@ def state_snapshot(spark, sf_dir):
                     F.when(F.col("has_endpoint_after"), lc.endpoint_of_cycle()).alias("endpoint_name"),
                     lc.as_time("deadline_us").alias("deadline"), F.col("event_id").alias("last_event_id"),
                     F.coalesce(pending, F.lit(0).cast("long")).alias("pending_subscribers"))
+
+
+@query("stuck_creating", FOLD_SQL + f""",
+created AS (
+  SELECT model_id, cycle_id, ts AS created_at, cycle_endpoint FROM annotated
+  WHERE row_type = 'event' AND action = 'create'),
+left_creating AS (
+  SELECT model_id, cycle_id, min(ts) AS left_at, arg_min(status_after, ts) AS left_to FROM annotated
+  WHERE status_before = 'CREATING' AND status_after <> 'CREATING'
+  GROUP BY model_id, cycle_id),
+horizon AS (SELECT max(ts) AS h FROM annotated WHERE row_type = 'event'),
+spans AS (
+  SELECT c.*, l.left_at, l.left_to,
+         epoch_us(coalesce(l.left_at, (SELECT h FROM horizon))) - epoch_us(c.created_at) AS us
+  FROM created c LEFT JOIN left_creating l USING (model_id, cycle_id))
+SELECT model_id, cycle_id, created_at, cycle_endpoint AS endpoint_name, left_at, left_to,
+       round(us / 1e6, 3) AS creating_seconds, left_at IS NULL AS still_creating
+FROM spans WHERE us > {lc.STUCK_AFTER_MINUTES} * 60000000""", L)
+def stuck_creating(spark, sf_dir):
+    """Cycles CREATING longer than the announced start-up time (a failed create is
+    never reset); still-creating ones are measured to the end of the log."""
+    return lc.stuck_creating(_annotated(spark, sf_dir))

@@ -78,6 +78,19 @@ def test_shutdown_cases_and_stale_list(spark):
     assert [b.name for b in box] == ["ann"]      # the list survives the shutdown
 
 
+def test_stuck_creating_cycles(spark):
+    # cycle 1 comes into service after 10 min (not stuck); cycle 2 is stopped after
+    # 20 min (stuck, left to STOPPED); cycle 3 never leaves CREATING and is measured to
+    # the last event of the log (a status poll 40 min later)
+    rows = [(0, "start"), (600, "in_service"), (700, "shutdown"),
+            (1000, "start"), (2200, "shutdown"),
+            (3000, "start"), (3000 + 40 * 60, "status")]
+    got = sorted(lc.stuck_creating(lc.annotate(_events(spark, rows))).collect(), key=lambda r: r.cycle_id)
+    assert [(r.cycle_id, r.left_to, r.creating_seconds, r.still_creating) for r in got] == [
+        (3, "STOPPED", 1200.0, False), (5, None, 2400.0, True)]
+    assert got[1].endpoint_name == f"{lc.ENDPOINT_PREFIX}{int((T0 + dt.timedelta(seconds=3000)).replace(tzinfo=dt.timezone.utc).timestamp())}"
+
+
 def test_uptime_splits_at_midnight(spark):
     rows = [(-10 * 60, "in_service")]            # 23:50 the day before, fires at 00:20
     up = {str(r.day): r.uptime_seconds for r in lc.uptime_daily(lc.annotate(_events(spark, rows))).collect()}
