@@ -3,9 +3,9 @@
 Tokens are lower-case runs of ``[a-z0-9]``. Counting explodes tokens and
 aggregates with a map-side partial aggregate, so a very common token is combined
 inside each task before the shuffle. The vocabulary is a top-k, bounded by k; the
-encoder looks tokens up in it as a literal map, a narrow per-row expression with no
-join and no shuffle, over the whole text (its full token count is kept) and emits
-the first ``length`` ids, padded.
+encoder tokenises the whole text (its full token count is kept), looks the first
+``length`` tokens up by a broadcast join against the vocabulary (written once to the
+shared checkpoint folder, its row count checked first) and emits their ids, padded.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 # Token pattern, padding and unknown ids, encoded length, vocabulary size.
 TOKEN_PATTERN = "[a-z0-9]+"
 PAD_ID = 0
@@ -70,13 +72,12 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
     document), looked up by a broadcast join against the vocabulary (a top-k; its
     size is checked against ``max_vocabulary`` before broadcasting) and regrouped per
     document; unknown tokens get ``UNKNOWN_ID``, missing positions ``PAD_ID``."""
-    # the vocabulary is a top-k: fetch it once (bounded by k), check its size, and
-    # broadcast that small frame instead of recomputing the counts for the join
-    rows = vocab.select("token", "token_id").limit(max_vocabulary + 1).collect()
-    if len(rows) > max_vocabulary:
+    # the vocabulary is a top-k: write it once to the shared checkpoint folder (the
+    # counts behind it are not recomputed for the join), check its row count, and
+    # broadcast it from there; nothing passes through the driver
+    small = checkpointed(vocab.select("token", "token_id"))
+    if small.count() > max_vocabulary:
         raise ValueError("vocabulary too large to broadcast; lower its size")
-    spark = docs.sparkSession
-    small = spark.createDataFrame(rows, "token string, token_id int")
     # tokens in their own projection: next to a generator the whole-text regex would
     # otherwise run again for every exploded row
     toks = docs.select(id_col, tokens(text_col).alias("__toks"))
