@@ -472,6 +472,20 @@ def _prepared(events: DataFrame, bucket_seconds: int) -> DataFrame:
         scan.time_bucket("ts", bucket_seconds).alias("bucket"))
 
 
+def _pass_partitions(spark) -> int | None:
+    """Partition count for the shuffles that feed the Python chunk passes. AQE would
+    coalesce them by bytes, but these passes cost CPU per row, not per byte, so they
+    keep the session's shuffle partition count (sized for the data by the cluster)."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return None
+
+
+def _by(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
+    return df.repartition(n, *cols) if n else df.repartition(*cols)
+
+
 # Chunk entries are broadcast to the annotation pass only below this many chunks
 # (about 60 bytes each); above it they are shuffled in with the events instead.
 MAX_BROADCAST_CHUNKS = 2_000_000
@@ -494,8 +508,8 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
     order = ["model_id", "bucket", "ts_us", "event_id"]
     # materialised once (lineage cut in the shared checkpoint folder), hash-partitioned
     # by chunk and sorted, so both chunk passes stream contiguous chunks
-    staged = (_prepared(events, bucket_seconds)
-              .repartition("model_id", "bucket").sortWithinPartitions(*order))
+    n = _pass_partitions(events.sparkSession)
+    staged = _by(_prepared(events, bucket_seconds), n, "model_id", "bucket").sortWithinPartitions(*order)
     staged = checkpointed(staged)
     pieces = (staged.select("model_id", "bucket", "event_id", "ts_us", "kind", "valid_start", "has_text")
                     .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA)
@@ -504,7 +518,7 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
     # pass 2 in two levels, so no task sees a whole model: compose the chunk maps of
     # each super-chunk, resolve super-chunk entries per model (super_buckets times
     # fewer rows), then resolve chunk entries inside each super-chunk
-    supers = (pieces.repartition("model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
+    supers = (_by(pieces, n, "model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
                     .mapInPandas(_compose_fn(), _SUPER_SCHEMA))
     super_entries = checkpointed(supers.repartition("model_id").sortWithinPartitions("model_id", "super")
                                  .mapInPandas(_resolve_supers_fn(), _SUPER_ENTRY_SCHEMA))
@@ -512,15 +526,15 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
         seeded = pieces.join(F.broadcast(super_entries), ["model_id", "super"])
     else:
         seeded = pieces.join(super_entries, ["model_id", "super"])
-    entries = (seeded.repartition("model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
+    entries = (_by(seeded, n, "model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
                      .mapInPandas(_resolve_within_fn(), _ENTRY_SCHEMA))
     entries = checkpointed(entries)
     if entries.count() <= max_broadcast_chunks:
         # broadcast keeps the stream side's partitioning and order
         joined = staged.join(F.broadcast(entries), ["model_id", "bucket"])
     else:
-        joined = (staged.join(entries, ["model_id", "bucket"])
-                        .repartition("model_id", "bucket").sortWithinPartitions(*order))
+        joined = _by(staged.join(entries, ["model_id", "bucket"]), n, "model_id", "bucket") \
+            .sortWithinPartitions(*order)
     rows = joined.select("model_id", "bucket", "event_id", "ts_us", "kind", "name", "phone", "valid_start",
                          "has_text", "entry_status", "entry_has_ep", "entry_deadline", "entry_cycle_id",
                          "entry_cycle_ts", "is_last") \
