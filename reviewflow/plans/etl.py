@@ -128,7 +128,7 @@ def profiled_frame(spark, sf_dir):
         F.when(no_rating, F.lit("null")).otherwise(F.lit(" ")).alias("note"),
         F.when(no_rating, F.lit(-1)).alias("score"),
         F.struct(F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("memo")).alias("meta"),
-        F.array(F.struct(F.split_part(F.col("text"), F.lit(" "), F.lit(1)).alias("word"),
+        F.array(F.struct(F.substring_index(F.col("text"), " ", 1).alias("word"),
                          F.lit(None).cast("bigint").alias("code"))).alias("tags"))
 
 

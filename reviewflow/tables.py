@@ -53,7 +53,7 @@ def reviews_from(documents: DataFrame, labels: DataFrame) -> DataFrame:
     rating = (F.when(q == 1, F.lit(4) + F.col("doc_id") % 2)
               .when(q == 0, F.lit(1) + F.col("doc_id") % 3)
               .cast("double"))
-    title = F.when(F.col("doc_id") % 7 != 0, F.split_part(F.col("text"), F.lit("."), F.lit(1)))
+    title = F.when(F.col("doc_id") % 7 != 0, F.substring_index(F.col("text"), ".", 1))
     return (d.join(l, "doc_id", "left")
             .select("doc_id", rating.alias("rating"), title.alias("title"), "text"))
 

@@ -1,11 +1,13 @@
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reviewflow.functions.labels import label_name, percent_text, polarity
 from reviewflow.functions.phone import phone_ok
-from reviewflow.functions.text import full_text, nonblank
+from reviewflow.functions.text import full_text, nonblank, utrim
 from reviewflow.operators import model as mdl
 from reviewflow.operators import prepare as prep
 
@@ -65,3 +67,13 @@ def test_display_of_empty_answer(spark):
     code, name, conf = mdl.display(F.col("a"))
     r = df.select(code, name, conf).first()
     assert tuple(r) == (None, "NEGATIVE", None)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x3100), max_size=12), min_size=1, max_size=20))
+def test_utrim_equals_str_strip(spark, values):
+    pads = [" \t", "\x1c　", " \x85", "﻿", "​", ""]
+    vals = [pads[i % len(pads)] + v + pads[(i * 5) % len(pads)] for i, v in enumerate(values)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
+    got = {r.i: r.t for r in df.select("i", utrim("s").alias("t")).collect()}
+    assert got == {i: v.strip() for i, v in enumerate(vals)}
