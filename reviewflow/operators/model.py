@@ -7,6 +7,7 @@ stages (JVM), and scoring is a plain ``transform`` that also works on a stream.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -72,12 +73,17 @@ def display(prediction: Column) -> tuple[Column, Column, Column]:
 
 def metrics(scored: DataFrame, label_col: str = "label") -> dict:
     """Accuracy, weighted F1, area under ROC and mean cross-entropy of a scored set."""
-    d = scored.withColumn(label_col, F.col(label_col).cast("double"))
-    acc = MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy").evaluate(d)
-    f1 = MulticlassClassificationEvaluator(labelCol=label_col, metricName="f1").evaluate(d)
-    d2 = d.withColumn("rawPrediction", F.col("p_positive"))
-    auc = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction").evaluate(d2)
-    ce = d.agg(cross_entropy(F.col(label_col), F.col("p_positive")).alias("ce")).first()["ce"]
+    # scored once: the four evaluations read three numbers per row from a persisted
+    # slim frame instead of each re-running the text pipeline over whole texts
+    d = scored.select(F.col(label_col).cast("double").alias(label_col), "prediction",
+                      F.col("p_positive").alias("rawPrediction")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        acc = MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy").evaluate(d)
+        f1 = MulticlassClassificationEvaluator(labelCol=label_col, metricName="f1").evaluate(d)
+        auc = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction").evaluate(d)
+        ce = d.agg(cross_entropy(F.col(label_col), F.col("rawPrediction")).alias("ce")).first()["ce"]
+    finally:
+        d.unpersist()
     return {"accuracy": acc, "f1": f1, "auc": auc, "cross_entropy": ce}
 
 
