@@ -17,8 +17,9 @@ def hash_order(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-# Top-n through one merge task is used only up to this many rows; beyond it the cut
-# is found by ``kth_cut`` (histogram passes, no single task holding the selection).
+# ``kth_cut`` orders candidate (hash, key) pairs as a top-n once at most this many
+# remain (about 50 bytes each in the merge task); above it, histogram passes narrow
+# them first. Whole rows never go through one task.
 TOPK_LIMIT = 1_000_000
 # bits of the 60-bit hash prefix resolved per histogram pass
 _BITS_PER_PASS = 16
@@ -41,6 +42,8 @@ def kth_cut(df: DataFrame, key: str, k: int, seed: int = 42, candidate_limit: in
     while True:
         cand = keyed.where((F.col("__p") >= lo) & (F.col("__p") < lo + (1 << width_bits)))
         n_cand = cand.count()
+        if n_cand < k - below:
+            raise ValueError(f"cannot select row {k}: the frame has only {below + n_cand} rows")
         if n_cand <= candidate_limit or width_bits == 0:
             row = (cand.orderBy("__h", key).limit(k - below)
                        .agg(F.max(F.struct("__h", key)).alias("m")).first()["m"])
@@ -62,22 +65,21 @@ def _up_to(h: Column, kc: Column, cut) -> Column:
 
 
 def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42, strict: bool = True) -> DataFrame:
-    """Exactly ``n`` rows without replacement (``n`` larger than the frame is an
-    error when ``strict``). Up to ``TOPK_LIMIT`` rows it plans as a per-task top-n and
-    one merge of n rows per task; above that the n-th hash is found by ``kth_cut``
-    and the sample is a filter."""
+    """Exactly ``n`` rows without replacement, the first ``n`` in ``(hash, key)`` order
+    (``key`` unique). ``n`` larger than the frame is an error when ``strict``, else the
+    whole frame. The n-th (hash, key) is found by ``kth_cut`` over the key column alone
+    and the sample is a filter, so no task ever holds the sampled rows."""
     if n < 0:
         raise ValueError("n must be >= 0")
-    if n == 0 or n <= TOPK_LIMIT:
-        out = df.orderBy(hash_order(key, seed), F.col(key)).limit(n)
-    else:
+    if n == 0:
+        return df.limit(0)
+    try:
         cut = kth_cut(df, key, n, seed)
-        out = df.where(_up_to(hash_order(key, seed), F.col(key), cut))
-    if strict and n > 0:
-        got = out.count()
-        if got < n:
-            raise ValueError(f"cannot take a sample of {n} rows from {got}")
-    return out
+    except ValueError:
+        if strict:
+            raise
+        return df
+    return df.where(_up_to(hash_order(key, seed), F.col(key), cut))
 
 
 def split_exact(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 42):

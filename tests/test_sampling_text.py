@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -29,6 +30,19 @@ def test_sample_independent_of_partitioning(spark):
     assert a == b
 
 
+def test_sample_not_strict_gives_whole_frame(spark):
+    assert sampling.sample_exact(_frame(spark, 5), 6, "k", strict=False).count() == 5
+
+
+@pytest.mark.parametrize("k", [1, 777, 3000])
+def test_kth_cut_histogram_passes_equal_brute_force(spark, k):
+    # a candidate limit far below the row count forces the histogram passes
+    order = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i in range(3000))
+    assert sampling.kth_cut(_frame(spark, 3000), "k", k, candidate_limit=50) == order[k - 1]
+    got = {r.k for r in sampling.sample_exact(_frame(spark, 3000), k, "k").collect()}
+    assert got == {i for _, i in order[:k]}
+
+
 @pytest.mark.parametrize("n", [1, 9, 10, 11])
 def test_split_sizes_and_partition(spark, n):
     df = _frame(spark, n)
