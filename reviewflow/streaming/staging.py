@@ -23,13 +23,20 @@ def stage_slices(df: DataFrame, path: str, ts: str = "ts", slice_days: int = SLI
                  flush_row: dict | None = None) -> None:
     """Write ``df`` below ``path`` in consecutive ``slice_days`` ranges of ``ts``.
 
-    The distinct slice numbers are a handful of values (data span / slice length); each
-    slice is one Spark write. ``flush_row`` maps column -> Column expression over the
-    data (e.g. latest time plus one year) and is written last."""
+    The input is read once: it is written partitioned by slice next to ``path``, and
+    each slice is then copied in time order from its own partition folder (partition
+    pruning), so the file source sees slices arrive one after another. The I/O is
+    twice the input however many slices there are; the slice numbers themselves (data
+    span / slice length, a handful of values) come from the written partitions.
+    ``flush_row`` maps column -> Column expression over the data (e.g. latest time plus
+    one year) and is written last."""
     sliced = df.withColumn("__slice", F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / (slice_days * 86400)))
-    slices = sorted(r[0] for r in sliced.select("__slice").distinct().collect())
+    parts = f"{path}-by-slice"
+    sliced.write.mode("overwrite").partitionBy("__slice").parquet(parts)
+    staged = df.sparkSession.read.parquet(parts)
+    slices = sorted(r[0] for r in staged.select("__slice").distinct().collect())
     for s in slices:
-        (sliced.where(F.col("__slice") == s).drop("__slice")
+        (staged.where(F.col("__slice") == s).drop("__slice").select(*df.columns)
                .write.mode("append").parquet(f"{path}/slice={s:012d}"))
     if flush_row is not None:
         exprs = [flush_row[c].alias(c) if c in flush_row else F.lit(None).cast(t).alias(c)
