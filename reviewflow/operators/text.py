@@ -63,24 +63,60 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
                       (F.row_number().over(w) + UNKNOWN_ID).cast("int").alias("token_id"))
 
 
+# Vocabularies up to this many entries are looked up in place (a hashed table inside
+# the expression, shipped with each task); larger ones go through a broadcast join.
+INLINE_VOCABULARY = 1 << 16
+
+
+def _hashed_table(small: DataFrame, buckets: int) -> Column:
+    """The vocabulary as ``array<map<token, id>>`` indexed by ``pmod(xxhash64(token),
+    buckets)``, about four tokens per map, computed once as a scalar subquery."""
+    spark = small.sparkSession
+    per = (small.groupBy(F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("b"))
+                .agg(F.map_from_entries(F.collect_list(F.struct("token", "token_id"))).alias("m")))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
+    dense = (spark.range(buckets).withColumnRenamed("id", "b").join(per, "b", "left")
+                  .agg(F.array_sort(F.collect_list(F.struct("b", F.coalesce("m", empty).alias("m"))),
+                                    lambda x, y: F.signum(x["b"] - y["b"]).cast("int")).alias("e")))
+    return dense.select(F.transform("e", lambda x: x["m"])).scalar()
+
+
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            length: int = ENCODED_LENGTH, max_vocabulary: int = 1_000_000) -> DataFrame:
     """``input_ids`` / ``attention_mask`` of exactly ``length`` entries plus the full
-    token count of the whole text.
-
-    Only the first ``length`` positions are exploded (at most ``length`` rows per
-    document), looked up by a broadcast join against the vocabulary (a top-k; its
-    size is checked against ``max_vocabulary`` before broadcasting) and regrouped per
-    document; unknown tokens get ``UNKNOWN_ID``, missing positions ``PAD_ID``."""
+    token count of the whole text; unknown tokens get ``UNKNOWN_ID``, missing
+    positions ``PAD_ID``.
+
+    Up to ``INLINE_VOCABULARY`` entries the first ``length`` tokens are looked up in a
+    hashed table inside the expression: one narrow projection over the documents, no
+    explode and no shuffle. Above that they are exploded (at most ``length`` rows per
+    document), looked up by a broadcast join and regrouped per document. Either way the
+    vocabulary's row count is checked against ``max_vocabulary`` first."""
     # the vocabulary is a top-k: write it once to the shared checkpoint folder (the
-    # counts behind it are not recomputed for the join), check its row count, and
-    # broadcast it from there; nothing passes through the driver
+    # counts behind it are not recomputed), and check its row count
     small = checkpointed(vocab.select("token", "token_id"))
-    if small.count() > max_vocabulary:
+    n_vocab = small.count()
+    if n_vocab > max_vocabulary:
         raise ValueError("vocabulary too large to broadcast; lower its size")
-    # tokens in their own projection: next to a generator the whole-text regex would
-    # otherwise run again for every exploded row
+    # tokens in their own projection: next to a generator or a lambda the whole-text
+    # regex would otherwise run again for every use
     toks = docs.select(id_col, tokens(text_col).alias("__toks"))
+    pad = F.array_repeat(F.lit(PAD_ID), length)
+    mask = lambda n: F.transform(F.sequence(F.lit(1), F.lit(length)),
+                                 lambda i: F.when(i <= n, F.lit(1)).otherwise(F.lit(0)))
+    if n_vocab <= INLINE_VOCABULARY:
+        buckets = 1 << max(0, (max(n_vocab, 1) // 4).bit_length())
+        # a subquery may not sit inside a lambda: it is projected first and the lambda
+        # reads that column (Catalyst folds the two projections into one)
+        toks = toks.withColumn("__table", _hashed_table(small, buckets))
+
+        def lookup(t):
+            slot = F.element_at("__table", (F.pmod(F.xxhash64(t), F.lit(buckets)) + 1).cast("int"))
+            return F.coalesce(F.try_element_at(slot, t), F.lit(UNKNOWN_ID))
+        ids = F.transform(F.slice("__toks", 1, length), lookup)
+        return toks.select(id_col, F.size("__toks").alias("n_tokens"),
+                           F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
+                           mask(F.least(F.size("__toks"), F.lit(length))).alias("attention_mask"))
     heads = toks.select(id_col, F.size("__toks").alias("n_tokens"),
                         F.posexplode_outer(F.slice("__toks", 1, length)).alias("pos", "token"))
     looked = heads.join(F.broadcast(small), "token", "left")
@@ -88,12 +124,8 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
                    F.struct("pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
     grouped = looked.groupBy(id_col, "n_tokens").agg(F.array_sort(F.collect_list(entry)).alias("e"))
     ids = F.transform(F.col("e"), lambda x: x["id"])
-    pad = F.array_repeat(F.lit(PAD_ID), length)
-    return grouped.select(
-        id_col, "n_tokens",
-        F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
-        F.transform(F.sequence(F.lit(1), F.lit(length)),
-                    lambda i: F.when(i <= F.size("e"), F.lit(1)).otherwise(F.lit(0))).alias("attention_mask"))
+    return grouped.select(id_col, "n_tokens", F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
+                          mask(F.size("e")).alias("attention_mask"))
 
 
 def encode_with(docs: DataFrame, tokenize, id_col: str = "doc_id", text_col: str = "text",
