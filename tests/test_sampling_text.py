@@ -52,7 +52,10 @@ def test_split_sizes_and_partition(spark, n):
     assert tr | te == set(range(n)) and not (tr & te)
 
 
-def test_encode_edges(spark):
+@pytest.mark.parametrize("inline", [True, False])
+def test_encode_edges(spark, monkeypatch, inline):
+    if not inline:   # the broadcast-join form used above the inline vocabulary size
+        monkeypatch.setattr(text, "INLINE_VOCABULARY", 0)
     docs = spark.createDataFrame([(1, ""), (2, "a b"), (3, "a b c d"), (4, "a b c d e f"), (5, "zz a")],
                                  "doc_id long, text string")
     vocab = spark.createDataFrame([("a", 10, 2), ("b", 5, 3), ("c", 4, 4), ("d", 3, 5)],
