@@ -39,3 +39,17 @@ def test_raw_kind_filter_matches_derived(spark):
         a = lifecycle_events(spark, SF, kinds=kinds).count()
         b = lifecycle_events(spark, SF).where(F.col("kind").isin(list(kinds))).count()
         assert a == b > 0
+
+
+def test_encode_is_one_narrow_projection(spark):
+    # the bounded vocabulary is a table inside the expression: no explode, join or shuffle
+    # the main tree only; the lines of the vocabulary subquery (a few rows) start with ':'
+    plan = "\n".join(line for line in _plan(QUERIES["encode_fixed"](spark, SF)).splitlines()
+                     if ":" not in line.split("+-")[0])
+    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan, plan
+
+
+def test_exact_sample_is_a_filter(spark):
+    # the n-th hash is found beforehand; the sample itself never goes through one task
+    plan = _plan(QUERIES["sample_exact"](spark, SF))
+    assert "TakeOrderedAndProject" not in plan and "Limit" not in plan, plan
