@@ -37,6 +37,8 @@ PIECES = regex.compile(PATTERN)
 SPANNING = re.compile(rf"[{SPACE}] (?:[{SPACE}]|\Z)")
 OTHER_SPACE = re.compile(rf"[^\S \n]|[\x85]")
 
+CLOSING = frozenset(".,;:!?")
+
 CACHE_UNITS = 250_000
 CACHE_PIECES = 150_000
 NO_RANK = np.int32(2**31 - 1)
@@ -129,6 +131,24 @@ class Vocabulary:
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def spans_units(text: str) -> bool:
+    """Whether a run of white space in the text lies across the borders of its units."""
+    if text.isascii():
+        odd = "  " in text or "\n " in text or " \n" in text or text.endswith(" ") or any(c in text for c in "\t\r\x0b\x0c")
+    else:
+        odd = "  " in text or "\n " in text or " \n" in text or text.endswith(" ") or OTHER_SPACE.search(text)
+    return bool(odd and SPANNING.search(text))
+
+
+def unit_pieces(prefix: str, unit: str) -> list[str]:
+    """Pre-tokens of one unit; the two common forms need no pattern."""
+    if unit.isalpha():
+        return [prefix + unit]
+    if unit[-1:] in CLOSING and unit[:-1].isalpha():
+        return [prefix + unit[:-1], unit[-1]]
+    return PIECES.findall(prefix + unit)
+
+
 class Encoder:
     """Encodes texts with caches of pieces and units that live as long as the worker."""
 
@@ -148,7 +168,7 @@ class Encoder:
         letters = [u for u in new if u.isalpha()]
         cache.update(zip(letters, self.v.merge_rounds([(prefix + u).encode("utf-8", "surrogatepass") for u in letters])))
         mixed = [u for u in new if not u.isalpha()]
-        split = [PIECES.findall(prefix + u) for u in mixed]
+        split = [unit_pieces(prefix, u) for u in mixed]
         self.learn_pieces(set().union(*split))
         of = self.pieces.__getitem__
         cache.update((u, b"".join(map(of, s))) for u, s in zip(mixed, split))
@@ -160,7 +180,7 @@ class Encoder:
         parts: dict[int, list[str]] = {}
         whole: dict[int, list[str]] = {}
         for i, t in enumerate(texts):
-            if ("  " in t or "\n " in t or " \n" in t or t.endswith(" ") or OTHER_SPACE.search(t)) and SPANNING.search(t):
+            if spans_units(t):
                 whole[i] = PIECES.findall(t)
             else:
                 parts[i] = t.split(" ")
