@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, token_counts, token_files
+from . import bpe, chat, minhash, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,6 +43,12 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+@query
+def op2_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents over four-word shingles."""
+    return minhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
