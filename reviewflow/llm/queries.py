@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, minhash, token_counts, token_files
+from . import bpe, chat, minhash, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,6 +49,16 @@ def op2_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by a model of the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.SCORE_CUT).cast("int").alias("predicted"))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
