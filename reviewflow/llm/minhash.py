@@ -349,7 +349,8 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id:
     # each representative's text, once; of an id with different texts, all of them
     sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    texts = texts.join(cells, "doc_id").withColumn("content", F.xxhash64("text")).dropDuplicates(["doc_id", "content"])
+    # merge: a broadcast would pass the ids of all near-duplicates through the driver
+    texts = texts.join(cells.hint("merge"), "doc_id").withColumn("content", F.xxhash64("text")).dropDuplicates(["doc_id", "content"])
     texts = written(texts.join(sizes, "cell").drop("content"), "candidates")
     links = confirm(texts.where(f"n <= {BLOCK}").withColumn("side", F.lit(-1)), words, percent)
     large = texts.where(f"n > {BLOCK}")
