@@ -370,6 +370,19 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each group the row with the least id (of repeated
+    rows one), and every row with a null id."""
+    found = groups(docs, words, percent, doc_id, text).where("doc_id is not null and not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    key = F.col(doc_id).cast("long")
+    rest = docs.join(found.hint("merge"), key == F.col("_gone"), "left_anti")
+    repeated = docs.select(key.alias("_id")).where("_id is not null").groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+    if repeated.isEmpty():
+        return rest
+    once = rest.join(repeated.hint("merge"), key == F.col("_id"), "left_semi").dropDuplicates([doc_id])
+    return rest.join(repeated.hint("merge"), key == F.col("_id"), "left_anti").unionByName(once)
+
+
 def large_group_links(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Confirmed links of candidate groups above BLOCK texts, in bounded cells."""
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")

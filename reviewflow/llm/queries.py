@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, minhash, token_counts, token_files, toxicity
+from . import bpe, chat, decontaminate, minhash, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +66,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(docs, tokenizer_path()))
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within the edit budget, with its place."""
+    return decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as an event log, folded, formatted and read back."""
