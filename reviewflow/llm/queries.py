@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, minhash, token_counts, token_files, toxicity
+from . import bpe, chat, decontaminate, embeddings, minhash, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.longest_prefix(token_counts.prefix_counts(docs, tokenizer_path()).drop("text"), TOKEN_LIMIT)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "chars_within")
+
+
+@query
+def op9_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings within their labels."""
+    return embeddings.groups(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
