@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, embeddings, minhash, token_counts, token_files, toxicity
+from . import bpe, chat, decontaminate, embeddings, html_template, minhash, token_counts, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,6 +59,20 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.SCORE_CUT).cast("int").alias("predicted"))
 
 
+@query
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of a WARC collection, audited against a replica that lost,
+    changed and gained records by a rule of the page id."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    name = F.sha2(F.concat(F.lit("replica "), F.col("page_id").cast("string")), 256)
+    salt = F.coalesce(F.conv(F.substring(name, 1, 7), 16, 10).cast("long") % 200, F.lit(0))
+    replica = pages.select("page_id", "url", F.when(salt == 1, F.concat(F.col("html"), F.lit("!")))
+                           .when(salt == 2, F.translate("html", "ae", "ea")).otherwise(F.col("html")).alias("html"), salt.alias("salt"))
+    gained = replica.where("salt = 4").select((-1 - F.col("page_id")).alias("page_id"), "url", "html")
+    replica = replica.where("salt <> 3").drop("salt").unionByName(gained)
+    return warc.audit(warc.records(pages), warc.records(replica))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
@@ -119,3 +133,26 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all embeddings within their labels."""
     return embeddings.groups(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_template.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+ORACLE["op4_warc_fixity"] = """
+WITH whole AS (
+  SELECT page_id, html, ('0x' || substr(sha256('replica ' || page_id), 1, 7))::BIGINT % 200 AS salt,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+    || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages),
+listed AS (
+  SELECT page_id, floor(page_id / 4096)::BIGINT AS file, strlen(record)::BIGINT AS length, sha256(record) AS digest,
+    CASE WHEN salt = 1 AND html IS NOT NULL OR salt = 2 AND translate(html, 'ae', 'ea') <> html THEN 'changed'
+      WHEN salt = 3 THEN 'missing' ELSE 'intact' END AS status FROM whole)
+SELECT page_id, file, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
+  length, digest, status FROM listed
+UNION ALL SELECT -1 - page_id, NULL, NULL, NULL, NULL, 'extra' FROM whole WHERE salt = 4"""
