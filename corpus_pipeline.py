@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from reviewflow.llm import bpe, decontaminate, minhash, toxicity
 from reviewflow.llm.queries import table, tokenizer_path
-from reviewflow.llm.runtime import scratch
+from reviewflow.llm.runtime import free_name, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents scored below the cut by a model fitted on the labels that aren't held out."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    scored = toxicity.score(docs, model, into="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.SCORE_CUT).drop("_toxicity")
+    name = free_name(docs, "_toxicity")
+    return toxicity.score(docs, model, into=name).where(F.col(name) < toxicity.SCORE_CUT).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,16 +111,17 @@ class Vocabulary:
             if not len(pos):
                 break
             # overlapping occurrences (a a a): every second one from the left
-            run = np.cumsum(np.r_[0, np.diff(pos) != 1])
-            pos = pos[(np.arange(len(pos)) - np.searchsorted(run, run)) % 2 == 0]
+            if (pos[1:] - pos[:-1] == 1).any():
+                run = np.cumsum(np.r_[0, np.diff(pos) != 1])
+                pos = pos[(np.arange(len(pos)) - np.searchsorted(run, run)) % 2 == 0]
             symbols[pos] = into[pos]
             keep[pos + 1] = False
             changed = np.zeros(len(symbols), bool)
             changed[pos] = True
             symbols, word, rank, into, changed = symbols[keep], word[keep], rank[keep], into[keep], changed[keep]
             # only pairs beside a new symbol have a new rank
+            changed[:-1] |= changed[1:].copy()
             at = np.nonzero(changed)[0]
-            at = np.unique(np.r_[at, at[at > 0] - 1])
             rank[at] = NO_RANK
             at = at[at < len(symbols) - 1]
             at = at[word[at] == word[at + 1]]

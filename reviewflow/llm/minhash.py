@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .runtime import ship, written
+from .runtime import free_name, ship, written
 
 WORDS = 4
 PERCENT = 80
@@ -373,14 +373,15 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id:
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each group the row with the least id (of repeated
     rows one), and every row with a null id."""
-    found = groups(docs, words, percent, doc_id, text).where("doc_id is not null and not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    own = free_name(docs, "_id")
     key = F.col(doc_id).cast("long")
-    rest = docs.join(found.hint("merge"), key == F.col("_gone"), "left_anti")
-    repeated = docs.select(key.alias("_id")).where("_id is not null").groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+    gone = groups(docs, words, percent, doc_id, text).where("doc_id is not null and not kept").select(F.col("doc_id").alias(own)).distinct()
+    rest = docs.join(gone.hint("merge"), key == F.col(own), "left_anti")
+    repeated = docs.select(key.alias(own)).where(F.col(own).isNotNull()).groupBy(own).agg(F.count("*").alias("n")).where("n > 1").select(own)
     if repeated.isEmpty():
         return rest
-    once = rest.join(repeated.hint("merge"), key == F.col("_id"), "left_semi").dropDuplicates([doc_id])
-    return rest.join(repeated.hint("merge"), key == F.col("_id"), "left_anti").unionByName(once)
+    once = rest.join(repeated.hint("merge"), key == F.col(own), "left_semi").dropDuplicates([doc_id])
+    return rest.join(repeated.hint("merge"), key == F.col(own), "left_anti").unionByName(once)
 
 
 def large_group_links(texts: DataFrame, words: int, percent: int) -> DataFrame:

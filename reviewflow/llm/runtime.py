@@ -9,6 +9,7 @@ import uuid
 import zipfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -86,14 +87,22 @@ class Generations(dict):
 
 
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000, rows: int = 2_000):
-    """Slices of a batch with their texts (null: empty), bounded by characters, so that
-    what a worker holds doesn't follow the batch size. One long text is a slice of its own."""
-    texts = [t if t is not None else "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+    """Slices of a batch with their texts (null: empty), bounded by bytes, so that what a
+    worker holds doesn't follow the batch size. One long text is a slice of its own."""
+    at = batch.schema.get_field_index(column)
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
     start = held = 0
-    for i, t in enumerate(texts):
-        if i > start and (held + len(t) > chars or i - start >= rows):
-            yield batch.slice(start, i - start), texts[start:i]
+    for i, size in enumerate([*sizes, chars + 1]):
+        if i > start and (held + size > chars or i - start >= rows):
+            part = batch.slice(start, i - start)
+            yield part, [t if t is not None else "" for t in part.column(at).to_pylist()]
             start, held = i, 0
-        held += len(t)
-    if len(texts) > start:
-        yield batch.slice(start), texts[start:]
+        held += size
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it new to ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
