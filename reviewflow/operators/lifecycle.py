@@ -9,11 +9,10 @@ share of all events, so the fold must not run as one task per model. Events are
 into *chunks* of (model, time bucket), and the fold becomes three passes:
 
 1. **speculate** (per chunk, in parallel): run the chunk from every possible entry
-   state at once. Status and endpoint flag are finite; the idle deadline is not, so
-   an in-service entry carries a symbolic deadline interval that is split whenever a
-   status poll or an expiry test depends on it. Branches that reach the same state
-   merge. The result is a small piecewise map: entry state -> exit state (exit
-   deadline known, or "unchanged").
+   state at once, as vectors. Status and endpoint flag are finite, and a live deadline
+   is one of the whole seconds up to the idle time after the chunk's first event. The
+   result is a piecewise map of bounded size: entry state -> exit state (exit deadline
+   known, or "unchanged").
 2. **resolve** in two levels: the chunk maps of each super-chunk (``super_buckets``
    consecutive buckets) are composed in parallel; super-chunk entries are resolved per
    model in time order from the initial STOPPED state (``super_buckets`` times fewer
@@ -30,6 +29,9 @@ and list outputs are joins and aggregates on it.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,111 +139,144 @@ _NONE, _EXACT, _SYM = 0, 1, 2
 _PIECE_OF = {(STOPPED, False): "S", (CREATING, True): "C", (IN_SERVICE, True): "IT", (IN_SERVICE, False): "IF"}
 
 
-def _exact_step(status, has_ep, d, t, kind, valid, has_text, idle_us, extend_us):
-    """Apply one event to an exact state; also tells whether it created an endpoint."""
-    st = EndpointState(status, has_ep, d)
-    created = kind == "start" and valid and status == STOPPED   # callers pass the post-timer state
-    st.apply(0, t, kind, valid, has_text, idle_us, extend_us)
-    return st.status, st.has_ep, st.deadline, created
-
-
-def _step_branch(b, ev_id, t, kind, valid, has_text, idle_us, extend_us):
-    """One event on one branch ``(status, has_ep, dkind, dval, cycle, pieces)``; a
-    symbolic deadline ``dval = (lo, hi)`` stands for every entry deadline in [lo, hi);
-    ``cycle`` is the (event id, time) of the last endpoint creation in this branch, or
-    None while the branch still inherits the entry's cycle."""
-    status, has_ep, dk, dv, cyc, pieces = b
-    if dk != _SYM:
-        if status == IN_SERVICE and dv < t:          # timer first, then the event
-            status, has_ep, dv = STOPPED, False, None
-        ns, ne, nd, created = _exact_step(status, has_ep, dv, t, kind, valid, has_text, idle_us, extend_us)
-        return [(ns, ne, _EXACT if nd is not None else _NONE, nd, (ev_id, t) if created else cyc, pieces)]
-    (ptype, lo, hi), = pieces
-    out = []
-    if lo < t:                                   # deadline before this event: the timer fired
-        cut = min(hi, t)
-        ns, ne, nd, created = _exact_step(STOPPED, False, None, t, kind, valid, has_text, idle_us, extend_us)
-        out.append((ns, ne, _EXACT if nd is not None else _NONE, nd, (ev_id, t) if created else cyc,
-                    [(ptype, lo, cut)]))
-        if cut >= hi:
-            return out
-        lo = cut
-    if kind == "in_service" or (kind == "predict" and has_ep):
-        out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), cyc, [(ptype, lo, hi)]))
-    elif kind == "shutdown":
-        out.append((STOPPED, False, _NONE, None, cyc, [(ptype, lo, hi)]))
-    elif kind == "status":
-        x = t + extend_us                        # extends when the deadline is before x
-        if lo < x:
-            out.append((IN_SERVICE, has_ep, _EXACT, _deadline(t, idle_us), cyc, [(ptype, lo, min(hi, x))]))
-        if hi > x:
-            nlo = max(lo, x)
-            out.append((IN_SERVICE, has_ep, _SYM, (nlo, hi), cyc, [(ptype, nlo, hi)]))
-    else:                                        # start, predict without endpoint: unchanged
-        out.append((IN_SERVICE, has_ep, _SYM, (lo, hi), cyc, [(ptype, lo, hi)]))
-    return out
-
-
-def _merge(branches):
-    seen = {}
-    for b in branches:
-        key = b[:5]
-        if key in seen:
-            seen[key][5].extend(b[5])
-        else:
-            seen[key] = [*b[:5], list(b[5])]
-    return [tuple(v) for v in seen.values()]
-
-
-def speculate_chunk(events, idle_us: int, extend_us: int):
-    """Fold one chunk's events ``(event_id, ts, kind, valid_start, has_text)`` (time
-    order) from all entry states; returns a list of ``(piece_type, lo, hi,
-    exit_status, exit_has_ep, exit_dkind, exit_deadline, exit_cycle)``."""
-    branches = [(STOPPED, False, _NONE, None, None, [("S", _LO, _HI)]),
-                (CREATING, True, _NONE, None, None, [("C", _LO, _HI)]),
-                (IN_SERVICE, True, _SYM, (_LO, _HI), None, [("IT", _LO, _HI)]),
-                (IN_SERVICE, False, _SYM, (_LO, _HI), None, [("IF", _LO, _HI)])]
-    for ev_id, t, kind, valid, has_text in events:
-        nxt = []
-        for b in branches:
-            nxt.extend(_step_branch(b, ev_id, t, kind, valid, has_text, idle_us, extend_us))
-        branches = _merge(nxt) if len(nxt) > 1 else nxt
-    return [(p[0], p[1], p[2], b[0], b[1], b[2], b[3] if b[2] == _EXACT else None, b[4])
-            for b in branches for p in b[5]]
+_S, _C, _I = 0, 1, 2
+_STATUS = (STOPPED, CREATING, IN_SERVICE)
+_NO_DEADLINE = -(1 << 62)
+_PIECE_ROWS = 10_000
+
+
+class ChunkFold:
+    """Folds a chunk's events, as they arrive, from all entry states at once.
+
+    A deadline is a whole second, and one that is live at the chunk's first event lies at
+    most the idle time after it, so the entry states are finitely many: STOPPED, CREATING,
+    and IN_SERVICE with or without an endpoint name, expired or with one of these seconds
+    (1,801 at 30 minutes). They are held as vectors; equal columns are joined from time to
+    time. An event costs a few vector operations, whatever came before, and the chunk's map
+    has at most as many pieces as there are entry states."""
+
+    def __init__(self, first_us: int, idle_us: int, extend_us: int):
+        self.idle_us, self.extend_us = idle_us, extend_us
+        live = np.arange(-(-first_us // _SEC_US), (first_us + idle_us) // _SEC_US + 1) * _SEC_US
+        k = len(live)
+        #: entries: S, C, then (expired, live seconds) with and without an endpoint name
+        self.entry = np.concatenate([[_NO_DEADLINE] * 3, live, [_NO_DEADLINE], live])
+        self.low = np.concatenate([[_LO] * 3, live, [_LO], live])
+        self.kind = np.repeat([0, 1, 2, 3], [1, 1, k + 1, k + 1])
+        live_at = self.entry != _NO_DEADLINE
+        self.status = np.where(live_at, _I, np.where(self.kind == 1, _C, _S))
+        self.has_ep = live_at & (self.kind == 2) | (self.kind == 1)
+        self.deadline = self.entry.copy()
+        self.cycle = np.full(len(self.entry), -1)       # position in ``created``; -1: the entry's
+        self.created: list[tuple[int, int]] = []
+        self.owner = np.arange(len(self.entry))         # entry -> column
+        self.steps, self.wait = 0, 16
+
+    def step(self, ev_id: int, t: int, kind: str, valid: bool) -> None:
+        gone = (self.status == _I) & (self.deadline < t)
+        if gone.any():                                  # the timer first, then the event
+            self._stop(gone)
+        if kind == "start" and valid:
+            new = self.status == _S
+            if new.any():
+                self.status[new], self.has_ep[new], self.cycle[new] = _C, True, len(self.created)
+                self.created.append((ev_id, t))
+        elif kind == "in_service":
+            self.status[:], self.deadline[:] = _I, _deadline(t, self.idle_us)
+        elif kind == "status":
+            self.deadline[(self.status == _I) & (self.deadline - t < self.extend_us)] = _deadline(t, self.idle_us)
+        elif kind == "predict":
+            self.deadline[(self.status == _I) & self.has_ep] = _deadline(t, self.idle_us)
+        elif kind == "shutdown":
+            self._stop(slice(None))
+        self.steps += 1
+        if self.steps >= self.wait and len(self.status) > 1:
+            self._join()
+
+    def _stop(self, where) -> None:
+        self.status[where], self.has_ep[where], self.deadline[where] = _S, False, _NO_DEADLINE
+
+    def _join(self) -> None:
+        columns = np.stack([self.status, self.has_ep, self.deadline, self.cycle])
+        order = np.lexsort(columns)
+        differ = np.r_[True, (columns[:, order[1:]] != columns[:, order[:-1]]).any(0)]
+        name = np.empty(len(order), int)
+        name[order] = np.cumsum(differ) - 1
+        keep = order[differ]
+        shrunk = len(keep) < 0.9 * len(order)
+        if len(keep) < len(order):
+            self.owner = name[self.owner]
+            self.status, self.has_ep = self.status[keep], self.has_ep[keep]
+            self.deadline, self.cycle = self.deadline[keep], self.cycle[keep]
+        self.steps, self.wait = 0, 16 if shrunk else min(2 * self.wait, 1024)
+
+    def pieces(self) -> list[tuple]:
+        """``(piece_type, lo, hi, exit_status, exit_has_ep, exit_dkind, exit_deadline,
+        exit_cycle)``; a deadline that is the entry's is symbolic, neighbouring entries with
+        the same exit are one piece."""
+        st, ep, d, cyc = (x[self.owner] for x in (self.status, self.has_ep, self.deadline, self.cycle))
+        same = (st == _I) & (d == self.entry)
+        shown = np.where(same, 1, d)                    # no whole second in microseconds is 1
+        rows = np.stack([self.kind, st, ep, shown, cyc])
+        heads = np.flatnonzero(np.r_[True, (rows[:, 1:] != rows[:, :-1]).any(0)])
+        names, out = ("S", "C", "IT", "IF"), []
+        for i, nxt in zip(heads.tolist(), [*heads[1:].tolist(), len(st)]):
+            last_of_kind = nxt == len(st) or self.kind[nxt] != self.kind[i]
+            dk = _SYM if same[i] else _EXACT if st[i] == _I else _NONE
+            out.append((names[self.kind[i]], int(self.low[i]), _HI if last_of_kind else int(self.low[nxt]),
+                        _STATUS[st[i]], bool(ep[i]), dk, int(d[i]) if dk == _EXACT else None,
+                        self.created[cyc[i]] if cyc[i] >= 0 else None))
+        return out
+
+
+def identity_map() -> list[tuple]:
+    """The map of a chunk without events."""
+    return [("S", _LO, _HI, STOPPED, False, _NONE, None, None), ("C", _LO, _HI, CREATING, True, _NONE, None, None),
+            ("IT", _LO, _HI, IN_SERVICE, True, _SYM, None, None), ("IF", _LO, _HI, IN_SERVICE, False, _SYM, None, None)]
+
+
+def speculate_chunk(events, idle_us: int, extend_us: int) -> list[tuple]:
+    """The map of one chunk's events ``(event_id, ts, kind, valid_start, has_text)`` in time order."""
+    fold = None
+    for ev_id, t, kind, valid, _ in events:
+        fold = fold or ChunkFold(t, idle_us, extend_us)
+        fold.step(ev_id, t, kind, valid)
+    return fold.pieces() if fold else identity_map()
 
 
+_PIECE_COLS = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline",
+               "exit_cycle_id", "exit_cycle_ts"]
 _SPEC_SCHEMA = ("model_id string, bucket long, piece string, lo long, hi long, exit_status string, "
                 "exit_has_ep boolean, exit_dkind int, exit_deadline long, exit_cycle_id long, "
                 "exit_cycle_ts long")
 
 
 def _speculate_fn(idle_us: int, extend_us: int):
-    cols = ["event_id", "ts_us", "kind", "valid_start", "has_text"]
+    cols = ["event_id", "ts_us", "kind", "valid_start"]
+    names = ["model_id", "bucket", *_PIECE_COLS]
 
     def run(batches):
-        out = {c: [] for c in ["model_id", "bucket", "piece", "lo", "hi", "exit_status", "exit_has_ep",
-                               "exit_dkind", "exit_deadline", "exit_cycle_id", "exit_cycle_ts"]}
-        key, evs = None, []
-
-        def flush():
-            for row in speculate_chunk(evs, idle_us, extend_us):
-                cyc = row[7] or (None, None)
-                for c, v in zip(out, key + row[:7] + cyc):
-                    out[c].append(v)
+        rows, key, fold = [], None, None
 
-        for k, r in _rows(batches, ["model_id", "bucket"], cols):
-            if k != key:
-                if key is not None:
-                    flush()
-                key, evs = k, []
-            evs.append((r["event_id"], r["ts_us"], r["kind"], r["valid_start"], r["has_text"]))
-        if key is not None:
-            flush()
-        if out["model_id"]:
-            res = pd.DataFrame(out)
-            for c in ("exit_deadline", "exit_cycle_id", "exit_cycle_ts"):
-                res[c] = res[c].astype("Int64")
-            yield res
+        def close():
+            rows.extend(key + p[:7] + (p[7] or (None, None)) for p in fold.pieces())
+
+        def frame():
+            return _piece_frame(dict(zip(names, map(list, zip(*rows)))))
+
+        for pdf in batches:
+            for m, b, i, t, kind, valid in zip(*(pdf[c].tolist() for c in ["model_id", "bucket", *cols])):
+                if (m, b) != key:
+                    if fold is not None:
+                        close()
+                    if len(rows) >= _PIECE_ROWS:
+                        yield frame()
+                        rows.clear()
+                    key, fold = (m, b), ChunkFold(t, idle_us, extend_us)
+                fold.step(i, t, kind, valid)
+        if fold is not None:
+            close()
+            yield frame()
     return run
 
 
@@ -271,27 +306,34 @@ def apply_map(state, pieces):
 
 def compose_maps(f, g):
     """Map of 'f, then g' for piecewise maps (pieces as in ``speculate_chunk``)."""
+    after: dict[str, list] = {}
+    for p in sorted(g, key=lambda p: p[1]):
+        after.setdefault(p[0], []).append(p)
+    lows = {k: [p[1] for p in v] for k, v in after.items()}
     out = []
     for pt, lo, hi, xs, xe, xk, xd, xc in f:
         qt = _PIECE_OF[(xs, xe)]
-        for qt2, qlo, qhi, ys, ye, yk, yd, yc in g:
-            if qt2 != qt:
-                continue
-            cyc = yc if yc is not None else xc
-            if xk == _SYM:
-                # f leaves the entry deadline in place: g's pieces split [lo, hi)
-                a, b = max(lo, qlo), min(hi, qhi)
-                if a < b:
-                    out.append((pt, a, b, ys, ye, yk, yd, cyc))
-            else:
-                d = xd if xk == _EXACT else None
-                if qt in ("S", "C") or qlo <= d < qhi:
-                    if yk == _SYM:          # g keeps f's (known) deadline
-                        out.append((pt, lo, hi, ys, ye, _EXACT, d, cyc))
-                    else:
-                        out.append((pt, lo, hi, ys, ye, yk, yd, cyc))
-                    break
-    return out
+        later = after[qt]
+        if xk == _SYM:                      # f leaves the entry deadline in place: g's pieces split [lo, hi)
+            k = bisect_right(lows[qt], lo) - 1
+            while k < len(later) and later[k][1] < hi:
+                _, qlo, qhi, ys, ye, yk, yd, yc = later[k]
+                out.append((pt, max(lo, qlo), min(hi, qhi), ys, ye, yk, yd, yc if yc is not None else xc))
+                k += 1
+        else:
+            _, _, _, ys, ye, yk, yd, yc = later[bisect_right(lows[qt], xd) - 1 if qt in ("IT", "IF") else 0]
+            if yk == _SYM:                  # g keeps f's known deadline
+                yk, yd = _EXACT, xd
+            out.append((pt, lo, hi, ys, ye, yk, yd, yc if yc is not None else xc))
+    # neighbours with the same exit are one piece
+    out.sort(key=lambda p: (p[0], p[1]))
+    joined = []
+    for p in out:
+        if joined and joined[-1][0] == p[0] and joined[-1][2] == p[1] and joined[-1][3:] == p[3:]:
+            joined[-1] = (p[0], joined[-1][1], *p[2:])
+        else:
+            joined.append(p)
+    return joined
 
 
 def resolve_chunks(chunks, start=_START):
@@ -305,8 +347,6 @@ def resolve_chunks(chunks, start=_START):
     return out
 
 
-_PIECE_COLS = ["piece", "lo", "hi", "exit_status", "exit_has_ep", "exit_dkind", "exit_deadline",
-               "exit_cycle_id", "exit_cycle_ts"]
 _ENTRY_COLS = ["entry_status", "entry_has_ep", "entry_deadline", "entry_cycle_id", "entry_cycle_ts"]
 
 
@@ -486,9 +526,6 @@ def _by(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
     return df.repartition(n, *cols) if n else df.repartition(*cols)
 
 
-# Chunk entries are broadcast to the annotation pass only below this many chunks
-# (about 60 bytes each); above it they are shuffled in with the events instead.
-MAX_BROADCAST_CHUNKS = 2_000_000
 # Buckets per super-chunk in the two-level resolution of pass 2.
 SUPER_BUCKETS = 1024
 
@@ -496,7 +533,6 @@ SUPER_BUCKETS = 1024
 def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
              extend_below_minutes: int = EXTEND_BELOW_MINUTES,
              bucket_seconds: int = BUCKET_SECONDS,
-             max_broadcast_chunks: int = MAX_BROADCAST_CHUNKS,
              super_buckets: int = SUPER_BUCKETS) -> DataFrame:
     """One row per event (``row_type='event'``) and per timer firing (``'timer'``)
     with the status before and after, the response code and action, the deadline
@@ -522,19 +558,11 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
                     .mapInPandas(_compose_fn(), _SUPER_SCHEMA))
     super_entries = checkpointed(supers.repartition("model_id").sortWithinPartitions("model_id", "super")
                                  .mapInPandas(_resolve_supers_fn(), _SUPER_ENTRY_SCHEMA))
-    if super_entries.count() <= max_broadcast_chunks:
-        seeded = pieces.join(F.broadcast(super_entries), ["model_id", "super"])
-    else:
-        seeded = pieces.join(super_entries, ["model_id", "super"])
+    seeded = pieces.join(super_entries, ["model_id", "super"])
     entries = (_by(seeded, n, "model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
                      .mapInPandas(_resolve_within_fn(), _ENTRY_SCHEMA))
     entries = checkpointed(entries)
-    if entries.count() <= max_broadcast_chunks:
-        # broadcast keeps the stream side's partitioning and order
-        joined = staged.join(F.broadcast(entries), ["model_id", "bucket"])
-    else:
-        joined = _by(staged.join(entries, ["model_id", "bucket"]), n, "model_id", "bucket") \
-            .sortWithinPartitions(*order)
+    joined = _by(staged.join(entries, ["model_id", "bucket"]), n, "model_id", "bucket").sortWithinPartitions(*order)
     rows = joined.select("model_id", "bucket", "event_id", "ts_us", "kind", "name", "phone", "valid_start",
                          "has_text", "entry_status", "entry_has_ep", "entry_deadline", "entry_cycle_id",
                          "entry_cycle_ts", "is_last") \
