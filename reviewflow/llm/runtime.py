@@ -83,7 +83,8 @@ class Generations(dict):
 
     def unknown(self, keys: set) -> list:
         """The keys that are in neither generation."""
-        return list(keys.difference(self).difference(self.old))
+        # membership tests, key by key: a set difference would walk through the whole cache
+        return [k for k in keys.difference(self.old) if k not in self]
 
 
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000, rows: int = 2_000):
