@@ -1,6 +1,6 @@
 """The reference's end-to-end jobs as single calls, built from the operators.
 
-``clean_reviews``: raw JSON lines -> review fields -> drop empty / sentinel-only
+``clean_reviews``: raw JSON lines (malformed ones quarantined) -> review fields -> drop empty / sentinel-only
 columns -> data-quality rules -> snappy Parquet (written row count as a run metric).
 ``prepare_reviews``: processed Parquet -> label and text columns -> Parquet, plus an
 exact seeded sample. ``train_classifier``: prepared Parquet ->
@@ -21,17 +21,31 @@ def clean_reviews(spark: SparkSession, raw_path: str, out_path: str,
                   fields=tuple(prepare.REVIEW_FIELDS), null_strings=(), null_numbers=(),
                   rules=quality.DEFAULT_RULES, on_fail: str = "report",
                   partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
-    """Returns (rule table, run metrics). The quality outcome does not block the write
+    """Returns (rule table, run metrics).
+
+    The raw lines are parsed once: the wanted fields are staged as Parquet below
+    ``<out_path>.staged``, partitioned by good and malformed lines; the profile, the rules and
+    the written rows come from the good partition, the malformed lines stay in the other
+    (``files.bad_rows``) and are counted. The rule table is stored below ``<out_path>.rules``.
+
+    The quality outcome does not block the write
     unless ``on_fail="raise"``. The written row count is read from the Parquet footers
     (no data pass). ``observe`` would do it inside the write, but on Spark 4.1 a session
     that has used an ``Observation`` can no longer run the RDD-based ML evaluators."""
-    raw = files.read_json_lines(spark, raw_path, schema=schema)
-    selected = prepare.select_fields(raw, fields)
-    kept = clean.drop_null_fields(selected, null_strings, null_numbers)
-    report = quality.evaluate(kept, rules, on_fail)
+    if schema is None:
+        found = files.read_json_lines(spark, raw_path).schema
+        schema = T.StructType([f for f in found.fields if f.name != files.CORRUPT_COLUMN])
+    raw = files.flag_corrupt(files.read_json_permissive(spark, raw_path, schema))
+    wanted = prepare.select_fields(raw, (*fields, files.CORRUPT_COLUMN, files.BAD_COLUMN))
+    staged_path = f"{out_path}.staged"
+    files.write_parquet(wanted, staged_path, (files.BAD_COLUMN,))
+    staged = spark.read.schema(wanted.schema).parquet(staged_path)
+    kept = clean.drop_null_fields(files.good_rows(staged), null_strings, null_numbers)
+    files.write_parquet(quality.evaluate(kept, rules, on_fail), f"{out_path}.rules")
+    report = files.read_parquet(spark, f"{out_path}.rules")
     files.write_parquet(kept, out_path, partition_by)
-    written = files.read_parquet(spark, out_path).count()
-    return report, {"rows_written": written, "columns_written": len(kept.columns)}
+    return report, {"rows_written": files.read_parquet(spark, out_path).count(),
+                    "rows_quarantined": files.bad_rows(staged).count(), "columns_written": len(kept.columns)}
 
 
 def prepare_reviews(spark: SparkSession, processed_path: str, out_path: str,

@@ -25,11 +25,16 @@ _NUMBER_TYPES = (T.IntegerType, T.LongType, T.DoubleType)
 
 @dataclass(frozen=True)
 class Leaf:
-    path: str            # dotted path, e.g. "meta.lang" or "tags.code"
+    names: tuple[str, ...]   # e.g. ("meta", "lang"); a name may itself hold a dot
     data_type: T.DataType
     expr: Column         # scalar value, or an array of values below an array of struct
     in_array: bool
 
+    @property
+    def path(self) -> str:
+        """For display: names joined by dots, quoted where they hold a dot or a backtick."""
+        return ".".join(_quote(n) if "." in n or "`" in n else n for n in self.names)
+
 
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -43,24 +48,23 @@ def _field_getter(name: str):
 def leaves(schema: T.StructType) -> list[Leaf]:
     out: list[Leaf] = []
 
-    def walk(dtype: T.DataType, path: str, expr: Column, in_array: bool) -> None:
+    def walk(dtype: T.DataType, names: tuple[str, ...], expr: Column, in_array: bool) -> None:
         if isinstance(dtype, T.StructType):
             for f in dtype.fields:
-                sub_path = f"{path}.{f.name}" if path else f.name
-                if not path:
+                if not names:
                     sub = F.col(_quote(f.name))
                 elif in_array:
                     sub = F.transform(expr, _field_getter(f.name))
                 else:
                     sub = expr[f.name]
-                walk(f.dataType, sub_path, sub, in_array)
+                walk(f.dataType, (*names, f.name), sub, in_array)
         elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
             # an array of struct below another array: one flat array of elements
-            walk(dtype.elementType, path, F.flatten(expr) if in_array else expr, True)
+            walk(dtype.elementType, names, F.flatten(expr) if in_array else expr, True)
         else:
-            out.append(Leaf(path, dtype, expr, in_array))
+            out.append(Leaf(names, dtype, expr, in_array))
 
-    walk(schema, "", None, False)
+    walk(schema, (), None, False)
     return out
 
 
@@ -133,19 +137,19 @@ def profile(df: DataFrame, null_strings: Iterable = (), null_numbers: Iterable =
     return flat.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _touched(prefix: str, gone: set[str]) -> bool:
-    return any(p == prefix or p.startswith(prefix + ".") for p in gone)
+def _touched(prefix: tuple[str, ...], gone: set) -> bool:
+    return any(p[:len(prefix)] == prefix for p in gone)
 
 
-def _survives(dtype: T.DataType, prefix: str, gone: set[str]) -> bool:
+def _survives(dtype: T.DataType, prefix: tuple[str, ...], gone: set) -> bool:
     if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
         return _survives(dtype.elementType, prefix, gone)
     if isinstance(dtype, T.StructType):
-        return any(_survives(f.dataType, f"{prefix}.{f.name}", gone) for f in dtype.fields)
+        return any(_survives(f.dataType, (*prefix, f.name), gone) for f in dtype.fields)
     return prefix not in gone
 
 
-def _drop_paths(dtype: T.DataType, expr: Column, prefix: str, gone: set[str]) -> Column | None:
+def _drop_paths(dtype: T.DataType, expr: Column, prefix: tuple[str, ...], gone: set) -> Column | None:
     """Rebuild ``expr`` without the leaf paths in ``gone``; None when nothing is left."""
     if not _touched(prefix, gone):
         return expr
@@ -154,18 +158,20 @@ def _drop_paths(dtype: T.DataType, expr: Column, prefix: str, gone: set[str]) ->
     if isinstance(dtype, T.ArrayType):
         et = dtype.elementType
         return F.transform(expr, lambda x: _drop_paths(et, x, prefix, gone))
-    kept = [(f.name, _drop_paths(f.dataType, expr[f.name], f"{prefix}.{f.name}", gone))
-            for f in dtype.fields if _survives(f.dataType, f"{prefix}.{f.name}", gone)]
+    kept = [(f.name, _drop_paths(f.dataType, expr[f.name], (*prefix, f.name), gone))
+            for f in dtype.fields if _survives(f.dataType, (*prefix, f.name), gone)]
     return F.when(expr.isNull(), F.lit(None)).otherwise(F.struct(*[e.alias(n) for n, e in kept]))
 
 
-def drop_fields(df: DataFrame, paths: Iterable[str]) -> DataFrame:
+def drop_fields(df: DataFrame, paths: Iterable[str | tuple[str, ...]]) -> DataFrame:
     """Drop leaf paths, inside structs and arrays of structs too; a parent whose
-    children all go is dropped as well."""
-    gone = set(paths)
+    children all go is dropped as well. A path is a tuple of names, or the display form
+    of the profile (a name that holds a dot is quoted there)."""
+    by_path = {leaf.path: leaf.names for leaf in leaves(df.schema)}
+    gone = {by_path.get(p, (p,)) if isinstance(p, str) else tuple(p) for p in paths}
     cols = []
     for f in df.schema.fields:
-        e = _drop_paths(f.dataType, F.col(_quote(f.name)), f.name, gone)
+        e = _drop_paths(f.dataType, F.col(_quote(f.name)), (f.name,), gone)
         if e is not None:
             cols.append(e.alias(f.name))
     return df.select(*cols)

@@ -2,10 +2,9 @@
 
 Tokens are lower-case runs of ``[a-z0-9]``. Counting explodes tokens and
 aggregates with a map-side partial aggregate, so a very common token is combined
-inside each task before the shuffle. The vocabulary is a top-k, bounded by k; the
-encoder tokenises the whole text (its full token count is kept), looks the first
-``length`` tokens up by a broadcast join against the vocabulary (written once to the
-shared checkpoint folder, its row count checked first) and emits their ids, padded.
+inside each task before the shuffle. The encoder tokenises the whole text (its full
+token count is kept), looks the first ``length`` tokens up in the whole vocabulary by a
+join and emits their ids, padded.
 """
 
 from __future__ import annotations
@@ -16,11 +15,12 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-# Token pattern, padding and unknown ids, encoded length, vocabulary size.
+# Token pattern, padding and unknown ids, the model's input length (the
+# truncation is its feature), size of the top-k vocabulary report.
 TOKEN_PATTERN = "[a-z0-9]+"
 PAD_ID = 0
 UNKNOWN_ID = 1
-ENCODED_LENGTH = 32
+ENCODED_LENGTH = 512
 VOCABULARY_SIZE = 1000
 
 
@@ -38,20 +38,17 @@ def tokens(text: Column | str) -> Column:
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``token, n_occurrences, n_docs`` over the whole of every text.
 
-    One shuffle: the exploded tokens (one per occurrence) and the exploded distinct
-    tokens of each document (one per document) are unioned and summed by a single
-    aggregate with a map-side combine, so a very common token is folded inside each
-    task before anything is sent."""
+    One shuffle: each text gives a row for every token and one for every distinct token,
+    from one tokenisation, summed by a single aggregate with a map-side combine, so a very
+    common token is folded inside each task before anything is sent."""
     base = docs.select(tokens(text_col).alias("__t"))
-    # explode_outer: a plain explode makes Catalyst add a size(tokens) > 0 filter below
-    # it, which would tokenise every whole text a second time
-    occ = (base.select(F.explode_outer("__t").alias("token"), F.lit(1).alias("o"), F.lit(0).alias("d"))
-               .where(F.col("token").isNotNull()))
-    per_doc = (base.select(F.explode_outer(F.array_distinct("__t")).alias("token"), F.lit(0).alias("o"),
-                           F.lit(1).alias("d"))
-                   .where(F.col("token").isNotNull()))
-    return occ.unionByName(per_doc).groupBy("token").agg(F.sum("o").cast("long").alias("n_occurrences"),
-                                                         F.sum("d").cast("long").alias("n_docs"))
+    entry = lambda o, d: lambda x: F.struct(x.alias("token"), F.lit(o).alias("o"), F.lit(d).alias("d"))
+    both = F.concat(F.transform("__t", entry(1, 0)), F.transform(F.array_distinct("__t"), entry(0, 1)))
+    # explode_outer: a plain explode makes Catalyst add a size filter below it, which
+    # would tokenise every whole text a second time
+    rows = base.select(F.explode_outer(both).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    return rows.groupBy("token").agg(F.sum("o").cast("long").alias("n_occurrences"),
+                                     F.sum("d").cast("long").alias("n_docs"))
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
@@ -63,69 +60,44 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
                       (F.row_number().over(w) + UNKNOWN_ID).cast("int").alias("token_id"))
 
 
-# Vocabularies up to this many entries are looked up in place (a hashed table inside
-# the expression, shipped with each task); larger ones go through a broadcast join.
-INLINE_VOCABULARY = 1 << 16
+def full_vocabulary(counts: DataFrame) -> DataFrame:
+    """Every token with its id: the rank by occurrences (ties by token) from 2 upward.
 
-
-def _hashed_table(small: DataFrame, buckets: int) -> Column:
-    """The vocabulary as ``array<map<token, id>>`` indexed by ``pmod(xxhash64(token),
-    buckets)``, about four tokens per map, computed once as a scalar subquery."""
-    spark = small.sparkSession
-    per = (small.groupBy(F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("b"))
-                .agg(F.map_from_entries(F.collect_list(F.struct("token", "token_id"))).alias("m")))
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
-    dense = (spark.range(buckets).withColumnRenamed("id", "b").join(per, "b", "left")
-                  .agg(F.array_sort(F.collect_list(F.struct("b", F.coalesce("m", empty).alias("m"))),
-                                    lambda x, y: F.signum(x["b"] - y["b"]).cast("int")).alias("e")))
-    return dense.select(F.transform("e", lambda x: x["m"])).scalar()
+    The ranks come from a range partitioning and each partition's row numbers; only one
+    row for each partition goes through a single task."""
+    order = (F.col("n_occurrences").desc(), F.col("token").asc())
+    part = F.spark_partition_id()
+    placed = checkpointed(counts.select("token", "n_occurrences").repartitionByRange(*order).sortWithinPartitions(*order)
+                          .select("token", "n_occurrences", part.alias("part"),
+                                  (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)).alias("row")))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return placed.join(starts, "part").select(
+        "token", "n_occurrences", (F.col("start") + F.col("row") + UNKNOWN_ID + 1).cast("int").alias("token_id"))
 
 
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           length: int = ENCODED_LENGTH, max_vocabulary: int = 1_000_000) -> DataFrame:
+           length: int = ENCODED_LENGTH) -> DataFrame:
     """``input_ids`` / ``attention_mask`` of exactly ``length`` entries plus the full
     token count of the whole text; unknown tokens get ``UNKNOWN_ID``, missing
-    positions ``PAD_ID``.
-
-    Up to ``INLINE_VOCABULARY`` entries the first ``length`` tokens are looked up in a
-    hashed table inside the expression: one narrow projection over the documents, no
-    explode and no shuffle. Above that they are exploded (at most ``length`` rows per
-    document), looked up by a broadcast join and regrouped per document. Either way the
-    vocabulary's row count is checked against ``max_vocabulary`` first."""
-    # the vocabulary is a top-k: write it once to the shared checkpoint folder (the
-    # counts behind it are not recomputed), and check its row count
-    small = checkpointed(vocab.select("token", "token_id"))
-    n_vocab = small.count()
-    if n_vocab > max_vocabulary:
-        raise ValueError("vocabulary too large to broadcast; lower its size")
-    # tokens in their own projection: next to a generator or a lambda the whole-text
-    # regex would otherwise run again for every use
-    toks = docs.select(id_col, tokens(text_col).alias("__toks"))
+    positions ``PAD_ID``. ``id_col`` is unique.
+
+    One plan at every size: at most ``length`` rows per document meet the vocabulary in an
+    unhinted join (common tokens are a skewed key, which AQE splits) and are regrouped."""
     pad = F.array_repeat(F.lit(PAD_ID), length)
-    mask = lambda n: F.transform(F.sequence(F.lit(1), F.lit(length)),
-                                 lambda i: F.when(i <= n, F.lit(1)).otherwise(F.lit(0)))
-    if n_vocab <= INLINE_VOCABULARY:
-        buckets = 1 << max(0, (max(n_vocab, 1) // 4).bit_length())
-        # a subquery may not sit inside a lambda: it is projected first and the lambda
-        # reads that column (Catalyst folds the two projections into one)
-        toks = toks.withColumn("__table", _hashed_table(small, buckets))
-
-        def lookup(t):
-            slot = F.element_at("__table", (F.pmod(F.xxhash64(t), F.lit(buckets)) + 1).cast("int"))
-            return F.coalesce(F.try_element_at(slot, t), F.lit(UNKNOWN_ID))
-        ids = F.transform(F.slice("__toks", 1, length), lookup)
-        return toks.select(id_col, F.size("__toks").alias("n_tokens"),
-                           F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
-                           mask(F.least(F.size("__toks"), F.lit(length))).alias("attention_mask"))
-    heads = toks.select(id_col, F.size("__toks").alias("n_tokens"),
-                        F.posexplode_outer(F.slice("__toks", 1, length)).alias("pos", "token"))
-    looked = heads.join(F.broadcast(small), "token", "left")
+    heads = (docs.select(id_col, tokens(text_col).alias("__toks"))
+             .select(id_col, F.size("__toks").alias("n_tokens"),
+                     F.posexplode_outer(F.slice("__toks", 1, length)).alias("pos", "token")))
+    looked = heads.join(vocab.select("token", "token_id"), "token", "left")
     entry = F.when(F.col("pos").isNotNull(),
                    F.struct("pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
     grouped = looked.groupBy(id_col, "n_tokens").agg(F.array_sort(F.collect_list(entry)).alias("e"))
     ids = F.transform(F.col("e"), lambda x: x["id"])
+    mask = F.transform(F.sequence(F.lit(1), F.lit(length)),
+                       lambda i: F.when(i <= F.size("e"), F.lit(1)).otherwise(F.lit(0)))
     return grouped.select(id_col, "n_tokens", F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
-                          mask(F.size("e")).alias("attention_mask"))
+                          mask.alias("attention_mask"))
 
 
 def encode_with(docs: DataFrame, tokenize, id_col: str = "doc_id", text_col: str = "text",

@@ -50,45 +50,58 @@ def scan_json_lines(spark, sf_dir):
     return _by_lang(files.read_json_lines(spark, path, DOC_SCHEMA))
 
 
-@query("scan_json_quarantine", """
-SELECT lang, count(*) AS n_docs, sum(n_chars) AS sum_chars, sum(length(text)) AS sum_text_length
-FROM documents GROUP BY lang
+_BY_LANG_QUARANTINE_SQL = _BY_LANG_SQL + """
 UNION ALL
 SELECT '_corrupt_record' AS lang, count(*) AS n_docs, CAST(NULL AS BIGINT) AS sum_chars,
        CAST(NULL AS BIGINT) AS sum_text_length
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 1""")
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 1"""
+
+
+def _lines_with_bad(spark, sf_dir, docs):
+    """Every row of ``docs`` as a JSON line, and documents labelled toxic also as a line
+    that is cut off (column ``value``; ``lang`` beside it)."""
+    bad_ids = read_table(spark, sf_dir, "labels").where(F.col("toxic") == 1).select("doc_id")
+    line = F.to_json(F.struct(*docs.columns))
+    good = docs.select("lang", line.alias("value"))
+    cut = docs.join(bad_ids, "doc_id", "left_semi").select("lang", F.substring(line, 1, 10).alias("value"))
+    return good.unionByName(cut)
+
+
+def _by_lang_and_bad(scan):
+    """Good rows by language and the number of bad ones, in one pass over the scan."""
+    bad = F.col(files.CORRUPT_COLUMN).isNotNull()
+    return (scan.groupBy(F.when(bad, F.lit(files.CORRUPT_COLUMN)).otherwise(F.col("lang")).alias("lang"))
+                .agg(F.count(F.lit(1)).alias("n_docs"),
+                     F.sum(F.when(~bad, F.col("n_chars"))).alias("sum_chars"),
+                     F.sum(F.when(~bad, F.length("text"))).alias("sum_text_length")))
+
+
+def _doc_lines(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    return _lines_with_bad(spark, sf_dir, docs)
+
+
+@query("scan_json_quarantine", _BY_LANG_QUARANTINE_SQL)
 def scan_json_quarantine(spark, sf_dir):
     """Every document as a good line; documents labelled toxic also as a cut-off line."""
-    docs = read_table(spark, sf_dir, "documents")
-    labels = read_table(spark, sf_dir, "labels")
-    line = F.to_json(F.struct("doc_id", "text", "lang", "n_chars"))
-    good = docs.select(line.alias("value"))
-    bad = (docs.join(labels.where(F.col("toxic") == 1).select("doc_id"), "doc_id", "left_semi")
-               .select(F.substring(line, 1, 24).alias("value")))
     path = scratch_path(spark, "raw-mixed")
-    good.unionByName(bad).write.mode("overwrite").text(path)
-    scan = files.read_json_permissive(spark, path, DOC_SCHEMA)
-    bad_flag = F.col(files.CORRUPT_COLUMN).isNotNull()
-    # good and bad rows counted in one pass over the scan
-    return (scan.groupBy(F.when(bad_flag, F.lit(files.CORRUPT_COLUMN)).otherwise(F.col("lang")).alias("lang"))
-                .agg(F.count(F.lit(1)).alias("n_docs"),
-                     F.sum(F.when(~bad_flag, F.col("n_chars"))).alias("sum_chars"),
-                     F.sum(F.when(~bad_flag, F.length("text"))).alias("sum_text_length")))
+    _doc_lines(spark, sf_dir).select("value").write.mode("overwrite").text(path)
+    return _by_lang_and_bad(files.read_json_permissive(spark, path, DOC_SCHEMA))
 
 
-@query("incremental_ingest", _BY_LANG_SQL)
+@query("incremental_ingest", _BY_LANG_QUARANTINE_SQL)
 def incremental_ingest(spark, sf_dir):
-    """Two runs over a growing raw folder: the second run reads only the new files."""
+    """Two runs over a growing raw folder that holds malformed lines too: the second run
+    reads only the new files, bad lines are quarantined."""
     src = scratch_path(spark, "incoming")
     sink = scratch_path(spark, "ingested")
     ckpt = scratch_path(spark, "ingest-ckpt")
-    docs = read_table(spark, sf_dir, "documents")
-    first = F.col("lang") == "en"
-    docs.where(first).write.mode("overwrite").json(f"{src}/batch=1")
-    files.ingest_new_json(spark, src, DOC_SCHEMA, sink, ckpt)
-    docs.where(~first | F.col("lang").isNull()).write.mode("overwrite").json(f"{src}/batch=2")
-    files.ingest_new_json(spark, src, DOC_SCHEMA, sink, ckpt)
-    return _by_lang(files.read_parquet(spark, sink))
+    lines = _doc_lines(spark, sf_dir)
+    first = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for k, part in enumerate((lines.where(first), lines.where(~first))):
+        part.select("value").write.mode("overwrite").text(f"{src}/batch={k}")
+        files.ingest_new_json(spark, src, DOC_SCHEMA, sink, ckpt)
+    return _by_lang_and_bad(files.read_parquet(spark, sink))
 
 
 _PREPARED_AGG_SQL = """
@@ -214,23 +227,25 @@ RAW_REVIEW_SCHEMA = T.StructType([
 @query("etl_job", """
 SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_columns, count(title) AS n_titles,
        sum(rating) AS sum_rating, sum(length(text)) AS sum_text_length,
-       'Passed' AS quality_outcome, count(*) AS rows_written
+       CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END AS quality_outcome, count(*) AS rows_written,
+       (SELECT count(*) FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 1) AS rows_quarantined
 FROM reviews""", ("reviews",))
 def etl_job(spark, sf_dir):
-    """The whole ETL job: reviews as raw JSON lines (one folder per language, plus an
-    always-empty extra field) -> select -> drop empty columns -> rules -> Parquet."""
+    """The whole ETL job: reviews as raw JSON lines (one folder per language, an
+    always-empty extra field, some lines cut off) -> select -> drop empty columns -> rules -> Parquet."""
     from ..jobs import clean_reviews
     raw = scratch_path(spark, "raw-reviews")
-    (reviews(spark, sf_dir).join(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-        .withColumn("extra_note", F.lit(None).cast("string"))
-        .write.mode("overwrite").partitionBy("lang").json(raw))
+    docs = (reviews(spark, sf_dir).join(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+            .withColumn("extra_note", F.lit(None).cast("string")))
+    _lines_with_bad(spark, sf_dir, docs).write.mode("overwrite").partitionBy("lang").text(raw)
     out = scratch_path(spark, "processed")
     report, metrics = clean_reviews(spark, raw, out, schema=RAW_REVIEW_SCHEMA)
-    outcome = report.first()["outcome"]
+    outcome = report.where("rule = 'ColumnCount > 0'").first()["outcome"]
     back = files.read_parquet(spark, out)
     return back.agg(F.count(F.lit(1)).alias("n_rows"),
                     F.lit(len(back.columns)).cast("long").alias("n_columns"),
                     F.count("title").alias("n_titles"), F.sum("rating").alias("sum_rating"),
                     F.sum(F.length("text")).alias("sum_text_length"),
                     F.lit(outcome).alias("quality_outcome"),
-                    F.lit(metrics["rows_written"]).cast("long").alias("rows_written"))
+                    F.lit(metrics["rows_written"]).cast("long").alias("rows_written"),
+                    F.lit(metrics["rows_quarantined"]).cast("long").alias("rows_quarantined"))

@@ -256,27 +256,41 @@ def subscriber_lists(spark, sf_dir):
                     F.when(F.col("action") == "create", F.lit("first")).otherwise(F.lit("joined")).alias("role"))
 
 
-SNAPSHOT_SQL = _CYCLES_SQL + """
-SELECT l.model_id, l.status AS status,
-       CASE WHEN l.has_ep THEN c.cycle_endpoint END AS endpoint_name,
-       l.deadline, l.event_id AS last_event_id,
-       CASE WHEN c.cycle_id IS NOT NULL AND s.in_service_at IS NULL THEN z.n_members ELSE 0 END
+def snapshot_sql(timers: str) -> str:
+    """State per model after its last row: its events and the timer rows that ``timers`` admits."""
+    return _CYCLES_SQL + f""",
+counted AS (
+  SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY ts DESC, row_type DESC, event_id DESC) AS newest
+  FROM annotated WHERE row_type = 'event' OR {timers}),
+latest_event AS (SELECT model_id, arg_max(event_id, (ts, event_id)) AS event_id FROM annotated WHERE row_type = 'event' GROUP BY model_id)
+SELECT l.model_id, l.status_after AS status,
+       CASE WHEN l.has_endpoint_after THEN l.cycle_endpoint END AS endpoint_name,
+       l.deadline, e.event_id AS last_event_id,
+       CASE WHEN l.cycle_id IS NOT NULL AND s.in_service_at IS NULL THEN z.n_members ELSE 0 END
          AS pending_subscribers
-FROM last_step l
-LEFT JOIN annotated c ON c.model_id = l.model_id AND c.row_type = 'event' AND c.event_id = l.event_id
-LEFT JOIN sizes z ON z.model_id = c.model_id AND z.cycle_id = c.cycle_id
-LEFT JOIN served s ON s.model_id = c.model_id AND s.cycle_id = c.cycle_id"""
+FROM counted l JOIN latest_event e ON e.model_id = l.model_id
+LEFT JOIN sizes z ON z.model_id = l.model_id AND z.cycle_id = l.cycle_id
+LEFT JOIN served s ON s.model_id = l.model_id AND s.cycle_id = l.cycle_id
+WHERE l.newest = 1"""
+
+
+# the idle timer fires once an event (of any model) is later than the deadline
+SNAPSHOT_SQL = snapshot_sql("ts < (SELECT max(ts) FROM annotated WHERE row_type = 'event')")
 
 
 @query("state_snapshot", SNAPSHOT_SQL, L)
 def state_snapshot(spark, sf_dir):
-    """Latest state per model (after its last event), as the state table would hold
-    it: status, endpoint, deadline and the subscribers still waiting."""
+    """State per model at the log's last time, as the state table would hold it: status
+    (timers that fired by then included), endpoint, deadline and the subscribers still waiting."""
     a = _annotated(spark, sf_dir)
-    last = (a.where(F.col("row_type") == "event").groupBy("model_id")
-              .agg(F.max(F.struct("ts_us", "event_id", "status_after", "has_endpoint_after",
-                                  "deadline_us", "cycle_id", "cycle_ts_us")).alias("l"))
-              .select("model_id", "l.*"))
+    event = F.col("row_type") == "event"
+    end = a.where(event).agg(F.max("ts_us")).first()[0]
+    rows = a.where(event | (F.col("ts_us") < F.lit(end)))
+    last = (rows.groupBy("model_id")
+              .agg(F.max(F.struct("ts_us", (~event).alias("timer"), "event_id", "status_after", "has_endpoint_after",
+                                  "deadline_us", "cycle_id", "cycle_ts_us")).alias("l"),
+                   F.max(F.when(event, F.struct("ts_us", "event_id"))).alias("e"))
+              .select("model_id", "l.status_after", "l.has_endpoint_after", "l.deadline_us", "l.cycle_id", "l.cycle_ts_us", "e.event_id"))
     c = lc.cycles(a).select("model_id", "cycle_id", "n_members",
                             F.col("first_in_service").isNull().alias("waiting"))
     j = last.join(c, ["model_id", "cycle_id"], "left")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import prepare as prep
 from ..operators import profile
-from ..tables import reviews
+from ..tables import read_table, reviews, reviews_from
 from .registry import query
 
 R = ("reviews",)
@@ -15,13 +15,15 @@ R = ("reviews",)
 @query("scan_parquet_shape", """
 SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_columns FROM reviews""", R)
 def scan_parquet_shape(spark, sf_dir):
-    return profile.shape(reviews(spark, sf_dir))
+    return profile.shape(reviews(spark, sf_dir, with_rating=False))
 
 
 @query("preview_head", """
 SELECT doc_id, rating, title, text FROM reviews ORDER BY doc_id LIMIT 5""", R)
 def preview_head(spark, sf_dir):
-    return profile.preview(reviews(spark, sf_dir), "doc_id", 5)
+    # the rows are chosen before their ratings are joined
+    first = profile.preview(read_table(spark, sf_dir, "documents"), "doc_id", 5)
+    return reviews_from(first, read_table(spark, sf_dir, "labels"))
 
 
 @query("distinct_values", """
@@ -77,21 +79,21 @@ def rename_label(spark, sf_dir):
 WITH {_PREPARED_SQL}
 SELECT doc_id, review_headline, review_body FROM prepared""", R)
 def fill_text(spark, sf_dir):
-    return _prepared(spark, sf_dir).select("doc_id", "review_headline", "review_body")
+    return prep.prepare(reviews(spark, sf_dir, with_rating=False)).select("doc_id", "review_headline", "review_body")
 
 
 @query("full_text", f"""
 WITH {_PREPARED_SQL}
 SELECT doc_id, review_full_text FROM prepared""", R)
 def full_text(spark, sf_dir):
-    return _prepared(spark, sf_dir).select("doc_id", "review_full_text")
+    return prep.prepare(reviews(spark, sf_dir, with_rating=False)).select("doc_id", "review_full_text")
 
 
 @query("full_text_filled", """
 SELECT doc_id, coalesce(title, '') || '. ' || coalesce(text, '') AS review_full_text
 FROM reviews""", R)
 def full_text_filled(spark, sf_dir):
-    return prep.prepare(reviews(spark, sf_dir), fill_concat=True).select("doc_id", "review_full_text")
+    return prep.prepare(reviews(spark, sf_dir, with_rating=False), fill_concat=True).select("doc_id", "review_full_text")
 
 
 @query("rating_counts", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators import prepare as prep
 from ..operators import sampling
-from ..tables import reviews
+from ..tables import read_table, reviews
 from .registry import query
 
 R = ("reviews",)
@@ -24,10 +24,14 @@ def _prepared(spark, sf_dir):
     return prep.prepare(reviews(spark, sf_dir)).select("doc_id", "rating", "sentiment")
 
 
+def _keys(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id")   # one review for each document
+
+
 @query("sample_exact", _PREP + f"""
 SELECT doc_id, rating, sentiment FROM p ORDER BY h, doc_id LIMIT {SAMPLE_N}""", R)
 def sample_exact(spark, sf_dir):
-    return sampling.sample_exact(_prepared(spark, sf_dir), SAMPLE_N, "doc_id", SEED)
+    return sampling.sample_exact(_prepared(spark, sf_dir), SAMPLE_N, "doc_id", SEED, keys=_keys(spark, sf_dir))
 
 
 _TEST_SQL = _PREP + """,
@@ -38,13 +42,13 @@ t AS (SELECT doc_id FROM p ORDER BY h, doc_id
 @query("test_split", _TEST_SQL + """
 SELECT doc_id, rating, sentiment FROM p WHERE doc_id IN (SELECT doc_id FROM t)""", R)
 def test_split(spark, sf_dir):
-    return sampling.split_exact(_prepared(spark, sf_dir), "doc_id", 0.1, SEED)[1]
+    return sampling.split_exact(_prepared(spark, sf_dir), "doc_id", 0.1, SEED, keys=_keys(spark, sf_dir))[1]
 
 
 @query("train_split", _TEST_SQL + """
 SELECT doc_id, rating, sentiment FROM p WHERE doc_id NOT IN (SELECT doc_id FROM t)""", R)
 def train_split(spark, sf_dir):
-    return sampling.split_exact(_prepared(spark, sf_dir), "doc_id", 0.1, SEED)[0]
+    return sampling.split_exact(_prepared(spark, sf_dir), "doc_id", 0.1, SEED, keys=_keys(spark, sf_dir))[0]
 
 
 @query("bucket_split", _PREP + """

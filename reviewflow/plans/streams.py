@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..streaming import lifecycle as slc
 from ..streaming import staging
 from ..tables import lifecycle_events
-from .lifecycle import FOLD_SQL, SNAPSHOT_SQL as _SNAPSHOT_SQL
+from .lifecycle import FOLD_SQL, snapshot_sql
 from .registry import query
 
 L = ("lifecycle_events",)
@@ -59,7 +59,6 @@ def _stage(spark, df, flush=True):
 def stream_activity_sessions(spark, sf_dir):
     ev = lifecycle_events(spark, sf_dir, kinds=("predict",))
     src = _stage(spark, ev)
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     s = (staging.read_stream(spark, src, ev.schema)
          .withColumn("ts", F.col("ts").cast("timestamp"))
          .withWatermark("ts", staging.SOURCE_DISORDER)
@@ -107,10 +106,11 @@ def stream_lifecycle(spark, sf_dir):
     return lc.transitions(out)
 
 
-@query("stream_state_snapshot", _SNAPSHOT_SQL, L)
+@query("stream_state_snapshot", snapshot_sql("true"), L)
 def stream_state_snapshot(spark, sf_dir):
     """Latest state per model kept by the stream in a versioned snapshot table
-    (``foreachBatch``); the same answer as the batch ``state_snapshot``."""
+    (``foreachBatch``): the state at the watermark, which the flush row has moved past every
+    deadline, so every timer has fired."""
     ev = lifecycle_events(spark, sf_dir)
     src = _stage(spark, ev)
     ann = slc.stream_annotate(staging.read_stream(spark, src, ev.schema), watermark=staging.SOURCE_DISORDER)

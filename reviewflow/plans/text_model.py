@@ -4,7 +4,6 @@ prediction display."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import model as mdl
@@ -46,69 +45,87 @@ def vocabulary_topk(spark, sf_dir):
 
 
 @query("encode_fixed", _TOKENS_SQL + """,
-m AS (SELECT map(list(token), list(token_id)) AS m FROM vocab),
-d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS tk FROM documents)
+ranked AS (
+  SELECT token, CAST(row_number() OVER (ORDER BY n_occurrences DESC, token) + 1 AS INTEGER) AS token_id FROM counts),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS tk FROM documents),
+p AS (SELECT doc_id, unnest(tk[1:512]) AS token, generate_subscripts(tk[1:512], 1) AS pos FROM d),
+e AS (SELECT doc_id, list(token_id ORDER BY pos) AS ids FROM p JOIN ranked USING (token) GROUP BY doc_id)
 SELECT d.doc_id, len(d.tk) AS n_tokens,
-       list_resize(list_transform(d.tk[1:32], lambda x: coalesce(map_extract_value(m.m, x), 1)), 32, 0) AS input_ids,
-       list_resize(list_transform(d.tk[1:32], lambda x: 1), 32, 0) AS attention_mask
-FROM d, m""")
+       list_resize(coalesce(e.ids, []), 512, 0) AS input_ids,
+       list_resize(list_transform(d.tk[1:512], lambda x: 1), 512, 0) AS attention_mask
+FROM d LEFT JOIN e USING (doc_id)""")
 def encode_fixed(spark, sf_dir):
+    """Ids of the first 512 tokens (the model's input length) over the whole vocabulary."""
     docs = _docs(spark, sf_dir)
-    vocab = text.vocabulary(text.token_counts(docs), text.VOCABULARY_SIZE)
-    return text.encode(docs, vocab, length=text.ENCODED_LENGTH)
+    return text.encode(docs, text.full_vocabulary(text.token_counts(docs)), length=text.ENCODED_LENGTH)
 
 
 # ---- classifier -------------------------------------------------------------------
 
-_FITTED: dict = {}
+_MODEL_PATHS: dict = {}
 
 
 def _training(spark, sf_dir):
-    """Labelled rows, split 90/10 by hash. They are read several times (count, split,
-    fit), so they are persisted once, memory then disk."""
+    """Labelled rows, split 90/10 by hash."""
     rows = prep.training_rows(prep.prepare(reviews(spark, sf_dir))).select("doc_id", "label", "review_full_text")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     return sampling.split_exact(rows, "doc_id", 0.1, 42)
 
 
-def _fitted(spark, sf_dir):
-    key = (id(spark), sf_dir)
-    if key not in _FITTED:
-        train, test = _training(spark, sf_dir)
-        _FITTED[key] = (mdl.fit(train), test, train)
-    return _FITTED[key]
+def _model(spark, sf_dir):
+    """The model of a table set, fitted once per application and saved below the scratch folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODEL_PATHS:
+        path = scratch_path(spark, "model")
+        mdl.save(mdl.fit(_training(spark, sf_dir)[0]), path)
+        _MODEL_PATHS[key] = path
+    return mdl.load(_MODEL_PATHS[key])
 
 
-@query("train_model_metrics")
+_TRAINING_SQL = """
+WITH labelled AS (
+  SELECT title || '. ' || text AS full_text FROM reviews WHERE rating IS NOT NULL AND NOT isnan(rating)),
+n AS (
+  SELECT count(full_text) AS usable, count(*) - count(full_text) AS skipped,
+         CAST(ceil(count(full_text) * 0.1) AS BIGINT) AS test FROM labelled)"""
+
+
+@query("train_model_metrics", _TRAINING_SQL + """
+SELECT 'n_train' AS metric, usable - test AS n, true AS in_range FROM n
+UNION ALL SELECT 'n_test', test, true FROM n
+UNION ALL SELECT 'n_skipped_null_text', skipped, true FROM n
+UNION ALL SELECT metric, NULL, true FROM (VALUES ('accuracy'), ('f1'), ('auc'), ('cross_entropy')) m(metric)""", ("reviews",))
 def train_model_metrics(spark, sf_dir):
-    model, test, train = _fitted(spark, sf_dir)
-    m = mdl.metrics(mdl.score(model, test))
-    # labelled reviews whose full text is null (a missing title) cannot be trained on
+    """Rows learnt from, tested on and left out (a missing title leaves no full text), and
+    whether each metric of the test split lies in its range."""
+    train, test = _training(spark, sf_dir)
+    m = mdl.metrics(mdl.score(_model(spark, sf_dir), test))
     prepared = prep.prepare(reviews(spark, sf_dir))
     skipped = prepared.where(F.col("sentiment").isNotNull() & F.col("review_full_text").isNull()).count()
-    rows = [("n_train", float(train.count())), ("n_test", float(test.count())),
-            ("n_skipped_null_text", float(skipped))] + [(k, float(v)) for k, v in m.items()]
-    return spark.createDataFrame(rows, "metric string, value double")
+    top = {"cross_entropy": 35.0}     # -ln of the least probability counted
+    rows = [("n_train", train.count(), True), ("n_test", test.count(), True), ("n_skipped_null_text", skipped, True)]
+    rows += [(k, None, bool(0.0 <= v <= top.get(k, 1.0))) for k, v in m.items()]
+    return spark.createDataFrame(rows, "metric string, n long, in_range boolean")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", _TRAINING_SQL + """
+SELECT test AS n_rows, test AS n_same, CAST(0 AS DOUBLE) AS max_abs_diff FROM n""", ("reviews",))
 def model_roundtrip(spark, sf_dir):
     """Save the fitted pipeline (model and tokenizer settings in one artefact), load it
     back and compare its scores with the live model on the test split."""
-    model, test, _ = _fitted(spark, sf_dir)
-    path = scratch_path(spark, "model")
-    mdl.save(model, path)
-    again = mdl.load(path)
-    a = mdl.score(model, test).select("doc_id", F.col("p_positive").alias("a"))
-    b = mdl.score(again, test).select("doc_id", F.col("p_positive").alias("b"))
-    return a.join(b, "doc_id").agg(F.count(F.lit(1)).alias("n_rows"),
-                                   F.sum((F.abs(F.col("a") - F.col("b")) < 1e-12).cast("int")).alias("n_same"),
-                                   F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
+    train, test = _training(spark, sf_dir)
+    live = mdl.fit(train)
+    path = scratch_path(spark, "model-copy")
+    mdl.save(live, path)
+    a = mdl.score(live, test).select("doc_id", F.col("p_positive").alias("a"))
+    b = mdl.score(mdl.load(path), test).select("doc_id", F.col("p_positive").alias("b"))
+    same = F.abs(F.col("a") - F.col("b"))
+    return a.join(b, "doc_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum((same < 1e-12).cast("long")).alias("n_same"),
+                                   F.round(F.max(same), 12).alias("max_abs_diff"))
 
 
 def _scorable(spark, sf_dir):
-    return prep.prepare(reviews(spark, sf_dir)).where(F.col("review_full_text").isNotNull()) \
-               .select("doc_id", "review_full_text")
+    """Every document, its missing title or text filled with the empty string."""
+    return prep.prepare(reviews(spark, sf_dir, with_rating=False), fill_concat=True).select("doc_id", "review_full_text")
 
 
 def _shown(scored):
@@ -117,24 +134,36 @@ def _shown(scored):
                          conf.alias("confidence"))
 
 
-@query("score_documents")
+def _checked(shown):
+    named = F.when(F.col("label_code") == "LABEL_1", "POSITIVE").when(F.col("label_code") == "LABEL_0", "NEGATIVE")
+    return shown.select("doc_id", F.col("score").between(0.5, 1.0).alias("score_in_range"),
+                        (F.col("sentiment") == named).alias("name_agrees"),
+                        (F.col("confidence") == F.format_string("%.2f%%", F.round(F.col("score") * 100, 2))).alias("confidence_agrees"))
+
+
+@query("score_documents", """
+SELECT doc_id, true AS score_in_range, true AS name_agrees, true AS confidence_agrees FROM documents""")
 def score_documents(spark, sf_dir):
-    model, _, _ = _fitted(spark, sf_dir)
-    return _shown(mdl.score(model, _scorable(spark, sf_dir)))
+    """Every document scored; what is value-checked are the properties of its answer."""
+    return _checked(_shown(mdl.score(_model(spark, sf_dir), _scorable(spark, sf_dir))))
 
 
-@query("stream_score")
+@query("stream_score", """
+SELECT doc_id, true AS equals_batch FROM documents""")
 def stream_score(spark, sf_dir):
-    """The same model applied to reviews arriving as files on a stream."""
-    model, _, _ = _fitted(spark, sf_dir)
+    """The same model applied to reviews arriving as files on a stream, against the batch answer."""
+    model = _model(spark, sf_dir)
     src = scratch_path(spark, "score-in")
     docs = _scorable(spark, sf_dir)
-    docs.repartition(4).write.mode("overwrite").parquet(src)
-    stream = staging.read_stream(spark, src, docs.schema)
-    out = _shown(mdl.score(model, stream))
+    docs.write.mode("overwrite").parquet(src)
+    out = _shown(mdl.score(model, staging.read_stream(spark, src, docs.schema)))
     sink, ckpt = scratch_path(spark, "score-out"), scratch_path(spark, "score-ckpt")
     staging.run_to_parquet(out, sink, ckpt)
-    return spark.read.parquet(sink)
+    batch = _shown(mdl.score(model, docs)).select("doc_id", *(F.col(c).alias(f"b_{c}") for c in ("label_code", "score", "confidence")))
+    same = F.lit(True)
+    for c in ("label_code", "score", "confidence"):
+        same = same & F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    return spark.read.parquet(sink).join(batch, "doc_id", "full").select("doc_id", F.coalesce(same, F.lit(False)).alias("equals_batch"))
 
 
 # ---- evaluation with a fixed length rule (value-checked) ---------------------------

@@ -31,7 +31,7 @@ def read_json_permissive(spark: SparkSession, path: str, schema: T.StructType,
     """Malformed lines become rows whose ``_corrupt_record`` holds the raw text.
 
     Spark refuses a query on raw JSON that references only the corrupt-record column,
-    so callers should split good and bad rows in the same pass (see ``split_corrupt``)."""
+    so callers should split good and bad rows in the same pass (see ``flag_corrupt``)."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     return (spark.read.schema(full)
             .option("mode", "PERMISSIVE")
@@ -41,13 +41,23 @@ def read_json_permissive(spark: SparkSession, path: str, schema: T.StructType,
             .json(path))
 
 
-def split_corrupt(df: DataFrame, quarantine_path: str | None = None) -> DataFrame:
-    """Good rows of a permissive scan; bad rows (raw line kept in ``_corrupt_record``)
-    are written to ``quarantine_path`` as Parquet when given."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    if quarantine_path is not None:
-        df.where(bad).write.mode("overwrite").parquet(quarantine_path)
-    return df.where(~bad).drop(CORRUPT_COLUMN)
+#: Partition column of a staged scan: whether the line was malformed.
+BAD_COLUMN = "_bad_line"
+
+
+def flag_corrupt(df: DataFrame) -> DataFrame:
+    """A permissive scan with ``_bad_line``. Written partitioned by it, the scan parses its
+    input once, and good and bad rows are read back without each other."""
+    return df.withColumn(BAD_COLUMN, F.col(CORRUPT_COLUMN).isNotNull())
+
+
+def good_rows(staged: DataFrame) -> DataFrame:
+    return staged.where(~F.col(BAD_COLUMN)).drop(BAD_COLUMN, CORRUPT_COLUMN)
+
+
+def bad_rows(staged: DataFrame) -> DataFrame:
+    """The raw text of the quarantined lines."""
+    return staged.where(F.col(BAD_COLUMN)).select(CORRUPT_COLUMN)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
@@ -67,18 +77,25 @@ def ingest_new_json(spark: SparkSession, source: str, schema: T.StructType, sink
     """Read only the JSON files not yet seen (tracked in ``checkpoint``), apply
     ``transform`` and append them to the Parquet ``sink``; returns when drained.
 
-    This is the incremental-run form of the batch ETL: rerunning it after new files
-    land processes just those files, and a failed run resumes from its checkpoint."""
-    stream = (spark.readStream.schema(schema)
-              .option("multiLine", False)
-              .option("recursiveFileLookup", True)
-              .json(source))
+    The sink is partitioned by ``_bad_line``: malformed lines land in a partition of their
+    own with their raw text (``good_rows`` / ``bad_rows`` read it). ``transform`` sees the
+    columns of ``schema`` of good and bad rows and must keep the two quarantine columns.
+    Rerunning it after new files land processes just those files, and a failed run resumes
+    from its checkpoint."""
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    stream = flag_corrupt(spark.readStream.schema(full)
+                          .option("mode", "PERMISSIVE")
+                          .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+                          .option("multiLine", False)
+                          .option("recursiveFileLookup", True)
+                          .json(source))
     if transform is not None:
         stream = transform(stream)
     q = (stream.writeStream.format("parquet")
          .option("path", sink)
          .option("checkpointLocation", checkpoint)
          .option("compression", "snappy")
+         .partitionBy(BAD_COLUMN)
          .outputMode("append")
          .trigger(availableNow=True)
          .start())

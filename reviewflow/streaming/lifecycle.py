@@ -124,6 +124,11 @@ def _versions(spark, path: str) -> list[int]:
     return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch="))
 
 
+def _delete(spark, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def latest_snapshot(spark, path: str) -> DataFrame:
     """The newest complete snapshot version below ``path``."""
     v = _versions(spark, path)
@@ -139,12 +144,15 @@ def snapshot_writer(path: str):
     its own version, so the sink is idempotent); readers take the newest version."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ev = batch.where(F.col("row_type") == "event")
-        latest = (ev.groupBy("model_id")
-                    .agg(F.max(F.struct("ts_us", "event_id", "status_after", "has_endpoint_after",
-                                        "deadline_us", "cycle_id", "cycle_ts_us")).alias("l"))
-                    .select("model_id", "l.*"))
-        per_cycle = (ev.where(F.col("cycle_id").isNotNull())
+        event = F.col("row_type") == "event"
+        # a timer row ends the state like an event, but the last event id stays
+        latest = (batch.groupBy("model_id")
+                    .agg(F.max(F.struct("ts_us", (~event).alias("timer"), "event_id", "status_after", "has_endpoint_after",
+                                        "deadline_us", "cycle_id", "cycle_ts_us")).alias("l"),
+                         F.max(F.when(event, F.struct("ts_us", "event_id"))).alias("e"))
+                    .select("model_id", "l.ts_us", "e.event_id", "l.status_after", "l.has_endpoint_after",
+                            "l.deadline_us", "l.cycle_id", "l.cycle_ts_us"))
+        per_cycle = (batch.where(event & F.col("cycle_id").isNotNull())
                        .groupBy("model_id", "cycle_id")
                        .agg(F.sum(F.col("action").isin("create", "append").cast("long")).alias("n_new"),
                             F.max((F.col("kind") == "in_service").cast("int")).alias("served_new")))
@@ -158,7 +166,8 @@ def snapshot_writer(path: str):
             merged = (prev.alias("p").join(fresh.alias("f"), "model_id", "full_outer")
                       .select(
                           "model_id",
-                          *[F.when(F.col("f.ts_us").isNotNull(), F.col(f"f.{c}")).otherwise(F.col(f"p.{c}")).alias(c)
+                          *[(F.coalesce("f.event_id", "p.event_id") if c == "event_id" else
+                             F.when(F.col("f.ts_us").isNotNull(), F.col(f"f.{c}")).otherwise(F.col(f"p.{c}"))).alias(c)
                             for c in SNAPSHOT_COLUMNS[1:8]],
                           F.when(F.col("f.ts_us").isNull(), F.col("p.n_members"))
                            .when(same_cycle, F.col("p.n_members") + F.col("f.n_new"))
@@ -170,6 +179,8 @@ def snapshot_writer(path: str):
             merged = fresh.select(*SNAPSHOT_COLUMNS[:8], F.col("n_new").alias("n_members"),
                                   (F.col("served_new") == 1).alias("served"))
         merged.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        for v in older[:-1]:   # the version before stays for readers and for a replay
+            _delete(spark, f"{path}/batch={v:012d}")
     return write
 
 

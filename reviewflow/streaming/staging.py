@@ -45,11 +45,13 @@ def stage_slices(df: DataFrame, path: str, ts: str = "ts", slice_days: int = SLI
           .write.mode("append").parquet(f"{path}/slice=flush")
 
 
-def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_batch)
-            .option("recursiveFileLookup", True)
-            .parquet(path))
+def read_stream(spark: SparkSession, path: str, schema, bytes_per_batch: str | None = None) -> DataFrame:
+    """A file stream; ``bytes_per_batch`` (e.g. ``"64g"``) bounds a micro-batch, unset it
+    takes all files that are there."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    return reader.parquet(path)
 
 
 def run_to_parquet(stream: DataFrame, sink: str, checkpoint: str, output_mode: str = "append") -> None:

@@ -44,8 +44,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def reviews_from(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def reviews_from(documents: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Without ``labels`` the rating is null and no join is made."""
     d = documents.select("doc_id", "text")
+    title = F.when(F.col("doc_id") % 7 != 0, F.substring_index(F.col("text"), ".", 1))
+    if labels is None:
+        return d.select("doc_id", F.lit(None).cast("double").alias("rating"), title.alias("title"), "text")
     # labels is keyed by doc_id (at most one row per document); a plain left join keeps
     # every document. Catalyst picks broadcast only when its size estimate allows it.
     l = labels.select("doc_id", "quality")
@@ -53,13 +57,13 @@ def reviews_from(documents: DataFrame, labels: DataFrame) -> DataFrame:
     rating = (F.when(q == 1, F.lit(4) + F.col("doc_id") % 2)
               .when(q == 0, F.lit(1) + F.col("doc_id") % 3)
               .cast("double"))
-    title = F.when(F.col("doc_id") % 7 != 0, F.substring_index(F.col("text"), ".", 1))
     return (d.join(l, "doc_id", "left")
             .select("doc_id", rating.alias("rating"), title.alias("title"), "text"))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews_from(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+def reviews(spark: SparkSession, sf_dir: str, with_rating: bool = True) -> DataFrame:
+    """``with_rating=False`` for queries that read neither the rating nor its label."""
+    return reviews_from(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels") if with_rating else None)
 
 
 # The event-type to lifecycle-kind mapping of the fixture view.

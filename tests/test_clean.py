@@ -48,3 +48,12 @@ def test_quality_rules(spark):
     rows = {r["rule"]: (r["observed"], r["outcome"]) for r in
             quality.evaluate(df, (("ColumnCount", ">", 0), ("Completeness", "t", ">=", 0.8))).collect()}
     assert rows == {"ColumnCount > 0": (1.0, "Passed"), 'Completeness "t" >= 0.8': (0.5, "Failed")}
+
+
+def test_dotted_name_beside_a_nested_field(spark):
+    df = spark.sql("""SELECT 'kept' AS `a.b`, named_struct('b', CAST(NULL AS STRING), 'c', 1) AS a,
+                             CAST(NULL AS STRING) AS `x.y`, named_struct('y', 2) AS x""")
+    assert _flags(spark, df) == {"`a.b`": False, "a.b": True, "a.c": False, "`x.y`": True, "x.y": False}
+    kept = clean.drop_null_fields(df)
+    assert kept.schema.simpleString() == "struct<a.b:string,a:struct<c:int>,x:struct<y:int>>"
+    assert clean.drop_fields(df, [("a.b",), ("x", "y")]).columns == ["a", "x.y"]

@@ -41,12 +41,14 @@ def test_raw_kind_filter_matches_derived(spark):
         assert a == b > 0
 
 
-def test_encode_is_one_narrow_projection(spark):
-    # the bounded vocabulary is a table inside the expression: no explode, join or shuffle
-    # the main tree only; the lines of the vocabulary subquery (a few rows) start with ':'
-    plan = "\n".join(line for line in _plan(QUERIES["encode_fixed"](spark, SF)).splitlines()
-                     if ":" not in line.split("+-")[0])
-    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan, plan
+def test_unused_ratings_are_not_joined(spark):
+    for name in ("full_text", "full_text_filled", "fill_text"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "Join" not in plan and "Exchange" not in plan, name
+
+
+def test_token_counts_reads_the_text_once(spark):
+    assert _plan(QUERIES["token_counts"](spark, SF)).count("Scan parquet") == 1
 
 
 def test_exact_sample_is_a_filter(spark):

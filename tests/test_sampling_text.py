@@ -36,9 +36,8 @@ def test_sample_not_strict_gives_whole_frame(spark):
 
 @pytest.mark.parametrize("k", [1, 777, 3000])
 def test_kth_cut_histogram_passes_equal_brute_force(spark, k):
-    # a candidate limit far below the row count forces the histogram passes
     order = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i in range(3000))
-    assert sampling.kth_cut(_frame(spark, 3000), "k", k, candidate_limit=50) == order[k - 1]
+    assert sampling.kth_cut(_frame(spark, 3000), "k", k) == order[k - 1]
     got = {r.k for r in sampling.sample_exact(_frame(spark, 3000), k, "k").collect()}
     assert got == {i for _, i in order[:k]}
 
@@ -52,10 +51,7 @@ def test_split_sizes_and_partition(spark, n):
     assert tr | te == set(range(n)) and not (tr & te)
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_encode_edges(spark, monkeypatch, inline):
-    if not inline:   # the broadcast-join form used above the inline vocabulary size
-        monkeypatch.setattr(text, "INLINE_VOCABULARY", 0)
+def test_encode_edges(spark):
     docs = spark.createDataFrame([(1, ""), (2, "a b"), (3, "a b c d"), (4, "a b c d e f"), (5, "zz a")],
                                  "doc_id long, text string")
     vocab = spark.createDataFrame([("a", 10, 2), ("b", 5, 3), ("c", 4, 4), ("d", 3, 5)],
@@ -76,28 +72,25 @@ def test_token_counts_whole_text(spark):
 
 
 def test_kth_cut_matches_sort(spark):
-    """The histogram search finds the same k-th row as a full sort, also when it has
-    to refine (tiny candidate limit forces several passes)."""
+    """The histogram search finds the same k-th row as a full sort."""
     df = _frame(spark, 3000)
     rows = sorted((r.h, r.k) for r in df.select("k", sampling.hash_order("k").alias("h")).collect())
     for k in (1, 7, 1500, 3000):
-        assert sampling.kth_cut(df, "k", k, candidate_limit=5) == rows[k - 1]
+        assert sampling.kth_cut(df, "k", k) == rows[k - 1]
 
 
-def test_large_sample_path_equals_topn(spark, monkeypatch):
-    df = _frame(spark, 400)
-    small = {r.k for r in sampling.sample_exact(df, 50, "k").collect()}
-    monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
-    big = {r.k for r in sampling.sample_exact(df, 50, "k").collect()}
-    assert small == big
-
-
-def test_large_sample_too_large_raises(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
+def test_large_sample_too_large_raises(spark):
     with pytest.raises(ValueError):
         sampling.sample_exact(_frame(spark, 30), 40, "k")
 
 
+def test_full_vocabulary_ranks(spark):
+    counts = spark.createDataFrame([(f"t{i}", i % 7, 1) for i in range(200)], "token string, n_occurrences long, n_docs long")
+    got = {r.token: r.token_id for r in text.full_vocabulary(counts).collect()}
+    order = sorted(((-(i % 7), f"t{i}") for i in range(200)))
+    assert got == {t: k + 2 for k, (_, t) in enumerate(order)}
+
+
 def test_encode_with_plugin_tokenizer(spark):
     docs = spark.createDataFrame([(1, "ab cd"), (2, ""), (3, None)], "doc_id long, text string")
     got = {r.doc_id: (r.n_tokens, r.input_ids, r.attention_mask)
