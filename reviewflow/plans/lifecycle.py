@@ -134,7 +134,7 @@ def uptime_daily(spark, sf_dir):
     return lc.uptime_daily(_annotated(spark, sf_dir))
 
 
-@query("notification_outbox", FOLD_SQL + f""",
+@query("notification_outbox", FOLD_SQL + """,
 members AS (
   SELECT model_id, cycle_id, event_id AS subscriber_event_id, name, phone FROM annotated
   WHERE row_type = 'event' AND action IN ('create', 'append') AND coalesce(phone, '') <> ''),
@@ -146,7 +146,7 @@ served AS (
   WHERE k = 1)
 SELECT m.model_id, s.event_id AS in_service_event_id, s.ts AS notified_at,
        m.subscriber_event_id, m.name, m.phone,
-       printf('{lc.NOTIFY_TEMPLATE}', coalesce(m.name, 'there'), {lc.IDLE_MINUTES}, '{APP_URL}') AS message
+       'Hi ' || coalesce(m.name, 'there') || '. The sentiment analysis model is now available for use for the next 30 minutes here: https://example.org/sentiment' AS message
 FROM members m JOIN served s ON s.model_id = m.model_id AND s.cycle_id = m.cycle_id""", L)
 def notification_outbox(spark, sf_dir):
     return lc.outbox(_annotated(spark, sf_dir), APP_URL)
@@ -180,21 +180,17 @@ def status_response(spark, sf_dir):
                     "extended", F.to_json(F.struct(running.alias("is_running"))).alias("body"))
 
 
-def _body_sql():
-    parts = []
-    for action, msg in lc.START_MESSAGES.items():
-        key = "error" if action == "invalid" else "message"
-        parts.append(f"WHEN kind = 'start' AND action = '{action}' THEN '{{\"{key}\":\"{msg}\"}}'")
-    for action, msg in lc.PREDICT_ERRORS.items():
-        parts.append(f"WHEN kind = 'predict' AND action = '{action}' THEN '{{\"error\":\"{msg}\"}}'")
-    parts.append("""WHEN kind = 'status' THEN '{"is_running":' ||
-                    CASE WHEN status_before = 'IN_SERVICE' THEN 'true' ELSE 'false' END || '}'""")
-    return "CASE " + "\n       ".join(parts) + " END"
-
-
-@query("request_outcomes", FOLD_SQL + f"""
+@query("request_outcomes", FOLD_SQL + """
 SELECT event_id, model_id, kind, status_before, code, action AS outcome,
-       {_body_sql()} AS body
+       CASE
+         WHEN kind = 'start' AND action = 'invalid' THEN '{"error":"Name and phone number are required."}'
+         WHEN kind = 'start' AND action = 'noop' THEN '{"message":"Model is already running and ready for analysis."}'
+         WHEN kind = 'start' AND action = 'append' THEN '{"message":"Model is starting up. You will receive an SMS when it is ready."}'
+         WHEN kind = 'start' AND action = 'create' THEN '{"message":"Model deployment started. You will receive an SMS when it is ready."}'
+         WHEN kind = 'predict' AND action = 'unavailable' THEN '{"error":"Model is not currently running or available."}'
+         WHEN kind = 'predict' AND action = 'no_text' THEN '{"error":"Input text is required."}'
+         WHEN kind = 'status' AND status_before = 'IN_SERVICE' THEN '{"is_running":true}'
+         WHEN kind = 'status' THEN '{"is_running":false}' END AS body
 FROM annotated WHERE row_type = 'event' AND kind IN ('start', 'predict', 'status')""", L)
 def request_outcomes(spark, sf_dir):
     a = _annotated(spark, sf_dir).where(
