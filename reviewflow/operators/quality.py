@@ -2,13 +2,15 @@
 
 A rule is ``(metric, op, threshold)`` or ``(metric, column, op, threshold)``; metrics
 are ``ColumnCount`` (from the schema, no job), ``RowCount`` and ``Completeness`` (the
-non-null share of a column). The result is a small rule table; by default a failed
+non-null share of a column). A rule set may also be text: ``Rules = [ColumnCount > 0,
+Completeness "title" >= 0.8]``. The result is a small rule table; by default a failed
 rule is reported, not raised, and never blocks the write that follows.
 """
 
 from __future__ import annotations
 
 import operator
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +35,28 @@ def _label(rule) -> str:
     return f"{metric}{target} {op} {thr}"
 
 
+_RULE = re.compile(r'\s*(\w+)(?:\s+"([^"]+)")?\s*(>=|<=|!=|==|=|>|<)\s*(-?[\d.]+)\s*')
+
+
+def parse_rules(text: str) -> tuple:
+    """The rules of a rule-set text."""
+    whole = re.fullmatch(r"\s*Rules\s*=\s*\[(.*)\]\s*", text, re.S)
+    if whole is None:
+        raise ValueError("a rule set reads Rules = [rule, ...]")
+    out = []
+    for part in filter(str.strip, whole[1].split(",")):
+        m = _RULE.fullmatch(part)
+        if m is None:
+            raise ValueError(f"not a rule: {part.strip()}")
+        threshold = float(m[4]) if "." in m[4] else int(m[4])
+        out.append((m[1], m[2], m[3], threshold) if m[2] else (m[1], m[3], threshold))
+    return tuple(out)
+
+
 def evaluate(df: DataFrame, rules=DEFAULT_RULES, on_fail: str = "report") -> DataFrame:
     """Rule table ``rule, observed, outcome`` (outcome ``Passed`` / ``Failed``)."""
+    if isinstance(rules, str):
+        rules = parse_rules(rules)
     exprs = [F.count(F.lit(1)).alias("__rows")]
     for i, rule in enumerate(rules):
         metric, col, _, _ = _parts(rule)

@@ -203,7 +203,7 @@ def drop_null_fields(spark, sf_dir):
 
 
 # The job's rule plus two completeness / size rules (extension).
-QUALITY_RULES = (("ColumnCount", ">", 0), ("RowCount", ">", 0), ("Completeness", "title", ">=", 0.8))
+QUALITY_RULES = 'Rules = [ColumnCount > 0, RowCount > 0, Completeness "title" >= 0.8]'
 
 
 @query("quality_report", """

@@ -57,3 +57,15 @@ def test_dotted_name_beside_a_nested_field(spark):
     kept = clean.drop_null_fields(df)
     assert kept.schema.simpleString() == "struct<a.b:string,a:struct<c:int>,x:struct<y:int>>"
     assert clean.drop_fields(df, [("a.b",), ("x", "y")]).columns == ["a", "x.y"]
+
+
+def test_rule_text():
+    assert quality.parse_rules('Rules=[ColumnCount > 0]') == quality.DEFAULT_RULES
+    assert quality.parse_rules('Rules = [RowCount >= 10, Completeness "a b" > 0.5]') == (
+        ("RowCount", ">=", 10), ("Completeness", "a b", ">", 0.5))
+    for bad in ("ColumnCount > 0", "Rules = [ColumnCount]"):
+        try:
+            quality.parse_rules(bad)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
