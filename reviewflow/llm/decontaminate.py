@@ -11,7 +11,7 @@ text if some region is within ``k = share * m`` edits, lowered where the bound w
 The items are a query set against all texts, in blocks of at most ``BLOCK_BYTES``: each block's
 table goes to every task, each block is one pass.
 
-Results, by case: null and empty texts match nothing; null items, items without a
+Results, by case: null and empty texts match nothing; an item's null id is carried as null; null items, items without a
 letter or digit and repeated item rows (same id and text) count once or not at all; items shorter than
 ``2 * q`` bytes match exactly, as whole words; a text with several regions of an item gives the nearest one
 (ties: the first); an empty table on either side gives no rows. Only the named columns are read.
@@ -88,7 +88,7 @@ class Items:
         self.q = q
         self.short = [(i, b" " + t + b" ") for i, t in items if len(t) < 2 * q]
         long = [(i, t) for i, t in items if len(t) >= 2 * q]
-        self.ids = np.array([i for i, _ in long], np.int64)
+        self.ids = [i for i, _ in long]
         self.text = [np.frombuffer(t, np.uint8) for _, t in long]
         size = np.array([len(t) for _, t in long], np.int64)
         self.size = size
@@ -158,7 +158,7 @@ class Items:
                 hit = (got[0], a - int(begin[d]) + got[1], got[2])
                 if best is None or hit < best:
                     found[d, i] = hit
-        return out + [(d, int(self.ids[i]), *hit) for (d, i), hit in sorted(found.items())]
+        return out + [(d, self.ids[i], *hit) for (d, i), hit in sorted(found.items())]
 
 
 def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int):
