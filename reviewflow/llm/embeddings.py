@@ -1,4 +1,4 @@
-"""Near-duplicate vectors by product quantisation, without losing a link.
+"""Near-duplicate vectors by product quantisation.
 
 Equal vectors of a label are one class first. A bounded sample fits coarse centroids (inverted
 lists) and one codebook for each subspace of the residuals; every vector is indexed: its list, the
@@ -6,11 +6,13 @@ codes of its residual and the length of what the codes leave out.
 
 A vector probes the lists that can hold a neighbour. Cosine ``c`` means a distance of at most
 ``d = sqrt(2 - 2c)`` between unit vectors, and a point that lies nearer to centroid j than to a
-query's own centroid i has a distance of at least (|q-cj|^2 - |q-ci|^2) / (2 |cj-ci|) from the query,
-so lists above ``d`` there are left out. In a list, table lookups give the distance from the
-query to each coded vector; it differs from the true one by at most the coding error, so whatever
-exceeds ``d`` plus that error is left out. The exact cosine in double precision decides on the rest.
-Both bounds are sure, hence recall is 1 whatever the sample; the sample only sets the speed.
+query's own centroid i is displaced by at least (|q-cj|^2 - |q-ci|^2) / (2 |cj-ci|) along the line
+of the two. A displacement of length ``d`` in no special direction of ``w`` dimensions has the standard
+deviation d / sqrt(w) along that line; lists that need more than ``SIGMAS`` of it (or more than ``d``,
+which is impossible) are left out: at 3.5 a link at the very threshold is missed with probability 2e-4, closer
+ones far less. In a list, table lookups give the distance from the query to each coded vector; it differs
+from the true one by at most the coding error, so whatever exceeds ``d`` plus that error is left out without
+loss. The exact cosine in double precision decides on the rest.
 
 Lists and the vectors that probe them meet in cells of at most ``BLOCK`` by ``BLOCK`` rows. A cell
 gives each query's number of links and a spanning forest, never all pairs.
@@ -35,14 +37,15 @@ from .runtime import ship, written
 COSINE = 0.93
 SAMPLE_ROWS = 8_192
 SAMPLE_VALUES = 4_000_000
-PER_LIST = 128
+PER_LIST = 1_024
+SIGMAS = 3.5
 MOST_LISTS = 1_024
 SUBSPACES = 8
 CODES = 256
 BLOCK = 2_048
 SLACK = 1e-5
 
-INDEXED = "rep long, copies long, kind long, list int, probes array<int>, codes binary, error double, vector array<double>"
+INDEXED = "rep long, copies long, kind long, list int, probes array<int>, codes binary, error double, vector "
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -89,7 +92,8 @@ class Quantiser:
         far = squared(rows, self.centres)
         own = far.argmin(1)
         margin = far - far[np.arange(len(rows)), own][:, None]
-        return own, margin <= 2 * (np.sqrt(2 - 2 * COSINE) + SLACK) * self.apart[own] + SLACK
+        reach = np.sqrt(2 - 2 * COSINE) * min(1, SIGMAS / np.sqrt(self.width))
+        return own, margin <= 2 * (reach + SLACK) * self.apart[own] + SLACK
 
     def encode(self, rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         residual = rows - self.centres[own]
@@ -143,7 +147,7 @@ def index(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
                      pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64()), batch.column(3)],
                     names=["rep", "copies", "kind", "list", "probes", "codes", "error", "vector"])
 
-    return classes.select("rep", "copies", "kind", "vector").mapInArrow(run, INDEXED)
+    return classes.select("rep", "copies", "kind", "vector").mapInArrow(run, INDEXED + classes.schema["vector"].dataType.simpleString())
 
 
 def search(indexed: DataFrame, quantiser: Quantiser) -> DataFrame:
@@ -241,7 +245,8 @@ class CellSearch:
 
 def groups(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every vector."""
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"),
+    single = vectors.schema[vector].dataType.elementType.simpleString() == "float"
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(f"array<{'float' if single else 'double'}>").alias("vector"),
                           F.col(label).alias("label")).distinct()
     rows = written(rows.withColumn("linkable", usable(F.col("vector"), F.col("label")) & F.col("vec_id").isNotNull())
                    .withColumn("kind", F.xxhash64(F.col("label").cast("string"), F.size("vector"))), "vectors")
