@@ -39,8 +39,8 @@ OTHER_SPACE = re.compile(rf"[^\S \n]|[\x85]")
 
 CLOSING = frozenset(".,;:!?")
 
-CACHE_UNITS = 250_000
-CACHE_PIECES = 150_000
+CACHE_UNITS = 60_000
+CACHE_PIECES = 40_000
 NO_RANK = np.int32(2**31 - 1)
 
 
@@ -81,6 +81,10 @@ class Vocabulary:
         self.pair_keys, self.pair_rank, self.pair_id = keys[order], order.astype(np.int32), merged[order].astype(np.int32)
         self.specials = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids; bytes that aren't UTF-8 become U+FFFD, special strings stay."""
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
     def _ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of each pair, by binary search; NO_RANK where none merges."""
         keys = left.astype(np.int64) * self.size + right
@@ -218,9 +222,7 @@ class Encoder:
         return out
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; bytes that aren't UTF-8 become U+FFFD, special strings stay."""
-        of = self.v.bytes_of
-        return b"".join(map(of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return self.v.decode(ids)
 
 
 @lru_cache(maxsize=4)
@@ -270,10 +272,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     def run(batches):
         from reviewflow.llm import bpe
-        enc = bpe.encoder(path)
+        enc = bpe.vocabulary(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, 250):
+                part = batch.slice(start, 250)
                 lists = part.column(part.schema.get_field_index(ids))
                 flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
                 missing = lists.is_null().to_pylist()

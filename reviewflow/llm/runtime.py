@@ -87,7 +87,7 @@ class Generations(dict):
         return [k for k in keys.difference(self.old) if k not in self]
 
 
-def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000, rows: int = 2_000):
+def text_slices(batch: pa.RecordBatch, column: str, chars: int = 1_500_000, rows: int = 2_000):
     """Slices of a batch with their texts (null: empty), bounded by bytes, so that what a
     worker holds doesn't follow the batch size. One long text is a slice of its own."""
     at = batch.schema.get_field_index(column)
