@@ -157,10 +157,10 @@ def unit_pieces(prefix: str, unit: str) -> list[str]:
 class Encoder:
     """Encodes texts with caches of pieces and units that live as long as the worker."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, units: int = CACHE_UNITS):
         self.v = vocabulary
-        self.pieces = Generations(CACHE_PIECES)
-        self.units = Generations(CACHE_UNITS)     # unit behind a space
+        self.pieces = Generations(units * CACHE_PIECES // CACHE_UNITS)
+        self.units = Generations(units)           # unit behind a space
         self.leading = Generations(20_000)        # first unit of a text
 
     def learn_pieces(self, pieces: set) -> None:
@@ -231,8 +231,9 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    return Encoder(vocabulary(path))
+def encoder(path: str, units: int = CACHE_UNITS) -> Encoder:
+    """The worker's encoder; ``units`` trades its memory for time."""
+    return Encoder(vocabulary(path), units)
 
 
 def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:

@@ -39,6 +39,8 @@ HAS_CHECKSUMS = 0x80
 NULL_ID = -(2**63)
 FRAME_TOKENS = 1 << 20
 LEVEL = 3
+# One Python worker a task here, so its cache and slices may be larger than the encoder's defaults.
+CACHE_UNITS, SLICE = 250_000, 4_000_000
 
 FRAMES = "shard int, doc_id long, order_key long, part int, n_tokens long, checksum long, frame binary"
 MANIFEST = "shard int, path string, frames long, tokens long"
@@ -95,10 +97,10 @@ def frames(docs: DataFrame, tokenizer: str, bounds: list[int], end_id: int, doc_
 
     def run(batches):
         from reviewflow.llm import bpe, runtime, token_files
-        enc, pack = bpe.encoder(tokenizer), zstandard.ZstdCompressor(level=token_files.LEVEL)
+        enc, pack = bpe.encoder(tokenizer, token_files.CACHE_UNITS), zstandard.ZstdCompressor(level=token_files.LEVEL)
         end = np.array([end_id], "<u4")
         for batch in batches:
-            for part, texts in runtime.text_slices(batch, "text"):
+            for part, texts in runtime.text_slices(batch, "text", chars=token_files.SLICE):
                 rows = [[] for _ in range(7)]
                 for key, ids in zip(part.column(0).to_pylist(), enc.encode(texts)):
                     ids = np.concatenate([ids.astype("<u4"), end])
