@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with a digest of the text that they decode to."""
     path = tokenizer_path()
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids"), path)
+    decoded = bpe.round_trip(docs.select("doc_id", "text"), path)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -284,3 +284,20 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
                 yield bpe.append_column(part, into, pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, _with(df.schema, into, T.StringType()))
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the ids of the whole texts and the texts that those ids decode to, by one
+    Python worker a task (``encode`` and ``decode`` after each other take two)."""
+    ship(df.sparkSession)
+
+    def run(batches):
+        from reviewflow.llm import bpe, runtime
+        enc = bpe.encoder(path)
+        for batch in batches:
+            for part, texts in runtime.text_slices(batch, text):
+                rows = enc.encode(texts)
+                part = bpe.append_column(part, ids, bpe.list_array(rows))
+                yield bpe.append_column(part, decoded, pa.array([enc.decode(r) for r in rows], pa.string()))
+
+    return df.mapInArrow(run, _with(_with(df.schema, ids, T.ArrayType(T.IntegerType())), decoded, T.StringType()))

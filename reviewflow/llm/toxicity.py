@@ -77,7 +77,7 @@ class Model:
     prior: float
 
     def scorer(self):
-        cache = Generations(300_000)
+        cache = Generations(60_000)
         weights, bias = self.weights, self.bias
 
         def score(text: str) -> float:

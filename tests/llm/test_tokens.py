@@ -54,6 +54,13 @@ def test_encode_decode_frames(docs, library, tokenizer_file):
         assert r.decoded == (r.text or "")
 
 
+def test_round_trip_equals_encode_and_decode(docs, tokenizer_file):
+    two = bpe.decode(bpe.encode(docs, tokenizer_file, into="tokens"), tokenizer_file, ids="tokens")
+    one = bpe.round_trip(docs, tokenizer_file, ids="tokens")
+    assert one.columns == two.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_empty_tables(spark, tokenizer_file):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(none, tokenizer_file).count() == 0
