@@ -6,13 +6,14 @@ codes of its residual and the length of what the codes leave out.
 
 A vector probes the lists that can hold a neighbour. Cosine ``c`` means a distance of at most
 ``d = sqrt(2 - 2c)`` between unit vectors, and a point that lies nearer to centroid j than to a
-query's own centroid i is displaced by at least (|q-cj|^2 - |q-ci|^2) / (2 |cj-ci|) along the line
-of the two. A displacement of length ``d`` in no special direction of ``w`` dimensions has the standard
-deviation d / sqrt(w) along that line; lists that need more than ``SIGMAS`` of it (or more than ``d``,
-which is impossible) are left out: at 3.5 a link at the very threshold is missed with probability 2e-4, closer
-ones far less. In a list, table lookups give the distance from the query to each coded vector; it differs
-from the true one by at most the coding error, so whatever exceeds ``d`` plus that error is left out without
-loss. The exact cosine in double precision decides on the rest.
+query's own centroid i has a distance of at least (|q-cj|^2 - |q-ci|^2) / (2 |cj-ci|) from the query,
+so lists above ``d`` there are left out. In a list, table lookups give the distance from the
+query to each coded vector; it differs from the true one by at most the coding error, so whatever
+exceeds ``d`` plus that error is left out. The exact cosine in double precision decides on the rest.
+Both bounds are sure, hence recall is 1 whatever the sample, the dimensions and the directions in which
+neighbours differ; the sample only sets the speed. In many dimensions the first bound leaves out few lists, so
+there are only as many as the largest label and length needs, and a pair of lists meets once: a vector probes
+its own list and later ones, and each link found counts for both ends.
 
 Lists and the vectors that probe them meet in cells of at most ``BLOCK`` by ``BLOCK`` rows. A cell
 gives each query's number of links and a spanning forest, never all pairs.
@@ -38,7 +39,6 @@ COSINE = 0.93
 SAMPLE_ROWS = 8_192
 SAMPLE_VALUES = 4_000_000
 PER_LIST = 1_024
-SIGMAS = 3.5
 MOST_LISTS = 1_024
 SUBSPACES = 8
 CODES = 256
@@ -92,8 +92,7 @@ class Quantiser:
         far = squared(rows, self.centres)
         own = far.argmin(1)
         margin = far - far[np.arange(len(rows)), own][:, None]
-        reach = np.sqrt(2 - 2 * COSINE) * min(1, SIGMAS / np.sqrt(self.width))
-        return own, margin <= 2 * (reach + SLACK) * self.apart[own] + SLACK
+        return own, margin <= 2 * (np.sqrt(2 - 2 * COSINE) + SLACK) * self.apart[own] + SLACK
 
     def encode(self, rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         residual = rows - self.centres[own]
@@ -124,7 +123,8 @@ def fit(classes: DataFrame) -> Quantiser | None:
         return None
     rows = min(SAMPLE_ROWS, max(256, SAMPLE_VALUES // total.width))
     sample = classes.orderBy(F.xxhash64("rep")).limit(rows).select("vector").collect()
-    lists = min(MOST_LISTS, max(1, total.n // PER_LIST))
+    largest = classes.groupBy("kind").count().agg(F.max("count")).first()[0]
+    lists = min(MOST_LISTS, max(1, largest // PER_LIST))
     return Quantiser(unit(padded([r.vector for r in sample], total.width)), lists)
 
 
@@ -143,7 +143,7 @@ def index(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
                 codes, error = q.encode(rows, own)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:3], pa.array(own, pa.int32()),
-                     pa.array([np.flatnonzero(p).tolist() for p in probes], pa.list_(pa.int32())),
+                     pa.array([(np.flatnonzero(p[i:]) + i).tolist() for p, i in zip(probes, own)], pa.list_(pa.int32())),
                      pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64()), batch.column(3)],
                     names=["rep", "copies", "kind", "list", "probes", "codes", "error", "vector"])
 
@@ -151,11 +151,11 @@ def index(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
 
 
 def search(indexed: DataFrame, quantiser: Quantiser) -> DataFrame:
-    """Rows (rep, links, other): in each cell a query's links, or (links null) a link to another."""
+    """Rows (rep, links, other): in each cell a vector's links, or (links null) a link to another."""
     spark = indexed.sparkSession
     ship(spark)
     members = indexed.groupBy("kind", "list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    queries = indexed.select("kind", F.explode("probes").alias("list"), "rep", "copies", "vector")
+    queries = indexed.select("kind", F.col("list").alias("home"), F.explode("probes").alias("list"), "rep", "copies", "vector")
     asked = indexed.select("kind", F.explode("probes").alias("list")).groupBy("kind", "list").agg(
         F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("askers"))
     cells = members.join(asked, ["kind", "list"])  # a row for each list of a label
@@ -163,11 +163,12 @@ def search(indexed: DataFrame, quantiser: Quantiser) -> DataFrame:
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     held = (indexed.join(cells, ["kind", "list"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
             .select("*", spread("askers").alias("asker"))
-            .select(cell.alias("cell"), "list", F.lit(0).alias("side"), "rep", "copies", "codes", "error", "vector"))
+            .select(cell.alias("cell"), "list", F.lit(0).alias("side"), "rep", "copies", "codes", "error", "vector",
+                    F.col("list").alias("home")))
     put = (queries.join(cells, ["kind", "list"]).withColumn("asker", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("askers")).cast("int"))
            .select("*", spread("blocks").alias("block"))
            .select(cell.alias("cell"), "list", F.lit(1).alias("side"), "rep", "copies",
-                   F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "vector"))
+                   F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "vector", "home"))
     shared = spark.sparkContext.broadcast(quantiser)
 
     def run(batches):
@@ -175,16 +176,26 @@ def search(indexed: DataFrame, quantiser: Quantiser) -> DataFrame:
         at = embeddings.CellSearch(shared.value)
         for batch in batches:
             yield from at.take(batch)
+        yield from at.close()
 
     rows = held.unionByName(put).repartition("cell").sortWithinPartitions("cell", "side", "rep")
     return rows.mapInArrow(run, "rep long, links long, other long")
 
 
 class CellSearch:
-    """Reads rows sorted by cell and side: a cell's index first, then its queries."""
+    """Reads rows sorted by cell and side: a cell's index first, then its queries. Every pair
+    is met once: queries come from lists before the cell's, or from it with a smaller id."""
 
     def __init__(self, quantiser: Quantiser):
-        self.q, self.cell, self.held = quantiser, None, []
+        self.q, self.cell, self.held, self.index = quantiser, None, [], None
+
+    def close(self):
+        """The links of the cell's index rows."""
+        if self.index is not None:
+            reps, some = self.index[0], np.flatnonzero(self.links)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(reps[some], pa.int64()), pa.array(self.links[some]), pa.nulls(len(some), pa.int64())],
+                                                 names=["rep", "links", "other"])
 
     def take(self, batch: pa.RecordBatch):
         if not batch.num_rows:
@@ -193,6 +204,7 @@ class CellSearch:
         cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (side[1:] != side[:-1])) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
             if cell[a] != self.cell:
+                yield from self.close()
                 self.cell, self.held, self.index = cell[a], [], None
             part = batch.slice(a, b - a)
             if side[a] == 0:
@@ -211,17 +223,20 @@ class CellSearch:
             length = np.array([len(v) for v in t.column("vector").to_pylist()])
             self.index = (t.column("rep").to_numpy(), t.column("copies").to_numpy(), codes, t.column("error").to_numpy(), rows, length,
                           int(t.column("list")[0].as_py()))
+            self.links = np.zeros(len(rows), np.int64)
         reps, copies, codes, error, rows, length, centre = self.index
-        own = part.column(3).to_numpy()
+        own, times, home = (part.column(k).to_numpy() for k in (3, 4, 8))
         vectors = part.column(7).to_pylist()
         queries = unit(padded(vectors, self.q.width))
         near = self.q.lookup(queries, centre, codes) <= np.sqrt(2 - 2 * COSINE) + SLACK + error
-        near &= (reps != own[:, None]) & (length == np.array([len(v) for v in vectors])[:, None])
+        near &= np.where((home == centre)[:, None], reps > own[:, None], reps != own[:, None])
+        near &= length == np.array([len(v) for v in vectors])[:, None]
         a, b = np.nonzero(near)
         hit = np.concatenate([np.einsum("ij,ij->i", queries[a[k:k + 8192]], rows[b[k:k + 8192]]) >= COSINE
                               for k in range(0, len(a), 8192)] or [np.zeros(0, bool)])
         a, b = a[hit], b[hit]
         links = np.bincount(a, copies[b], len(own)).astype(np.int64)
+        self.links += np.bincount(b, times[a], len(reps)).astype(np.int64)
         some = np.flatnonzero(links)
         # a forest over queries and index rows
         names = np.unique(np.r_[own[a], reps[b]])

@@ -85,3 +85,30 @@ def test_bounds_are_sure():
         assert probes[i, to[i]]
         bound = np.sqrt(2 - 2 * embeddings.COSINE) + embeddings.SLACK + error[i]
         assert q.lookup(sample[i:i + 1], to[i], codes[i:i + 1])[0, 0] <= bound
+
+
+def narrow(n=1500, width=64, within=4, seed=5):
+    """Pairs at cosines of 0.93 to 0.96 whose two vectors differ in few dimensions only."""
+    rng = np.random.default_rng(seed)
+    one = embeddings.unit(rng.normal(size=(n, width)))
+    step = np.zeros((n, width))
+    step[:, :within] = rng.normal(size=(n, within))
+    step -= (step * one).sum(1)[:, None] * one
+    c = rng.uniform(0.931, 0.96, n)[:, None]
+    two = c * one + np.sqrt(1 - c * c) * embeddings.unit(step)
+    return [(i, v, 0) for i, v in enumerate(np.concatenate([one, two]).tolist())]
+
+
+def links_of(rows):
+    x = embeddings.unit(np.array([v for _, v, _ in rows]))
+    return {i: int(k) for (i, _, _), k in zip(rows, ((x @ x.T) >= embeddings.COSINE).sum(1) - 1)}
+
+
+def test_neighbours_in_few_dimensions(spark, monkeypatch):
+    """64 dimensions, 50 lists: no link is lost and each counts for both ends."""
+    monkeypatch.setattr(embeddings, "PER_LIST", 60)
+    rows = narrow()
+    want = links_of(rows)
+    assert sum(want.values()) >= len(rows)
+    got = embeddings.groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: r.n_links for r in got} == want
