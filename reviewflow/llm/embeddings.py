@@ -75,7 +75,8 @@ def kmeans(rows: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
 
 
 class Quantiser:
-    """Coarse centroids and residual codebooks for vectors of at most ``width`` components."""
+    """Coarse centroids and residual codebooks for vectors of at most ``width`` components.
+    Shorter ones are padded with zeros, which changes no distance, so no bound depends on ``width``."""
 
     def __init__(self, sample: np.ndarray, lists: int):
         self.width = sample.shape[1]

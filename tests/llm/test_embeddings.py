@@ -112,3 +112,13 @@ def test_neighbours_in_few_dimensions(spark, monkeypatch):
     assert sum(want.values()) >= len(rows)
     got = embeddings.groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     assert {r.vec_id: r.n_links for r in got} == want
+
+
+def test_longer_vectors_beside(spark, monkeypatch):
+    """A vector of another length takes no links from the others."""
+    monkeypatch.setattr(embeddings, "PER_LIST", 60)
+    rows = narrow(seed=6, within=64)
+    want = links_of(rows) | {9999: 0}
+    rows.append((9999, [1.0] * 1024, 0))
+    got = embeddings.groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: r.n_links for r in got} == want
