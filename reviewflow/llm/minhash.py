@@ -79,7 +79,7 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     h = mixed((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
     first = np.r_[0, np.searchsorted(begin, doc_end)]
     full = h.copy()
-    for k in range(1, words):
+    for k in range(1, min(words, len(h))):
         full[:len(h) - k] = full[:len(h) - k] * _BASE + h[k:]
     full = mixed(full)
     out = []

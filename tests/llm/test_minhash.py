@@ -119,3 +119,18 @@ def test_shingle_sets(words):
     for a in range(0, len(texts), 5):
         for b in range(a):
             assert len(np.intersect1d(got[a], got[b])) == len(sets_of(texts[a], words) & sets_of(texts[b], words))
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_slices_of_few_words(width):
+    """A slice may hold fewer words than a shingle."""
+    for n in range(5):
+        text = " ".join("abcd"[:n])
+        got = minhash.shingle_sets([text], width)
+        among = minhash.shingle_sets([text, "some more words that come after it"], width)
+        assert len(got) == 1 and len(got[0]) == min(n, 1) and got[0].tolist() == among[0].tolist()
+
+
+def test_table_of_few_words(spark):
+    for text in ("a", "a b", "a b c", "a b c d"):
+        assert result(minhash.groups(spark.createDataFrame([(1, text)], "doc_id long, text string"))) == {(1, 1, 1, True)}
