@@ -1,8 +1,9 @@
 """Main text of web pages by site template removal.
 
-Every element subtree outside the article is hashed (tag, attributes, text, children). Spark counts,
-for each host, the pages that hold a subtree; subtrees on at least ``MIN_PAGES`` pages of a host
-are its template and are deleted, wherever the host's pages have them. What isn't text of a page at
+Every block element's subtree outside the article is hashed (tag, attributes, text, children). Spark counts,
+for each host, the different pages that hold a subtree; subtrees on at least ``MIN_PAGES`` of them and
+``MIN_SHARE`` of the host's different pages are its template and are deleted, wherever the host's pages have them.
+Pages with equal trees count once. The page itself, its html and body and inline elements in running text are never template. What isn't text of a page at
 all (scripts, styles, head) or says by its tag, role, class or id that it isn't the article (navigation,
 header, footer, aside, form, advert, notice, comments) goes too, as sites with few pages can't show what
 recurs. If a page marks its article (``article``, ``main`` or that role), the text is taken from there; subtrees
@@ -16,7 +17,7 @@ beyond that, pages meet their templates by joins. Both give the same rows.
 
 Results, by case: null and empty html give empty text; a null url is a host of its own (the empty
 one); unclosed and stray tags are closed or ignored where they occur; repeated rows are extracted
-each, but a template is counted over distinct page ids; a null page id counts as one page; other
+each, but a template is counted over different page contents, whatever their ids; other
 columns are not read; an empty table gives no rows.
 """
 
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from .runtime import ship, written
 
 MIN_PAGES = 5
+MIN_SHARE = 0.3
 MOST_HASHES = 2_000_000
 
 # Fixed values of HTML.
@@ -41,6 +43,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 HIDDEN = frozenset("head script style title noscript template iframe svg canvas object select option button textarea datalist".split())
 ASIDE = frozenset("nav footer aside form menu dialog".split())
+WHOLE = frozenset("#page html body".split())
 BLOCKS = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary
 table tbody td tfoot th thead tr ul""".split())
@@ -146,17 +149,18 @@ def walk(root: Node) -> list[Node]:
     return out
 
 
-def mark(root: Node) -> tuple[list[Node], bool]:
+def mark(root: Node) -> tuple[list[Node], list[Node]]:
     """Elements parents first, each with its subtree's hash and whether an article holds
-    it; and whether the page marks an article (outside what surrounds one)."""
-    nodes, found = walk(root), False
+    it; and the outermost articles that the page marks (outside what surrounds one)."""
+    nodes, found = walk(root), []
     root.inside = False
     around = {id(root): False}
     for n in nodes:
         if n is not root:
             around[id(n)] = around[id(n)] or is_around(n, n.inside)
         article = not around[id(n)] and is_article(n)
-        found = found or article
+        if article and not n.inside:
+            found.append(n)
         for c in n.children:
             if isinstance(c, Node):
                 c.inside = n.inside or article
@@ -169,20 +173,31 @@ def mark(root: Node) -> tuple[list[Node], bool]:
     return nodes, found
 
 
-def candidates(page: str) -> set[int]:
-    """Hashes (signed) of the element subtrees with content that lie outside an article and hold none."""
-    nodes, _ = mark(tree(page))
-    holds = set()
+def removable(nodes: list[Node]) -> list[Node]:
+    """The elements with content that may be template: blocks outside an article that hold
+    none, and inline elements that stand among the body's blocks, not in text."""
+    holds, free = set(), set()
     for n in reversed(nodes):
         if is_article(n) or any(isinstance(c, Node) and id(c) in holds for c in n.children):
             holds.add(id(n))
-    return {n.hash - 2**63 for n in nodes if not n.inside and id(n) not in holds and n.children and n.tag not in HIDDEN}
+        if n.tag in WHOLE and not any(isinstance(c, str) and c.strip() for c in n.children):
+            free.update(id(c) for c in n.children)
+    return [n for n in nodes if n.children and n.tag not in HIDDEN and n.tag not in WHOLE and not n.inside and id(n) not in holds
+            and (n.tag in BLOCKS or "-" in n.tag or id(n) in free)]
+
+
+def candidates(page: str) -> tuple[int, set[int]]:
+    """The hash of a page's tree and those of its removable subtrees (signed)."""
+    root = tree(page)
+    nodes, _ = mark(root)
+    return root.hash - 2**63, {n.hash - 2**63 for n in removable(nodes)}
 
 
 def text_of(page: str, template) -> str:
     """The main text without the subtrees whose hashes are in ``template``."""
     root = tree(page)
-    _, marked = mark(root)
+    nodes, marked = mark(root)
+    shared = {id(n) for n in removable(nodes) if n.hash - 2**63 in template} if template else ()
     blocks, now = [], []
 
     def close():
@@ -201,7 +216,7 @@ def text_of(page: str, template) -> str:
             if kept or not marked:
                 now.append(n)
         else:
-            if n is not root and is_around(n, n.inside) or not n.inside and n.children and (n.hash - 2**63) in template and not is_article(n):
+            if n is not root and is_around(n, n.inside) or id(n) in shared:
                 if n.tag in BLOCKS:
                     close()
                 continue
@@ -220,8 +235,11 @@ def hosts(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+SHARED = "host string, page_id long, content long, hash long"
+
+
 def _shared(pages: DataFrame) -> DataFrame:
-    """(host, page_id, hash) of the candidate subtrees."""
+    """(host, page_id, content, hash) of the removable subtrees, and a row with a null hash for each page."""
     ship(pages.sparkSession)
 
     def run(batches):
@@ -229,23 +247,24 @@ def _shared(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for part, texts in runtime.text_slices(batch, "html", chars=2_000_000):
                 found = [html_template.candidates(t) for t in texts]
-                size = [len(f) for f in found]
-                rows = np.repeat(np.arange(len(size)), size)
+                own = [[(content, None), *((content, h) for h in sorted(hashes))] for content, hashes in found]
+                rows = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)),
-                     pa.array([h for f in found for h in sorted(f)], pa.int64())], names=["host", "page_id", "hash"])
+                    [part.column(0).take(rows), part.column(1).take(rows), *(pa.array([x[k] for o in own for x in o], pa.int64()) for k in (0, 1))],
+                    names=["host", "page_id", "content", "hash"])
 
-    return pages.select("host", "page_id", "html").mapInArrow(run, "host string, page_id long, hash long")
+    return pages.select("host", "page_id", "html").mapInArrow(run, SHARED)
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, hash) of the subtrees that recur on at least ``min_pages`` pages of a host."""
-    rows = pages.select(hosts(F.col("url")).alias("host"), F.coalesce(F.col("page_id").cast("long"), F.lit(-2**63)).alias("page_id"), "html")
-    per_page = _shared(rows.where("html is not null"))
-    repeated = pages.groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.isEmpty():
-        per_page = per_page.distinct()
-    return per_page.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages).select("host", "hash")
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, hash) of the subtrees that recur on at least ``min_pages`` different pages of a
+    host and ``min_share`` of them."""
+    rows = pages.select(hosts(F.col("url")).alias("host"), F.lit(0).cast("long").alias("page_id"), "html")
+    different = _shared(rows.where("html is not null")).select("host", "content", "hash").distinct()
+    counted = different.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("hash").isNull() | (F.col("pages") >= min_pages))
+    counted = written(counted, "subtrees")
+    totals = counted.where("hash is null").select("host", F.col("pages").alias("of"))
+    return counted.where("hash is not null").join(totals, "host").where(F.col("pages") >= F.col("of") * min_share).select("host", "hash")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES,
@@ -273,7 +292,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     # beyond the broadcast's bound: each page's own template subtrees, by joins on small rows
     given = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
     keyed = given.select(hosts(F.col("url")).alias("host"), F.col("row").alias("page_id"), "html")
-    own = _shared(keyed).distinct().join(found.hint("merge"), ["host", "hash"]).groupBy("page_id").agg(F.collect_set("hash").alias("own"))
+    own = _shared(keyed).select("host", "page_id", "hash").distinct().join(found.hint("merge"), ["host", "hash"]).groupBy("page_id").agg(F.collect_set("hash").alias("own"))
     met = given.join(own.withColumnRenamed("page_id", "row").hint("merge"), "row", "left").select("page_id", "url", "html", "own")
     return met.mapInArrow(_extractor(lambda part: (frozenset(o or ()) for o in part.column(3).to_pylist())), "page_id long, url string, text string")
 

@@ -82,6 +82,23 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in got} == {"the same\narticle"} and len(got) == 20
 
 
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(html_template.extract(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_copies_without_article_stay(spark):
+    pages = [("http://h/1", "<body><div>the same</div><p>page</p></body>")] * 8
+    assert texts_of(spark, pages) == ["the same\npage"] * 8
+
+
+def test_prose_of_a_large_host_stays(spark):
+    """What recurs on few of a host's many pages, or inline in a kept block, is text."""
+    page = "<body><div>Site motto</div><div><p>own %d <b>always bold</b> end</p>%s</div></body>"
+    pages = [("http://h/1", page % (k, "<p>Yes.</p>" if k % 8 == 0 else "")) for k in range(64)]
+    assert texts_of(spark, pages) == [f"own {k} always bold end" + ("\nYes." if k % 8 == 0 else "") for k in range(64)]
+
+
 def damaged(rows):
     kept = [r for r in rows if r[0] not in (5, 700)]
     return [(i, u, (h or "") + "x") if i in (9, 5000) else (i, u, h) for i, u, h in kept] + [(-3, "u", "new"), (None, None, None)]
