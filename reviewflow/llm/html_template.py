@@ -1,13 +1,14 @@
 """Main text of web pages by site template removal.
 
-Every block element's subtree outside the article is hashed (tag, attributes, text, children). Spark counts,
+Every block element's subtree is hashed (tag, attributes, text, children). Spark counts,
 for each host, the different pages that hold a subtree; subtrees on at least ``MIN_PAGES`` of them and
 ``MIN_SHARE`` of the host's different pages are its template and are deleted, wherever the host's pages have them.
 Pages with equal trees count once. The page itself, its html and body and inline elements in running text are never template. What isn't text of a page at
 all (scripts, styles, head) or says by its tag, role, class or id that it isn't the article (navigation,
 header, footer, aside, form, advert, notice, comments) goes too, as sites with few pages can't show what
-recurs. If a page marks its article (``article``, ``main`` or that role), the text is taken from there; subtrees
-inside it are never deleted for recurring, as copies of an article do.
+recurs. If a page marks its article (``article``, ``main`` or that role), the text is taken from there.
+Subtrees inside it (share bars, notices, menus) are counted apart, over the host's different articles: copies of an article
+count once, whatever surrounds them.
 
 Blocks are parted by block elements and line breaks; white space in a block becomes one
 space; empty blocks are left out; character references are decoded, once.
@@ -36,6 +37,7 @@ from .runtime import ship, written
 
 MIN_PAGES = 5
 MIN_SHARE = 0.3
+INSIDE = 0x5851F42D4C957F2D
 MOST_HASHES = 2_000_000
 
 # Fixed values of HTML.
@@ -174,30 +176,43 @@ def mark(root: Node) -> tuple[list[Node], list[Node]]:
 
 
 def removable(nodes: list[Node]) -> list[Node]:
-    """The elements with content that may be template: blocks outside an article that hold
-    none, and inline elements that stand among the body's blocks, not in text."""
+    """The elements with content that may be template: blocks inside an article, blocks outside
+    that hold none, and inline elements that stand among the body's blocks, not in text."""
     holds, free = set(), set()
     for n in reversed(nodes):
         if is_article(n) or any(isinstance(c, Node) and id(c) in holds for c in n.children):
             holds.add(id(n))
         if n.tag in WHOLE and not any(isinstance(c, str) and c.strip() for c in n.children):
             free.update(id(c) for c in n.children)
-    return [n for n in nodes if n.children and n.tag not in HIDDEN and n.tag not in WHOLE and not n.inside and id(n) not in holds
-            and (n.tag in BLOCKS or "-" in n.tag or id(n) in free)]
+    return [n for n in nodes if n.children and n.tag not in HIDDEN and n.tag not in WHOLE
+            and (not is_article(n) if n.inside else id(n) not in holds) and (n.tag in BLOCKS or "-" in n.tag or id(n) in free)]
 
 
-def candidates(page: str) -> tuple[int, set[int]]:
-    """The hash of a page's tree and those of its removable subtrees (signed)."""
+def key(n: Node) -> int:
+    """The hash (signed) of a subtree, another inside an article than outside."""
+    return (n.hash ^ INSIDE if n.inside else n.hash) - 2**63
+
+
+def candidates(page: str) -> list[tuple[bool, int, int | None]]:
+    """(inside an article, hash of the page or of its articles, hash): the removable subtrees, and a row with
+    a null hash for the page and for its articles."""
     root = tree(page)
-    nodes, _ = mark(root)
-    return root.hash - 2**63, {n.hash - 2**63 for n in removable(nodes)}
+    nodes, marked = mark(root)
+    whole = root.hash - 2**63
+    out = [(False, whole, None)]
+    if marked:
+        articles = xxhash.xxh3_64_intdigest(" ".join(f"{n.hash:x}" for n in marked)) - 2**63
+        out.append((True, articles, None))
+    found = removable(nodes)
+    out += [(False, whole, h) for h in sorted({key(n) for n in found if not n.inside})]
+    return out + [(True, articles, h) for h in sorted({key(n) for n in found if n.inside})]
 
 
 def text_of(page: str, template) -> str:
     """The main text without the subtrees whose hashes are in ``template``."""
     root = tree(page)
     nodes, marked = mark(root)
-    shared = {id(n) for n in removable(nodes) if n.hash - 2**63 in template} if template else ()
+    shared = {id(n) for n in removable(nodes) if key(n) in template} if template else ()
     blocks, now = [], []
 
     def close():
@@ -235,11 +250,11 @@ def hosts(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-SHARED = "host string, page_id long, content long, hash long"
+SHARED = "host string, page_id long, inside boolean, content long, hash long"
 
 
 def _shared(pages: DataFrame) -> DataFrame:
-    """(host, page_id, content, hash) of the removable subtrees, and a row with a null hash for each page."""
+    """(host, page_id, inside, content, hash), the latter three as ``candidates`` gives them."""
     ship(pages.sparkSession)
 
     def run(batches):
@@ -247,24 +262,23 @@ def _shared(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for part, texts in runtime.text_slices(batch, "html", chars=2_000_000):
                 found = [html_template.candidates(t) for t in texts]
-                own = [[(content, None), *((content, h) for h in sorted(hashes))] for content, hashes in found]
-                rows = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]))
+                rows = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(rows), part.column(1).take(rows), *(pa.array([x[k] for o in own for x in o], pa.int64()) for k in (0, 1))],
-                    names=["host", "page_id", "content", "hash"])
+                    [part.column(0).take(rows), part.column(1).take(rows), *(pa.array([x[k] for f in found for x in f], t) for k, t in enumerate((pa.bool_(), pa.int64(), pa.int64())))],
+                    names=["host", "page_id", "inside", "content", "hash"])
 
     return pages.select("host", "page_id", "html").mapInArrow(run, SHARED)
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, hash) of the subtrees that recur on at least ``min_pages`` different pages of a
-    host and ``min_share`` of them."""
+    host and ``min_share`` of them (inside articles: of its different articles)."""
     rows = pages.select(hosts(F.col("url")).alias("host"), F.lit(0).cast("long").alias("page_id"), "html")
-    different = _shared(rows.where("html is not null")).select("host", "content", "hash").distinct()
-    counted = different.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("hash").isNull() | (F.col("pages") >= min_pages))
+    different = _shared(rows.where("html is not null")).select("host", "inside", "content", "hash").distinct()
+    counted = different.groupBy("host", "inside", "hash").agg(F.count("*").alias("pages")).where(F.col("hash").isNull() | (F.col("pages") >= min_pages))
     counted = written(counted, "subtrees")
-    totals = counted.where("hash is null").select("host", F.col("pages").alias("of"))
-    return counted.where("hash is not null").join(totals, "host").where(F.col("pages") >= F.col("of") * min_share).select("host", "hash")
+    totals = counted.where("hash is null").select("host", "inside", F.col("pages").alias("of"))
+    return counted.where("hash is not null").join(totals, ["host", "inside"]).where(F.col("pages") >= F.col("of") * min_share).select("host", "hash")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES,

@@ -99,6 +99,14 @@ def test_prose_of_a_large_host_stays(spark):
     assert texts_of(spark, pages) == [f"own {k} always bold end" + ("\nYes." if k % 8 == 0 else "") for k in range(64)]
 
 
+def test_boxes_inside_articles_are_removed(spark):
+    """Recurring blocks inside the marked article go; copies of an article in other shells stay."""
+    page = "<body><p>%s</p><main><h1>T%d</h1><p>own %d</p><div class='x'>Also read: a b</div></main></body>"
+    copy = "<body><p>shell %d</p><article><p>the same</p><p>article</p></article></body>"
+    pages = [("http://h/1", page % (k, k, k)) for k in range(8)] + [("http://g/1", copy % k) for k in range(8)]
+    assert texts_of(spark, pages) == [f"T{k}\nown {k}" for k in range(8)] + ["the same\narticle"] * 8
+
+
 def damaged(rows):
     kept = [r for r in rows if r[0] not in (5, 700)]
     return [(i, u, (h or "") + "x") if i in (9, 5000) else (i, u, h) for i, u, h in kept] + [(-3, "u", "new"), (None, None, None)]
