@@ -59,6 +59,13 @@ AROUND = frozenset("""ad ads advert adverts advertisement advertising banner spo
 breadcrumb breadcrumbs sidebar aside widget header masthead footer cookie cookies consent notice notices notification popup modal
 newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist disqus
 replies pagination pager skip toolbar copyright""".split())
+#: Inside a marked article only these whole names of a class or id do; single words such as header, share or menu name content there too.
+WITHIN = frozenset("""ad ads ad-box ad-banner ad-container ad-slot ad-unit ad-wrapper adsbygoogle advert adverts advertisement advertising
+sponsored-content promo-box navbar site-nav main-nav nav-links post-navigation breadcrumb breadcrumbs sidebar site-header site-footer
+cookie-notice cookie-banner cookie-consent newsletter newsletter-signup newsletter-form subscribe-box share-bar share-buttons share-links
+sharedaddy social-share social-sharing social-buttons social-links social-media-links related-posts related-articles related-links related-content
+recommended-posts recommended-articles comments comment-list commentlist comments-area comment-form comment-respond disqus_thread replies
+pagination pager skip-link""".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -138,6 +145,8 @@ def is_around(node: Node, inside: bool) -> bool:
         return True
     if node.tag in ("body", "html", "article", "main"):
         return False
+    if inside:
+        return any(w in WITHIN for w in (a.get("class", "") + " " + a.get("id", "")).lower().split())
     return any(w in AROUND for w in NAME.findall((a.get("class", "") + " " + a.get("id", "")).lower()))
 
 

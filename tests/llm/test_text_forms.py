@@ -107,6 +107,12 @@ def test_boxes_inside_articles_are_removed(spark):
     assert texts_of(spark, pages) == [f"T{k}\nown {k}" for k in range(8)] + ["the same\narticle"] * 8
 
 
+@pytest.mark.parametrize("name", ["entry-header", "article-header", "share-price", "menu-item", "notice-period", "social", "banner-image", "related"])
+def test_names_of_content_inside_articles(name):
+    body = f'<article><header class="{name}"><h1>T</h1></header><p class="{name}" id="{name}">a</p><div class="x share-buttons">no</div></article>'
+    assert html_template.text_of(PAGE % body, frozenset()) == "T\na"
+
+
 def damaged(rows):
     kept = [r for r in rows if r[0] not in (5, 700)]
     return [(i, u, (h or "") + "x") if i in (9, 5000) else (i, u, h) for i, u, h in kept] + [(-3, "u", "new"), (None, None, None)]
