@@ -45,7 +45,7 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
 def leaves(found: DataFrame) -> DataFrame:
     """Records with their file, slot in it (0 .. RANGE - 1) and leaf hash."""
-    return found.select("page_id", "length", "digest", "copies", F.floor(F.col("page_id") / F.lit(RANGE)).alias("file"),
+    return found.select("page_id", "length", "digest", "copies", F.expr(f"(page_id - pmod(page_id, {RANGE}L)) div {RANGE}L").alias("file"),
                         F.pmod("page_id", F.lit(RANGE)).cast("int").alias("slot"))
 
 

@@ -142,6 +142,14 @@ def test_fixity_audit(spark):
     assert {r.status for r in same} == {"intact"}
 
 
+def test_fixity_of_large_ids(spark):
+    ids = (2**62 + 4095, 2**53 + 4097, -2**62 - 1, 2**63 - 1)
+    schema = "page_id long, url string, html string"
+    ours, theirs = (spark.createDataFrame([(i, "u", h) for i in ids], schema) for h in ("a", "b"))
+    got = warc.audit(warc.records(ours), warc.records(theirs)).collect()
+    assert {(r.page_id, r.file, r.status) for r in got} == {(i, i // 4096, "changed") for i in ids}
+
+
 def test_descent_reads_only_differing_branches(spark):
     rows = [(i, "u", str(i)) for i in range(2000)]
     schema = "page_id long, url string, html string"
