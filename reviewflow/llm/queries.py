@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, embeddings, html_template, minhash, token_counts, token_files, toxicity, warc
+from . import (bpe, chat, conversation_repair, decontaminate, embeddings, html_template, minhash, suffix_tree, token_counts,
+               token_files, toxicity, warc, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,6 +143,26 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a checksum of their turns and repaired at the least cost."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns)
+
+
+@query
+def op12_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents by a suffix tree of those that aren't held out."""
+    return suffix_tree.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings projected on their leading components, whitened."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.components_of(whitening.whiten(vectors))
+
+
 ORACLE["op4_warc_fixity"] = """
 WITH whole AS (
   SELECT page_id, html, ('0x' || substr(sha256('replica ' || page_id), 1, 7))::BIGINT % 200 AS salt,
@@ -156,3 +177,61 @@ listed AS (
 SELECT page_id, file, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
   length, digest, status FROM listed
 UNION ALL SELECT -1 - page_id, NULL, NULL, NULL, NULL, 'extra' FROM whole WHERE salt = 4"""
+
+
+def _repair_step() -> str:
+    """The four states' lightest (c cost, a audit, t turns) past one row, as SQL."""
+    def past(p: str, weight: int, letters: str, said: str) -> str:
+        more = f" + {weight}" + (" + cut" if letters[-1] in "KR" else "")
+        turns = f"list_concat({p}.t, [{said}])" if said else f"{p}.t"
+        return f"CASE WHEN {p} IS NOT NULL THEN {{'c': {p}.c{more}, 'a': {p}.a || '{letters}', 't': {turns}}} END"
+    own = "role || ':' || text"
+
+    def consumed(q: str, name: str, befores: list[str], inserted: str, after_insert: list[str]) -> list[str]:
+        found = [f"CASE WHEN NOT gone AND initial = '{q}' THEN {past(p, 0, 'K', own)} END" for p in befores]
+        found += [f"CASE WHEN NOT gone THEN {past(p, 2, 'R', f"'{name}:' || text")} END" for p in befores]
+        found += [f"CASE WHEN NOT gone AND initial = '{q}' THEN {past(p, 2, 'IK', f"'{inserted}:', {own}")} END" for p in after_insert]
+        return found + [f"CASE WHEN NOT gone THEN {past(p, 4, 'IR', f"'{inserted}:', '{name}:' || text")} END" for p in after_insert]
+    states = {"z": [], "s": [f"CASE WHEN NOT gone AND initial = 's' THEN {past('z', 0, 'K', own)} END"],
+              "u": consumed("u", "user", ["z", "s", "a"], "assistant", ["u"]), "a": consumed("a", "assistant", ["u"], "user", ["z", "s", "a"])}
+    return ", ".join(f"list_min([{', '.join([past(p, 3, 'D', ''), *options])}]) AS {p}" for p, options in states.items())
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLE["op11_conversation_repair"] = f"""
+WITH RECURSIVE bits AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
+salted AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295], [ascii(x)::BIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+      lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) % 20 AS salt FROM conversations, bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN salt = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN salt = 1 THEN '' WHEN salt = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM salted, range(2) c(copy) WHERE salt <> 0 AND (copy = 0 OR salt = 3)),
+placed AS (
+  SELECT *, substr(role, 1, 1) AS initial, rtrim(text, {_BLANKS}) AS bare,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged),
+listed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+facts AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND seen AS again, bare = '' OR seen AS gone,
+    CASE WHEN bare <> '' AND NOT seen AND right(bare, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut FROM listed),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS z, NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR[]) AS s,
+    NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR[]) AS u, NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR[]) AS a FROM ids
+  UNION ALL
+  SELECT d.conv_id, f.i, {_repair_step()}
+  FROM dp d JOIN facts f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1),
+goals AS (
+  SELECT conv_id, list_min([z, a, CASE WHEN u IS NOT NULL THEN {{'c': u.c + 2, 'a': u.a || 'I', 't': list_concat(u.t, ['assistant:'])}} END,
+    CASE WHEN s IS NOT NULL THEN {{'c': s.c + 4, 'a': s.a || 'II', 't': list_concat(s.t, ['user:', 'assistant:'])}} END]) AS goal
+  FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate,
+    sum(cut) AS truncated, count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM facts GROUP BY conv_id)
+SELECT g.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, goal.c::BIGINT AS cost, goal.a AS audit, sha256(array_to_string(goal.t, chr(10))) AS repaired_sha256
+FROM goals g LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM g.conv_id"""
