@@ -134,3 +134,50 @@ def test_slices_of_few_words(width):
 def test_table_of_few_words(spark):
     for text in ("a", "a b", "a b c", "a b c d"):
         assert result(minhash.groups(spark.createDataFrame([(1, text)], "doc_id long, text string"))) == {(1, 1, 1, True)}
+
+
+def test_recall_of_planted_pairs_in_a_hot_group(spark, monkeypatch):
+    """Pairs at 0.80 to 0.85 among texts that all share a third of their shingles, with nodes far above the
+    bound, so that trees branch to their depth: at least 99 % share a candidate component."""
+    monkeypatch.setattr(minhash, "NODE", 60)
+    rng = np.random.default_rng(8)
+    common = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets, pairs = [], []
+    for k in range(400):
+        own = rng.integers(0, 2**63, 120, dtype=np.uint64)
+        n = int(rng.integers(15, 20))
+        changed = own.copy()
+        changed[:n] = rng.integers(0, 2**63, n, dtype=np.uint64)
+        pairs.append((len(sets), len(sets) + 1))
+        sets += [np.unique(np.r_[common, own]), np.unique(np.r_[common, changed])]
+    close = [len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in pairs]
+    assert 0.79 < min(close) and max(close) < 0.86
+    low = minhash.minwise(sets)
+    tokens = low[:, :minhash.TREES].view(np.int64).tolist()
+    sketches = (low >> np.uint64(20)).astype("<u2")
+    reps = spark.createDataFrame([(k, tokens[k], bytearray(sketches[k].tobytes())) for k in range(len(sets))],
+                                 "doc_id long, tokens array<long>, sketch binary")
+    part = {r.node: r.component for r in components.connected(minhash.candidate_links(reps)).collect()}
+    found = [part.get(a) is not None and part.get(a) == part.get(b) for a, b in pairs]
+    assert np.mean(found) >= 0.99
+    assert max(np.unique(list(part.values()), return_counts=True)[1]) < 40  # and the group itself isn't one component
+
+
+def test_contraction_in_several_tasks(spark, monkeypatch):
+    """Cells smaller than the edge table: contracted in tasks, joined by star steps."""
+    monkeypatch.setattr(components, "CELL", 40)
+    rng = random.Random(3)
+    edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(60)] + [(k, k + 1) for k in range(1000, 1200)] + [(5, 5), (7, None)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    got = {r.node: r.component for r in components.connected(df).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        if b is not None and a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    assert got == {x: find(x) for x in parent}
