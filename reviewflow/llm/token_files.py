@@ -40,7 +40,7 @@ NULL_ID = -(2**63)
 FRAME_TOKENS = 1 << 20
 LEVEL = 3
 # One Python worker a task here, so its cache and slices may be larger than the encoder's defaults.
-CACHE_UNITS, SLICE = 250_000, 4_000_000
+CACHE_UNITS, SLICE = 600_000, 4_000_000
 
 FRAMES = "shard int, doc_id long, order_key long, part int, n_tokens long, checksum long, frame binary"
 MANIFEST = "shard int, path string, frames long, tokens long"
