@@ -304,8 +304,12 @@ def apply_map(state, pieces):
     raise AssertionError(f"no speculative piece for entry {(status, has_ep, d)}")
 
 
-def compose_maps(f, g):
-    """Map of 'f, then g' for piecewise maps (pieces as in ``speculate_chunk``)."""
+def compose_maps(f, g, cap: int = _HI):
+    """Map of 'f, then g' for piecewise maps (pieces as in ``speculate_chunk``).
+
+    ``cap``: no deadline at f's entry lies above it (the idle time after f's first event).
+    What f leaves symbolic isn't split beyond it, so a composition of any number of maps has no more
+    pieces than there are whole seconds up to ``cap``."""
     after: dict[str, list] = {}
     for p in sorted(g, key=lambda p: p[1]):
         after.setdefault(p[0], []).append(p)
@@ -316,10 +320,10 @@ def compose_maps(f, g):
         later = after[qt]
         if xk == _SYM:                      # f leaves the entry deadline in place: g's pieces split [lo, hi)
             k = bisect_right(lows[qt], lo) - 1
-            while k < len(later) and later[k][1] < hi:
-                _, qlo, qhi, ys, ye, yk, yd, yc = later[k]
-                out.append((pt, max(lo, qlo), min(hi, qhi), ys, ye, yk, yd, yc if yc is not None else xc))
-                k += 1
+            last = max(k, bisect_right(lows[qt], min(hi - 1, cap)) - 1)
+            for i in range(k, last + 1):
+                _, qlo, qhi, ys, ye, yk, yd, yc = later[i]
+                out.append((pt, max(lo, qlo), hi if i == last else qhi, ys, ye, yk, yd, yc if yc is not None else xc))
         else:
             _, _, _, ys, ye, yk, yd, yc = later[bisect_right(lows[qt], xd) - 1 if qt in ("IT", "IF") else 0]
             if yk == _SYM:                  # g keeps f's known deadline
@@ -390,15 +394,15 @@ def _groups_of(batches, group_keys, order_key, cols):
         yield key, runs
 
 
-def _compose_fn():
+def _compose_fn(bucket_us: int, idle_us: int):
     """Per (model, super): the composed map of its chunks in bucket order."""
     def run(batches):
         out = {c: [] for c in ["model_id", "super"] + _PIECE_COLS}
         for (model, sup), runs in _groups_of(batches, ["model_id", "super"], "bucket", _PIECE_COLS):
-            acc = None
+            acc, cap = None, (runs[0][0] + 1) * bucket_us + idle_us
             for _, rows in runs:
                 m = [_piece(r) for r in rows]
-                acc = m if acc is None else compose_maps(acc, m)
+                acc = m if acc is None else compose_maps(acc, m, cap)
             for p in acc:
                 cyc = p[7] or (None, None)
                 for c, v in zip(out, (model, sup) + p[:7] + cyc):
@@ -408,13 +412,19 @@ def _compose_fn():
     return run
 
 
-def _resolve_supers_fn():
+def _state(r):
+    return r["entry_status"], bool(r["entry_has_ep"]), _opt(r["entry_deadline"]), (_opt(r["entry_cycle_id"]), _opt(r["entry_cycle_ts"]))
+
+
+def _resolve_supers_fn(close: bool):
     """Per model: entry state of each super-chunk (one row per super, in order)."""
     def run(batches):
         out = {c: [] for c in ["model_id", "super"] + _ENTRY_COLS + ["is_last"]}
-        for (model,), runs in _groups_of(batches, ["model_id"], "super", _PIECE_COLS):
-            rows = resolve_chunks([(sup, [_piece(r) for r in rs]) for sup, rs in runs])
-            rows[-1][6] = True
+        for (model,), runs in _groups_of(batches, ["model_id"], "super", _PIECE_COLS + _ENTRY_COLS):
+            first = runs[0][1][0]
+            start = _START if first["entry_status"] is None else _state(first)
+            rows = resolve_chunks([(sup, [_piece(r) for r in rs]) for sup, rs in runs], start)
+            rows[-1][6] = close
             for row in rows:
                 for c, v in zip(out, [model] + row):
                     out[c].append(v)
@@ -431,8 +441,7 @@ def _resolve_within_fn():
         out = {c: [] for c in ["model_id", "bucket"] + _ENTRY_COLS + ["is_last"]}
         for (model, _sup), runs in _groups_of(batches, ["model_id", "super"], "bucket", cols):
             r0 = runs[0][1][0]
-            start = (r0["entry_status"], bool(r0["entry_has_ep"]), _opt(r0["entry_deadline"]),
-                     (_opt(r0["entry_cycle_id"]), _opt(r0["entry_cycle_ts"])))
+            start = _state(r0)
             rows = resolve_chunks([(b, [_piece(r) for r in rs]) for b, rs in runs], start)
             rows[-1][6] = bool(r0["is_last"])
             for row in rows:
@@ -526,6 +535,16 @@ def _by(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
     return df.repartition(n, *cols) if n else df.repartition(*cols)
 
 
+#: State of a model between two logs, as ``annotate`` takes it.
+STATE_COLUMNS = {"entry_status": "string", "entry_has_ep": "boolean", "entry_deadline": "long", "entry_cycle_id": "long", "entry_cycle_ts": "long"}
+
+
+def unplaced(events: DataFrame) -> DataFrame:
+    """The events that ``annotate`` can't place, with the reason: no model or no time."""
+    reason = F.when(F.col("model_id").isNull(), "no model").when(F.col("ts").isNull(), "no time")
+    return events.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 # Buckets per super-chunk in the two-level resolution of pass 2.
 SUPER_BUCKETS = 1024
 
@@ -533,19 +552,25 @@ SUPER_BUCKETS = 1024
 def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
              extend_below_minutes: int = EXTEND_BELOW_MINUTES,
              bucket_seconds: int = BUCKET_SECONDS,
-             super_buckets: int = SUPER_BUCKETS) -> DataFrame:
+             super_buckets: int = SUPER_BUCKETS, start: DataFrame | None = None, close: bool = True) -> DataFrame:
     """One row per event (``row_type='event'``) and per timer firing (``'timer'``)
     with the status before and after, the response code and action, the deadline
     and the creating cycle (``cycle_id``, ``cycle_ts_us``) it belongs to.
 
     ``bucket_seconds`` sets the chunk width: pick it so that a chunk of the busiest
-    model fits a task comfortably (e.g. 60 s at millions of events per hour)."""
+    model fits a task comfortably (e.g. 60 s at millions of events per hour).
+
+    ``start`` (model_id and the entry columns of ``STATE_COLUMNS``, a row a model) gives the state
+    that models are in before the first of ``events``; without it, and without a row, a
+    model is STOPPED. ``close=False`` leaves out the timer after a model's last event, for logs that go on.
+    Events without a model or a time have no place in the order: see ``unplaced``."""
     idle_us, extend_us = idle_minutes * _MIN_US, extend_below_minutes * _MIN_US
     order = ["model_id", "bucket", "ts_us", "event_id"]
     # materialised once (lineage cut in the shared checkpoint folder), hash-partitioned
     # by chunk and sorted, so both chunk passes stream contiguous chunks
     n = _pass_partitions(events.sparkSession)
-    staged = _by(_prepared(events, bucket_seconds), n, "model_id", "bucket").sortWithinPartitions(*order)
+    placed = events.where(F.col("model_id").isNotNull() & F.col("ts").isNotNull())
+    staged = _by(_prepared(placed, bucket_seconds), n, "model_id", "bucket").sortWithinPartitions(*order)
     staged = checkpointed(staged)
     pieces = (staged.select("model_id", "bucket", "event_id", "ts_us", "kind", "valid_start", "has_text")
                     .mapInPandas(_speculate_fn(idle_us, extend_us), _SPEC_SCHEMA)
@@ -555,9 +580,13 @@ def annotate(events: DataFrame, idle_minutes: int = IDLE_MINUTES,
     # each super-chunk, resolve super-chunk entries per model (super_buckets times
     # fewer rows), then resolve chunk entries inside each super-chunk
     supers = (_by(pieces, n, "model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
-                    .mapInPandas(_compose_fn(), _SUPER_SCHEMA))
+                    .mapInPandas(_compose_fn(bucket_seconds * _SEC_US, idle_us), _SUPER_SCHEMA))
+    if start is None:
+        supers = supers.select("*", *(F.lit(None).cast(t).alias(c) for c, t in STATE_COLUMNS.items()))
+    else:
+        supers = supers.join(start.select("model_id", *STATE_COLUMNS), "model_id", "left")
     super_entries = checkpointed(supers.repartition("model_id").sortWithinPartitions("model_id", "super")
-                                 .mapInPandas(_resolve_supers_fn(), _SUPER_ENTRY_SCHEMA))
+                                 .mapInPandas(_resolve_supers_fn(close), _SUPER_ENTRY_SCHEMA))
     seeded = pieces.join(super_entries, ["model_id", "super"])
     entries = (_by(seeded, n, "model_id", "super").sortWithinPartitions("model_id", "super", "bucket")
                      .mapInPandas(_resolve_within_fn(), _ENTRY_SCHEMA))

@@ -238,3 +238,52 @@ def test_fold_is_linear_and_its_map_bounded():
         pieces = lc.speculate_chunk(((i, i * 36_000, kind, True, True) for i in range(100_000)), idle, ext)
         assert time.process_time() - began < 60
         assert len(pieces) <= 2 * (lc.IDLE_MINUTES * 60 + 2) + 2
+
+
+def test_composition_of_many_start_chunks_is_bounded():
+    """1,024 chunks of starts only: whatever follows, a map has no more pieces than entry states."""
+    us = 1_000_000
+    idle, ext = lc.IDLE_MINUTES * 60 * us, lc.EXTEND_BELOW_MINUTES * 60 * us
+    began, acc, ev = time.process_time(), None, 0
+    for c in range(1024):
+        evs = [(ev + k, (c * 600 + 5 * k) * us, "start", True, True) for k in range(116)]
+        ev += 116
+        m = lc.speculate_chunk(evs, idle, ext)
+        acc = m if acc is None else lc.compose_maps(acc, m, idle)
+        assert len(acc) <= 2 * (lc.IDLE_MINUTES * 60 + 2) + 2
+    assert time.process_time() - began < 60
+    for d in (0, 7 * us, 600 * us, idle):
+        exact = lc.EndpointState(lc.IN_SERVICE, True, d)
+        for c in range(1024):
+            for k in range(116):
+                exact.apply(0, (c * 600 + 5 * k) * us, "start", True, True, idle, ext)
+        got = lc.apply_map((lc.IN_SERVICE, True, d, (None, None)), acc)
+        assert got[:3] == (exact.status, exact.has_ep, exact.deadline)
+
+
+def test_log_in_two_parts_equals_whole(spark):
+    """A fold that starts from the states another one ended in."""
+    rows, t = [], T0
+    for i in range(60):
+        t = t + dt.timedelta(minutes=(i * 11) % 37)
+        rows.append((i, t, f"m{i % 2}", KINDS[i * i % 5], "ann", "855-555-1212", "{}"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = lc.annotate(df)
+    first = lc.annotate(df.where("event_id < 25"), close=False)
+    columns = ["status_after", "has_endpoint_after", "deadline_us", "cycle_id", "cycle_ts_us"]
+    end = {}
+    for r in sorted(first.collect(), key=lambda r: (r.ts_us, r.event_id is None, r.event_id or 0)):
+        end[r.model_id] = tuple(r[c] for c in columns)
+    start = spark.createDataFrame([(m, *v) for m, v in end.items()],
+                                  "model_id string, " + ", ".join(f"{c} {k}" for c, k in lc.STATE_COLUMNS.items()))
+    rest = lc.annotate(df.where("event_id >= 25"), start=start)
+    key = ["model_id", "row_type", "event_id", "ts_us", "status_before", "status_after", "action", "code", "deadline_us", "cycle_id"]
+    rows_of = lambda d: [tuple(r[c] for c in key) for r in d.collect()]
+    assert sorted(rows_of(first) + rows_of(rest), key=repr) == sorted(rows_of(whole), key=repr)
+
+
+def test_events_without_model_or_time_are_listed(spark):
+    rows = [(1, T0, "m", "start", "ann", "855-555-1212", ""), (2, None, "m", "start", "ann", "1", ""), (3, T0, None, "status", None, None, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert lc.annotate(df).where("row_type = 'event'").count() == 1
+    assert sorted((r.event_id, r.reason) for r in lc.unplaced(df).collect()) == [(2, "no time"), (3, "no model")]
