@@ -712,9 +712,13 @@ def outbox(annotated: DataFrame, app_url: str) -> DataFrame:
     first_served = (ev.where((F.col("kind") == "in_service") & F.col("cycle_id").isNotNull())
                       .groupBy("model_id", "cycle_id")
                       .agg(F.min(F.struct("ts_us", "event_id")).alias("f")))
+    return messages(members.join(first_served, ["model_id", "cycle_id"]), app_url).drop("cycle_id")
+
+
+def messages(served_members: DataFrame, app_url: str) -> DataFrame:
+    """The notification of each subscriber, given with the in-service event ``f`` (ts_us, event_id) of the cycle."""
     name = F.coalesce(F.col("name"), F.lit(DEFAULT_NAME))
-    return (members.join(first_served, ["model_id", "cycle_id"])
-                   .select("model_id", F.col("f.event_id").alias("in_service_event_id"),
-                           F.timestamp_micros(F.col("f.ts_us")).cast("timestamp_ntz").alias("notified_at"),
-                           "subscriber_event_id", "name", "phone",
-                           F.format_string(NOTIFY_TEMPLATE, name, F.lit(IDLE_MINUTES), F.lit(app_url)).alias("message")))
+    return served_members.select(
+        "model_id", F.col("f.event_id").alias("in_service_event_id"), as_time("f.ts_us").alias("notified_at"),
+        "subscriber_event_id", "name", "phone",
+        F.format_string(NOTIFY_TEMPLATE, name, F.lit(IDLE_MINUTES), F.lit(app_url)).alias("message"), "cycle_id")

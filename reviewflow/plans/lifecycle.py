@@ -134,7 +134,7 @@ def uptime_daily(spark, sf_dir):
     return lc.uptime_daily(_annotated(spark, sf_dir))
 
 
-@query("notification_outbox", FOLD_SQL + """,
+OUTBOX_SQL = FOLD_SQL + """,
 members AS (
   SELECT model_id, cycle_id, event_id AS subscriber_event_id, name, phone FROM annotated
   WHERE row_type = 'event' AND action IN ('create', 'append') AND coalesce(phone, '') <> ''),
@@ -147,7 +147,10 @@ served AS (
 SELECT m.model_id, s.event_id AS in_service_event_id, s.ts AS notified_at,
        m.subscriber_event_id, m.name, m.phone,
        'Hi ' || coalesce(m.name, 'there') || '. The sentiment analysis model is now available for use for the next 30 minutes here: https://example.org/sentiment' AS message
-FROM members m JOIN served s ON s.model_id = m.model_id AND s.cycle_id = m.cycle_id""", L)
+FROM members m JOIN served s ON s.model_id = m.model_id AND s.cycle_id = m.cycle_id"""
+
+
+@query("notification_outbox", OUTBOX_SQL, L)
 def notification_outbox(spark, sf_dir):
     return lc.outbox(_annotated(spark, sf_dir), APP_URL)
 
