@@ -722,3 +722,22 @@ def messages(served_members: DataFrame, app_url: str) -> DataFrame:
         "model_id", F.col("f.event_id").alias("in_service_event_id"), as_time("f.ts_us").alias("notified_at"),
         "subscriber_event_id", "name", "phone",
         F.format_string(NOTIFY_TEMPLATE, name, F.lit(IDLE_MINUTES), F.lit(app_url)).alias("message"), "cycle_id")
+
+
+def request_bodies(annotated: DataFrame, texts: DataFrame, scorer) -> DataFrame:
+    """The requests (start, predict, status) of an annotated log with the body that each was answered with.
+
+    Accepted predicts meet their text (``texts``: event_id, text) and go through ``scorer``, a function
+    that adds ``label_code`` and ``score`` to a frame with a ``text`` column (a fitted pipeline, a plug-in
+    model in Arrow batches, or expressions); their body is the endpoint's answer ``[{label, score}]``."""
+    asked = annotated.where((F.col("row_type") == "event") & F.col("kind").isin("start", "predict", "status"))
+    message = F.lit(None).cast("string")
+    for (kind, key), texts_of in {("start", "message"): START_MESSAGES, ("predict", "error"): PREDICT_ERRORS}.items():
+        for action, said in texts_of.items():
+            named = "error" if action == "invalid" else key
+            message = F.when((F.col("kind") == kind) & (F.col("action") == action), F.to_json(F.struct(F.lit(said).alias(named)))).otherwise(message)
+    body = F.when(F.col("kind") == "status", F.to_json(F.struct((F.col("status_before") == IN_SERVICE).alias("is_running")))).otherwise(message)
+    accepted = (F.col("kind") == "predict") & (F.col("action") == "accept")
+    scored = scorer(asked.where(accepted).join(texts.select("event_id", "text"), "event_id"))
+    answer = F.to_json(F.array(F.struct(F.col("label_code").alias("label"), F.col("score").alias("score"))))
+    return asked.where(~accepted).withColumn("body", body).unionByName(scored.withColumn("body", answer).select(*asked.columns, "body"))

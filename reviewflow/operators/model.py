@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import NEGATIVE_CODE, POSITIVE_CODE, label_name, percent_text
 from ..functions.text import first_element
-from .text import TOKEN_PATTERN
+from .text import TOKEN_PATTERN, tokens
 
 # Hyper-parameters: one pass in the original (epochs -> iterations here), weight
 # decay 0.01 (-> L2 regularisation).
@@ -114,3 +114,39 @@ def score_with(df: DataFrame, make_predict, input_col: str = "review_full_text",
     return (df.withColumn("p_positive", udf(F.col(input_col)))
               .withColumn("score", F.greatest(p, 1 - p))
               .withColumn("label_code", F.when(p >= 0.5, F.lit(POSITIVE_CODE)).otherwise(F.lit(NEGATIVE_CODE))))
+
+
+# ---- a fixed-coefficient model ---------------------------------------------------------
+
+# Fixed values of the hashed linear model: a token's coefficient is a number of thousandths in
+# [-1000, 1000], taken from the first six hexadecimal digits of its MD5.
+HASH_DIGITS, COEFFICIENTS, UNIT = 6, 2001, 1000
+
+
+def hashed_logit(text: Column | str) -> Column:
+    """The sum of a text's token coefficients, in thousandths (an exact integer)."""
+    weight = lambda t: F.conv(F.substring(F.md5(t), 1, HASH_DIGITS), 16, 10).cast("long") % COEFFICIENTS - UNIT
+    return F.aggregate(F.transform(tokens(text), weight), F.lit(0).cast("long"), lambda a, w: a + w)
+
+
+def hashed_score(df: DataFrame, input_col: str = "review_full_text") -> DataFrame:
+    """Score with the fixed hashed linear model, as expressions: a model that needs no fit, for
+    baselines and for checking a scoring path by value. Adds ``p_positive``, ``score``, ``label_code``."""
+    p = F.col("p_positive")
+    return (df.withColumn("p_positive", 1 / (1 + F.exp(-hashed_logit(input_col) / F.lit(float(UNIT)))))
+              .withColumn("score", F.round(F.greatest(p, 1 - p), 6))
+              .withColumn("label_code", F.when(p >= 0.5, F.lit(POSITIVE_CODE)).otherwise(F.lit(NEGATIVE_CODE))))
+
+
+def make_hashed_predict():
+    """The same model as a plug-in for ``score_with``: one call a worker, whole batches of texts."""
+    import hashlib
+    import re
+
+    import numpy as np
+
+    def predict(texts):
+        logits = [sum(int(hashlib.md5(t.encode()).hexdigest()[:HASH_DIGITS], 16) % COEFFICIENTS - UNIT
+                      for t in re.findall(TOKEN_PATTERN, (x or "").lower())) for x in texts]
+        return 1 / (1 + np.exp(-np.array(logits, float) / UNIT))
+    return predict

@@ -218,6 +218,38 @@ def quality_report(spark, sf_dir):
     return quality.evaluate(kept, QUALITY_RULES)
 
 
+# Row rules of the review table.
+ROW_RULES = 'Rules = [RowCount > 0, Completeness "title" >= 0.8, Completeness "rating" >= 0.9, ColumnValues "rating" >= 2, ColumnLength "text" <= 4000]'
+_ROW_CHECKS = {'Completeness "title" >= 0.8': "title IS NOT NULL", 'Completeness "rating" >= 0.9': "rating IS NOT NULL",
+               'ColumnValues "rating" >= 2': "coalesce(rating >= 2, false)", 'ColumnLength "text" <= 4000': "coalesce(length(text) <= 4000, false)"}
+
+
+def _checked_reviews(spark, sf_dir):
+    """The reviews with their row outcomes, written in one pass and read back."""
+    path = scratch_path(spark, "checked")
+    files.write_parquet(quality.with_outcomes(reviews(spark, sf_dir), ROW_RULES), path)
+    return files.read_parquet(spark, path)
+
+
+@query("quality_row_failures", " UNION ALL ".join(
+    f"SELECT doc_id, '{rule}' AS rule FROM reviews WHERE NOT ({check})" for rule, check in _ROW_CHECKS.items()), ("reviews",))
+def quality_row_failures(spark, sf_dir):
+    """Every row and rule that it fails."""
+    return _checked_reviews(spark, sf_dir).select("doc_id", F.explode(quality.FAILED_COLUMN).alias("rule"))
+
+
+@query("quality_outcomes", """
+SELECT 'RowCount > 0' AS rule, CAST(count(*) AS DOUBLE) AS observed, CAST(NULL AS BIGINT) AS failed_rows,
+       CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END AS outcome FROM reviews""" + "".join(
+    f"""
+UNION ALL SELECT '{rule}', avg(CASE WHEN {check} THEN 1.0 ELSE 0.0 END), count(*) FILTER (WHERE NOT ({check})),
+       CASE WHEN {f"avg(CASE WHEN {check} THEN 1.0 ELSE 0.0 END) >= {rule.split()[-1]}" if rule.startswith("Completeness")
+                  else f"bool_and({check})"} THEN 'Passed' ELSE 'Failed' END FROM reviews""" for rule, check in _ROW_CHECKS.items()), ("reviews",))
+def quality_outcomes(spark, sf_dir):
+    """The rule table, aggregated from the outcomes that were written beside the data."""
+    return quality.outcomes(_checked_reviews(spark, sf_dir), ROW_RULES)
+
+
 RAW_REVIEW_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
     T.StructField("rating", T.DoubleType()), T.StructField("title", T.StringType()),

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import asof, model
 from ..operators import lifecycle as lc
-from ..tables import lifecycle_events
+from ..tables import lifecycle_events, read_table
 from .registry import query
 
 L = ("lifecycle_events",)
@@ -183,8 +184,19 @@ def status_response(spark, sf_dir):
                     "extended", F.to_json(F.struct(running.alias("is_running"))).alias("body"))
 
 
-@query("request_outcomes", FOLD_SQL + """
-SELECT event_id, model_id, kind, status_before, code, action AS outcome,
+# The fixed hashed linear model over a request's text.
+_SCORED_SQL = """,
+logits AS (
+  SELECT event_id, list_sum([('0x' || substr(md5(x), 1, 6))::BIGINT % 2001 - 1000 FOR x IN string_split_regex(lower(text), '[^a-z0-9]+') IF x <> '']) / 1000.0 AS z
+  FROM lifecycle_events WHERE kind = 'predict' AND text <> ''),
+answers AS (
+  SELECT event_id, '[{"label":"' || CASE WHEN 1 / (1 + exp(-z)) >= 0.5 THEN 'LABEL_1' ELSE 'LABEL_0' END || '","score":'
+         || round(greatest(1 / (1 + exp(-z)), 1 - 1 / (1 + exp(-z))), 6) || '}]' AS answer
+  FROM (SELECT event_id, CAST(coalesce(z, 0) AS DOUBLE) AS z FROM logits) l)"""
+
+
+@query("request_outcomes", FOLD_SQL + _SCORED_SQL + """
+SELECT a.event_id, model_id, kind, status_before, code, action AS outcome,
        CASE
          WHEN kind = 'start' AND action = 'invalid' THEN '{"error":"Name and phone number are required."}'
          WHEN kind = 'start' AND action = 'noop' THEN '{"message":"Model is already running and ready for analysis."}'
@@ -192,25 +204,56 @@ SELECT event_id, model_id, kind, status_before, code, action AS outcome,
          WHEN kind = 'start' AND action = 'create' THEN '{"message":"Model deployment started. You will receive an SMS when it is ready."}'
          WHEN kind = 'predict' AND action = 'unavailable' THEN '{"error":"Model is not currently running or available."}'
          WHEN kind = 'predict' AND action = 'no_text' THEN '{"error":"Input text is required."}'
+         WHEN kind = 'predict' THEN answer
          WHEN kind = 'status' AND status_before = 'IN_SERVICE' THEN '{"is_running":true}'
          WHEN kind = 'status' THEN '{"is_running":false}' END AS body
-FROM annotated WHERE row_type = 'event' AND kind IN ('start', 'predict', 'status')""", L)
+FROM annotated a LEFT JOIN answers s ON s.event_id = a.event_id
+WHERE row_type = 'event' AND kind IN ('start', 'predict', 'status')""", L)
 def request_outcomes(spark, sf_dir):
-    a = _annotated(spark, sf_dir).where(
-        (F.col("row_type") == "event") & F.col("kind").isin("start", "predict", "status"))
-    body = None
-    for action, msg in lc.START_MESSAGES.items():
-        key = "error" if action == "invalid" else "message"
-        cond = (F.col("kind") == "start") & (F.col("action") == action)
-        val = F.to_json(F.struct(F.lit(msg).alias(key)))
-        body = F.when(cond, val) if body is None else body.when(cond, val)
-    for action, msg in lc.PREDICT_ERRORS.items():
-        body = body.when((F.col("kind") == "predict") & (F.col("action") == action),
-                         F.to_json(F.struct(F.lit(msg).alias("error"))))
-    body = body.when(F.col("kind") == "status",
-                     F.to_json(F.struct((F.col("status_before") == lc.IN_SERVICE).alias("is_running"))))
-    return a.select("event_id", "model_id", "kind", "status_before", "code",
-                    F.col("action").alias("outcome"), body.alias("body"))
+    """Every request with its answer; accepted predicts carry the scored body."""
+    texts = lifecycle_events(spark, sf_dir, kinds=("predict",))
+    answered = lc.request_bodies(_annotated(spark, sf_dir), texts, lambda df: model.hashed_score(df, "text"))
+    return answered.select("event_id", "model_id", "kind", "status_before", "code", F.col("action").alias("outcome"), "body")
+
+
+@query("predict_answers", FOLD_SQL + _SCORED_SQL + """
+SELECT a.event_id, model_id, answer AS body FROM annotated a JOIN answers s ON s.event_id = a.event_id
+WHERE row_type = 'event' AND kind = 'predict' AND action = 'accept'""", L)
+def predict_answers(spark, sf_dir):
+    """Accepted predicts answered by a plug-in model, called on Arrow batches of texts."""
+    def plugged(df):
+        return model.score_with(df, model.make_hashed_predict, "text").withColumn("score", F.round("score", 6))
+    answered = lc.request_bodies(_annotated(spark, sf_dir), lifecycle_events(spark, sf_dir, kinds=("predict",)), plugged)
+    return answered.where((F.col("kind") == "predict") & (F.col("action") == "accept")).select("event_id", "model_id", "body")
+
+
+# Requests of another table: every document asks for a model's state; one model gets half of them and
+# some models have no log.
+_ASKED_SQL = """
+  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'model-3' ELSE 'model-' || CAST(doc_id % 12 AS VARCHAR) END AS model_id,
+         TIMESTAMP '2024-01-01' + to_seconds(doc_id * 7919 % 2678400) AS asked_at FROM documents"""
+
+
+@query("asof_state", FOLD_SQL + f""",
+asked AS ({_ASKED_SQL}),
+known AS (
+  SELECT * FROM annotated QUALIFY row_number() OVER (PARTITION BY model_id, ts ORDER BY row_type DESC, event_id DESC) = 1)
+SELECT q.doc_id, q.model_id, q.asked_at, k.ts AS known_since, coalesce(k.status_after, 'STOPPED') AS status,
+       CASE WHEN k.has_endpoint_after THEN k.cycle_endpoint END AS endpoint_name, k.deadline
+FROM asked q ASOF LEFT JOIN known k ON k.model_id = q.model_id AND k.ts <= q.asked_at""", L)
+def asof_state(spark, sf_dir):
+    """State lookups for requests that aren't rows of the log, each at its own time."""
+    d = F.col("doc_id")
+    asked = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(d % 2 == 0, "model-3").otherwise(F.concat(F.lit("model-"), (d % 12).cast("string"))).alias("model_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=d * 7919 % 2678400)).alias("asked_at"))
+    log = _annotated(spark, sf_dir).select(
+        "model_id", lc.as_time("ts_us").alias("known_since"), (F.col("row_type") == "timer").alias("timer"), "event_id",
+        "status_after", "has_endpoint_after", "deadline_us", "cycle_ts_us")
+    found = asof.asof_join(asked, log, "model_id", "asked_at", "known_since", ["timer", "event_id"])
+    return found.select("doc_id", "model_id", "asked_at", "known_since", F.coalesce("status_after", F.lit(lc.STOPPED)).alias("status"),
+                        F.when(F.col("has_endpoint_after"), lc.endpoint_of_cycle()).alias("endpoint_name"),
+                        lc.as_time("deadline_us").alias("deadline"))
 
 
 _CYCLES_SQL = FOLD_SQL + """,
