@@ -100,6 +100,14 @@ def profile(df: DataFrame, null_strings: Iterable = (), null_numbers: Iterable =
     ``drop_all_null`` is set, and for a string / int / bigint / double leaf whose
     values (trimmed strings; null counts as a value) all lie in the sentinel set.
     An empty frame drops nothing."""
+    flat = profile_counts(df, null_strings, null_numbers)
+    return profile_of_counts(flat, df.schema, null_strings, null_numbers, drop_all_null)
+
+
+def profile_counts(df: DataFrame, null_strings: Iterable = (), null_numbers: Iterable = ()) -> DataFrame:
+    """The counters behind a profile, as one row: ``n_rows`` and, for leaf i of the schema, the rows with a value
+    ``v<i>`` and whether any value lies outside the sentinel set ``b<i>``. Rows of several parts of a
+    table merge by ``merge_counts``."""
     null_strings, null_numbers = tuple(null_strings), tuple(null_numbers)
     lv = leaves(df.schema)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
@@ -119,7 +127,20 @@ def profile(df: DataFrame, null_strings: Iterable = (), null_numbers: Iterable =
         else:
             bad = _outside(leaf.expr, leaf.data_type, null_strings, null_numbers)
         aggs.append((F.bool_or(bad) if bad is not None else F.lit(True)).alias(f"b{i}"))
-    flat = df.agg(*aggs)
+    return df.agg(*aggs)
+
+
+def merge_counts(counts: DataFrame) -> DataFrame:
+    """One row of counters from those of several parts of a table (none: null flags and no rows)."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts.columns if not c.startswith("b")]
+    return counts.agg(*sums, *(F.bool_or(c).alias(c) for c in counts.columns if c.startswith("b"))).select(counts.columns)
+
+
+def profile_of_counts(flat: DataFrame, schema: T.StructType, null_strings: Iterable = (), null_numbers: Iterable = (),
+                      drop_all_null: bool = True) -> DataFrame:
+    """The profile that one row of counters stands for."""
+    null_strings, null_numbers = tuple(null_strings), tuple(null_numbers)
+    lv = leaves(schema)
     rows = []
     for i, leaf in enumerate(lv):
         examined = _outside(F.lit(None), leaf.data_type, null_strings, null_numbers) is not None

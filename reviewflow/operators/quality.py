@@ -66,22 +66,28 @@ def evaluate(df: DataFrame, rules=DEFAULT_RULES, on_fail: str = "report") -> Dat
     row = None
     if any(_parts(r)[0] != "ColumnCount" for r in rules):
         row = df.agg(*exprs).collect()[0]   # one row of counters
+    counts = {_parts(r)[1]: row[f"__c{i}"] for i, r in enumerate(rules) if _parts(r)[0] == "Completeness"}
+    return from_counts(df.sparkSession, rules, len(df.columns), row["__rows"] if row else 0, counts, on_fail)
+
+
+def from_counts(spark, rules, n_columns: int, n_rows: int, with_value: dict, on_fail: str = "report") -> DataFrame:
+    """The rule table from counters that are known already (``with_value``: column -> rows with a value)."""
+    rules = parse_rules(rules) if isinstance(rules, str) else rules
     out = []
-    for i, rule in enumerate(rules):
+    for rule in rules:
         metric, col, op, thr = _parts(rule)
         if metric == "ColumnCount":
-            observed = float(len(df.columns))
+            observed = float(n_columns)
         elif metric == "RowCount":
-            observed = float(row["__rows"])
+            observed = float(n_rows)
         elif metric == "Completeness":
-            observed = float(row[f"__c{i}"]) / row["__rows"] if row["__rows"] else 0.0
+            observed = float(with_value[col]) / n_rows if n_rows else 0.0
         else:
             raise ValueError(f"unknown metric {metric}")
         passed = _OPS[op](observed, thr)
         if not passed and on_fail == "raise":
             raise ValueError(f"data-quality rule failed: {_label(rule)} (observed {observed})")
         out.append((_label(rule), observed, "Passed" if passed else "Failed"))
-    spark = df.sparkSession
     return spark.createDataFrame(out, "rule string, observed double, outcome string")
 
 

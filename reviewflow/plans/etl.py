@@ -256,28 +256,54 @@ RAW_REVIEW_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()), T.StructField("extra_note", T.StringType())])
 
 
-@query("etl_job", """
+_ETL_SQL = """
 SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_columns, count(title) AS n_titles,
        sum(rating) AS sum_rating, sum(length(text)) AS sum_text_length,
        CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END AS quality_outcome, count(*) AS rows_written,
        (SELECT count(*) FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 1) AS rows_quarantined
-FROM reviews""", ("reviews",))
+FROM reviews"""
+
+
+def _raw_reviews(spark, sf_dir):
+    """The reviews as raw lines (``value``; ``lang`` beside it): an always-empty extra field, some lines cut off."""
+    docs = (reviews(spark, sf_dir).join(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+            .withColumn("extra_note", F.lit(None).cast("string")))
+    return _lines_with_bad(spark, sf_dir, docs)
+
+
+def _etl_result(back, outcome, written, quarantined):
+    return back.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.lit(len(back.columns)).cast("long").alias("n_columns"),
+                    F.count("title").alias("n_titles"), F.sum("rating").alias("sum_rating"),
+                    F.sum(F.length("text")).alias("sum_text_length"),
+                    F.lit(outcome).alias("quality_outcome"),
+                    F.lit(written).cast("long").alias("rows_written"),
+                    F.lit(quarantined).cast("long").alias("rows_quarantined"))
+
+
+@query("etl_job", _ETL_SQL, ("reviews",))
 def etl_job(spark, sf_dir):
     """The whole ETL job: reviews as raw JSON lines (one folder per language, an
     always-empty extra field, some lines cut off) -> select -> drop empty columns -> rules -> Parquet."""
     from ..jobs import clean_reviews
     raw = scratch_path(spark, "raw-reviews")
-    docs = (reviews(spark, sf_dir).join(read_table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-            .withColumn("extra_note", F.lit(None).cast("string")))
-    _lines_with_bad(spark, sf_dir, docs).write.mode("overwrite").partitionBy("lang").text(raw)
+    _raw_reviews(spark, sf_dir).write.mode("overwrite").partitionBy("lang").text(raw)
     out = scratch_path(spark, "processed")
     report, metrics = clean_reviews(spark, raw, out, schema=RAW_REVIEW_SCHEMA)
     outcome = report.where("rule = 'ColumnCount > 0'").first()["outcome"]
-    back = files.read_parquet(spark, out)
-    return back.agg(F.count(F.lit(1)).alias("n_rows"),
-                    F.lit(len(back.columns)).cast("long").alias("n_columns"),
-                    F.count("title").alias("n_titles"), F.sum("rating").alias("sum_rating"),
-                    F.sum(F.length("text")).alias("sum_text_length"),
-                    F.lit(outcome).alias("quality_outcome"),
-                    F.lit(metrics["rows_written"]).cast("long").alias("rows_written"),
-                    F.lit(metrics["rows_quarantined"]).cast("long").alias("rows_quarantined"))
+    return _etl_result(files.read_parquet(spark, out), outcome, metrics["rows_written"], metrics["rows_quarantined"])
+
+
+@query("etl_incremental", _ETL_SQL, ("reviews",))
+def etl_incremental(spark, sf_dir):
+    """The whole ETL job in three runs over a growing folder: the same answer as one run over all of it."""
+    from ..jobs import IncrementalClean
+    raw, ckpt = scratch_path(spark, "raw-growing"), scratch_path(spark, "etl-ckpt")
+    job = IncrementalClean(spark, raw, scratch_path(spark, "cleaned"), RAW_REVIEW_SCHEMA)
+    lines, lang = _raw_reviews(spark, sf_dir), F.coalesce(F.col("lang"), F.lit(""))
+    for k, part in enumerate((lang == "en", lang == "de", ~lang.isin("en", "de"))):
+        lines.where(part).select("value").write.text(f"{raw}/arrived={k}")
+        job.run(ckpt)
+    back = job.result()
+    outcome = job.report().where("rule = 'ColumnCount > 0'").first()["outcome"]
+    return _etl_result(back, outcome, files.good_rows(job.staged()).count(), files.bad_rows(job.staged()).count())

@@ -4,11 +4,13 @@ prediction display."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
+from ..operators import epochs, sampling, text
 from ..operators import model as mdl
 from ..operators import prepare as prep
-from ..operators import sampling, text
 from ..session import scratch_path
 from ..streaming import staging
 from ..tables import read_table, reviews
@@ -235,3 +237,56 @@ def prediction_display(spark, sf_dir):
     return s.select("doc_id", shown_code.alias("label_code"), F.round(score, 4).alias("score"),
                     name.alias("sentiment"), conf.alias("confidence"))
 
+
+
+# ---- training by epochs -----------------------------------------------------------------
+
+TRAIN_PLAN = epochs.Plan(epochs=3, batch_rows=512, learning_rate=1.0, warmup_steps=2, weight_decay=1e-4)
+TRAIN_FEATURES = 1 << 14
+
+
+@query("train_epochs", """
+WITH r AS (SELECT doc_id FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND doc_id % 7 <> 0 AND text IS NOT NULL),
+n AS (SELECT count(*) AS rows, CAST(ceil(count(*) * 0.1) AS BIGINT) AS test FROM r)
+SELECT e AS epoch, CAST(e * ceil((rows - test) / 512.0) AS BIGINT) AS steps, rows - test AS train_rows, test AS test_rows,
+       true AS loss_fell
+FROM n, range(1, 4) t(e)""")
+def train_epochs(spark, sf_dir):
+    """The classifier trained by epochs: one row each, with the test split measured after it. ``loss_fell``: the test
+    loss is below that after the epoch before (before the first: ln 2, of a model without weights)."""
+    prepared = epochs.hashed_features(
+        prep.training_rows(prep.prepare(reviews(spark, sf_dir))).select("doc_id", "label", "review_full_text"),
+        "doc_id", "label", "review_full_text", TRAIN_FEATURES)
+    path = scratch_path(spark, "features")
+    prepared.write.parquet(path)
+    train, test = sampling.split_exact(spark.read.parquet(path), "key", 0.1, 42)
+    paths = [scratch_path(spark, "train"), scratch_path(spark, "test")]
+    for df, to in zip((train, test), paths):
+        df.write.parquet(to)
+    train, test = (spark.read.parquet(p) for p in paths)
+    _, history = epochs.train(train, test, TRAIN_FEATURES, TRAIN_PLAN)
+    n, before, rows = train.count(), math.log(2), []
+    for h in history:
+        rows.append((h["epoch"], h["steps"], n, h["test_rows"], h["test_loss"] < before))
+        before = h["test_loss"]
+    return spark.createDataFrame(rows, "epoch long, steps long, train_rows long, test_rows long, loss_fell boolean")
+
+
+@query("epochs_closed_form", """
+WITH r AS (
+  SELECT CAST(quality AS DOUBLE) AS y, ln(1 + length(text)) AS x FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+m AS (SELECT avg(y) AS my, avg(x) AS mx, stddev_pop(x) AS sx, covar_pop(y, x) AS c, count(*) AS n FROM r)
+SELECT n AS n_rows, round(my, 4) AS bias, round(c / sx / 1.25, 4) AS weight FROM m""")
+def epochs_closed_form(spark, sf_dir):
+    """Ridge regression of the label on the standardised log length, by full-batch steps with decoupled decay: the
+    weights are those of the closed form."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.log1p(F.length("text").cast("double")).alias("x"))
+    rows = d.join(read_table(spark, sf_dir, "labels").where("quality is not null").select("doc_id", "quality"), "doc_id")
+    mean, sd = rows.agg(F.avg("x"), F.stddev_pop("x")).first()
+    path = scratch_path(spark, "standardised")
+    rows.select(F.col("doc_id").alias("key"), F.col("quality").cast("double").alias("label"), F.array(F.lit(0)).alias("indices"),
+                F.array((F.col("x") - mean) / sd).alias("values")).write.parquet(path)
+    table = spark.read.parquet(path)
+    plan = epochs.Plan(epochs=24, batch_rows=None, learning_rate=0.7, warmup_steps=1, final_share=1.0, weight_decay=0.25, loss="squared")
+    (w, bias), history = epochs.train(table, table, 1, plan)
+    return spark.createDataFrame([(history[-1]["test_rows"], round(bias, 4), round(float(w[0]), 4))], "n_rows long, bias double, weight double")

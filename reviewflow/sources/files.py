@@ -72,6 +72,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stream_json_permissive(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
+    """A stream of JSON lines; malformed ones as in ``read_json_permissive``."""
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    return (spark.readStream.schema(full)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+            .option("multiLine", False)
+            .option("recursiveFileLookup", True)
+            .json(source))
+
+
 def ingest_new_json(spark: SparkSession, source: str, schema: T.StructType, sink: str,
                     checkpoint: str, transform=None) -> None:
     """Read only the JSON files not yet seen (tracked in ``checkpoint``), apply
@@ -82,13 +93,7 @@ def ingest_new_json(spark: SparkSession, source: str, schema: T.StructType, sink
     columns of ``schema`` of good and bad rows and must keep the two quarantine columns.
     Rerunning it after new files land processes just those files, and a failed run resumes
     from its checkpoint."""
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    stream = flag_corrupt(spark.readStream.schema(full)
-                          .option("mode", "PERMISSIVE")
-                          .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-                          .option("multiLine", False)
-                          .option("recursiveFileLookup", True)
-                          .json(source))
+    stream = flag_corrupt(stream_json_permissive(spark, source, schema))
     if transform is not None:
         stream = transform(stream)
     q = (stream.writeStream.format("parquet")
