@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .runtime import Generations, ship, text_slices
+from .runtime import Generations, free_name, ship, text_slices
 
 # White space as Unicode defines it, and the byte-level pattern of the
 # vocabulary's pre-tokeniser.
@@ -237,8 +237,6 @@ def encoder(path: str, units: int = CACHE_UNITS) -> Encoder:
 
 
 def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
-    if name in schema.names:
-        raise ValueError(f"column {name} is there already")
     return T.StructType([*schema.fields, T.StructField(name, kind)])
 
 
@@ -253,8 +251,10 @@ def list_array(rows: list[np.ndarray], kind=pa.int32()) -> pa.Array:
 
 
 def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """``df`` with a column of token ids (``array<int>``) of the whole texts."""
+    """``df`` with a column of token ids (``array<int>``) of the whole texts. Where a column has that
+    name already, in any case, the new one gets underscores before it."""
     ship(df.sparkSession)
+    into = free_name(df, into)
 
     def run(batches):
         from reviewflow.llm import bpe, runtime
@@ -268,8 +268,9 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with the text that a column of ids stands for (null ids: null). Ids outside
-    the vocabulary raise an error."""
+    the vocabulary raise an error. Names as in ``encode``."""
     ship(df.sparkSession)
+    into = free_name(df, into)
 
     def run(batches):
         from reviewflow.llm import bpe
@@ -288,8 +289,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
 def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the ids of the whole texts and the texts that those ids decode to, by one
-    Python worker a task (``encode`` and ``decode`` after each other take two)."""
+    Python worker a task (``encode`` and ``decode`` after each other take two). Names as in ``encode``."""
     ship(df.sparkSession)
+    ids, decoded = free_name(df, ids), free_name(df, decoded)
 
     def run(batches):
         from reviewflow.llm import bpe, runtime

@@ -90,14 +90,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as an event log, folded, formatted and read back."""
+    """Conversations as an event log with edits, regenerations and deletions, folded, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                 F.lit(said).alias("text"))
     turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    formatted = chat.render(chat.messages(chat.events_of_turns(turns.unionByName(own))))
+    formatted = chat.render(chat.messages(chat.events_of_turns(turns.unionByName(own), revised=True)))
     back = formatted.select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"))
     said_all = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     return (back.withColumn("loss", chat.loss_text(F.col("turns")))

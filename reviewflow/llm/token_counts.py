@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import bpe
-from .runtime import Generations, ship
+from .runtime import Generations, free_name, ship
 
 RUNS = re.compile(rf"[{bpe.SPACE}]{{2,}}(?=[^{bpe.SPACE}])")
 CACHE_UNITS = 150_000
@@ -242,9 +242,7 @@ def prefix_counts(df: DataFrame, path: str, text: str = "text", into: str = "pre
                   n_bytes: str = "n_bytes", n_tokens: str = "n_tokens") -> DataFrame:
     """``df`` with the bytes and tokens of the whole text and the table of all its prefixes."""
     ship(df.sparkSession)
-    clash = {into, n_bytes, n_tokens} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already")
+    into, n_bytes, n_tokens = (free_name(df, c) for c in (into, n_bytes, n_tokens))
     schema = T.StructType([*df.schema.fields, T.StructField(n_bytes, T.LongType()),
                            T.StructField(n_tokens, T.LongType()), T.StructField(into, T.BinaryType())])
 
@@ -268,8 +266,7 @@ def prefix_counts(df: DataFrame, path: str, text: str = "text", into: str = "pre
 def longest_prefix(df: DataFrame, budget: int, table: str = "prefix_table", into: str = "chars_within") -> DataFrame:
     """``df`` with the length, in code points, of the longest prefix that has at most
     ``budget`` tokens, read from the stored tables (null table: null)."""
-    if into in df.columns:
-        raise ValueError(f"column {into} is there already")
+    into = free_name(df, into)
     ship(df.sparkSession)
 
     def run(batches):

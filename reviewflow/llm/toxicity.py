@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import Generations, ship, written
+from .runtime import Generations, free_name, ship, written
 
 POSITIVES = 3_000
 UNLABELLED = 8_000
@@ -147,7 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(rows, pa.list_(pa.int64()))], names=["p", "u", "features"])
 
     features = sample.select("text", "p", "u").mapInArrow(extract, "p int, u boolean, features array<long>")
-    features = features.withColumn("digest", F.xxhash64("features")).dropDuplicates(["digest", "p"]).drop("digest")
+    features = features.groupBy(F.xxhash64("features").alias("digest"), "p").agg(
+        F.max("u").alias("u"), F.min("features").alias("features")).select("p", "u", "features")  # the same rows at every run
     features = written(features, "toxicity-sample")
     total = features.agg(F.sum("p").alias("p"), F.sum(F.col("u").cast("int")).alias("u")).first()
     if not total.p or not total.u:
@@ -172,9 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def score(df: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
-    """``df`` with the score of each whole text, 0 to 1."""
-    if into in df.columns:
-        raise ValueError(f"column {into} is there already")
+    """``df`` with the score of each whole text, 0 to 1. Where a column has that name already, in
+    any case, the new one gets underscores before it."""
+    into = free_name(df, into)
     ship(df.sparkSession)
     weights, bias, prior = model.weights, model.bias, model.prior
 

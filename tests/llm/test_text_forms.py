@@ -39,6 +39,21 @@ def test_turns_round_trip(spark):
         assert r.formatted.count("</s>\n") == len(mine)
 
 
+def test_roles_with_line_breaks_and_revised_logs(spark):
+    rows = [(1, 0, "user\n", "hi\n"), (1, 1, "assistant\nx", "\\n"), (1, 2, "assistant", "x" * 1200), (1, 3, "user", ""), (1, 3, "user", ""),
+            (2, 0, "assistant", None), (2, 1, "\\n\n<", "y" * 700), (3, 0, "user", "w " * 60_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for revised in (False, True):
+        log = chat.events_of_turns(turns, revised=revised)
+        back = chat.render(chat.messages(log)).select("conv_id", chat.parse(F.col("formatted")).alias("turns"))
+        back = back.withColumn("loss", chat.loss_text(F.col("turns")))
+        got = {r.conv_id: r for r in back.collect()}
+        for c in (1, 2, 3):
+            assert [tuple(t) for t in got[c].turns] == [(r, t or "") for k, _, r, t in rows if k == c]
+        assert got[1].loss == "x" * 1200
+    assert {r.kind for r in log.select("kind").distinct().collect()} == set(chat.KINDS)
+
+
 def test_chat_plan_has_no_python(spark):
     from reviewflow.llm.queries import QUERIES
     plan = QUERIES["op7_chat_format"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

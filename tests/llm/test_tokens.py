@@ -45,8 +45,7 @@ def docs(spark, hard_texts):
 
 
 def test_encode_decode_frames(docs, library, tokenizer_file):
-    with pytest.raises(ValueError):
-        bpe.encode(docs, tokenizer_file)  # a column named ids is there
+    assert bpe.encode(docs, tokenizer_file).columns == [*docs.columns, "_ids"]  # a column named ids is there
     rows = bpe.decode(bpe.encode(docs, tokenizer_file, into="tokens"), tokenizer_file, ids="tokens").collect()
     assert len(rows) == docs.count() and {"ids", "tokens", "decoded"} < set(rows[0].asDict())
     for r in rows:

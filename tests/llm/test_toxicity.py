@@ -75,3 +75,19 @@ def test_registered_query(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7)
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert np.mean([p == y for p, y in held]) > 0.85
+
+
+def test_two_fits_agree_bit_for_bit(spark):
+    """Equal texts, in the sample as labelled and as unlabelled rows, in another order and partitioning."""
+    rng = random.Random(5)
+    docs, labels = corpus(500)
+    docs += [(1000 + i, t) for i, t in docs]
+    labels = labels[::2]
+    models = []
+    for parts in (1, 7):
+        rng.shuffle(docs)
+        models.append(toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts),
+                                   spark.createDataFrame(labels, "doc_id long, toxic int").repartition(parts)))
+    assert models[0].weights and models[0] == models[1]
+    clash = spark.createDataFrame([(1, "vile hate", 9.0)], "doc_id long, text string, Score double")
+    assert toxicity.score(clash, models[0]).columns == ["doc_id", "text", "Score", "_score"]
