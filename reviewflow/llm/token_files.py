@@ -98,19 +98,22 @@ def frames(docs: DataFrame, tokenizer: str, bounds: list[int], end_id: int, doc_
     def run(batches):
         from reviewflow.llm import bpe, runtime, token_files
         enc, pack = bpe.encoder(tokenizer, token_files.CACHE_UNITS), zstandard.ZstdCompressor(level=token_files.LEVEL)
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part, texts in runtime.text_slices(batch, "text", chars=token_files.SLICE):
                 rows = [[] for _ in range(7)]
                 for key, ids in zip(part.column(0).to_pylist(), enc.encode(texts)):
-                    ids = np.concatenate([ids.astype("<u4"), end])
-                    content = xxhash.xxh64_intdigest(ids.tobytes()) >> 1
+                    whole = ids.tobytes() + end  # ids below 2^31 look alike signed and unsigned
+                    digest = xxhash.xxh64_intdigest(whole)
+                    content = digest >> 1
                     low, high = (0, 0) if key is None else (bisect_left(bounds, key), bisect_right(bounds, key))
                     shard = low + content % (high - low + 1)
-                    for k in range(0, len(ids), frame_tokens):
-                        data = ids[k:k + frame_tokens].tobytes()
-                        for column, value in zip(rows, (shard, key, content, k // frame_tokens, len(data) // 4,
-                                                        xxhash.xxh64_intdigest(data) & 0xFFFFFFFF, pack.compress(data))):
+                    one = len(whole) <= 4 * frame_tokens
+                    for k in range(0, len(whole), 4 * frame_tokens):
+                        data = whole if one else whole[k:k + 4 * frame_tokens]
+                        check = digest if one else xxhash.xxh64_intdigest(data)
+                        for column, value in zip(rows, (shard, key, content, k // (4 * frame_tokens), len(data) // 4,
+                                                        check & 0xFFFFFFFF, pack.compress(data))):
                             column.append(value)
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds)],
