@@ -71,7 +71,7 @@ def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
                            .when(salt == 2, F.translate("html", "ae", "ea")).otherwise(F.col("html")).alias("html"), salt.alias("salt"))
     gained = replica.where("salt = 4").select((-1 - F.col("page_id")).alias("page_id"), "url", "html")
     replica = replica.where("salt <> 3").drop("salt").unionByName(gained)
-    return warc.audit(warc.records(pages), warc.records(replica))
+    return warc.audit(warc.records(pages), warc.records(replica)).drop("part")
 
 
 @query

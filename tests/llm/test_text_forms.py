@@ -165,6 +165,37 @@ def test_fixity_of_large_ids(spark):
     assert {(r.page_id, r.file, r.status) for r in got} == {(i, i // 4096, "changed") for i in ids}
 
 
+def test_fixity_finds_moved_records(spark):
+    schema = "page_id long, url string, html string, spot long, place string"
+    rows = [(i, "u", f"page {i}", i // 2 if i % 2 else i // 2 + 5000, "x") for i in range(300)]
+    rows += [(400, "u", "nowhere", None, "x"), (None, "u", "nobody", 7000, "x"), (-2**63, "u", "least", -2**63, "x")]
+    there = {r[0]: r for r in rows}
+    there[10], there[11] = (*there[10][:3], there[11][3], "x"), (*there[11][:3], there[10][3], "x")  # changed places
+    there[20] = (*there[20][:3], 9000, "x")  # at a place of its own
+    there[30] = (30, "u", "other", there[30][3], "x")
+    del there[40], there[400]
+    there[None] = (None, "u", "nobody", None, "x")
+    ours, theirs = spark.createDataFrame(rows, schema), spark.createDataFrame(list(there.values()), schema)
+    got = warc.audit(warc.records(ours, place="spot"), warc.records(theirs, place="spot")).collect()
+    assert len(got) == len(rows)
+    assert {(r.page_id, r.status) for r in got if r.status != "intact"} == {
+        (10, "moved"), (11, "moved"), (20, "moved"), (30, "changed"), (40, "missing"), (400, "missing"), (None, "moved")}
+    offset = {}
+    for r in sorted((r for r in got if r.page_id != 400), key=lambda r: (r.file, [x for x in rows if x[0] == r.page_id][0][3])):
+        assert r.part == 0 and r.offset == offset.get(r.file, 0)
+        offset[r.file] = r.offset + r.length
+
+
+def test_fixity_of_a_long_record_and_many_at_one_place(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MOST", 20)
+    schema = "page_id long, url string, html string"
+    rows = [(1, "u", "x" * 300_000)] + [(None, "u", str(i)) for i in range(100)]
+    ours, theirs = spark.createDataFrame(rows, schema), spark.createDataFrame([(1, "u", "x" * 299_999 + "y")] + rows[1:], schema)
+    got = warc.audit(warc.records(ours), warc.records(theirs)).collect()
+    assert {(r.page_id, r.status) for r in got} == {(1, "changed"), (None, "intact")}
+    assert len({(r.file, r.part, r.offset) for r in got}) == 101
+
+
 def test_descent_reads_only_differing_branches(spark):
     rows = [(i, "u", str(i)) for i in range(2000)]
     schema = "page_id long, url string, html string"
