@@ -1,11 +1,12 @@
 """Byte-pair encoding and decoding for byte-level BPE vocabularies (``tokenizer.json``).
 
-Encoding works on distinct white-space units. The pre-tokenisation pattern never joins
-characters across a unit border, except inside white-space runs, which take the plain
-pattern over the whole text. Units that are not in the worker's cache are split by the
-pattern, and their distinct pieces go through batched merge rounds: the symbols of all
-pieces lie in one flat array; each round finds the lowest-ranked pair of every piece by
-binary search over the sorted pair keys and merges all its occurrences, left to right.
+Encoding works on distinct white-space units, which Arrow splits off and numbers. The
+pre-tokenisation pattern never joins characters across a unit border, except inside
+white-space runs, which take the plain pattern over the whole text. Units that are not in
+the worker's cache are split by the pattern, and their distinct pieces go through batched
+merge rounds: the symbols of all pieces lie in one flat array; each round finds the
+lowest-ranked pair of every piece by binary search over the sorted pair keys (the answers for
+pairs of single bytes are kept) and merges all its occurrences, left to right.
 
 Results, by case: null text is the empty text; empty text has no ids; strings of added
 (special) tokens become their id, as the library does by default; repeated rows, ties and
@@ -20,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -79,6 +81,8 @@ class Vocabulary:
         merged = np.array([ids[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.pair_keys, self.pair_rank, self.pair_id = keys[order], order.astype(np.int32), merged[order].astype(np.int32)
+        left, right = (self.byte_id[h.ravel()] for h in np.indices((256, 256)))
+        self.byte_rank, self.byte_into = self._ranked(left, right)   # of pairs of bytes, the first round's
         self.specials = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def decode(self, ids: np.ndarray) -> str:
@@ -95,14 +99,16 @@ class Vocabulary:
     def merge_rounds(self, words: list[bytes]) -> list[bytes]:
         """Ids of each byte string, as one piece each, in little-endian int32 bytes."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        symbols = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        symbols = self.byte_id[raw]
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         done_symbols, done_words = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
         rank = np.full(len(symbols), NO_RANK)
         into = np.zeros(len(symbols), np.int32)
         if len(symbols) > 1:
             inside = np.nonzero(word[:-1] == word[1:])[0]
-            rank[inside], into[inside] = self._ranked(symbols[inside], symbols[inside + 1])
+            pair = raw[inside].astype(np.int32) * 256 + raw[inside + 1]
+            rank[inside], into[inside] = self.byte_rank[pair], self.byte_into[pair]
         while len(symbols):
             first = np.nonzero(np.r_[True, word[1:] != word[:-1]])[0]
             counts = np.diff(np.r_[first, len(symbols)])
@@ -154,6 +160,19 @@ def unit_pieces(prefix: str, unit: str) -> list[str]:
     return PIECES.findall(prefix + unit)
 
 
+def split_units(units: list[str]) -> list[list[str]]:
+    """Pre-tokens of different units, each behind a space. Units without white space at their
+    edges go through the pattern together: it starts a piece with a space at each of them and
+    nowhere else."""
+    out = {}
+    inner = [u for u in units if u and u == u.strip()]
+    if inner:
+        pieces = PIECES.findall(" " + " ".join(inner))
+        at = [k for k, p in enumerate(pieces) if p[0] == " "]
+        out = {u: pieces[a:b] for u, a, b in zip(inner, at, [*at[1:], len(pieces)])}
+    return [out[u] if u in out else unit_pieces(" ", u) for u in units]
+
+
 class Encoder:
     """Encodes texts with caches of pieces and units that live as long as the worker."""
 
@@ -163,39 +182,61 @@ class Encoder:
         self.units = Generations(units)           # unit behind a space
         self.leading = Generations(20_000)        # first unit of a text
 
-    def learn_pieces(self, pieces: set) -> None:
+    def learn_pieces(self, pieces) -> None:
         new = self.pieces.unknown(pieces)
         self.pieces.update(zip(new, self.v.merge_rounds([p.encode("utf-8", "surrogatepass") for p in new])))
 
-    def _learn(self, cache: Generations, units: set, prefix: str) -> None:
+    def _ids_of(self, cache: Generations, units: list, prefix: str) -> list[bytes]:
+        """Ids of different units, as little-endian int32 bytes."""
         new = cache.unknown(units)
         # a unit of letters only is one piece
         letters = [u for u in new if u.isalpha()]
         cache.update(zip(letters, self.v.merge_rounds([(prefix + u).encode("utf-8", "surrogatepass") for u in letters])))
         mixed = [u for u in new if not u.isalpha()]
-        split = [unit_pieces(prefix, u) for u in mixed]
+        split = split_units(mixed) if prefix else [unit_pieces(prefix, u) for u in mixed]
         self.learn_pieces(set().union(*split))
         of = self.pieces.__getitem__
         cache.update((u, b"".join(map(of, s))) for u, s in zip(mixed, split))
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        """Ids, as little-endian int32 bytes, of texts without added tokens."""
+        return list(map(cache.__getitem__, units))
+
+    def _by_units(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts whose pieces lie within their units: Arrow splits the texts and numbers
+        their different units, only those meet the caches, and numpy puts the ids in place."""
+        units = pc.split_pattern(texts, " ")
+        ends = units.offsets.to_numpy()
+        coded = units.flatten().dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+        heads = code[ends[:-1]]
+        times, as_head = (np.bincount(c, minlength=len(distinct)) for c in (code, heads))
+        behind, leading = np.nonzero(times > as_head)[0], np.nonzero(as_head)[0]
+        blobs = self._ids_of(self.units, distinct[behind].tolist(), " ")
+        blobs += self._ids_of(self.leading, distinct[leading].tolist(), "")
+        place = np.zeros(len(distinct), np.int32)
+        place[behind] = np.arange(len(behind))
+        at = place[code]
+        place[leading] = len(behind) + np.arange(len(leading))
+        at[ends[:-1]] = place[heads]
+        flat = np.frombuffer(b"".join(blobs), "<i4")
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        starts, n = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        until = np.cumsum(n)
+        # a unit's ids lie side by side in both arrays: shift each place by its unit's distance
+        out = flat[np.repeat(starts - until + n, n) + np.arange(until[-1])]
+        rows = np.r_[0, until[ends[1:] - 1]].tolist()
+        return [out[a:b] for a, b in zip(rows, rows[1:])]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without added tokens."""
         for cache in (self.pieces, self.units, self.leading):
             cache.turn()
-        parts: dict[int, list[str]] = {}
-        whole: dict[int, list[str]] = {}
-        for i, t in enumerate(texts):
-            if spans_units(t):
-                whole[i] = PIECES.findall(t)
-            else:
-                parts[i] = t.split(" ")
-        head = {i: p.pop(0) for i, p in parts.items()}
-        self._learn(self.units, set().union(*parts.values()), " ")
-        self._learn(self.leading, set(head.values()), "")
+        whole = {i: PIECES.findall(t) for i, t in enumerate(texts) if spans_units(t)}
         self.learn_pieces(set().union(*whole.values()))
-        of, piece, out = self.units.__getitem__, self.pieces.__getitem__, []
-        for i in range(len(texts)):
-            out.append(b"".join(map(piece, whole[i])) if i in whole else self.leading[head[i]] + b"".join(map(of, parts[i])))
+        piece = self.pieces.__getitem__
+        out = [np.frombuffer(b"".join(map(piece, whole[i])), "<i4") if i in whole else None for i in range(len(texts))]
+        rest = [i for i in range(len(texts)) if i not in whole]
+        if rest:
+            for i, ids in zip(rest, self._by_units(pa.array([texts[i] for i in rest], pa.large_string()))):
+                out[i] = ids
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -217,8 +258,8 @@ class Encoder:
         done = self._plain(plain)
         out = []
         for row in layout:
-            blobs = [done[x] if isinstance(x, int) else np.int32(self.v.added[x]).tobytes() for x in row]
-            out.append(np.frombuffer(blobs[0] if len(blobs) == 1 else b"".join(blobs), "<i4"))
+            ids = [done[x] if isinstance(x, int) else np.array([self.v.added[x]], "<i4") for x in row]
+            out.append(ids[0] if len(ids) == 1 else np.concatenate(ids))
         return out
 
     def decode(self, ids: np.ndarray) -> str:

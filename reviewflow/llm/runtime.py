@@ -81,10 +81,11 @@ class Generations(dict):
             self.old = dict(self)
             self.clear()
 
-    def unknown(self, keys: set) -> list:
-        """The keys that are in neither generation."""
+    def unknown(self, keys) -> list:
+        """Of different keys, those that are in neither generation."""
         # membership tests, key by key: a set difference would walk through the whole cache
-        return [k for k in keys.difference(self.old) if k not in self]
+        old = self.old
+        return [k for k in keys if k not in self and k not in old]
 
 
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 1_500_000, rows: int = 2_000):

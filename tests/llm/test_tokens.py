@@ -1,6 +1,7 @@
 """BPE, token files and prefix counts against the tokenizers library."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -38,6 +39,19 @@ def test_prefix_counts_match_library_at_every_cut(library, tokenizer_file, hard_
         assert token_counts.unpacked(token_counts.packed(got)).tolist() == want
 
 
+def test_units_at_white_space_match_library(library, tokenizer_file):
+    """Random texts of letters, marks and every kind of white space: units that begin or end with white space,
+    empty units, texts without units, contractions and added tokens among them."""
+    signs = [" ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "a", "Zé", "中", "\u0301", "1", "Ⅷ",
+             ".", ",", "'s", "'re", "'", "😀", "<|endoftext|>", "the"]
+    draw = random.Random(5)
+    texts = ["", " ", "  ", "a ", "a\n \nfoo", *("".join(draw.choices(signs, k=draw.randrange(12))) for _ in range(4000))]
+    enc = bpe.Encoder(bpe.vocabulary(tokenizer_file))
+    for k in range(0, len(texts), 900):
+        part = texts[k:k + 900]
+        assert [g.tolist() for g in enc.encode(part)] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+
+
 @pytest.fixture(scope="module")
 def docs(spark, hard_texts):
     rows = [(k, t, "clash") for k, t in enumerate(hard_texts[-40:])] + [(900, None, None), (None, "no id", None), (901, "twice", None), (901, "twice", None)]
