@@ -31,8 +31,13 @@ _SEPARATOR = "[^a-z0-9]+"
 def tokens(text: Column | str) -> Column:
     """Maximal runs of ``[a-z0-9]`` in the lower-cased text, in order (a split on the
     separator runs, empty edge pieces dropped; measurably cheaper than extracting)."""
+    return F.filter(_split(text), lambda x: x != "")
+
+
+def _split(text: Column | str) -> Column:
+    """The tokens, with an empty piece at an edge where the text begins or ends otherwise."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(F.coalesce(t, F.lit(""))), _SEPARATOR), lambda x: x != "")
+    return F.split(F.lower(F.coalesce(t, F.lit(""))), _SEPARATOR)
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,15 +45,15 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     One shuffle: each text gives a row for every token and one for every distinct token,
     from one tokenisation, summed by a single aggregate with a map-side combine, so a very
-    common token is folded inside each task before anything is sent."""
-    base = docs.select(tokens(text_col).alias("__t"))
-    entry = lambda o, d: lambda x: F.struct(x.alias("token"), F.lit(o).alias("o"), F.lit(d).alias("d"))
-    both = F.concat(F.transform("__t", entry(1, 0)), F.transform(F.array_distinct("__t"), entry(0, 1)))
+    common token is folded inside each task before anything is sent. The two lists are exploded
+    in turn; no expression is evaluated for each token before that."""
+    lists = F.array(*(F.struct(F.lit(kind).alias("o"), ts.alias("ts")) for kind, ts in ((1, F.col("__t")), (0, F.array_distinct("__t")))))
     # explode_outer: a plain explode makes Catalyst add a size filter below it, which
     # would tokenise every whole text a second time
-    rows = base.select(F.explode_outer(both).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    rows = (docs.select(_split(text_col).alias("__t")).select(F.explode_outer(lists).alias("e"))
+            .select("e.o", F.explode_outer("e.ts").alias("token")).where(F.col("token") != ""))
     return rows.groupBy("token").agg(F.sum("o").cast("long").alias("n_occurrences"),
-                                     F.sum("d").cast("long").alias("n_docs"))
+                                     F.sum(1 - F.col("o")).cast("long").alias("n_docs"))
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
@@ -81,23 +86,26 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
            length: int = ENCODED_LENGTH) -> DataFrame:
     """``input_ids`` / ``attention_mask`` of exactly ``length`` entries plus the full
     token count of the whole text; unknown tokens get ``UNKNOWN_ID``, missing
-    positions ``PAD_ID``. ``id_col`` is unique.
+    positions ``PAD_ID``. One output row for each input row, repeated and null ids too.
 
     One plan at every size: at most ``length`` rows per document meet the vocabulary in an
-    unhinted join (common tokens are a skewed key, which AQE splits) and are regrouped."""
-    pad = F.array_repeat(F.lit(PAD_ID), length)
-    heads = (docs.select(id_col, tokens(text_col).alias("__toks"))
-             .select(id_col, F.size("__toks").alias("n_tokens"),
+    unhinted join (common tokens are a skewed key, which AQE splits) and are regrouped by
+    input row. Place and id travel as one long, so that the regrouped list is sorted without
+    a comparator."""
+    heads = (docs.select(id_col, F.monotonically_increasing_id().alias("__row"), tokens(text_col).alias("__toks"))
+             .select(id_col, "__row", F.size("__toks").alias("n_tokens"),
                      F.posexplode_outer(F.slice("__toks", 1, length)).alias("pos", "token")))
     looked = heads.join(vocab.select("token", "token_id"), "token", "left")
-    entry = F.when(F.col("pos").isNotNull(),
-                   F.struct("pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
-    grouped = looked.groupBy(id_col, "n_tokens").agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    ids = F.transform(F.col("e"), lambda x: x["id"])
-    mask = F.transform(F.sequence(F.lit(1), F.lit(length)),
-                       lambda i: F.when(i <= F.size("e"), F.lit(1)).otherwise(F.lit(0)))
-    return grouped.select(id_col, "n_tokens", F.slice(F.concat(ids, pad), 1, length).alias("input_ids"),
-                          mask.alias("attention_mask"))
+    # null for a text without tokens, which collect_list leaves out
+    entry = F.shiftleft(F.col("pos").cast("long"), 32) + F.coalesce("token_id", F.lit(UNKNOWN_ID))
+    grouped = looked.groupBy("__row", id_col, "n_tokens").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    ids = F.transform("e", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
+
+    def filled(values: Column, rest: int) -> Column:
+        return F.slice(F.concat(values, F.array_repeat(F.lit(rest), length)), 1, length)
+
+    return grouped.select(id_col, "n_tokens", filled(ids, PAD_ID).alias("input_ids"),
+                          filled(F.array_repeat(F.lit(1), F.size("e")), 0).alias("attention_mask"))
 
 
 def encode_with(docs: DataFrame, tokenize, id_col: str = "doc_id", text_col: str = "text",

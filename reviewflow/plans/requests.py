@@ -77,11 +77,8 @@ def phone_inputs(spark, sf_dir):
     forms = {"plain": local, "newline": F.concat(local, F.lit("\n")),
              "padded": F.concat(F.lit("  "), local, F.lit(" ")),
              "digits": F.replace(local, F.lit("-"), F.lit(""))}
-    parts = [c.select("c_custkey", F.lit(name).alias("form"), e.alias("phone")) for name, e in forms.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = F.array(*(F.struct(F.lit(name).alias("form"), e.alias("phone")) for name, e in forms.items()))
+    return c.select("c_custkey", F.inline(rows))
 
 
 @query("phone_valid", r"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import epochs, sampling, text
 from ..operators import model as mdl
 from ..operators import prepare as prep
-from ..session import scratch_path
+from ..session import scratch_path, table_path
 from ..streaming import staging
 from ..tables import read_table, reviews
 from .registry import query
@@ -73,9 +73,18 @@ def _training(spark, sf_dir):
     return sampling.split_exact(rows, "doc_id", 0.1, 42)
 
 
+def _files_digest(spark, *folders: str) -> int:
+    """A digest of the tables' files (path, size, time of change), without reading them."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(folders))
+             .select(F.xxhash64("path", "length", "modificationTime").alias("h")))
+    return files.agg(F.bit_xor("h").alias("h")).first()["h"]
+
+
 def _model(spark, sf_dir):
-    """The model of a table set, fitted once per application and saved below the scratch folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The model of a table set, fitted once per application and state of its files, and saved
+    below the scratch folder."""
+    digest = _files_digest(spark, *(table_path(sf_dir, t) for t in ("documents", "labels")))
+    key = (spark.sparkContext.applicationId, sf_dir, digest)
     if key not in _MODEL_PATHS:
         path = scratch_path(spark, "model")
         mdl.save(mdl.fit(_training(spark, sf_dir)[0]), path)

@@ -91,6 +91,32 @@ def test_full_vocabulary_ranks(spark):
     assert got == {t: k + 2 for k, (_, t) in enumerate(order)}
 
 
+def test_token_counts_edges(spark):
+    docs = spark.createDataFrame([(1, "-b, a b"), (2, "B!"), (2, "B!"), (3, ""), (4, None), (5, "é?")], "doc_id long, text string")
+    got = {r.token: (r.n_occurrences, r.n_docs) for r in text.token_counts(docs).collect()}
+    assert got == {"a": (1, 1), "b": (4, 3)}
+
+
+def test_encode_keeps_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "b b a"), (None, "a"), (None, None)], "doc_id long, text string")
+    vocab = spark.createDataFrame([("a", 2), ("b", 3)], "token string, token_id int")
+    got = sorted((str(r.doc_id), r.n_tokens, r.input_ids, r.attention_mask) for r in text.encode(docs, vocab, length=2).collect())
+    assert got == [("1", 2, [2, 3], [1, 1]), ("1", 2, [2, 3], [1, 1]), ("1", 3, [3, 3], [1, 1]),
+                   ("None", 0, [0, 0], [0, 0]), ("None", 1, [2, 0], [1, 0])]
+
+
+def test_a_changed_table_is_fitted_anew(spark, tmp_path):
+    from reviewflow.plans.text_model import _files_digest
+
+    one, two = (str(tmp_path / n) for n in ("one", "two"))
+    for path in (one, two):
+        spark.range(3).write.parquet(path)
+    before = _files_digest(spark, one, two)
+    assert before == _files_digest(spark, one, two)
+    spark.range(2).write.mode("append").parquet(two)
+    assert before != _files_digest(spark, one, two)
+
+
 def test_encode_with_plugin_tokenizer(spark):
     docs = spark.createDataFrame([(1, "ab cd"), (2, ""), (3, None)], "doc_id long, text string")
     got = {r.doc_id: (r.n_tokens, r.input_ids, r.attention_mask)
