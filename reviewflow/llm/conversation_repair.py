@@ -145,7 +145,7 @@ def pieces(rows: DataFrame) -> DataFrame:
     """Every conversation's rows in order, as pieces with their derivations and counts."""
     ship(rows.sparkSession)
     key = ["conv_id", "turn", "role", "digest"]
-    bare = F.expr(f"rtrim('{SPACES.encode('unicode_escape').decode()}', text)")
+    bare = F.rtrim("text", F.lit(SPACES))
     narrow = rows.select("conv_id", "turn", "role", F.sha2("text", 256).alias("digest"), (F.length(bare) == 0).alias("blank"),
                          (~F.right(bare, F.lit(1)).isin(".", "!", "?")).alias("cut"))
     # identical rows are one row with a count, whichever conversation holds them

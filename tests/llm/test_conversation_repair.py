@@ -151,3 +151,10 @@ def test_edges(spark):
     assert repaired(spark, far)[kept][0] is None
     extra = spark.createDataFrame([(kept, 0, "user", "a.", 1, "x")], SCHEMA + ", audit int, Cost string")
     assert cr.repair(cr.damaged(extra), extra).count() == 1
+
+
+def test_only_white_space_is_trimmed(spark):
+    """Letters and digits at a text's end count, whichever they are; all six white-space characters don't."""
+    texts = ["web", "done.bc", "cb0x", "Is it 0", "end.\x0b", "end!\x0c\r", "\x0b\x0c", "cut\x0c", "why?\t\n ", "tax", "x", "b", "c", "0", "no.\\", "v"]
+    turns = [(conv, k, ["user", "assistant"][k % 2], text) for conv in range(6) for k, text in enumerate(texts)]
+    assert repaired(spark, turns) == expected(turns)
