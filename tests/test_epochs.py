@@ -61,6 +61,43 @@ def test_classifier_learns_by_epochs(spark):
     assert not w.any() and bias == 0 and none[-1]["train_loss"] is None
 
 
+def test_a_step_reads_its_batch_alone(spark, monkeypatch):
+    """The table is read once an epoch (and counted once), not once a step, and rounds and pieces change nothing."""
+    rng = np.random.default_rng(5)
+    rows = [(k // 2 if k % 9 else None, float(k % 2), [k % 2, 2 + k % 5], [1.0, float(rng.normal())]) for k in range(400)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, ROWS).repartition(3).mapInArrow(counted, ROWS)
+    test = spark.createDataFrame(rows[:40], ROWS)
+    plan = epochs.Plan(epochs=2, batch_rows=10, learning_rate=1.0)
+    (w, bias), history = epochs.train(df, test, 8, plan)
+    assert read.value <= 400 * (1 + plan.epochs) and history[-1]["steps"] == 80
+    # the same steps, taken one row after another
+    u, c = np.zeros(8), 0.0
+    batch_of = {e: {r.key: r.b for r in df.select("key", epochs.in_batch(F.col("key"), plan, e, 40).alias("b")).distinct().collect()} for e in range(2)}
+    for step in range(80):
+        mine = [r for r in rows if batch_of[step // 40][r[0]] == step % 40]
+        g, g_c, rate = np.zeros(8), 0.0, plan.rate(step, 80)
+        for _, y, at, x in mine:
+            d = 1 / (1 + math.exp(-(c + sum(u[i] * v for i, v in zip(at, x))))) - y
+            g_c += d
+            for i, v in zip(at, x):
+                g[i] += d * v
+        if mine:
+            u = u * (1 - rate * plan.weight_decay) - rate * g / len(mine)
+            c -= rate * g_c / len(mine)
+    assert np.abs(w - u).max() < 1e-9 and abs(bias - c) < 1e-9
+    monkeypatch.setattr(epochs, "TASK_ROWS", 4)
+    monkeypatch.setattr(epochs, "ROUND", 30)
+    again, _ = epochs.train(df, test, 8, plan)
+    assert np.abs(again[0] - w).max() < 1e-9
+
+
 def test_long_text_features(spark):
     long = " ".join(f"w{k % 900}" for k in range(40_000))
     r = epochs.hashed_features(spark.createDataFrame([(1, 1, long)], "id long, y int, text string"), "id", "y", "text", 1 << 14).first()
