@@ -244,9 +244,10 @@ def candidate_links(reps: DataFrame) -> DataFrame:
         against = written(_against(large.join(pivots, "node")), "pivots")
         found.append(against.where("agree >= near").select(F.col("pivot").alias("u"), F.col("doc_id").alias("v")))
         between = against.groupBy("node").agg(F.max((F.col("agree") < F.col("near")) & (F.col("agree") >= F.col("border"))).alias("between"))
-        on = against.join(between, "node").where("between or agree < border").select("node", "doc_id")
+        # both are read several times below: written once, so the joins run once
+        on = written(against.join(between, "node").where("between or agree < border").select("node", "doc_id"), "on")
         sizes = on.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        large = large.drop("n").join(on, ["node", "doc_id"]).join(sizes, "node")
+        large = written(large.drop("n").join(on, ["node", "doc_id"]).join(sizes, "node"), "large")
         if large.isEmpty():
             break
         depth += 1

@@ -73,6 +73,23 @@ def test_large_nodes_and_large_groups(spark, monkeypatch):
     assert result(minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_force(rows)
 
 
+def test_rows_that_go_on_are_joined_once(spark, monkeypatch):
+    """What reads the rows of large nodes reads a table: none of its plans runs their joins again."""
+    for name, value in (("NODE", 6), ("DEPTH", 0)):
+        monkeypatch.setattr(minhash, name, value)
+    plans, compare = [], minhash.compare_nodes
+
+    def seen(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return compare(rows)
+
+    monkeypatch.setattr(minhash, "compare_nodes", seen)
+    rng = random.Random(6)
+    rows = [(k, "the same opening " + " ".join(rng.choice("abcdefgh") * 3 for _ in range(4 + k % 5)) + f" {k % 30}") for k in range(90)]
+    assert result(minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_force(rows)
+    assert len(plans) > 1 and not any("Join" in p for p in plans)
+
+
 def test_repeated_and_null_ids(spark):
     long = " ".join(f"w{k}" for k in range(40))
     rows = [(5, long), (5, long), (3, "other words are in here"), (5, "other words are in here"), (None, long), (9, long + " more")]
