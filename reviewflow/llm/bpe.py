@@ -188,7 +188,9 @@ class Encoder:
 
     def _ids_of(self, cache: Generations, units: list, prefix: str) -> list[bytes]:
         """Ids of different units, as little-endian int32 bytes."""
-        new = cache.unknown(units)
+        out = cache.known(units)
+        at = [i for i, ids in enumerate(out) if ids is None]
+        new = [units[i] for i in at]
         # a unit of letters only is one piece
         letters = [u for u in new if u.isalpha()]
         cache.update(zip(letters, self.v.merge_rounds([(prefix + u).encode("utf-8", "surrogatepass") for u in letters])))
@@ -197,11 +199,13 @@ class Encoder:
         self.learn_pieces(set().union(*split))
         of = self.pieces.__getitem__
         cache.update((u, b"".join(map(of, s))) for u, s in zip(mixed, split))
-        return list(map(cache.__getitem__, units))
+        for i, u in zip(at, new):
+            out[i] = cache[u]
+        return out
 
     def _by_units(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of texts whose pieces lie within their units: Arrow splits the texts and numbers
-        their different units, only those meet the caches, and numpy puts the ids in place."""
+        their different units, only those meet the caches, and Arrow puts the ids in place."""
         units = pc.split_pattern(texts, " ")
         ends = units.offsets.to_numpy()
         coded = units.flatten().dictionary_encode()
@@ -216,13 +220,11 @@ class Encoder:
         at = place[code]
         place[leading] = len(behind) + np.arange(len(leading))
         at[ends[:-1]] = place[heads]
-        flat = np.frombuffer(b"".join(blobs), "<i4")
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        starts, n = (np.cumsum(sizes) - sizes)[at], sizes[at]
-        until = np.cumsum(n)
-        # a unit's ids lie side by side in both arrays: shift each place by its unit's distance
-        out = flat[np.repeat(starts - until + n, n) + np.arange(until[-1])]
-        rows = np.r_[0, until[ends[1:] - 1]].tolist()
+        # Arrow lays the units' ids side by side
+        laid = pa.array(blobs, pa.large_binary()).take(pa.array(at))
+        until = np.frombuffer(laid.buffers()[1], "<i8")[ends] // 4
+        out = np.frombuffer(laid.buffers()[2], "<i4") if until[-1] else np.zeros(0, "<i4")
+        rows = until.tolist()
         return [out[a:b] for a, b in zip(rows, rows[1:])]
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:

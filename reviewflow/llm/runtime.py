@@ -81,6 +81,16 @@ class Generations(dict):
             self.old = dict(self)
             self.clear()
 
+    def known(self, keys) -> list:
+        """The keys' values, None where there is none."""
+        out, old, get = list(map(self.get, keys)), self.old, self.old.get
+        if old:
+            for i in [i for i, value in enumerate(out) if value is None]:
+                value = get(keys[i])
+                if value is not None:
+                    out[i] = self[keys[i]] = value
+        return out
+
     def unknown(self, keys) -> list:
         """Of different keys, those that are in neither generation."""
         # membership tests, key by key: a set difference would walk through the whole cache
