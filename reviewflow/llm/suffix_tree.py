@@ -4,12 +4,13 @@
    token a text, which also stands before every text as its first context. Texts are packed into
    slices of about ``TOKENS`` tokens: the slice's distinct words and, for each token, its place
    among them. They are written once; no later step reads the texts.
-2. Word counts: a row for each word of a slice meets those of the other slices by its hash, and the count
-   goes back to every slice. This covers the whole vocabulary and grows with the corpus.
-3. The tree grows a level at a time, down to contexts of ``DEPTH`` words. A context or a transition
-   (context, next word) is a candidate if it makes up at least ``SHARE`` of the training tokens and occurs
-   twice; each level has at most 1 / SHARE of them, which bounds what is broadcast. A longer one
-   can only reach that share if both its parts do, so only such positions are counted.
+2. The tree holds every context of up to ``DEPTH`` words and every transition (context, next word) that occurs
+   ``LEAST`` times in the training texts, however small its share of the corpus. It is nowhere whole: a gram's key is a
+   hash, the range of keys is parted into shards, and a slice knows the part of the tree that its own texts touch.
+3. That part grows by rounds. In a round every slice sends, for each of its different keys, its own sum
+   (occurrences, kept transitions, divergence) to the key's shard, packed; the shard adds up what the slices sent
+   and returns the total to each of them. A key comes at most once from a slice, so a frequent word or
+   phrase weighs as much as a rare one in a shard. Longer grams are asked for only where both their parts occur ``LEAST`` times.
 4. A state s with n occurrences gives its next word by
    P(t|s) = n(s,t) / (n + PRIOR) + (n - kept + PRIOR) / (n + PRIOR) * P(t|parent),
    ``kept`` being the sum of its kept transitions and the parent its suffix without the first word; at
@@ -21,25 +22,28 @@
 Results, by case: null and empty texts are one end token; a null id is trained on and keeps its row;
 repeated rows are trained on and scored each; without training tokens every probability is the root's
 (1 for any token); ties can't matter (states are chosen by count and divergence alone); very long texts are
-hashed in pieces cut at white space and are whole within a slice; an empty table gives no rows. Two words with
-one 64-bit hash count as one word. Only the id and text columns are read, whatever others are called.
+hashed in pieces cut at white space and are whole within a slice; an empty table gives no rows. Two words or grams with
+one 64-bit hash count as one. Only the id and text columns are read, whatever others are called.
 """
 
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .minhash import mixed
 from .runtime import ship, text_slices, written
 
 DEPTH = 3
-SHARE = 1e-5
+SHARE = 0.0  # above 0: only contexts and transitions of at least this share of the training tokens
+LEAST = 2
 PRIOR = 8.0
 ADDED = 0.1
 TOKENS = 1_000_000
@@ -98,25 +102,27 @@ def text_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def packed(a: np.ndarray) -> bytes:
-    """A non-negative int32 array, its byte planes one after another, compressed."""
+    """Integers of 64 bits, their byte planes one after another, compressed."""
     import zstandard
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
 def unpacked(b: bytes) -> np.ndarray:
     import zstandard
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").ravel()
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel()
 
 
-def rows_of(batches):
-    """The rows of batches of slices, one at a time: a slice takes some megabytes."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            yield [c[k].as_py() for c in batch.columns]
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
 
 
-SLICES = "slice long, doc_id array<long>, held_out array<boolean>, sizes binary, words binary, trained binary, tokens binary"
+def unpacked_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(b).view(np.uint64), dtype=np.uint64)
+
+
+SLICES = "slice long, doc_id array<long>, held_out array<boolean>, sizes binary, words binary, tokens binary"
 
 
 def slices(docs: DataFrame, tokens: int = TOKENS) -> DataFrame:
@@ -131,12 +137,10 @@ def slices(docs: DataFrame, tokens: int = TOKENS) -> DataFrame:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         place = rank[place]
-        learnt = place[1:][np.repeat(~np.array(held, bool), sizes)]
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-             *(pa.array([x], pa.binary()) for x in (packed(sizes), words[order].astype("<u8").tobytes(),
-                                                    packed(np.bincount(learnt, minlength=len(words))), packed(place)))],
-            names=["slice", "doc_id", "held_out", "sizes", "words", "trained", "tokens"])
+             *(pa.array([x], pa.binary()) for x in (packed(sizes), words[order].astype("<u8").tobytes(), packed(place)))],
+            names=["slice", "doc_id", "held_out", "sizes", "words", "tokens"])
 
     def run(batches):
         from reviewflow.llm import suffix_tree as s
@@ -160,62 +164,13 @@ def slices(docs: DataFrame, tokens: int = TOKENS) -> DataFrame:
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, SLICES)
 
 
-def word_counts(state: DataFrame) -> DataFrame:
-    """(hash, slice, place, n, c, first): each word of each slice with its count n in the slice's training
-    texts and c in all; ``first`` marks one row a word."""
-    ship(state.sparkSession)
-
-    def run(batches):
-        from reviewflow.llm import suffix_tree as s
-        for number, words, trained in s.rows_of(batches):
-            h, n = np.frombuffer(words, "<i8"), s.unpacked(trained)
-            for k in range(0, len(h), 50_000):
-                part = h[k:k + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), pa.array(np.full(len(part), number)), pa.array(np.arange(k, k + len(part), dtype=np.int32)),
-                     pa.array(n[k:k + 50_000], pa.int32())], names=["hash", "slice", "place", "n"])
-
-    rows = state.select("slice", "words", "trained").mapInArrow(run, "hash long, slice long, place int, n int")
-    same = Window.partitionBy("hash")
-    return rows.select("*", F.sum("n").over(same).alias("c"), (F.col("slice") == F.min("slice").over(same)).alias("first"))
-
-
 class Tree:
-    """Counted levels. Level 1 is the frequent words (sorted hashes), level k > 1 the sorted keys
-    context * words + word, a context being a place in level k - 1."""
+    """The model in one process, from its counted levels; ``score`` spreads the same over slices. Level 1 is the words
+    (sorted hashes), level k > 1 the sorted keys context * words + word, a context being a place in level k - 1."""
 
     def __init__(self, hashes: np.ndarray, n: np.ndarray):
         self.hashes, self.n, self.keys, self.low = hashes, [n], [hashes], [None]
 
-    def places(self, words: np.ndarray, tokens: np.ndarray, levels: int):
-        """For each level a token's place in it as the last word of a gram, or -1."""
-        known = np.searchsorted(self.hashes, words)
-        known = np.where((known < len(self.hashes)) & (self.hashes[np.minimum(known, len(self.hashes) - 1)] == words), known, -1) if len(
-            self.hashes) else np.full(len(words), -1)
-        is_end = (words == END)[tokens]
-        one = known.astype(np.int32)[tokens]
-        out = [one]
-        for k in range(2, levels + 1):
-            key, ok = self.gram_keys(out[-1], one, is_end, k)
-            at = np.full(len(tokens), -1, np.int32)
-            keys = self.keys[k - 1]
-            if len(keys):
-                found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                at[ok] = np.where(keys[found] == key, found, -1)
-            out.append(at)
-        return out, one, is_end
-
-    def gram_keys(self, last: np.ndarray, one: np.ndarray, is_end: np.ndarray, k: int):
-        """Where both parts of a gram of k words are known, and those grams' keys. A context
-        reaches back to the end token before the text, not beyond it."""
-        ok = (last >= 0) & (one >= 0)
-        ok[0] = False
-        ok[1:] &= last[:-1] >= 0
-        if k > 2:
-            ok[1:] &= ~is_end[:-1]
-        ok = np.flatnonzero(ok)
-        return last[ok - 1].astype(np.int64) * max(1, len(self.hashes)) + one[ok], ok
-
     def add(self, keys: np.ndarray, low: np.ndarray, n: np.ndarray) -> None:
         self.keys.append(keys)
         self.low.append(low)
@@ -243,88 +198,263 @@ class Tree:
         self.stays = passed
 
 
-def grow(state: DataFrame, words: DataFrame, depth: int = DEPTH, share: float = SHARE) -> tuple[Tree, int, int]:
-    """The tree, the training tokens and their distinct words."""
-    sums = words.agg(F.sum("n").alias("n"), F.sum((F.col("first") & (F.col("c") > 0)).cast("long")).alias("v")).first()
-    total, distinct = sums.n or 0, sums.v or 0
-    least = max(2, math.ceil(share * total))
-    # at most 1 / share rows: their counts add up to the training tokens at most
-    frequent = words.where(F.col("first") & (F.col("c") >= least)).select("hash", "c").toArrow()
-    hashes = frequent.column("hash").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    tree = Tree(hashes[order], frequent.column("c").to_numpy()[order].astype(np.int64))
-    for k in range(2, depth + 2):
-        found = grams(state, tree, k).groupBy("key").agg(F.max("low").alias("low"), F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-        keys = found.column("key").to_numpy()
-        order = np.argsort(keys)
-        tree.add(keys[order], found.column("low").to_numpy()[order], found.column("n").to_numpy()[order])
-        if not len(keys):
-            break
-    tree.choose(total, distinct)
-    return tree, total, distinct
-
-
-def grams(state: DataFrame, tree: Tree, k: int) -> DataFrame:
-    """(key, low, n) of the grams of k words in the training texts of each slice, both of whose parts are in the tree."""
-    held = state.sparkSession.sparkContext.broadcast(tree)
-
-    def run(batches):
-        from reviewflow.llm import suffix_tree as s
-        tree = held.value
-        for out, sizes, words, tokens in s.rows_of(batches):
-            learnt = np.repeat(~np.array(out, bool), s.unpacked(sizes))
-            places, one, is_end = tree.places(np.frombuffer(words, "<u8"), s.unpacked(tokens), k - 1)
-            key, ok = tree.gram_keys(places[-1], one, is_end, k)
-            mine = learnt[ok - 1]
-            keys, at, n = np.unique(key[mine], return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(places[-1][ok[mine][at]], pa.int64()), pa.array(n)], names=["key", "low", "n"])
+class Part:
+    """The part of the tree that a slice's texts touch, as far as ``answers`` (a total for each key asked for, by kind) tell.
+
+    Kinds: n1, n2, ...: occurrences of grams; k1, ...: occurrences of a context's kept transitions; g1, ...: whether a context passes
+    the divergence test; s1, ...: whether a longer context that passes ends in this one. The keys of the latter are
+    contexts; those of level j are chosen among the grams of j words."""
+
+    def __init__(self, row: dict, answers: dict[str, np.ndarray], depth: int, share: float, total: int, distinct: int):
+        self.row, self.depth, self.total, self.distinct = row, depth, total, distinct
+        self.least, self.answers = max(LEAST, math.ceil(share * total)), answers
+        self.words, self.tokens, self.sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["sizes"])
+        self.learnt = np.r_[False, np.repeat(~np.array(row["held_out"], bool), self.sizes)]
+        self.is_end = (self.words == END)[self.tokens]
+        self.keys, self.found, self.n, self.at = [None], [None], [None], [None]  # by level; found: every gram's key, at: those that occur often enough
+        for k in range(1, depth + 2):
+            if k > 1 and f"n{k - 1}" not in answers:
+                break
+            self.level(k)
+
+    def level(self, k: int) -> None:
+        if k == 1:
+            order = np.argsort(self.words)
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            keys, found = self.words[order], rank[self.tokens]
+        else:
+            last = self.at[k - 1]
+            ok = last >= 0
+            ok[0] = False
+            ok[1:] &= self.context(k - 1)[1:] >= 0
+            ok = np.flatnonzero(ok)
+            keys, place = np.unique(mixed(self.keys[k - 1][last[ok - 1]] * _BASE + self.words[self.tokens[ok]]), return_inverse=True)
+            found = np.full(len(last), -1, np.int32)
+            found[ok] = place
+        self.keys.append(keys)
+        self.found.append(found)
+        if (n := self.answers.get(f"n{k}")) is not None:
+            self.n.append(n)
+            self.at.append(np.where((found >= 0) & (n >= self.least)[found], found, -1) if len(n) else found)
+
+    def context(self, j: int) -> np.ndarray:
+        """The context of j words before each token, or -1. It reaches back to the end token before the text, not beyond it."""
+        out = np.r_[np.int32(-1), self.at[j][:-1]]
+        if j > 1:
+            out[1:][self.is_end[:-1]] = -1
+        return out
+
+    def summed(self, j: int, at: np.ndarray, weights=None) -> np.ndarray:
+        return np.bincount(at, weights, minlength=len(self.keys[j]))
+
+    def chosen(self, kind: str) -> np.ndarray:
+        """The keys that a question of this kind is about, as places among the grams of its level."""
+        j = int(kind[1:])
+        if kind[0] == "n":
+            return np.arange(len(self.keys[j]))
+        if kind[0] == "k":
+            return np.flatnonzero(self.n[j] >= self.least)
+        if kind[0] == "g":
+            return np.flatnonzero(self.known("k", j) > 0)
+        return np.flatnonzero((self.known("k", j) > 0) & (self.known("g", j) == 0))
+
+    def known(self, kind: str, j: int) -> np.ndarray:
+        """The answer to a question, for every gram of level j; 0 where it wasn't asked."""
+        out = np.zeros(len(self.keys[j]), np.int64)
+        out[self.chosen(f"{kind}{j}")] = self.answers[f"{kind}{j}"]
+        return out
+
+    def root(self) -> np.ndarray:
+        return ((self.n[1] + ADDED) / (self.total + ADDED * (self.distinct + 1)))[self.found[1]]
+
+    def step(self, j: int, at: np.ndarray, before: np.ndarray, kept: np.ndarray):
+        """The chances of the tokens ``at`` after their contexts of j words, given those after the contexts' parents, and the escapes."""
+        context, gram = self.context(j)[at], self.at[j + 1][at]
+        size = self.n[j][context] + PRIOR
+        seen = self.n[j + 1][gram] if len(self.n[j + 1]) else 0
+        escape = (size - kept[context]) / size
+        return np.where(gram >= 0, seen, 0) / size + escape * before[at], escape
+
+    def own(self, kind: str) -> np.ndarray:
+        """What this slice adds to the total of each key asked for."""
+        j = int(kind[1:])
+        if kind[0] == "n":
+            return self.summed(j, self.found[j][self.learnt & (self.found[j] >= 0)])
+        if kind[0] == "k":
+            context = self.context(j)
+            return self.summed(j, context[self.learnt & (context >= 0) & (self.at[j + 1] >= 0)])[self.chosen(kind)]
+        if kind[0] == "g":
+            chance = self.root()
+            for i in range(1, j + 1):
+                kept = self.known("k", i)
+                at = np.flatnonzero(self.context(i) >= 0)
+                parent = chance[at]
+                chance[at], escape = self.step(i, at, chance, kept)
+            gram = self.at[j + 1][at]
+            n = self.n[j + 1][gram] if len(self.n[j + 1]) else 1
+            # a transition costs half the logarithm of the tokens, spread over its occurrences
+            gain = np.where(gram >= 0, np.log(chance[at] / parent) - 0.5 * math.log(max(self.total, 2)) / n, np.log(escape))
+            mine = self.learnt[at]
+            return np.rint(self.summed(j, self.context(j)[at][mine], gain[mine])[self.chosen(kind)] * 2**24)
+        covered = np.zeros(len(self.tokens), bool)
+        for i in range(j + 1, self.depth + 1):
+            covered |= self.of_context("g", i)
+        return (self.summed(j, self.context(j)[covered]) > 0)[self.chosen(kind)]
+
+    def of_context(self, kind: str, j: int) -> np.ndarray:
+        """Whether the answer for the context of j words before each token is yes."""
+        context, yes = self.context(j), self.known(kind, j) > 0
+        return (context >= 0) & (yes[context] if len(yes) else False)
+
+    def questions(self, kinds: list[str], shards: int):
+        """(kind, shard, slice, keys, sums): this slice's sums, parted by the keys' shards."""
+        for kind in kinds:
+            keys, sums = self.keys[int(kind[1:])][self.chosen(kind)], self.own(kind).astype(np.int64)
+            shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+            cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                part = slice(cuts[k], cuts[k + 1])
+                yield kind, k, self.row["slice"], packed_keys(keys[part]), packed(sums[part])
+
+    def scores(self) -> pa.Table:
+        root = self.root()
+        chance = root.copy()
+        for j in range(1, self.depth + 1):
+            stays = self.of_context("g", j)
+            if j < self.depth:
+                stays |= self.of_context("s", j)
+            at = np.flatnonzero(stays)
+            chance[at], _ = self.step(j, at, chance, self.known("k", j))
+        begin = np.cumsum(self.sizes) - self.sizes
+        add = lambda x: np.add.reduceat(x[1:], begin)
+        return pa.table({
+            "doc_id": pa.array(self.row["doc_id"], pa.int64()), "held_out": pa.array(self.row["held_out"], pa.bool_()),
+            "n_tokens": pa.array(self.sizes, pa.int64()), "n_known": pa.array(add((self.n[1] > 0)[self.found[1]].astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(self.sizes), self.total), pa.int64()),
+            "base_score": pa.array(add(np.log10(root))), "score": pa.array(add(np.log10(chance)))})
+
+
+def rounds(depth: int) -> list[list[str]]:
+    """The kinds asked for in each round; each depends on earlier ones only. Kinds are spread so that no round sends much more than another."""
+    out = [[] for _ in range(depth + 5)]
+    for k in range(1, depth + 2):
+        out[k - 1].append(f"n{k}")
+    for j in range(1, depth + 1):
+        out[j + 1].append(f"k{j}")
+        out[j + 3].append(f"g{j}")
+        if j < depth:
+            out[depth + 4].append(f"s{j}")
+    return [kinds for kinds in out if kinds]
+
+
+ASKED = "kind string, shard int, slice long, keys binary, sums binary"
+ANSWERED = "kind string, shard int, slice long, totals binary, n long, v long"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    ship(state.sparkSession)
-    return state.select("held_out", "sizes", "words", "tokens").mapInArrow(run, "key long, low long, n long")
 
+def table_of(rows: list[tuple], schema: str) -> pa.Table:
+    types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names = [c.split() for c in schema.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.table({name: pa.array(column, types[kind]) for (name, kind), column in zip(names, columns)})
+
+
+def totals(asked: pa.Table) -> pa.Table:
+    """A shard's answers: each key's total (of a test: whether it is above 0), as the slices sent their keys. The first row bears the
+    sum of the totals and the number of keys above 0."""
+    asked = asked.to_pydict()
+    keys = [unpacked_keys(b) for b in asked["keys"]]
+    sizes = [len(k) for k in keys]
+    keys, sums = np.concatenate(keys), np.concatenate([unpacked(b) for b in asked["sums"]])
+    order = np.argsort(keys, kind="stable")
+    begin = np.flatnonzero(np.r_[True, np.diff(keys[order]) > 0])
+    total = np.add.reduceat(sums[order], begin)
+    every = np.empty_like(sums)
+    every[order] = np.repeat(total, np.diff(np.r_[begin, len(order)]))
+    if asked["kind"][0][0] in "gs":
+        every = (every > 0).astype(np.int64)
+    parts = np.split(every, np.cumsum(sizes)[:-1])
+    first = [(int(total.sum()), int((total > 0).sum()))] + [(0, 0)] * (len(parts) - 1)
+    return table_of([(*head, packed(part), *more) for *head, part, more in zip(asked["kind"], asked["shard"], asked["slice"], parts, first)], ANSWERED)
+
+
+def part_of(own: pa.Table, told: pa.Table | None, kinds: list[str], model: tuple) -> Part:
+    """A slice's part of the tree, given all answers to the ``kinds``; without any row an answer is empty."""
+    answers = {kind: [] for kind in kinds}
+    if told is not None:
+        for kind, _, totals in sorted(zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "totals")))):
+            answers[kind].append(unpacked(totals))
+    return Part({c: own.column(c)[0].as_py() for c in own.column_names},
+                {kind: np.concatenate([np.zeros(0, np.int64), *parts]) for kind, parts in answers.items()}, *model)
+
+
+@contextmanager
+def swept(spark: SparkSession):
+    """Shuffle files go when the job that made them has ended, not when the driver happens to collect its garbage: every
+    round shuffles the slices once more, and its results are written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def with_answers(state: DataFrame, answers: list[DataFrame], told: list[str], model: tuple, run, schema: str) -> DataFrame:
+    """``run`` of every slice's part of the tree."""
+    def each(own: pa.Table, rows: pa.Table) -> pa.Table:
+        from reviewflow.llm import suffix_tree as s
+        return run(s.part_of(own, rows, told, model))
 
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    rows = reduce(DataFrame.unionAll, [a.select("slice", "kind", "shard", "totals") for a in answers])
+    return state.groupBy("slice").cogroup(rows.groupBy("slice")).applyInArrow(each, schema)
 
 
 def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, tokens: int = TOKENS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text, learnt from
     those that aren't held out; scores are base-10 logarithms of the text's probability."""
+    spark = docs.sparkSession
     key = F.col(doc_id).cast("long")
     rows = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
-    state = written(slices(rows, tokens), "slices")
-    words = written(word_counts(state), "words")
-    tree, total, distinct = grow(state, words, depth, share)
-    held = docs.sparkSession.sparkContext.broadcast((tree, total, distinct))
+    with swept(spark):
+        state = written(slices(rows, tokens), "slices")
+        number = state.count()
+        shards = max(min(number, 64), math.ceil(number / 4), 1)  # of some million keys at most
+        answers, told, model = [], [], (depth, share, 0, 0)
+        for kinds in rounds(depth):
+            asked = questions(state, answers, told, model, kinds, shards)
+            answers.append(written(asked.groupBy("kind", "shard").applyInArrow(answered, ANSWERED), "answers"))
+            if not told:
+                sums = answers[0].agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+                model = (depth, share, sums.n or 0, sums.v or 0)
+            told = told + kinds
+
+    def run(part):
+        return part.scores()
+
+    return with_answers(state, answers, told, model, run, SCORES)
+
+
+def answered(asked: pa.Table) -> pa.Table:
+    from reviewflow.llm import suffix_tree as s
+    return s.totals(asked)
+
 
-    def run(own: pa.Table, counts: pa.Table) -> pa.Table:
+def questions(state: DataFrame, answers: list[DataFrame], told: list[str], model: tuple, kinds: list[str], shards: int) -> DataFrame:
+    """What all slices ask in a round."""
+    def ask(part):
         from reviewflow.llm import suffix_tree as s
-        return s.slice_scores(own, counts, *held.value)
-
-    return state.select("slice", "doc_id", "held_out", "sizes", "words", "tokens").groupBy("slice").cogroup(
-        words.select("slice", "place", "c").groupBy("slice")).applyInArrow(run, SCORES)
-
-
-def slice_scores(own: pa.Table, counts: pa.Table, tree: Tree, total: int, distinct: int) -> pa.Table:
-    row = {c: own.column(c)[0].as_py() for c in own.column_names}
-    words, tokens, sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["sizes"])
-    c = np.zeros(len(words), np.int64)
-    c[counts.column("place").to_numpy()] = counts.column("c").to_numpy()
-    root = ((c + ADDED) / (total + ADDED * (distinct + 1)))[tokens]
-    chance = root.copy()
-    places, _, _ = tree.places(words, tokens, len(tree.keys))
-    is_end = (words == END)[tokens]
-    for k in range(1, len(tree.keys)):
-        ahead = places[k - 1][:-1] >= 0
-        if k > 1:  # a context of several words doesn't go on behind an end token
-            ahead &= ~is_end[:-1]
-        at = np.flatnonzero(ahead) + 1
-        at = at[tree.stays[k - 1][places[k - 1][at - 1]]]
-        pair = places[k][at]
-        share = np.where(pair >= 0, tree.share[k][np.maximum(pair, 0)], 0.0) if len(tree.share[k]) else 0.0
-        chance[at] = share + tree.escape[k - 1][places[k - 1][at - 1]] * chance[at]
-    begin = np.cumsum(sizes) - sizes
-    add = lambda x: np.add.reduceat(x[1:], begin)
-    return pa.table({
-        "doc_id": pa.array(row["doc_id"], pa.int64()), "held_out": pa.array(row["held_out"], pa.bool_()), "n_tokens": pa.array(sizes, pa.int64()),
-        "n_known": pa.array(add((c[tokens] > 0).astype(np.int64))), "train_tokens": pa.array(np.full(len(sizes), total), pa.int64()),
-        "base_score": pa.array(add(np.log10(root))), "score": pa.array(add(np.log10(chance)))})
+        return s.table_of(list(part.questions(kinds, shards)), s.ASKED)
+
+    if answers:
+        return with_answers(state, answers, told, model, ask, ASKED)
+
+    def run(batches):
+        from reviewflow.llm import suffix_tree as s
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from ask(s.part_of(pa.Table.from_batches([batch.slice(k, 1)]), None, [], model)).to_batches()
+
+    return state.mapInArrow(run, ASKED)
