@@ -102,15 +102,41 @@ def text_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def packed(a: np.ndarray) -> bytes:
-    """Integers of 64 bits, their byte planes one after another, compressed."""
+    """Integers of 64 bits: their byte planes that aren't all zero, one after another, compressed."""
     import zstandard
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+    a = a.astype("<i8").view("<u8")
+    planes = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+    return bytes([planes]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :planes].T).tobytes())
 
 
 def unpacked(b: bytes) -> np.ndarray:
     import zstandard
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel()
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :b[0]] = raw.T
+    return out.view("<i8").ravel()
+
+
+def ordered(h: np.ndarray) -> np.ndarray:
+    """The order that sorts 64-bit hashes. Their leading bits are sorted with the places in the last ones, which is several
+    times as fast as an argsort; where that isn't enough to tell two hashes apart, all is sorted again."""
+    bits = np.uint64(len(h).bit_length())
+    x = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
+    x.sort()
+    order = (x & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    x = h[order]
+    return order if (x[1:] >= x[:-1]).all() else np.argsort(h, kind="stable")
+
+
+def different(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes, sorted, and each one's place among them."""
+    order = ordered(h)
+    x = h[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    place = np.empty(len(x), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return x[new], place
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -130,11 +156,13 @@ def slices(docs: DataFrame, tokens: int = TOKENS) -> DataFrame:
     ship(docs.sparkSession)
 
     def pack(number, ids, held, sizes, hashes):
+        from reviewflow.llm.suffix_tree import different, packed
         h = np.concatenate([np.array([END]), *hashes])
         sizes = np.concatenate(sizes)
-        words, place, count = np.unique(h, return_inverse=True, return_counts=True)
+        words, place = different(h)
+        count = np.bincount(place)
         order = np.argsort(-count, kind="stable")  # common words get small numbers
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         place = rank[place]
         return pa.RecordBatch.from_arrays(
@@ -211,92 +239,103 @@ class Part:
         self.words, self.tokens, self.sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["sizes"])
         self.learnt = np.r_[False, np.repeat(~np.array(row["held_out"], bool), self.sizes)]
         self.is_end = (self.words == END)[self.tokens]
-        self.keys, self.found, self.n, self.at = [None], [None], [None], [None]  # by level; found: every gram's key, at: those that occur often enough
-        for k in range(1, depth + 2):
-            if k > 1 and f"n{k - 1}" not in answers:
-                break
-            self.level(k)
+        self.levels, self.contexts = {}, {}
 
-    def level(self, k: int) -> None:
+    def n(self, k: int) -> np.ndarray:
+        return self.answers[f"n{k}"]
+
+    def keys(self, k: int) -> np.ndarray:
+        return self.level(k)[0]
+
+    def found(self, k: int) -> np.ndarray:
+        """For each token the place of the gram of k words that it ends, or -1."""
+        return self.level(k)[1]
+
+    def at(self, k: int) -> np.ndarray:
+        """The same where the gram occurs often enough, else -1."""
+        return self.level(k)[2]
+
+    def level(self, k: int) -> tuple:
+        if k in self.levels:
+            return self.levels[k]
         if k == 1:
-            order = np.argsort(self.words)
-            rank = np.empty(len(order), np.int32)
-            rank[order] = np.arange(len(order), dtype=np.int32)
-            keys, found = self.words[order], rank[self.tokens]
+            keys, rank = different(self.words)
+            found = rank[self.tokens]
         else:
-            last = self.at[k - 1]
+            last = self.at(k - 1)
             ok = last >= 0
             ok[0] = False
             ok[1:] &= self.context(k - 1)[1:] >= 0
             ok = np.flatnonzero(ok)
-            keys, place = np.unique(mixed(self.keys[k - 1][last[ok - 1]] * _BASE + self.words[self.tokens[ok]]), return_inverse=True)
+            keys, place = different(mixed((self.keys(k - 1) * _BASE)[last[ok - 1]] + self.words[self.tokens[ok]]))
             found = np.full(len(last), -1, np.int32)
             found[ok] = place
-        self.keys.append(keys)
-        self.found.append(found)
+        at = None
         if (n := self.answers.get(f"n{k}")) is not None:
-            self.n.append(n)
-            self.at.append(np.where((found >= 0) & (n >= self.least)[found], found, -1) if len(n) else found)
+            at = np.r_[np.where(n >= self.least, np.arange(len(n), dtype=np.int32), np.int32(-1)), np.int32(-1)][found]
+        self.levels[k] = keys, found, at
+        return self.levels[k]
 
     def context(self, j: int) -> np.ndarray:
         """The context of j words before each token, or -1. It reaches back to the end token before the text, not beyond it."""
-        out = np.r_[np.int32(-1), self.at[j][:-1]]
-        if j > 1:
-            out[1:][self.is_end[:-1]] = -1
-        return out
+        if j not in self.contexts:
+            self.contexts[j] = out = np.r_[np.int32(-1), self.at(j)[:-1]]
+            if j > 1:
+                out[1:][self.is_end[:-1]] = -1
+        return self.contexts[j]
 
     def summed(self, j: int, at: np.ndarray, weights=None) -> np.ndarray:
-        return np.bincount(at, weights, minlength=len(self.keys[j]))
+        return np.bincount(at, weights, minlength=len(self.keys(j)))
 
     def chosen(self, kind: str) -> np.ndarray:
         """The keys that a question of this kind is about, as places among the grams of its level."""
         j = int(kind[1:])
         if kind[0] == "n":
-            return np.arange(len(self.keys[j]))
+            return np.arange(len(self.keys(j)))
         if kind[0] == "k":
-            return np.flatnonzero(self.n[j] >= self.least)
+            return np.flatnonzero(self.n(j) >= self.least)
         if kind[0] == "g":
             return np.flatnonzero(self.known("k", j) > 0)
         return np.flatnonzero((self.known("k", j) > 0) & (self.known("g", j) == 0))
 
     def known(self, kind: str, j: int) -> np.ndarray:
         """The answer to a question, for every gram of level j; 0 where it wasn't asked."""
-        out = np.zeros(len(self.keys[j]), np.int64)
+        out = np.zeros(len(self.keys(j)), np.int64)
         out[self.chosen(f"{kind}{j}")] = self.answers[f"{kind}{j}"]
         return out
 
     def root(self) -> np.ndarray:
-        return ((self.n[1] + ADDED) / (self.total + ADDED * (self.distinct + 1)))[self.found[1]]
+        return ((self.n(1) + ADDED) / (self.total + ADDED * (self.distinct + 1)))[self.found(1)]
 
     def step(self, j: int, at: np.ndarray, before: np.ndarray, kept: np.ndarray):
-        """The chances of the tokens ``at`` after their contexts of j words, given those after the contexts' parents, and the escapes."""
-        context, gram = self.context(j)[at], self.at[j + 1][at]
-        size = self.n[j][context] + PRIOR
-        seen = self.n[j + 1][gram] if len(self.n[j + 1]) else 0
-        escape = (size - kept[context]) / size
-        return np.where(gram >= 0, seen, 0) / size + escape * before[at], escape
+        """The chances of the tokens ``at`` after their contexts of j words, given those after the contexts' parents; the places of
+        those contexts and their kept transitions (or -1), and the escapes of all."""
+        context, gram = self.context(j)[at], self.at(j + 1)[at]
+        size = self.n(j) + PRIOR
+        escape = (size - kept) / size
+        seen = np.r_[self.n(j + 1), 0].astype(float)[gram]  # -1: the last, 0
+        return seen / size[context] + escape[context] * before, context, gram, escape
 
     def own(self, kind: str) -> np.ndarray:
         """What this slice adds to the total of each key asked for."""
         j = int(kind[1:])
         if kind[0] == "n":
-            return self.summed(j, self.found[j][self.learnt & (self.found[j] >= 0)])
+            return self.summed(j, self.found(j)[self.learnt & (self.found(j) >= 0)])
         if kind[0] == "k":
             context = self.context(j)
-            return self.summed(j, context[self.learnt & (context >= 0) & (self.at[j + 1] >= 0)])[self.chosen(kind)]
+            return self.summed(j, context[self.learnt & (context >= 0) & (self.at(j + 1) >= 0)])[self.chosen(kind)]
         if kind[0] == "g":
             chance = self.root()
-            for i in range(1, j + 1):
+            for i in range(1, j + 1):  # contexts without kept transitions leave every chance as it is
                 kept = self.known("k", i)
-                at = np.flatnonzero(self.context(i) >= 0)
+                at = np.flatnonzero(self.of_context("k", i) & self.learnt)
                 parent = chance[at]
-                chance[at], escape = self.step(i, at, chance, kept)
-            gram = self.at[j + 1][at]
-            n = self.n[j + 1][gram] if len(self.n[j + 1]) else 1
+                chance[at], context, gram, escape = self.step(i, at, parent, kept)
+            gain = np.log(escape)[context]
+            on = np.flatnonzero(gram >= 0)
             # a transition costs half the logarithm of the tokens, spread over its occurrences
-            gain = np.where(gram >= 0, np.log(chance[at] / parent) - 0.5 * math.log(max(self.total, 2)) / n, np.log(escape))
-            mine = self.learnt[at]
-            return np.rint(self.summed(j, self.context(j)[at][mine], gain[mine])[self.chosen(kind)] * 2**24)
+            gain[on] = np.log(chance[at[on]] / parent[on]) - 0.5 * math.log(max(self.total, 2)) / self.n(j + 1)[gram[on]]
+            return np.rint(self.summed(j, context, gain)[self.chosen(kind)] * 2**24)
         covered = np.zeros(len(self.tokens), bool)
         for i in range(j + 1, self.depth + 1):
             covered |= self.of_context("g", i)
@@ -310,7 +349,7 @@ class Part:
     def questions(self, kinds: list[str], shards: int):
         """(kind, shard, slice, keys, sums): this slice's sums, parted by the keys' shards."""
         for kind in kinds:
-            keys, sums = self.keys[int(kind[1:])][self.chosen(kind)], self.own(kind).astype(np.int64)
+            keys, sums = self.keys(int(kind[1:]))[self.chosen(kind)], self.own(kind).astype(np.int64)
             shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
             cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
             for k in np.flatnonzero(np.diff(cuts)).tolist():
@@ -325,12 +364,12 @@ class Part:
             if j < self.depth:
                 stays |= self.of_context("s", j)
             at = np.flatnonzero(stays)
-            chance[at], _ = self.step(j, at, chance, self.known("k", j))
+            chance[at] = self.step(j, at, chance[at], self.known("k", j))[0]
         begin = np.cumsum(self.sizes) - self.sizes
         add = lambda x: np.add.reduceat(x[1:], begin)
         return pa.table({
             "doc_id": pa.array(self.row["doc_id"], pa.int64()), "held_out": pa.array(self.row["held_out"], pa.bool_()),
-            "n_tokens": pa.array(self.sizes, pa.int64()), "n_known": pa.array(add((self.n[1] > 0)[self.found[1]].astype(np.int64))),
+            "n_tokens": pa.array(self.sizes, pa.int64()), "n_known": pa.array(add((self.n(1) > 0)[self.found(1)].astype(np.int64))),
             "train_tokens": pa.array(np.full(len(self.sizes), self.total), pa.int64()),
             "base_score": pa.array(add(np.log10(root))), "score": pa.array(add(np.log10(chance)))})
 
@@ -367,8 +406,8 @@ def totals(asked: pa.Table) -> pa.Table:
     keys = [unpacked_keys(b) for b in asked["keys"]]
     sizes = [len(k) for k in keys]
     keys, sums = np.concatenate(keys), np.concatenate([unpacked(b) for b in asked["sums"]])
-    order = np.argsort(keys, kind="stable")
-    begin = np.flatnonzero(np.r_[True, np.diff(keys[order]) > 0])
+    order = ordered(keys)
+    begin = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
     total = np.add.reduceat(sums[order], begin)
     every = np.empty_like(sums)
     every[order] = np.repeat(total, np.diff(np.r_[begin, len(order)]))

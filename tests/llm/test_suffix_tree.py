@@ -130,3 +130,28 @@ def test_long_texts(spark, monkeypatch):
     monkeypatch.setattr(st, "PIECE", 1 << 40)
     at_once, same_sizes = st.text_tokens([long, "a b", ""])
     assert sizes.tolist() == same_sizes.tolist() == [700_003, 3, 1] and (pieces == at_once).all()
+
+
+def test_rare_contexts_of_a_large_corpus(spark):
+    """What occurs twice among 200,000 tokens is below 1e-5 of them, and still a state."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randint(0, 2999)}" for _ in range(100))) for i in range(2400)]
+    said = [" ".join(f"w{rng.randint(0, 2999)}" for _ in range(100)) for _ in range(6)]
+    rows += [(10_000 + 10 * k + j, t) for k, t in enumerate(said) for j in (1, 2)]
+    want, stays = brute(rows, st.DEPTH, 0)
+    assert want[0][4] > 200_000 and stays
+    got = st.score(spark.createDataFrame(rows, SCHEMA).repartition(4), tokens=40_000).collect()
+    same(got, want)
+    twice = [k for k in range(len(said)) if not any(is_held(10_000 + 10 * k + j) for j in (1, 2))]
+    by = {r.doc_id: (r.score - r.base_score) / r.n_tokens for r in got}
+    assert twice and min(by[10_000 + 10 * k + 1] for k in twice) > 1 > 0.2 > sum(by[i] for i in range(2400)) / 2400
+
+
+def test_order_of_hashes():
+    rng = np.random.default_rng(3)
+    for h in (rng.integers(0, 2**64, 5000, np.uint64, endpoint=False), rng.integers(0, 50, 5000).astype(np.uint64), np.zeros(0, np.uint64), np.arange(9, dtype=np.uint64)[::-1].copy()):
+        keys, place = st.different(h)
+        want, at = np.unique(h, return_inverse=True)
+        assert (keys == want).all() and (place == at).all()
+        assert (st.unpacked_keys(st.packed_keys(keys)) == keys).all() and (st.unpacked(st.packed(place)) == place).all()
+    assert (st.unpacked(st.packed(np.array([-1, 0, 2**40]))) == [-1, 0, 2**40]).all()
