@@ -56,6 +56,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_by(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``written`` in as many buckets of ``column`` as shuffles have partitions: steps that group by it don't shuffle
+    the table again. The catalog knows the table only until it is read back; the files stay."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    table = f"llm_{os.path.basename(path).replace('-', '_')}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", path).saveAsTable(table, format="parquet")
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that no later step reads."""
     jvm = spark.sparkContext._jvm

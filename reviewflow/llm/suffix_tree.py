@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 from contextlib import contextmanager
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .minhash import mixed
-from .runtime import ship, text_slices, written
+from .runtime import ship, text_slices, written, written_by
 
 DEPTH = 3
 SHARE = 0.0  # above 0: only contexts and transitions of at least this share of the training tokens
@@ -48,6 +48,7 @@ PRIOR = 8.0
 ADDED = 0.1
 TOKENS = 1_000_000
 PIECE = 1_000_000
+BLOCK = 1 << 15
 END = np.uint64(0x5DEECE66D1234567)
 
 _SPACES = b"\t\n\v\f\r "
@@ -101,39 +102,64 @@ def text_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, stops, END), sizes
 
 
-def packed(a: np.ndarray) -> bytes:
-    """Integers of 64 bits: their byte planes that aren't all zero, one after another, compressed."""
+@lru_cache(None)
+def _zstd():
     import zstandard
-    a = a.astype("<i8").view("<u8")
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def packed(a: np.ndarray, signed: bool = False) -> bytes:
+    """Integers of 64 bits: their byte planes that aren't all zero, one after another, compressed. ``signed``: the sign in the last bit,
+    so that small negative numbers have few planes too."""
+    a = a.astype("<i8", copy=False)
+    if signed:
+        a = a << 1 ^ a >> 63
+    a = a.view("<u8")
     planes = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-    return bytes([planes]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :planes].T).tobytes())
+    return bytes([planes | 16 * signed]) + _zstd()[0].compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :planes].T))
 
 
 def unpacked(b: bytes) -> np.ndarray:
-    import zstandard
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    planes = b[0] & 15
+    raw = np.frombuffer(_zstd()[1].decompress(b[1:]), np.uint8).reshape(planes, -1)
     out = np.zeros((raw.shape[1], 8), np.uint8)
-    out[:, :b[0]] = raw.T
-    return out.view("<i8").ravel()
+    for k in range(planes):
+        out[:, k] = raw[k]
+    out = out.view("<i8").ravel()
+    return out.view("<u8").__rshift__(np.uint64(1)).view("<i8") ^ -(out & 1) if b[0] & 16 else out
 
 
-def ordered(h: np.ndarray) -> np.ndarray:
-    """The order that sorts 64-bit hashes. Their leading bits are sorted with the places in the last ones, which is several
-    times as fast as an argsort; where that isn't enough to tell two hashes apart, all is sorted again."""
+def in_order(h: np.ndarray, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes (those at ``places``, if given) sorted, and their places. Their leading bits are sorted with the places in the last
+    ones, which is several times as fast as an argsort; where that isn't enough to tell two hashes apart, all is sorted again."""
     bits = np.uint64(len(h).bit_length())
-    x = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    if places is None:
+        x = h & ~low
+        x |= np.arange(len(h), dtype=np.uint64)
+    else:
+        x = places  # leading bits and places already
     x.sort()
-    order = (x & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    x &= low
+    order = x.view(np.int64)
     x = h[order]
-    return order if (x[1:] >= x[:-1]).all() else np.argsort(h, kind="stable")
+    if not (x[1:] >= x[:-1]).all():
+        again = np.argsort(x, kind="stable")
+        order, x = order[again], x[again]
+    return x, order
+
+
+def firsts(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has another value than before."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return new
 
 
 def different(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different hashes, sorted, and each one's place among them."""
-    order = ordered(h)
-    x = h[order]
-    new = np.ones(len(x), bool)
-    new[1:] = x[1:] != x[:-1]
+    x, order = in_order(h)
+    new = firsts(x)
     place = np.empty(len(x), np.int32)
     place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     return x[new], place
@@ -231,159 +257,202 @@ class Part:
 
     Kinds: n1, n2, ...: occurrences of grams; k1, ...: occurrences of a context's kept transitions; g1, ...: whether a context passes
     the divergence test; s1, ...: whether a longer context that passes ends in this one. The keys of the latter are
-    contexts; those of level j are chosen among the grams of j words."""
+    contexts; those of level j are chosen among the grams of j words that occur often enough.
+
+    Every round builds the levels anew from the tokens, which costs less than to keep them. Tokens are walked through
+    ``BLOCK`` at a time, so that what is computed for each stays in the processor's cache."""
 
     def __init__(self, row: dict, answers: dict[str, np.ndarray], depth: int, share: float, total: int, distinct: int):
         self.row, self.depth, self.total, self.distinct = row, depth, total, distinct
         self.least, self.answers = max(LEAST, math.ceil(share * total)), answers
-        self.words, self.tokens, self.sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["sizes"])
+        self.words, self.tokens, self.sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]).astype(np.int32), unpacked(row["sizes"])
         self.learnt = np.r_[False, np.repeat(~np.array(row["held_out"], bool), self.sizes)]
-        self.is_end = (self.words == END)[self.tokens]
-        self.levels, self.contexts = {}, {}
-
-    def n(self, k: int) -> np.ndarray:
-        return self.answers[f"n{k}"]
-
-    def keys(self, k: int) -> np.ndarray:
-        return self.level(k)[0]
-
-    def found(self, k: int) -> np.ndarray:
-        """For each token the place of the gram of k words that it ends, or -1."""
-        return self.level(k)[1]
+        self.ends = np.r_[0, np.cumsum(self.sizes)]
+        self.levels, self.contexts, self.word_order = {}, {}, in_order(self.words)[1]
+
+    def word_n(self) -> np.ndarray:
+        """Occurrences of the slice's words, by their numbers."""
+        n = np.empty(len(self.words), np.int64)
+        n[self.word_order] = self.answers["n1"]
+        return n
+
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The different keys, sorted, of grams of k > 1 words of which both parts occur often enough; the places of the tokens
+        that end them, by key; and where each key's places begin."""
+        at, keys, _ = self.level(k - 1)
+        context, keys = self.context(k - 1), keys * _BASE
+        h, x, m = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64), 0
+        bits = np.uint64(len(at).bit_length())
+        for b in blocks(len(at)):
+            ok = np.flatnonzero((at[b] >= 0) & (context[b] >= 0))
+            if len(ok):
+                key = mixed(keys[context[b][ok]] + self.words[self.tokens[b][ok]])
+                ok += b.start
+                h[ok] = key
+                x[m:m + len(ok)] = key >> bits << bits | ok.view(np.uint64)
+                m += len(ok)
+        x, places = in_order(h, x[:m])
+        begin = np.flatnonzero(firsts(x))
+        return x[begin], places, begin
+
+    def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The grams of k words that occur often enough: for each token the number of the one it ends, or -1; their keys
+        and occurrences. Words are numbered as in the slice, common ones first, others by key."""
+        if k not in self.levels:
+            if k == 1:
+                keys, n = self.words, self.word_n()
+            else:
+                keys, places, begin = self.grams(k)
+                n = self.answers[f"n{k}"]
+            kept = n >= self.least
+            number = np.where(kept, np.cumsum(kept, dtype=np.int32) - np.int32(1), np.int32(-1))
+            if k == 1:
+                at = number[self.tokens]
+            else:
+                at = np.full(len(self.tokens), -1, np.int32)
+                at[places] = np.repeat(number, np.diff(begin, append=len(places)))
+            self.levels[k] = at, keys[kept], n[kept]
+        return self.levels[k]
 
     def at(self, k: int) -> np.ndarray:
-        """The same where the gram occurs often enough, else -1."""
-        return self.level(k)[2]
-
-    def level(self, k: int) -> tuple:
-        if k in self.levels:
-            return self.levels[k]
-        if k == 1:
-            keys, rank = different(self.words)
-            found = rank[self.tokens]
-        else:
-            last = self.at(k - 1)
-            ok = last >= 0
-            ok[0] = False
-            ok[1:] &= self.context(k - 1)[1:] >= 0
-            ok = np.flatnonzero(ok)
-            keys, place = different(mixed((self.keys(k - 1) * _BASE)[last[ok - 1]] + self.words[self.tokens[ok]]))
-            found = np.full(len(last), -1, np.int32)
-            found[ok] = place
-        at = None
-        if (n := self.answers.get(f"n{k}")) is not None:
-            at = np.r_[np.where(n >= self.least, np.arange(len(n), dtype=np.int32), np.int32(-1)), np.int32(-1)][found]
-        self.levels[k] = keys, found, at
-        return self.levels[k]
+        return self.level(k)[0]
 
     def context(self, j: int) -> np.ndarray:
         """The context of j words before each token, or -1. It reaches back to the end token before the text, not beyond it."""
         if j not in self.contexts:
             self.contexts[j] = out = np.r_[np.int32(-1), self.at(j)[:-1]]
             if j > 1:
-                out[1:][self.is_end[:-1]] = -1
+                out[self.ends[:-1] + 1] = -1
         return self.contexts[j]
 
-    def summed(self, j: int, at: np.ndarray, weights=None) -> np.ndarray:
-        return np.bincount(at, weights, minlength=len(self.keys(j)))
-
     def chosen(self, kind: str) -> np.ndarray:
-        """The keys that a question of this kind is about, as places among the grams of its level."""
+        """The contexts that a question of this kind is about, ordered by key."""
         j = int(kind[1:])
-        if kind[0] == "n":
-            return np.arange(len(self.keys(j)))
+        keys = self.level(j)[1]
         if kind[0] == "k":
-            return np.flatnonzero(self.n(j) >= self.least)
-        if kind[0] == "g":
-            return np.flatnonzero(self.known("k", j) > 0)
-        return np.flatnonzero((self.known("k", j) > 0) & (self.known("g", j) == 0))
+            yes = np.ones(len(keys), bool)
+        else:
+            yes = self.known("k", j) > 0
+            if kind[0] == "s":
+                yes &= self.known("g", j) == 0
+        if j > 1:
+            return np.flatnonzero(yes)
+        order = in_order(keys)[1]
+        return order[yes[order]]
 
     def known(self, kind: str, j: int) -> np.ndarray:
-        """The answer to a question, for every gram of level j; 0 where it wasn't asked."""
-        out = np.zeros(len(self.keys(j)), np.int64)
+        """The answer to a question, for every context of j words; 0 where it wasn't asked."""
+        out = np.zeros(len(self.level(j)[1]), np.int64)
         out[self.chosen(f"{kind}{j}")] = self.answers[f"{kind}{j}"]
         return out
 
-    def root(self) -> np.ndarray:
-        return ((self.n(1) + ADDED) / (self.total + ADDED * (self.distinct + 1)))[self.found(1)]
-
-    def step(self, j: int, at: np.ndarray, before: np.ndarray, kept: np.ndarray):
-        """The chances of the tokens ``at`` after their contexts of j words, given those after the contexts' parents; the places of
-        those contexts and their kept transitions (or -1), and the escapes of all."""
-        context, gram = self.context(j)[at], self.at(j + 1)[at]
-        size = self.n(j) + PRIOR
-        escape = (size - kept) / size
-        seen = np.r_[self.n(j + 1), 0].astype(float)[gram]  # -1: the last, 0
-        return seen / size[context] + escape[context] * before, context, gram, escape
-
-    def own(self, kind: str) -> np.ndarray:
-        """What this slice adds to the total of each key asked for."""
+    def root(self, n: np.ndarray) -> np.ndarray:
+        return (n + ADDED) / (self.total + ADDED * (self.distinct + 1))
+
+    def walk(self, root: np.ndarray, states: list[np.ndarray], only: np.ndarray | None = None):
+        """Block by block, the chances of the tokens (of those in ``only``) after the longest of their contexts that is one of ``states`` (by level, whether a
+        context is one), the root's chances of words being given. Besides, for each level, where a token follows such a context: context,
+        gram (or -1), and the chances before and after that step."""
+        levels = []
+        for j, yes in enumerate(states, 1):
+            size = self.level(j)[2] + PRIOR
+            # -1, no context or gram, takes the last entry
+            levels.append((self.context(j), self.at(j + 1), np.r_[yes, False], np.r_[self.level(j + 1)[2], 0].astype(float), size, (size - self.known("k", j)) / size))
+        for b in blocks(len(self.tokens)):
+            chance, steps = root[self.tokens[b]], []
+            for contexts, grams, yes, seen, size, escape in levels:
+                context = contexts[b]
+                on = yes[context]
+                at = np.flatnonzero(on if only is None else on & only[b])
+                context, gram, before = context[at], grams[b][at], chance[at]
+                chance[at] = after = seen[gram] / size[context] + escape[context] * before
+                steps.append((context, gram, before, after))
+            yield b, chance, steps
+
+    def gains(self, asked: list[int]) -> dict[int, np.ndarray]:
+        """This slice's part of the divergences of all contexts of the levels ``asked``, less what their transitions cost, in 2^-24 nats."""
+        kept = [self.known("k", i) for i in range(1, max(asked) + 1)]  # contexts without kept transitions leave every chance as it is
+        size = {j: self.level(j)[2] + PRIOR for j in asked}
+        escape = {j: np.log((size[j] - kept[j - 1]) / size[j]) for j in asked}
+        parts = {j: [] for j in asked}
+        for _, _, steps in self.walk(self.root(self.word_n()), [k > 0 for k in kept], self.learnt):
+            for j in asked:
+                context, gram, before, after = steps[j - 1]
+                gain = escape[j][context]
+                on = np.flatnonzero(gram >= 0)
+                # a transition costs half the logarithm of the tokens, spread over its occurrences
+                gain[on] = np.log(after[on] / before[on]) - 0.5 * math.log(max(self.total, 2)) / self.level(j + 1)[2][gram[on]]
+                parts[j].append((context, gain))
+        return {j: np.rint(np.bincount(*map(np.concatenate, zip(*part)), minlength=len(size[j])) * 2**24).astype(np.int64) for j, part in parts.items()}
+
+    def own(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """The keys asked for, sorted, and what this slice adds to the total of each."""
         j = int(kind[1:])
+        if kind == "n1":
+            sums = np.bincount(self.tokens[self.learnt], minlength=len(self.words))
+            return self.words[self.word_order], sums[self.word_order]
         if kind[0] == "n":
-            return self.summed(j, self.found(j)[self.learnt & (self.found(j) >= 0)])
+            keys, places, begin = self.grams(j)
+            return keys, np.add.reduceat(self.learnt[places], begin, dtype=np.int64) if len(begin) else np.zeros(0, np.int64)
+        keys, context = self.level(j)[1], self.context(j)
         if kind[0] == "k":
-            context = self.context(j)
-            return self.summed(j, context[self.learnt & (context >= 0) & (self.at(j + 1) >= 0)])[self.chosen(kind)]
-        if kind[0] == "g":
-            chance = self.root()
-            for i in range(1, j + 1):  # contexts without kept transitions leave every chance as it is
-                kept = self.known("k", i)
-                at = np.flatnonzero(self.of_context("k", i) & self.learnt)
-                parent = chance[at]
-                chance[at], context, gram, escape = self.step(i, at, parent, kept)
-            gain = np.log(escape)[context]
-            on = np.flatnonzero(gram >= 0)
-            # a transition costs half the logarithm of the tokens, spread over its occurrences
-            gain[on] = np.log(chance[at[on]] / parent[on]) - 0.5 * math.log(max(self.total, 2)) / self.n(j + 1)[gram[on]]
-            return np.rint(self.summed(j, context, gain)[self.chosen(kind)] * 2**24)
-        covered = np.zeros(len(self.tokens), bool)
-        for i in range(j + 1, self.depth + 1):
-            covered |= self.of_context("g", i)
-        return (self.summed(j, self.context(j)[covered]) > 0)[self.chosen(kind)]
-
-    def of_context(self, kind: str, j: int) -> np.ndarray:
-        """Whether the answer for the context of j words before each token is yes."""
-        context, yes = self.context(j), self.known(kind, j) > 0
-        return (context >= 0) & (yes[context] if len(yes) else False)
+            sums = np.bincount(context[self.learnt & (context >= 0) & (self.at(j + 1) >= 0)], minlength=len(keys))
+        elif kind[0] == "g":
+            sums = self.gain[j]
+        else:
+            covered = np.zeros(len(context), bool)
+            for i in range(j + 1, self.depth + 1):
+                covered |= np.r_[self.known("g", i) > 0, False][self.context(i)]
+            sums = np.zeros(len(keys), np.int64)
+            sums[context[covered]] = 1
+        at = self.chosen(kind)
+        return keys[at], sums[at]
 
     def questions(self, kinds: list[str], shards: int):
         """(kind, shard, slice, keys, sums): this slice's sums, parted by the keys' shards."""
+        if asked := [int(kind[1:]) for kind in kinds if kind[0] == "g"]:
+            self.gain = self.gains(asked)
         for kind in kinds:
-            keys, sums = self.keys(int(kind[1:]))[self.chosen(kind)], self.own(kind).astype(np.int64)
+            keys, sums = self.own(kind)
             shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
             cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 part = slice(cuts[k], cuts[k + 1])
-                yield kind, k, self.row["slice"], packed_keys(keys[part]), packed(sums[part])
+                yield kind, k, self.row["slice"], packed_keys(keys[part]), packed(sums[part], kind[0] == "g")
 
     def scores(self) -> pa.Table:
-        root = self.root()
-        chance = root.copy()
+        n, states = self.word_n(), []
         for j in range(1, self.depth + 1):
-            stays = self.of_context("g", j)
+            states.append(self.known("g", j) > 0)
             if j < self.depth:
-                stays |= self.of_context("s", j)
-            at = np.flatnonzero(stays)
-            chance[at] = self.step(j, at, chance[at], self.known("k", j))[0]
+                states[-1] |= self.known("s", j) > 0
+        root, logs = self.root(n), np.empty(len(self.tokens))
+        for b, chance, _ in self.walk(root, states):
+            np.log10(chance, out=logs[b])
         begin = np.cumsum(self.sizes) - self.sizes
         add = lambda x: np.add.reduceat(x[1:], begin)
         return pa.table({
             "doc_id": pa.array(self.row["doc_id"], pa.int64()), "held_out": pa.array(self.row["held_out"], pa.bool_()),
-            "n_tokens": pa.array(self.sizes, pa.int64()), "n_known": pa.array(add((self.n(1) > 0)[self.found(1)].astype(np.int64))),
+            "n_tokens": pa.array(self.sizes, pa.int64()), "n_known": pa.array(add((n > 0).astype(np.int64)[self.tokens])),
             "train_tokens": pa.array(np.full(len(self.sizes), self.total), pa.int64()),
-            "base_score": pa.array(add(np.log10(root))), "score": pa.array(add(np.log10(chance)))})
+            "base_score": pa.array(add(np.log10(root)[self.tokens])), "score": pa.array(add(logs))})
+
+
+def blocks(n: int) -> list[slice]:
+    return [slice(k, min(k + BLOCK, n)) for k in range(0, n, BLOCK)]
 
 
 def rounds(depth: int) -> list[list[str]]:
-    """The kinds asked for in each round; each depends on earlier ones only. Kinds are spread so that no round sends much more than another."""
-    out = [[] for _ in range(depth + 5)]
+    """The kinds asked for in each round; each depends on earlier ones only. Every round builds the levels anew, so there are as few
+    as their order allows. The first level's divergences are asked for a round before the others, so that no round sends much more than another."""
+    out = [[] for _ in range(depth + 4)]
     for k in range(1, depth + 2):
         out[k - 1].append(f"n{k}")
     for j in range(1, depth + 1):
         out[j + 1].append(f"k{j}")
-        out[j + 3].append(f"g{j}")
+        out[depth + 1 + (j == depth or j > 1)].append(f"g{j}")
         if j < depth:
-            out[depth + 4].append(f"s{j}")
+            out[depth + 3].append(f"s{j}")
     return [kinds for kinds in out if kinds]
 
 
@@ -405,14 +474,13 @@ def totals(asked: pa.Table) -> pa.Table:
     asked = asked.to_pydict()
     keys = [unpacked_keys(b) for b in asked["keys"]]
     sizes = [len(k) for k in keys]
-    keys, sums = np.concatenate(keys), np.concatenate([unpacked(b) for b in asked["sums"]])
-    order = ordered(keys)
-    begin = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
+    sums = np.concatenate([unpacked(b) for b in asked["sums"]])
+    keys, order = in_order(np.concatenate(keys))
+    begin = np.flatnonzero(firsts(keys))
     total = np.add.reduceat(sums[order], begin)
+    told = (total > 0).astype(np.int64) if asked["kind"][0][0] in "gs" else total
     every = np.empty_like(sums)
-    every[order] = np.repeat(total, np.diff(np.r_[begin, len(order)]))
-    if asked["kind"][0][0] in "gs":
-        every = (every > 0).astype(np.int64)
+    every[order] = np.repeat(told, np.diff(begin, append=len(order)))
     parts = np.split(every, np.cumsum(sizes)[:-1])
     first = [(int(total.sum()), int((total > 0).sum()))] + [(0, 0)] * (len(parts) - 1)
     return table_of([(*head, packed(part), *more) for *head, part, more in zip(asked["kind"], asked["shard"], asked["slice"], parts, first)], ANSWERED)
@@ -458,7 +526,7 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, tokens: int
     key = F.col(doc_id).cast("long")
     rows = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
     with swept(spark):
-        state = written(slices(rows, tokens), "slices")
+        state = written_by(slices(rows, tokens), "slice", "slices")
         number = state.count()
         shards = max(min(number, 64), math.ceil(number / 4), 1)  # of some million keys at most
         answers, told, model = [], [], (depth, share, 0, 0)

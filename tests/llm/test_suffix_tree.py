@@ -155,3 +155,27 @@ def test_order_of_hashes():
         assert (keys == want).all() and (place == at).all()
         assert (st.unpacked_keys(st.packed_keys(keys)) == keys).all() and (st.unpacked(st.packed(place)) == place).all()
     assert (st.unpacked(st.packed(np.array([-1, 0, 2**40]))) == [-1, 0, 2**40]).all()
+
+
+def test_rounds_leave_the_slices_where_they_are(spark):
+    """Levels are built in seven rounds, no kind before those it needs, and only answers are shuffled to the slices."""
+    for depth in (1, 2, 3, 4):
+        at = {kind: k for k, kinds in enumerate(st.rounds(depth)) for kind in kinds}
+        assert len(at) == (depth + 1) + depth + depth + (depth - 1) and at["n1"] == 0
+        for j in range(1, depth + 1):
+            assert at[f"n{j}"] < at[f"n{j + 1}"] < at[f"k{j}"] < at[f"g{j}"]
+            assert all(at[f"k{i}"] < at[f"g{j}"] for i in range(1, j)) and (j == depth or max(at[f"g{i}"] for i in range(j, depth + 1)) < at[f"s{j}"])
+    assert len(st.rounds(3)) == 7
+    before = {t.name for t in spark.catalog.listTables()}
+    got = st.score(spark.createDataFrame(corpus(40), SCHEMA).repartition(3), tokens=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert {t.name for t in spark.catalog.listTables()} == before
+    same(got.collect(), brute(corpus(40), st.DEPTH, 0)[0])
+
+
+def test_small_negative_sums_are_packed_small():
+    a = np.array([-3, 0, 100, -128, 127])
+    assert st.packed(a, True)[0] & 15 == 1 and (st.unpacked(st.packed(a, True)) == a).all()
+    far = np.array([-2**62, 2**62, -1])
+    assert (st.unpacked(st.packed(far, True)) == far).all() and len(st.unpacked(st.packed(a[:0], True))) == 0
