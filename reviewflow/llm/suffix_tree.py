@@ -9,7 +9,7 @@
    hash, the range of keys is parted into shards, and a slice knows the part of the tree that its own texts touch.
 3. That part grows by rounds. In a round every slice sends, for each of its different keys, its own sum
    (occurrences, kept transitions, divergence) to the key's shard, packed; the shard adds up what the slices sent
-   and returns the total to each of them. A key comes at most once from a slice, so a frequent word or
+   and returns the total to each of them; slices stay in their buckets. A key comes at most once from a slice, so a frequent word or
    phrase weighs as much as a rare one in a shard. Longer grams are asked for only where both their parts occur ``LEAST`` times.
 4. A state s with n occurrences gives its next word by
    P(t|s) = n(s,t) / (n + PRIOR) + (n - kept + PRIOR) / (n + PRIOR) * P(t|parent),
@@ -122,10 +122,13 @@ def packed(a: np.ndarray, signed: bool = False) -> bytes:
 def unpacked(b: bytes) -> np.ndarray:
     planes = b[0] & 15
     raw = np.frombuffer(_zstd()[1].decompress(b[1:]), np.uint8).reshape(planes, -1)
-    out = np.zeros((raw.shape[1], 8), np.uint8)
-    for k in range(planes):
-        out[:, k] = raw[k]
-    out = out.view("<i8").ravel()
+    if planes == 1:
+        out = raw[0].astype("<i8")
+    else:
+        out = np.zeros((raw.shape[1], 8), np.uint8)
+        for k in range(planes):
+            out[:, k] = raw[k]
+        out = out.view("<i8").ravel()
     return out.view("<u8").__rshift__(np.uint64(1)).view("<i8") ^ -(out & 1) if b[0] & 16 else out
 
 
@@ -167,7 +170,9 @@ def different(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def packed_keys(keys: np.ndarray) -> bytes:
     """Sorted keys as their differences."""
-    return packed(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
+    steps = keys.copy()
+    steps[1:] -= keys[:-1]
+    return packed(steps.view(np.int64))
 
 
 def unpacked_keys(b: bytes) -> np.ndarray:
@@ -268,7 +273,7 @@ class Part:
         self.words, self.tokens, self.sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]).astype(np.int32), unpacked(row["sizes"])
         self.learnt = np.r_[False, np.repeat(~np.array(row["held_out"], bool), self.sizes)]
         self.ends = np.r_[0, np.cumsum(self.sizes)]
-        self.levels, self.contexts, self.word_order = {}, {}, in_order(self.words)[1]
+        self.levels, self.contexts, self.places, self.totals, self.word_order = {}, {}, {}, {}, in_order(self.words)[1]
 
     def word_n(self) -> np.ndarray:
         """Occurrences of the slice's words, by their numbers."""
@@ -327,24 +332,25 @@ class Part:
 
     def chosen(self, kind: str) -> np.ndarray:
         """The contexts that a question of this kind is about, ordered by key."""
-        j = int(kind[1:])
-        keys = self.level(j)[1]
-        if kind[0] == "k":
-            yes = np.ones(len(keys), bool)
-        else:
-            yes = self.known("k", j) > 0
-            if kind[0] == "s":
-                yes &= self.known("g", j) == 0
-        if j > 1:
-            return np.flatnonzero(yes)
-        order = in_order(keys)[1]
-        return order[yes[order]]
+        if kind not in self.places:
+            j, keys = int(kind[1:]), self.level(int(kind[1:]))[1]
+            if kind[0] == "k":
+                self.places[kind] = np.arange(len(keys)) if j > 1 else in_order(keys)[1]
+            else:
+                yes = self.known("k", j) > 0
+                if kind[0] == "s":
+                    yes &= self.known("g", j) == 0
+                every = self.chosen(f"k{j}")
+                self.places[kind] = every[yes[every]]
+        return self.places[kind]
 
     def known(self, kind: str, j: int) -> np.ndarray:
         """The answer to a question, for every context of j words; 0 where it wasn't asked."""
-        out = np.zeros(len(self.level(j)[1]), np.int64)
-        out[self.chosen(f"{kind}{j}")] = self.answers[f"{kind}{j}"]
-        return out
+        name = f"{kind}{j}"
+        if name not in self.totals:
+            self.totals[name] = out = np.zeros(len(self.level(j)[1]), np.int64)
+            out[self.chosen(name)] = self.answers[name]
+        return self.totals[name]
 
     def root(self, n: np.ndarray) -> np.ndarray:
         return (n + ADDED) / (self.total + ADDED * (self.distinct + 1))
@@ -357,33 +363,30 @@ class Part:
         for j, yes in enumerate(states, 1):
             size = self.level(j)[2] + PRIOR
             # -1, no context or gram, takes the last entry
-            levels.append((self.context(j), self.at(j + 1), np.r_[yes, False], np.r_[self.level(j + 1)[2], 0].astype(float), size, (size - self.known("k", j)) / size))
+            levels.append((self.context(j), self.at(j + 1), np.r_[yes, False], np.r_[self.level(j + 1)[2], 0].astype(float), np.c_[size, (size - self.known("k", j)) / size]))
         for b in blocks(len(self.tokens)):
             chance, steps = root[self.tokens[b]], []
-            for contexts, grams, yes, seen, size, escape in levels:
+            for contexts, grams, yes, seen, sizes in levels:
                 context = contexts[b]
                 on = yes[context]
                 at = np.flatnonzero(on if only is None else on & only[b])
                 context, gram, before = context[at], grams[b][at], chance[at]
-                chance[at] = after = seen[gram] / size[context] + escape[context] * before
+                size, escape = sizes.take(context, 0).T
+                chance[at] = after = seen[gram] / size + escape * before
                 steps.append((context, gram, before, after))
             yield b, chance, steps
 
     def gains(self, asked: list[int]) -> dict[int, np.ndarray]:
         """This slice's part of the divergences of all contexts of the levels ``asked``, less what their transitions cost, in 2^-24 nats."""
         kept = [self.known("k", i) for i in range(1, max(asked) + 1)]  # contexts without kept transitions leave every chance as it is
-        size = {j: self.level(j)[2] + PRIOR for j in asked}
-        escape = {j: np.log((size[j] - kept[j - 1]) / size[j]) for j in asked}
+        # a transition costs half the logarithm of the tokens, spread over its occurrences
+        cost = {j: np.r_[0.5 * math.log(max(self.total, 2)) / self.level(j + 1)[2], 0] for j in asked}
         parts = {j: [] for j in asked}
         for _, _, steps in self.walk(self.root(self.word_n()), [k > 0 for k in kept], self.learnt):
             for j in asked:
                 context, gram, before, after = steps[j - 1]
-                gain = escape[j][context]
-                on = np.flatnonzero(gram >= 0)
-                # a transition costs half the logarithm of the tokens, spread over its occurrences
-                gain[on] = np.log(after[on] / before[on]) - 0.5 * math.log(max(self.total, 2)) / self.level(j + 1)[2][gram[on]]
-                parts[j].append((context, gain))
-        return {j: np.rint(np.bincount(*map(np.concatenate, zip(*part)), minlength=len(size[j])) * 2**24).astype(np.int64) for j, part in parts.items()}
+                parts[j].append((context, np.log(after / before) - cost[j][gram]))
+        return {j: np.rint(np.bincount(*map(np.concatenate, zip(*part)), minlength=len(kept[j - 1])) * 2**24).astype(np.int64) for j, part in parts.items()}
 
     def own(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
         """The keys asked for, sorted, and what this slice adds to the total of each."""
@@ -499,7 +502,7 @@ def part_of(own: pa.Table, told: pa.Table | None, kinds: list[str], model: tuple
 @contextmanager
 def swept(spark: SparkSession):
     """Shuffle files go when the job that made them has ended, not when the driver happens to collect its garbage: every
-    round shuffles the slices once more, and its results are written."""
+    round shuffles all answers once more, and its results are written."""
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, "false")
     spark.conf.set(name, "true")
