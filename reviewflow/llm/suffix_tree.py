@@ -11,6 +11,7 @@
    (occurrences, kept transitions, divergence) to the key's shard, packed; the shard adds up what the slices sent
    and returns the total to each of them; slices stay in their buckets. A key comes at most once from a slice, so a frequent word or
    phrase weighs as much as a rare one in a shard. Longer grams are asked for only where both their parts occur ``LEAST`` times.
+   With its total a gram that does gets its number in the shard, by which later rounds ask; so a gram's hash is sent to its shard once.
 4. A state s with n occurrences gives its next word by
    P(t|s) = n(s,t) / (n + PRIOR) + (n - kept + PRIOR) / (n + PRIOR) * P(t|parent),
    ``kept`` being the sum of its kept transitions and the parent its suffix without the first word; at
@@ -49,6 +50,7 @@ ADDED = 0.1
 TOKENS = 1_000_000
 PIECE = 1_000_000
 BLOCK = 1 << 15
+SHARD = 40  # bits of a gram's number in its shard
 END = np.uint64(0x5DEECE66D1234567)
 
 _SPACES = b"\t\n\v\f\r "
@@ -264,16 +266,18 @@ class Part:
     the divergence test; s1, ...: whether a longer context that passes ends in this one. The keys of the latter are
     contexts; those of level j are chosen among the grams of j words that occur often enough.
 
-    Every round builds the levels anew from the tokens, which costs less than to keep them. Tokens are walked through
-    ``BLOCK`` at a time, so that what is computed for each stays in the processor's cache."""
+    Every round builds the levels anew from the tokens, which costs less memory and disk than to keep them. Tokens are walked through
+    ``BLOCK`` at a time, so that what is computed for each stays in the processor's cache. Chances are computed once for each gram
+    and context, not for each token."""
 
-    def __init__(self, row: dict, answers: dict[str, np.ndarray], depth: int, share: float, total: int, distinct: int):
+    def __init__(self, row: dict, answers: dict[str, np.ndarray], ids: dict[str, np.ndarray], depth: int, share: float, total: int, distinct: int):
         self.row, self.depth, self.total, self.distinct = row, depth, total, distinct
-        self.least, self.answers = max(LEAST, math.ceil(share * total)), answers
+        self.least, self.answers, self.told_ids = max(LEAST, math.ceil(share * total)), answers, ids
         self.words, self.tokens, self.sizes = np.frombuffer(row["words"], "<u8"), unpacked(row["tokens"]).astype(np.int32), unpacked(row["sizes"])
         self.learnt = np.r_[False, np.repeat(~np.array(row["held_out"], bool), self.sizes)]
         self.ends = np.r_[0, np.cumsum(self.sizes)]
-        self.levels, self.contexts, self.places, self.totals, self.word_order = {}, {}, {}, {}, in_order(self.words)[1]
+        self.levels, self.ids, self.contexts, self.places, self.totals, self.parts_of = {}, {}, {}, {}, {}, {}
+        self.word_order = in_order(self.words)[1]
 
     def word_n(self) -> np.ndarray:
         """Occurrences of the slice's words, by their numbers."""
@@ -302,7 +306,8 @@ class Part:
 
     def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The grams of k words that occur often enough: for each token the number of the one it ends, or -1; their keys
-        and occurrences. Words are numbered as in the slice, common ones first, others by key."""
+        and occurrences. Words are numbered as in the slice, common ones first, others by key. ``ids`` has the numbers that shards
+        gave them."""
         if k not in self.levels:
             if k == 1:
                 keys, n = self.words, self.word_n()
@@ -311,9 +316,13 @@ class Part:
                 n = self.answers[f"n{k}"]
             kept = n >= self.least
             number = np.where(kept, np.cumsum(kept, dtype=np.int32) - np.int32(1), np.int32(-1))
+            told = self.told_ids.get(f"n{k}", np.zeros(0, np.int64))
             if k == 1:
-                at = number[self.tokens]
+                at, ids = number[self.tokens], np.empty(len(n), np.int64)
+                ids[self.word_order[n[self.word_order] >= LEAST]] = told
+                self.ids[k] = ids[kept]
             else:
+                self.ids[k] = told[kept[n >= LEAST]] if len(told) else told
                 at = np.full(len(self.tokens), -1, np.int32)
                 at[places] = np.repeat(number, np.diff(begin, append=len(places)))
             self.levels[k] = at, keys[kept], n[kept]
@@ -333,9 +342,9 @@ class Part:
     def chosen(self, kind: str) -> np.ndarray:
         """The contexts that a question of this kind is about, ordered by key."""
         if kind not in self.places:
-            j, keys = int(kind[1:]), self.level(int(kind[1:]))[1]
+            j, n = int(kind[1:]), self.level(int(kind[1:]))[2]
             if kind[0] == "k":
-                self.places[kind] = np.arange(len(keys)) if j > 1 else in_order(keys)[1]
+                self.places[kind] = np.arange(len(n)) if j > 1 else np.argsort(self.ids[1], kind="stable")
             else:
                 yes = self.known("k", j) > 0
                 if kind[0] == "s":
@@ -348,48 +357,50 @@ class Part:
         """The answer to a question, for every context of j words; 0 where it wasn't asked."""
         name = f"{kind}{j}"
         if name not in self.totals:
-            self.totals[name] = out = np.zeros(len(self.level(j)[1]), np.int64)
+            self.totals[name] = out = np.zeros(len(self.level(j)[2]), np.int64)
             out[self.chosen(name)] = self.answers[name]
         return self.totals[name]
 
     def root(self, n: np.ndarray) -> np.ndarray:
         return (n + ADDED) / (self.total + ADDED * (self.distinct + 1))
 
-    def walk(self, root: np.ndarray, states: list[np.ndarray], only: np.ndarray | None = None):
-        """Block by block, the chances of the tokens (of those in ``only``) after the longest of their contexts that is one of ``states`` (by level, whether a
-        context is one), the root's chances of words being given. Besides, for each level, where a token follows such a context: context,
-        gram (or -1), and the chances before and after that step."""
-        levels = []
-        for j, yes in enumerate(states, 1):
+    def parts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each gram of k > 1 words the numbers of its context (without the last word) and of its suffix (without the first)."""
+        if k not in self.parts_of:
+            at, _, n = self.level(k)
+            there = np.flatnonzero(at >= 0)
+            end = np.empty(len(n), np.int64)  # a token that ends the gram
+            end[at[there]] = there
+            self.parts_of[k] = self.context(k - 1)[end], self.at(k - 1)[end]
+        return self.parts_of[k]
+
+    def chances(self, top: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """By level: the chance of each gram's last word after the words before it (of words: the root's), and the escape of each
+        context of j words up to ``top``; a context without kept transitions leaves every chance as it is."""
+        chance, escape = [self.root(self.level(1)[2])], [None]
+        for j in range(1, top + 1):
             size = self.level(j)[2] + PRIOR
-            # -1, no context or gram, takes the last entry
-            levels.append((self.context(j), self.at(j + 1), np.r_[yes, False], np.r_[self.level(j + 1)[2], 0].astype(float), np.c_[size, (size - self.known("k", j)) / size]))
-        for b in blocks(len(self.tokens)):
-            chance, steps = root[self.tokens[b]], []
-            for contexts, grams, yes, seen, sizes in levels:
-                context = contexts[b]
-                on = yes[context]
-                at = np.flatnonzero(on if only is None else on & only[b])
-                context, gram, before = context[at], grams[b][at], chance[at]
-                size, escape = sizes.take(context, 0).T
-                chance[at] = after = seen[gram] / size + escape * before
-                steps.append((context, gram, before, after))
-            yield b, chance, steps
+            escape.append((size - self.known("k", j)) / size)
+            context, low = self.parts(j + 1)
+            chance.append(self.level(j + 1)[2] / size[context] + escape[j][context] * chance[j - 1][low])
+        return chance, escape
 
     def gains(self, asked: list[int]) -> dict[int, np.ndarray]:
         """This slice's part of the divergences of all contexts of the levels ``asked``, less what their transitions cost, in 2^-24 nats."""
-        kept = [self.known("k", i) for i in range(1, max(asked) + 1)]  # contexts without kept transitions leave every chance as it is
-        # a transition costs half the logarithm of the tokens, spread over its occurrences
-        cost = {j: np.r_[0.5 * math.log(max(self.total, 2)) / self.level(j + 1)[2], 0] for j in asked}
-        parts = {j: [] for j in asked}
-        for _, _, steps in self.walk(self.root(self.word_n()), [k > 0 for k in kept], self.learnt):
-            for j in asked:
-                context, gram, before, after = steps[j - 1]
-                parts[j].append((context, np.log(after / before) - cost[j][gram]))
-        return {j: np.rint(np.bincount(*map(np.concatenate, zip(*part)), minlength=len(kept[j - 1])) * 2**24).astype(np.int64) for j, part in parts.items()}
+        chance, escape = self.chances(max(asked))
+        out = {}
+        for j in asked:
+            (context, low), n, size = self.parts(j + 1), self.level(j + 1)[2], len(self.level(j)[2])
+            seen = np.bincount(self.at(j + 1)[self.learnt] + 1, minlength=len(n) + 1)[1:]  # here, of each gram
+            left = np.bincount(self.context(j)[self.learnt] + 1, minlength=size + 1)[1:] - np.bincount(context, seen, minlength=size)
+            # a transition costs half the logarithm of the tokens, spread over its occurrences
+            gain = np.log(chance[j] / chance[j - 1][low]) - 0.5 * math.log(max(self.total, 2)) / n
+            gain = np.bincount(context, seen * gain, minlength=size) + left * np.log(escape[j])
+            out[j] = np.rint(gain * 2**24).astype(np.int64)
+        return out
 
     def own(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
-        """The keys asked for, sorted, and what this slice adds to the total of each."""
+        """The keys asked for, sorted (of counted grams their shards' numbers), and what this slice adds to the total of each."""
         j = int(kind[1:])
         if kind == "n1":
             sums = np.bincount(self.tokens[self.learnt], minlength=len(self.words))
@@ -397,19 +408,19 @@ class Part:
         if kind[0] == "n":
             keys, places, begin = self.grams(j)
             return keys, np.add.reduceat(self.learnt[places], begin, dtype=np.int64) if len(begin) else np.zeros(0, np.int64)
-        keys, context = self.level(j)[1], self.context(j)
+        ids, context = self.level(j) and self.ids[j], self.context(j)
         if kind[0] == "k":
-            sums = np.bincount(context[self.learnt & (context >= 0) & (self.at(j + 1) >= 0)], minlength=len(keys))
+            sums = np.bincount(context[self.learnt & (context >= 0) & (self.at(j + 1) >= 0)], minlength=len(ids))
         elif kind[0] == "g":
             sums = self.gain[j]
         else:
             covered = np.zeros(len(context), bool)
             for i in range(j + 1, self.depth + 1):
                 covered |= np.r_[self.known("g", i) > 0, False][self.context(i)]
-            sums = np.zeros(len(keys), np.int64)
+            sums = np.zeros(len(ids), np.int64)
             sums[context[covered]] = 1
         at = self.chosen(kind)
-        return keys[at], sums[at]
+        return ids[at], sums[at]
 
     def questions(self, kinds: list[str], shards: int):
         """(kind, shard, slice, keys, sums): this slice's sums, parted by the keys' shards."""
@@ -417,21 +428,30 @@ class Part:
             self.gain = self.gains(asked)
         for kind in kinds:
             keys, sums = self.own(kind)
-            shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
-            cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+            if kind[0] == "n":
+                shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+                cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+            else:
+                cuts = np.searchsorted(keys, np.arange(shards + 1) << SHARD)
+                keys = (keys & (1 << SHARD) - 1).view(np.uint64)
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 part = slice(cuts[k], cuts[k + 1])
                 yield kind, k, self.row["slice"], packed_keys(keys[part]), packed(sums[part], kind[0] == "g")
 
     def scores(self) -> pa.Table:
-        n, states = self.word_n(), []
+        n = self.word_n()
+        root = self.root(n)
+        chance, escape = self.chances(self.depth)
+        logs = np.log10(root)[self.tokens]
         for j in range(1, self.depth + 1):
-            states.append(self.known("g", j) > 0)
+            states = self.known("g", j) > 0
             if j < self.depth:
-                states[-1] |= self.known("s", j) > 0
-        root, logs = self.root(n), np.empty(len(self.tokens))
-        for b, chance, _ in self.walk(root, states):
-            np.log10(chance, out=logs[b])
+                states |= self.known("s", j) > 0
+            context = self.context(j)
+            on = np.flatnonzero(np.r_[states, False][context])  # -1, no context or gram, takes the last entry
+            gram = self.at(j + 1)[on]
+            # suffixes of states are states, so a kept transition has its whole chance; others escape from level to level
+            logs[on] = np.where(gram >= 0, np.r_[np.log10(chance[j]), 0][gram], np.log10(escape[j])[context[on]] + logs[on])
         begin = np.cumsum(self.sizes) - self.sizes
         add = lambda x: np.add.reduceat(x[1:], begin)
         return pa.table({
@@ -460,7 +480,7 @@ def rounds(depth: int) -> list[list[str]]:
 
 
 ASKED = "kind string, shard int, slice long, keys binary, sums binary"
-ANSWERED = "kind string, shard int, slice long, totals binary, n long, v long"
+ANSWERED = "kind string, shard int, slice long, totals binary, ids binary, n long, v long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -471,32 +491,48 @@ def table_of(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({name: pa.array(column, types[kind]) for (name, kind), column in zip(names, columns)})
 
 
-def totals(asked: pa.Table) -> pa.Table:
-    """A shard's answers: each key's total (of a test: whether it is above 0), as the slices sent their keys. The first row bears the
-    sum of the totals and the number of keys above 0."""
+def totals(asked: pa.Table, depth: int) -> pa.Table:
+    """A shard's answers: each key's total (of a test: whether it is above 0), as the slices sent their keys. Grams of up to ``depth``
+    words that occur ``LEAST`` times are numbered; the slices get their numbers too. The first row bears the sum of the totals and the
+    number of keys above 0."""
     asked = asked.to_pydict()
+    kind = asked["kind"][0]
     keys = [unpacked_keys(b) for b in asked["keys"]]
-    sizes = [len(k) for k in keys]
-    sums = np.concatenate([unpacked(b) for b in asked["sums"]])
-    keys, order = in_order(np.concatenate(keys))
-    begin = np.flatnonzero(firsts(keys))
-    total = np.add.reduceat(sums[order], begin)
-    told = (total > 0).astype(np.int64) if asked["kind"][0][0] in "gs" else total
-    every = np.empty_like(sums)
-    every[order] = np.repeat(told, np.diff(begin, append=len(order)))
-    parts = np.split(every, np.cumsum(sizes)[:-1])
+    cuts = np.cumsum([len(k) for k in keys])[:-1]
+    sums, keys = np.concatenate([unpacked(b) for b in asked["sums"]]), np.concatenate(keys)
+    ids = [None] * len(asked["keys"])
+    if kind[0] == "n":
+        keys, order = in_order(keys)
+        begin = np.flatnonzero(firsts(keys))
+        total, times = np.add.reduceat(sums[order], begin), np.diff(begin, append=len(order))
+        every = np.empty_like(sums)
+        every[order] = np.repeat(total, times)
+        if int(kind[1:]) <= depth:
+            number = np.empty_like(sums)
+            number[order] = np.repeat(np.cumsum(total >= LEAST) - 1, times)
+            ids = [packed_keys(n[t >= LEAST].view(np.uint64)) for n, t in zip(np.split(number, cuts), np.split(every, cuts))]
+    else:
+        keys = keys.view(np.int64)
+        total = np.zeros(int(keys.max()) + 1, np.int64)
+        np.add.at(total, keys, sums)
+        every = ((total > 0).astype(np.int64) if kind[0] in "gs" else total)[keys]
+    parts = np.split(every, cuts)
     first = [(int(total.sum()), int((total > 0).sum()))] + [(0, 0)] * (len(parts) - 1)
-    return table_of([(*head, packed(part), *more) for *head, part, more in zip(asked["kind"], asked["shard"], asked["slice"], parts, first)], ANSWERED)
+    return table_of([(*head, packed(part), number, *more) for *head, part, number, more
+                     in zip(asked["kind"], asked["shard"], asked["slice"], parts, ids, first)], ANSWERED)
 
 
 def part_of(own: pa.Table, told: pa.Table | None, kinds: list[str], model: tuple) -> Part:
     """A slice's part of the tree, given all answers to the ``kinds``; without any row an answer is empty."""
-    answers = {kind: [] for kind in kinds}
+    answers, ids = {kind: [] for kind in kinds}, {kind: [] for kind in kinds}
     if told is not None:
-        for kind, _, totals in sorted(zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "totals")))):
+        for kind, shard, totals, numbers in sorted(zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "totals", "ids")))):
             answers[kind].append(unpacked(totals))
+            if numbers is not None:
+                ids[kind].append((shard << SHARD) + unpacked_keys(numbers).view(np.int64))
+    joined = lambda parts: np.concatenate([np.zeros(0, np.int64), *parts])
     return Part({c: own.column(c)[0].as_py() for c in own.column_names},
-                {kind: np.concatenate([np.zeros(0, np.int64), *parts]) for kind, parts in answers.items()}, *model)
+                *({kind: joined(parts) for kind, parts in found.items()} for found in (answers, ids)), *model)
 
 
 @contextmanager
@@ -518,7 +554,7 @@ def with_answers(state: DataFrame, answers: list[DataFrame], told: list[str], mo
         from reviewflow.llm import suffix_tree as s
         return run(s.part_of(own, rows, told, model))
 
-    rows = reduce(DataFrame.unionAll, [a.select("slice", "kind", "shard", "totals") for a in answers])
+    rows = reduce(DataFrame.unionAll, [a.select("slice", "kind", "shard", "totals", "ids") for a in answers])
     return state.groupBy("slice").cogroup(rows.groupBy("slice")).applyInArrow(each, schema)
 
 
@@ -528,6 +564,11 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, tokens: int
     spark = docs.sparkSession
     key = F.col(doc_id).cast("long")
     rows = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
+
+    def answered(asked: pa.Table) -> pa.Table:
+        from reviewflow.llm import suffix_tree as s
+        return s.totals(asked, depth)
+
     with swept(spark):
         state = written_by(slices(rows, tokens), "slice", "slices")
         number = state.count()
@@ -547,11 +588,6 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, tokens: int
     return with_answers(state, answers, told, model, run, SCORES)
 
 
-def answered(asked: pa.Table) -> pa.Table:
-    from reviewflow.llm import suffix_tree as s
-    return s.totals(asked)
-
-
 def questions(state: DataFrame, answers: list[DataFrame], told: list[str], model: tuple, kinds: list[str], shards: int) -> DataFrame:
     """What all slices ask in a round."""
     def ask(part):

@@ -5,6 +5,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from reviewflow.llm import suffix_tree as st
 
@@ -179,3 +181,38 @@ def test_small_negative_sums_are_packed_small():
     assert st.packed(a, True)[0] & 15 == 1 and (st.unpacked(st.packed(a, True)) == a).all()
     far = np.array([-2**62, 2**62, -1])
     assert (st.unpacked(st.packed(far, True)) == far).all() and len(st.unpacked(st.packed(a[:0], True))) == 0
+
+
+def test_counted_grams_are_asked_for_by_number():
+    """A gram's hash is sent to be counted; whatever is asked about it later goes by its number in the shard."""
+    rows = [r for r in corpus() if r[0] is not None]
+    owns = []
+    for k in range(2):
+        part = rows[k::2]
+        h, sizes = st.text_tokens([t or "" for _, t in part])
+        words, place = st.different(np.concatenate([np.array([st.END]), h]))
+        owns.append(pa.table({
+            "slice": pa.array([k]), "doc_id": pa.array([[i for i, _ in part]]), "held_out": pa.array([[is_held(i) for i, _ in part]]), "sizes": pa.array([st.packed(sizes)]),
+            "words": pa.array([words.tobytes()]), "tokens": pa.array([st.packed(place)])}))
+    depth, shards, told, model, answers, kept = 3, 5, [], (3, 0.0, 0, 0), [None, None], {}
+    for kinds in st.rounds(depth):
+        asked = collections.defaultdict(list)
+        for own, answer in zip(owns, answers):
+            for q in st.part_of(own, answer, told, model).questions(kinds, shards):
+                asked[q[:2]].append(q)
+                if q[0][0] != "n":
+                    keys = st.unpacked_keys(q[3])
+                    assert (np.diff(keys.view(np.int64)) > 0).all() and keys.max() < kept["n" + q[0][1:], q[1]]
+        found = pa.concat_tables(st.totals(st.table_of(qs, st.ASKED), depth) for qs in asked.values())
+        for kind, shard, ids in zip(*(found.column(c).to_pylist() for c in ("kind", "shard", "ids"))):
+            assert (ids is not None) == (kind in ("n1", "n2", "n3"))
+            if ids is not None and len(numbers := st.unpacked_keys(ids)):
+                kept[kind, shard] = max(kept.get((kind, shard), 0), int(numbers.max()) + 1)
+        if not told:
+            model = (depth, 0.0, sum(found.column("n").to_pylist()), sum(found.column("v").to_pylist()))
+        told = told + kinds
+        answers = [pa.concat_tables([*([a] if a else []), found.filter(pc.equal(found["slice"], k))]) for k, a in enumerate(answers)]
+    assert kept
+    last = [st.part_of(own, a, told, model) for own, a in zip(owns, answers)]
+    got = [tuple(r.values()) for part in last for r in part.scores().to_pylist()]
+    same(got, brute(rows, depth, 0)[0])
